@@ -37,9 +37,9 @@ def parse_target(df, target=TARGET):
 
 def title_categories(df, columns=CATEGORICAL):
     """Empty categories become NULL, the others are title-cased."""
-    return df.withColumns(
-        {c: title_case(empty_to_null(F.col(c))) for c in columns if c in df.columns}
-    )
+    present = [c for c in columns if c in df.columns]
+    known = df.withColumns({c: empty_to_null(F.col(c)) for c in present})
+    return known.withColumns({c: title_case(F.col(c)) for c in present})
 
 
 def clean_raw(df, numeric=NUMERIC, categorical=CATEGORICAL, target=TARGET, null_literal=None):

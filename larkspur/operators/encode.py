@@ -56,17 +56,22 @@ class Codes:
 
 
 def fit_codes(df, columns, limit=BROADCAST_LIMIT):
+    """One pass when no column has more than ``limit`` values; larger columns get a table."""
     columns = list(columns)
     if not columns:
         return Codes({})
-    sizes = {r["column"]: r["n_values"] for r in cardinality(df, columns).collect()}
-    small = [c for c in columns if sizes.get(c, 0) <= limit]
-    wide = [c for c in columns if c not in small]
-    lists = {c: [] for c in small}
-    if small:
-        for r in distinct_values(df, small).collect():
-            lists[r["column"]].append(r["value"])
-    lists = {c: sorted(values) for c, values in lists.items()}
+    values = distinct_values(df, columns)
+    found = values.limit(limit + 1).collect()
+    wide = []
+    if len(found) > limit:
+        sizes = values.groupBy("column").count().collect()
+        wide = [r["column"] for r in sizes if r["count"] > limit]
+        rest = [c for c in columns if c not in wide]
+        found = distinct_values(df, rest).collect() if rest else []
+    lists = {c: [] for c in columns if c not in wide}
+    for r in found:
+        lists[r["column"]].append(r["value"])
+    lists = {c: sorted(texts) for c, texts in lists.items()}
     return Codes(lists, code_table(df, wide, wide=True) if wide else None, wide)
 
 

@@ -31,9 +31,12 @@ def fit_medians(df, columns=None, distinct_limit=DISTINCT_LIMIT):
         return {}
     values = df.select(*[_present(df, c).alias(c) for c in columns])
     stats = values.agg(
+        F.count(F.lit(1)).alias("rows"),
         *[F.count(c).alias(f"n_{c}") for c in columns],
         *[F.approx_count_distinct(c).alias(f"d_{c}") for c in columns],
     ).first()
+    if not stats["rows"]:
+        raise ValueError("no rows to take medians of")
     few = [c for c in columns if stats[f"d_{c}"] <= distinct_limit]
     found = {}
     if few:

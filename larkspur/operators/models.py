@@ -35,9 +35,8 @@ def forest(label, trees=TREES, depth=DEPTH, min_leaf=MIN_LEAF, seed=SEED):
 
 
 def boosted_trees(label, rounds=20, depth=5, seed=SEED):
-    return ml.GBTClassifier(
-        **_columns(label), rawPredictionCol=RAW, maxIter=rounds, maxDepth=depth, seed=seed
-    ).setProbabilityCol(PROBABILITY)
+    trees = ml.GBTClassifier(**_columns(label), maxIter=rounds, maxDepth=depth, seed=seed)
+    return trees.setRawPredictionCol(RAW).setProbabilityCol(PROBABILITY)
 
 
 def logistic(label, penalty=0.0, rounds=100):

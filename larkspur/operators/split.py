@@ -44,15 +44,16 @@ def class_counts(df, target):
 
 
 def mark_test(df, target, test_size=0.2, seed=42, key=None, unique_key=False, name="is_test",
-              sort_limit=SORT_LIMIT):
+              sort_limit=SORT_LIMIT, counts=None):
     """All rows with a flag ``name``: true for the test rows.
 
     ``key`` orders the rows, all columns when left out. Say ``unique_key`` when no two rows share a
     key; otherwise the whole row takes part in the order, and copies of one row are split by number.
+    ``counts`` are the class counts, where they are known already.
     """
     key = list(key or df.columns)
     rows = df.withColumn("_order", order_text(df, key, seed, unique_key))
-    counts = class_counts(df, target)
+    counts = class_counts(df, target) if counts is None else counts
     if not counts:
         return df.withColumn(name, F.lit(False))
     cuts = _cuts(rows, target, counts, quotas(counts, test_size), sort_limit)
@@ -70,6 +71,30 @@ def train_test(df, target, test_size=0.2, seed=42, key=None, unique_key=False):
     return marked.where("not _is_test").drop("_is_test"), marked.where("_is_test").drop("_is_test")
 
 
+def mark_parts(df, target, test_size=0.2, seed=42, key=None, unique_key=False, name="part"):
+    """All rows marked ``train``, ``validation`` or ``test``, and the class counts of each part.
+
+    The validation rows are the same share of what the test rows leave; all counts follow from the
+    first ones and the quotas.
+    """
+    counts = class_counts(df, target)
+    tests = quotas(counts, test_size)
+    rest = {c: n - tests[c] for c, n in counts.items()}
+    checks = quotas(rest, test_size)
+    key = list(key or df.columns)
+    marked = mark_test(df, target, test_size, seed, key, unique_key, "_is_test", counts=counts)
+    inner = mark_test(marked.where("not _is_test"), target, test_size, f"{seed}-validation", key,
+                      unique_key, "_is_check", counts=rest)
+    train_part = F.when(F.col("_is_check"), "validation").otherwise("train").alias(name)
+    parts = inner.select(*df.columns, train_part).unionByName(
+        marked.where("_is_test").select(*df.columns, F.lit("test").alias(name))
+    )
+    sizes = {
+        "train": {c: rest[c] - checks[c] for c in counts}, "validation": checks, "test": tests,
+    }
+    return parts, sizes
+
+
 def _near(rows, target, table, names, how="inner"):
     """Join a table of one row per class, whose size CLASS_LIMIT bounds."""
     kind = rows.schema[target].dataType.simpleString()

@@ -98,15 +98,15 @@ def fit_preprocess(df, target=None, fill_target=False):
     rows = drop_meta(df, target)
     if not fill_target:
         rows = rows.where(F.col(target).isNotNull())
-    require_rows(rows, "training rows")
     categorical, numeric = text_columns(rows, target), number_columns(rows, target)
+    medians = fit_medians(rows, numeric) if numeric else {}
+    if not numeric:
+        require_rows(rows, "training rows")
     filled = fill_unknown(rows.select(*categorical, target), categorical)
     classes = []
     if target in text_columns(rows):
         classes = fit_codes(fill_unknown(filled, [target]), [target]).lists[target]
-    return Preprocess(
-        target, categorical, numeric, fit_medians(rows, numeric), fit_codes(filled, categorical), classes
-    )
+    return Preprocess(target, categorical, numeric, medians, fit_codes(filled, categorical), classes)
 
 
 def labelled_rows(df, preprocess, fill_target=False):

@@ -764,9 +764,16 @@ def stream_requests_per_minute(spark, sf_dir):
 # ---- models
 
 
+def stored(spark, sf_dir, which):
+    """A key range read from the feature table, which is filled first."""
+    group = new_group(spark).append(cleaned(spark, sf_dir), RUN_TS)
+    first, middle, last = fx.ranges(spark, sf_dir)
+    start, end = (first, middle) if which == "train" else (middle, last)
+    return group.read_range(spark, start, end).drop("event_date")
+
+
 def trained(spark, sf_dir):
-    rows = part_of(spark, sf_dir, "train")
-    return training.train(rows, "churn", [ID], unique_key=True)
+    return training.train(stored(spark, sf_dir, "train"), "churn", [ID], unique_key=True)
 
 
 @query
@@ -797,11 +804,11 @@ def batch_inference(spark, sf_dir):
 
 
 def searched(spark, sf_dir):
-    fitted, train_rows, validation, test = training.prepare(
-        part_of(spark, sf_dir, "train"), "churn", [ID], unique_key=True
+    fitted, parts, _ = training.prepare(stored(spark, sf_dir, "train"), "churn", [ID], unique_key=True)
+    found = searching.search(
+        parts["train"], parts["validation"], fitted.features, "churn", max_seconds=600
     )
-    found = searching.search(train_rows, validation, fitted.features, "churn", max_seconds=600)
-    return found, test
+    return found, parts["test"]
 
 
 @query
@@ -846,7 +853,7 @@ def stream_ingest(spark, sf_dir):
     path = new_path(spark, "ingested")
     ingest.ingest(write_feed(spark, sf_dir), path, new_path(spark, "ingest-state"), RUN_TS).awaitTermination()
     schema = T.StructType([*CLEAN, T.StructField("event_time", T.TimestampType())])
-    return clean.event_time_text(spark.read.schema(schema).parquet(path))
+    return clean.event_time_text(spark.read.schema(schema).parquet(path).select(*schema.names))
 
 
 @query

@@ -64,7 +64,6 @@ def search(train, validation, features, target, candidates=None, metric="Accurac
     if candidates is None:
         n_classes = train.select(F.count_distinct(target)).first()[0]
         candidates = default_candidates(target, len(features), n_classes)
-    train, validation = train.persist(), validation.persist()
     deadline = clock() + max_seconds
 
     def run(job):

@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from larkspur.operators import metrics, models
-from larkspur.operators.split import class_counts, train_test
+from larkspur.operators.split import mark_parts
 from larkspur.plans.preprocess import Preprocess, fit_preprocess, labelled_rows
 from larkspur.schema import RECORD_ID, TARGET
 from larkspur.sources import bundle
@@ -20,7 +20,6 @@ class Trained:
     validation: DataFrame
     test: DataFrame
     metadata: dict
-    scored: DataFrame = None
 
     def score(self, df, keep=()):
         """Preprocessed rows with prediction and probability."""
@@ -56,41 +55,41 @@ class Trained:
 
 def prepare(df, target=TARGET, key=(RECORD_ID,), test_size=0.2, seed=42, fill_target=False,
             unique_key=False):
-    """(preprocess, train, validation, test), preprocessed, 64/16/20.
+    """(preprocess, parts, class counts): parts are the preprocessed 64/16/20 shares by name.
 
-    The encoders and medians come from the training rows only, and the split runs on the raw rows.
+    The split runs on the raw rows, and medians and codes come from those that are not test rows.
+    The marked rows are kept, because fitting and the model read them many times.
     """
     key = [c for c in key if c in df.columns]
     known = df if fill_target else df.where(df[target].isNotNull())
-    rest, test = train_test(known, target, test_size, seed, key, unique_key)
-    train, validation = train_test(rest, target, test_size, f"{seed}-validation", key, unique_key)
-    fitted = fit_preprocess(rest, target, fill_target)
-    parts = [
-        fitted.apply(labelled_rows(part, fitted, fill_target)) for part in (train, validation, test)
-    ]
-    return fitted, *parts
+    marked, sizes = mark_parts(known, target, test_size, seed, key, unique_key)
+    marked = marked.persist()
+    fitted = fit_preprocess(marked.where("part <> 'test'").drop("part"), target, fill_target)
+    ready = labelled_rows(marked, fitted, fill_target)
+    parts = {
+        name: fitted.apply(ready.where(ready["part"] == name).drop("part"))
+        for name in ("train", "validation", "test")
+    }
+    return fitted, parts, sizes
 
 
 def train(df, target=TARGET, key=(RECORD_ID,), test_size=0.2, seed=42, classifier=None,
           unique_key=False):
     """Fit the forest (or another ``classifier``) on the training part of ``df``."""
-    fitted, train_rows, validation, test = prepare(df, target, key, test_size, seed,
-                                                   unique_key=unique_key)
-    train_rows = train_rows.persist()
+    fitted, parts, sizes = prepare(df, target, key, test_size, seed, unique_key=unique_key)
     classifier = classifier or models.forest(target)
-    model = models.pipeline(fitted.features, classifier).fit(train_rows)
-    counts = [class_counts(part, target) for part in (train_rows, validation, test)]
-    learned = {c: counts[0].get(c, 0) + counts[1].get(c, 0) for c in {*counts[0], *counts[1]}}
-    metadata = fitted.metadata(learned, counts[2]) | {
+    model = models.pipeline(fitted.features, classifier).fit(parts["train"])
+    learned = {c: n + sizes["validation"].get(c, 0) for c, n in sizes["train"].items()}
+    metadata = fitted.metadata(learned, sizes["test"]) | {
         "feature_columns": fitted.features,
-        "class_names": fitted.target_classes or [str(c) for c in counts[0]],
+        "class_names": fitted.target_classes or [str(c) for c in learned],
         "seed": seed,
     }
     if hasattr(model.stages[-1], "featureImportances"):
         weights = zip(fitted.features, model.stages[-1].featureImportances.toArray())
         best = sorted(weights, key=lambda e: -e[1])[:20]
         metadata["feature_importance"] = [{"feature": f, "importance": float(w)} for f, w in best]
-    return Trained(model, fitted, train_rows, validation, test, metadata)
+    return Trained(model, fitted, parts["train"], parts["validation"], parts["test"], metadata)
 
 
 def register(trained, registry, group, path, created_at, threshold=0.5, gate=True):
