@@ -1,6 +1,6 @@
 """Category codes: sorted distinct texts become 0, 1, 2, ...; an unseen text takes the first code."""
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from larkspur.operators.ranking import row_number_by_range
 
@@ -8,6 +8,7 @@ from larkspur.operators.ranking import row_number_by_range
 # a larger code table is an ordinary join.
 INLINE_LIMIT = 64
 BROADCAST_LIMIT = 100_000
+CODE_SCHEMA = "column string, value string, code int"
 
 
 def _long(df, columns):
@@ -22,18 +23,18 @@ def distinct_values(df, columns):
     return _long(df, columns).distinct()
 
 
-def code_table(df, columns, wide=False):
-    """(column, value, code). ``wide`` numbers columns with very many values over many tasks."""
-    values = distinct_values(df, columns)
-    if wide:
-        numbered = row_number_by_range(values, ["column"], ["value"], "_place")
-    else:
-        numbered = values.withColumn(
-            "_place", F.row_number().over(Window.partitionBy("column").orderBy("value"))
-        )
+def wide_code_table(df, columns):
+    """(column, value, code) of columns with very many values, numbered by many tasks."""
+    numbered = row_number_by_range(distinct_values(df, columns), ["column"], ["value"], "_place")
     return numbered.select("column", "value", (F.col("_place") - 1).cast("int").alias("code"))
 
 
+def code_table(df, columns, limit=None):
+    """(column, value, code) of any columns; only small ones pass through the driver."""
+    codes = fit_codes(df, columns, BROADCAST_LIMIT if limit is None else limit)
+    return codes.to_table(df.sparkSession)
+
+
 def cardinality(df, columns):
     """Number of distinct values per column."""
     return distinct_values(df, columns).groupBy("column").agg(F.count(F.lit(1)).alias("n_values"))
@@ -51,7 +52,7 @@ class Codes:
 
     def to_table(self, spark):
         rows = [(c, v, i) for c, values in self.lists.items() for i, v in enumerate(values)]
-        small = spark.createDataFrame(rows, "column string, value string, code int")
+        small = spark.createDataFrame(rows, CODE_SCHEMA)
         return small if self.table is None else small.unionByName(self.table)
 
 
@@ -72,7 +73,7 @@ def fit_codes(df, columns, limit=BROADCAST_LIMIT):
     for r in found:
         lists[r["column"]].append(r["value"])
     lists = {c: sorted(texts) for c, texts in lists.items()}
-    return Codes(lists, code_table(df, wide, wide=True) if wide else None, wide)
+    return Codes(lists, wide_code_table(df, wide) if wide else None, wide)
 
 
 def apply_codes(df, codes, columns=None, unseen=0):

@@ -61,6 +61,10 @@ def _ordered_sum(term):
 
 def averages(scores):
     """One row: sample count, classes, accuracy, weighted and macro averages."""
+    return scores.agg(*_averages())
+
+
+def _averages():
     weighted = [
         (_ordered_sum(F.col(m) * F.col("support")) / F.sum("support")).alias(m)
         for m in ("precision", "recall", "f1_score")
@@ -69,13 +73,13 @@ def averages(scores):
         (_ordered_sum(F.col(m)) / F.count(F.lit(1))).alias(f"macro_{m}")
         for m in ("precision", "recall", "f1_score")
     ]
-    return scores.agg(
+    return [
         F.sum("support").alias("n"),
         F.count_if(F.col("support") > 0).alias("n_classes"),
         (F.sum("tp").cast("double") / F.sum("support")).alias("accuracy"),
         *weighted,
         *macro,
-    )
+    ]
 
 
 def classification_report(pairs):
@@ -127,32 +131,28 @@ def class_distribution(df, target):
     return df.groupBy(F.col(target).alias("class")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def distribution_map(pairs):
-    """label to row count, in label order."""
-    sums = pairs.groupBy("label").agg(F.sum("n").alias("n"))
-    entries = F.array_sort(F.collect_list(F.struct(F.col("label").cast("string").alias("label"), "n")))
-    return sums.where("n > 0").agg(F.map_from_entries(entries).alias("m"))
-
-
 def evaluation_report(df, label="label", prediction="prediction", score=None, positive=1):
-    """One row of evaluation results; per-class lists only for more than two classes."""
-    pairs = confusion(df, label, prediction)
-    scores = class_scores(pairs)
+    """One row of evaluation results; per-class lists only for more than two classes.
+
+    Everything but the ROC area comes from one pass over the rows; the area takes a second one.
+    """
+    scores = class_scores(confusion(df, label, prediction))
+    seen = F.col("support") > 0
+    entry = F.struct(F.col("class").cast("string").alias("class"), "support")
+    distribution = F.map_from_entries(F.array_sort(F.collect_list(F.when(seen, entry))))
 
     def listed(m):
-        ordered = F.array_sort(F.collect_list(F.struct(F.col("class"), F.col(m).alias("v"))))
+        ordered = F.array_sort(F.collect_list(F.struct("class", F.col(m).alias("v"))))
         return F.transform(ordered, lambda x: x["v"])
 
-    lists = scores.agg(*[listed(m).alias(f"{m}_per_class") for m in ("precision", "recall", "f1_score")])
-    many = F.col("n_classes") > 2
-    out = averages(scores).select(
-        "accuracy", "precision", "recall", "f1_score",
-        F.col("n").alias("test_samples"), "n_classes",
-        distribution_map(pairs).scalar().alias("class_distribution"),
-        *[
-            F.when(many, lists.select(f"{m}_per_class").scalar()).alias(f"{m}_per_class")
-            for m in ("precision", "recall", "f1_score")
-        ],
+    measures = ("precision", "recall", "f1_score")
+    found = scores.agg(
+        *_averages(), distribution.alias("class_distribution"),
+        *[listed(m).alias(f"{m}_per_class") for m in measures],
+    )
+    out = found.select(
+        "accuracy", *measures, F.col("n").alias("test_samples"), "n_classes", "class_distribution",
+        *[F.when(F.col("n_classes") > 2, F.col(f"{m}_per_class")).alias(f"{m}_per_class") for m in measures],
     )
     if score is None:
         return out

@@ -31,18 +31,20 @@ def parse_csv(requests, names):
     bodies = requests.where(F.col("content_type") == CSV).select(
         "request_id", _lines(F.col("body")).alias("_lines")
     )
-    rows = bodies.select(
-        "request_id", _fields(F.get("_lines", F.lit(0))).alias("_head"), F.posexplode("_lines").alias("row_no", "_line")
+    # The header is taken before the lines are spread, so that a row carries it and not the body.
+    headed = bodies.select("request_id", "_lines", _fields(F.get("_lines", F.lit(0))).alias("_head"))
+    places = headed.select(
+        "request_id", "_lines",
+        *[F.nullif(F.array_position("_head", F.lit(n)), F.lit(0)).cast("int").alias(f"_at_{n}") for n in names],
+    )
+    rows = places.select(
+        "request_id", *[f"_at_{n}" for n in names], F.posexplode("_lines").alias("row_no", "_line")
     ).where("row_no > 0")
-    split = rows.select("request_id", "row_no", "_head", _fields(F.col("_line")).alias("_row"))
-    return split.select(
-        "request_id",
-        "row_no",
-        *[
-            missing_to_null(F.get("_row", F.array_position("_head", F.lit(n)).cast("int") - 1)).alias(n)
-            for n in names
-        ],
+    split = rows.withColumn("_row", _fields(F.col("_line")))
+    found = split.select(
+        "request_id", "row_no", *[F.get("_row", F.col(f"_at_{n}") - 1).alias(n) for n in names]
     )
+    return found.select("request_id", "row_no", *[missing_to_null(F.col(n)).alias(n) for n in names])
 
 
 def json_rows(body):

@@ -168,7 +168,7 @@ def encode_fit(spark, sf_dir):
 def encode_fit_wide(spark, sf_dir):
     """Codes of a column with a value per customer, numbered over many tasks."""
     rows = fx.table(spark, sf_dir, "customer")
-    return encode.code_table(rows, ["c_name", "c_mktsegment"], wide=True)
+    return encode.code_table(rows, ["c_name", "c_mktsegment"], limit=100)
 
 
 @query
@@ -190,7 +190,7 @@ def encode_unseen_first(spark, sf_dir):
 def encode_by_join(spark, sf_dir):
     """Codes of part names and types from a table join, as for columns with very many values."""
     parts = fx.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
-    table = encode.code_table(parts, ["p_name", "p_type"], wide=True)
+    table = encode.wide_code_table(parts, ["p_name", "p_type"])
     return encode.apply_codes(parts, encode.Codes({}, table, ["p_name", "p_type"]))
 
 

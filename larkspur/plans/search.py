@@ -78,7 +78,7 @@ def search(train, validation, features, target, candidates=None, metric="Accurac
 
     with ThreadPoolExecutor(parallelism) as pool:
         jobs = enumerate(candidates, 1)
-        found = list(pool.map(inheritable_thread_target(run), jobs))
+        found = list(pool.map(inheritable_thread_target(train.sparkSession)(run), jobs))
     return [c for c in found if c is not None]
 
 

@@ -3,7 +3,7 @@
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from larkspur.operators import metrics, models
 from larkspur.operators.split import mark_parts
@@ -42,7 +42,7 @@ class Trained:
         return out.withColumnRenamed("test_samples", "n_val_samples").withColumns({
             "train_accuracy": fitted.select("accuracy").scalar(),
             "n_train_samples": fitted.select("n").scalar(),
-            "n_features": metrics.F.lit(len(self.preprocess.features)),
+            "n_features": F.lit(len(self.preprocess.features)),
         })
 
     def importances(self, top=10):

@@ -60,16 +60,17 @@ class FeatureGroup:
         )
 
     def append(self, df, run_ts):
-        """Append rows. A date with a large part of all rows is written by many tasks, and ids lie
-        together in each file, so that a key range skips row groups."""
-        rows = self.stamp(require_rows(df, "feature rows"), run_ts)
+        """Append rows, stamped with the run's time.
+
+        A date with a large part of all rows is written by many tasks, and ids lie together in each
+        file, so that a key range skips row groups.
+        """
         self.ensure(df)
         (
-            rows.hint("rebalance", "event_date")
+            self.stamp(df, run_ts)
+            .hint("rebalance", "event_date")
             .sortWithinPartitions("event_date", self.record_id)
-            .write.mode("append")
-            .format("parquet")
-            .insertInto(self.name)
+            .write.insertInto(self.name)
         )
         df.sparkSession.catalog.refreshTable(self.name)
         return self
