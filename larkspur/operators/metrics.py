@@ -102,20 +102,31 @@ def classification_report(pairs):
 
 
 def roc_auc(df, label="label", score="score", positive=1):
-    """One row: area under the ROC curve with ties counted half, NULL unless both classes occur.
+    """One row: area under the ROC curve with ties counted half, NULL unless both classes occur."""
+    counts = df.groupBy(F.col(label).alias("label"), F.col(score).alias("s")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return _area(counts, positive)
+
 
-    Rows are counted per score first. The distinct scores are range-partitioned, each partition sums
-    its own pairs, and only one row per partition meets to add the pairs between partitions.
+def _area(counts, positive):
+    """Area from (label, s, n) rows.
+
+    The counted scores are range-partitioned, each partition sums its own pairs, and only one row
+    per partition meets to add the pairs between partitions. Whole numbers keep the sums exact.
     """
-    is_pos = F.col(label) == F.lit(positive)
-    per_score = df.groupBy(F.col(score).alias("s")).agg(
-        F.count_if(is_pos).alias("pos"), F.count_if(~is_pos).alias("neg")
-    )
-    ranged = per_score.repartitionByRange("s").withColumn("part", F.spark_partition_id())
-    lower = Window.partitionBy("part").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     big = "decimal(19,0)"
-    below = F.coalesce(F.sum("neg").over(lower), F.lit(0))
-    twice = F.col("pos").cast(big) * (2 * below + F.col("neg")).cast(big)
+    is_pos = F.col("label") == F.lit(positive)
+    zero = F.lit(0).cast("long")
+    sided = counts.select(
+        "s", F.when(is_pos, F.col("n")).otherwise(zero).alias("pos"),
+        F.when(~is_pos, F.col("n")).otherwise(zero).alias("neg"),
+    )
+    ranged = sided.repartitionByRange("s").withColumn("part", F.spark_partition_id())
+    upto = F.sum("neg").over(Window.partitionBy("part").orderBy("s").rangeBetween(
+        Window.unboundedPreceding, Window.currentRow))
+    tied = F.sum("neg").over(Window.partitionBy("part", "s"))
+    twice = F.col("pos").cast(big) * (2 * upto - tied).cast(big)
     parts = ranged.withColumn("pairs", twice).groupBy("part").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("pairs").alias("pairs")
     )
@@ -134,9 +145,17 @@ def class_distribution(df, target):
 def evaluation_report(df, label="label", prediction="prediction", score=None, positive=1):
     """One row of evaluation results; per-class lists only for more than two classes.
 
-    Everything but the ROC area comes from one pass over the rows; the area takes a second one.
+    The rows are counted once, per label, prediction and score; all results come from those counts.
     """
-    scores = class_scores(confusion(df, label, prediction))
+    if score is None:
+        pairs = confusion(df, label, prediction)
+    else:
+        kind = df.schema[label].dataType
+        counts = df.groupBy(
+            F.col(label).alias("label"), F.col(prediction).cast(kind).alias("prediction"), F.col(score).alias("s")
+        ).agg(F.count(F.lit(1)).alias("n"))
+        pairs = counts.groupBy("label", "prediction").agg(F.sum("n").alias("n"))
+    scores = class_scores(pairs)
     seen = F.col("support") > 0
     entry = F.struct(F.col("class").cast("string").alias("class"), "support")
     distribution = F.map_from_entries(F.array_sort(F.collect_list(F.when(seen, entry))))
@@ -156,7 +175,7 @@ def evaluation_report(df, label="label", prediction="prediction", score=None, po
     )
     if score is None:
         return out
-    area = roc_auc(df, label, score, positive).scalar()
+    area = _area(counts, positive).scalar()
     return out.withColumn("roc_auc", F.when(F.col("n_classes") == 2, area))
 
 

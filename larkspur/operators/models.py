@@ -26,6 +26,13 @@ def pipeline(features, classifier, scaled=False):
     return Pipeline(stages=[*stages, classifier])
 
 
+def spread(df):
+    """Rows for a fit that reads them many times: few partitions would leave cores idle, so they are
+    divided anew; enough of them, as large tables have, stay where they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def forest(label, trees=TREES, depth=DEPTH, min_leaf=MIN_LEAF, seed=SEED):
     """A node with two rows may be split, which is Spark's rule too and needs no setting."""
     return ml.RandomForestClassifier(

@@ -105,15 +105,22 @@ def _near(rows, target, table, names, how="inner"):
 
 
 def _cuts(rows, target, counts, wanted, sort_limit):
-    """(class, cut, keep, copies): the k-th order text, its rows, and how many of them to keep."""
+    """(class, cut, keep, copies): the k-th order text, its rows, and how many of them to keep.
+
+    Four steps of three digits tell more order texts apart than there can be rows, so what is still
+    large after them, or does not shrink in one of them, are copies, which the last count gathers.
+    """
     slim = rows.select(target, "_order")
     bounds = [(c, "", k) for c, k in wanted.items() if k > 0]
     size, depth = max(counts.values()), 0
-    full = 32 + 2 * DIGITS
-    while bounds and size > sort_limit and depth < full:
-        depth = min(full, depth + DIGITS)
-        cell = F.substring("_order", 1, depth)
-        bounds, size = _step(slim, target, bounds, cell)
+    while bounds and size > sort_limit and depth < 4 * DIGITS:
+        depth += DIGITS
+        before = size
+        bounds, size = _step(slim, target, bounds, F.substring("_order", 1, depth))
+        if 2 * size > before:
+            if depth > 2 * DIGITS:
+                break
+            depth = 2 * DIGITS
     found = []
     if bounds:
         hits = _hits(slim, target, bounds, F.col("_order"))

@@ -64,6 +64,7 @@ def search(train, validation, features, target, candidates=None, metric="Accurac
     if candidates is None:
         n_classes = train.select(F.count_distinct(target)).first()[0]
         candidates = default_candidates(target, len(features), n_classes)
+    train = models.spread(train).persist()
     deadline = clock() + max_seconds
 
     def run(job):
@@ -79,6 +80,7 @@ def search(train, validation, features, target, candidates=None, metric="Accurac
     with ThreadPoolExecutor(parallelism) as pool:
         jobs = enumerate(candidates, 1)
         found = list(pool.map(inheritable_thread_target(train.sparkSession)(run), jobs))
+    train.unpersist()
     return [c for c in found if c is not None]
 
 

@@ -40,10 +40,11 @@ class Trained:
         out = self.evaluation(self.validation).drop("class_distribution").drop(
             *[f"{m}_per_class" for m in ("precision", "recall", "f1_score")])
         return out.withColumnRenamed("test_samples", "n_val_samples").withColumns({
-            "train_accuracy": fitted.select("accuracy").scalar(),
-            "n_train_samples": fitted.select("n").scalar(),
+            "_fitted": fitted.select(F.struct("accuracy", "n")).scalar(),
             "n_features": F.lit(len(self.preprocess.features)),
-        })
+        }).select(
+            "*", F.col("_fitted.accuracy").alias("train_accuracy"), F.col("_fitted.n").alias("n_train_samples")
+        ).drop("_fitted")
 
     def importances(self, top=10):
         spark = self.train.sparkSession
@@ -78,7 +79,7 @@ def train(df, target=TARGET, key=(RECORD_ID,), test_size=0.2, seed=42, classifie
     """Fit the forest (or another ``classifier``) on the training part of ``df``."""
     fitted, parts, sizes = prepare(df, target, key, test_size, seed, unique_key=unique_key)
     classifier = classifier or models.forest(target)
-    model = models.pipeline(fitted.features, classifier).fit(parts["train"])
+    model = models.pipeline(fitted.features, classifier).fit(models.spread(parts["train"]))
     learned = {c: n + sizes["validation"].get(c, 0) for c, n in sizes["train"].items()}
     metadata = fitted.metadata(learned, sizes["test"]) | {
         "feature_columns": fitted.features,

@@ -15,6 +15,8 @@ def local_session(cores="*", partitions=8, name="larkspur"):
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
+        # Noting the call site of every column costs more than planning the query.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

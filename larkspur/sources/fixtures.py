@@ -8,8 +8,24 @@ from larkspur.schema import CATEGORICAL, NUMERIC, RAW, RECORD_ID, TARGET
 MONEY = "decimal(12,2)"
 
 
+# The columns that are read, with their types, so that no file is opened to infer them.
+TABLES = {
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                "l_discount double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int",
+    "events": "ts timestamp_ntz, user_id long, event_type string",
+    "labels": "doc_id long, quality int, toxic int",
+    "documents": "doc_id long, n_chars long",
+    "embeddings": "vec_id long, label int",
+}
+
+
 def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def churn_raw(spark, sf_dir):
