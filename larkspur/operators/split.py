@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Window, functions as F
 
 DIGITS = 3
-SORT_LIMIT = 100_000
+SORT_LIMIT = 1_000_000
 CLASS_LIMIT = 10_000
 COPY_CHUNK = 100_000
 
@@ -51,21 +51,41 @@ def mark_test(df, target, test_size=0.2, seed=42, key=None, unique_key=False, na
     key; otherwise the whole row takes part in the order, and copies of one row are split by number.
     ``counts`` are the class counts, where they are known already.
     """
-    key = list(key or df.columns)
-    rows = df.withColumn("_order", order_text(df, key, seed, unique_key))
-    counts = class_counts(df, target) if counts is None else counts
-    if not counts:
-        return df.withColumn(name, F.lit(False))
-    cuts = _cuts(rows, target, counts, quotas(counts, test_size), sort_limit)
-    marked = _near(rows, target, cuts, "_class, _cut, _keep, _copies", "left")
+    found = find_cuts(df, target, test_size, seed, key, unique_key, sort_limit, counts)
+    if not found.partial:
+        return found.flag(df, name)
+    marked = found.joined(df)
     tied = (F.col("_order") == F.col("_cut")) & (F.col("_keep") < F.col("_copies"))
-    flag = F.col("_order") <= F.col("_cut")
-    if all(keep == copies for _, _, keep, copies in cuts):
-        return marked.select(*df.columns, flag.alias(name))
-    whole = marked.where(~tied).select(*df.columns, flag.alias(name))
+    whole = marked.where(~tied).select(*df.columns, (F.col("_order") <= F.col("_cut")).alias(name))
     return whole.unionByName(_divide_copies(marked.where(tied), df.columns, name))
 
 
+class Cuts:
+    """Where the test rows of each class end in the order of the rows."""
+
+    def __init__(self, target, rows, order):
+        self.target, self.rows, self.order = target, rows, order
+        self.partial = any(keep < copies for _, _, keep, copies in rows)
+
+    def joined(self, df):
+        ordered = df.withColumn("_order", self.order)
+        return _near(ordered, self.target, self.rows, "_class, _cut, _keep, _copies", "left")
+
+    def flag(self, df, name):
+        """One projection beside a join with one row per class."""
+        flag = F.coalesce(F.col("_order") <= F.col("_cut"), F.lit(False))
+        return self.joined(df).select(*df.columns, flag.alias(name))
+
+
+def find_cuts(df, target, test_size, seed, key=None, unique_key=False, sort_limit=SORT_LIMIT, counts=None):
+    order = order_text(df, list(key or df.columns), seed, unique_key)
+    counts = class_counts(df, target) if counts is None else counts
+    if not counts:
+        return Cuts(target, [], order)
+    rows = df.select(target, order.alias("_order"))
+    return Cuts(target, _cuts(rows, target, counts, quotas(counts, test_size), sort_limit), order)
+
+
 def train_test(df, target, test_size=0.2, seed=42, key=None, unique_key=False):
     marked = mark_test(df, target, test_size, seed, key, unique_key, "_is_test")
     return marked.where("not _is_test").drop("_is_test"), marked.where("_is_test").drop("_is_test")
@@ -82,13 +102,18 @@ def mark_parts(df, target, test_size=0.2, seed=42, key=None, unique_key=False, n
     rest = {c: n - tests[c] for c, n in counts.items()}
     checks = quotas(rest, test_size)
     key = list(key or df.columns)
+    salt = f"{seed}-validation"
     marked = mark_test(df, target, test_size, seed, key, unique_key, "_is_test", counts=counts)
-    inner = mark_test(marked.where("not _is_test"), target, test_size, f"{seed}-validation", key,
-                      unique_key, "_is_check", counts=rest)
-    train_part = F.when(F.col("_is_check"), "validation").otherwise("train").alias(name)
-    parts = inner.select(*df.columns, train_part).unionByName(
-        marked.where("_is_test").select(*df.columns, F.lit("test").alias(name))
-    )
+    others = marked.where("not _is_test").select(*df.columns)
+    cuts = find_cuts(others, target, test_size, salt, key, unique_key, counts=rest)
+    part = F.when(F.col("_is_test"), "test").when(F.col("_is_check"), "validation").otherwise("train")
+    if not cuts.partial:
+        both = cuts.flag(marked, "_is_check")
+    else:
+        both = mark_test(others, target, test_size, salt, key, unique_key, "_is_check", counts=rest).unionByName(
+            marked.where("_is_test"), allowMissingColumns=True
+        )
+    parts = both.select(*df.columns, part.alias(name))
     sizes = {
         "train": {c: rest[c] - checks[c] for c in counts}, "validation": checks, "test": tests,
     }
@@ -104,13 +129,12 @@ def _near(rows, target, table, names, how="inner"):
     return rows.join(side, F.col(target).eqNullSafe(F.col("_class")), how)
 
 
-def _cuts(rows, target, counts, wanted, sort_limit):
+def _cuts(slim, target, counts, wanted, sort_limit):
     """(class, cut, keep, copies): the k-th order text, its rows, and how many of them to keep.
 
     Four steps of three digits tell more order texts apart than there can be rows, so what is still
     large after them, or does not shrink in one of them, are copies, which the last count gathers.
     """
-    slim = rows.select(target, "_order")
     bounds = [(c, "", k) for c, k in wanted.items() if k > 0]
     size, depth = max(counts.values()), 0
     while bounds and size > sort_limit and depth < 4 * DIGITS:

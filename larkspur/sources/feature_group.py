@@ -59,19 +59,21 @@ class FeatureGroup:
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.features(timed)]
         )
 
-    def append(self, df, run_ts):
+    def append(self, df, run_ts, by_key=True):
         """Append rows, stamped with the run's time.
 
-        A date with a large part of all rows is written by many tasks, and ids lie together in each
-        file, so that a key range skips row groups.
+        ``by_key`` gives every file its own range of dates and keys, so that a key range reads few
+        files; finding the ranges takes a second pass over the rows. The random last part of the
+        range divides a date, a key or a set of copies that holds a large part of all rows. Without
+        ``by_key`` dates are only spread evenly over the writing tasks.
         """
         self.ensure(df)
-        (
-            self.stamp(df, run_ts)
-            .hint("rebalance", "event_date")
-            .sortWithinPartitions("event_date", self.record_id)
-            .write.insertInto(self.name)
-        )
+        rows = self.stamp(df, run_ts)
+        if by_key:
+            placed = rows.repartitionByRange("event_date", self.record_id, F.rand(7))
+        else:
+            placed = rows.hint("rebalance", "event_date")
+        placed.sortWithinPartitions("event_date", self.record_id).write.insertInto(self.name)
         df.sparkSession.catalog.refreshTable(self.name)
         return self
 

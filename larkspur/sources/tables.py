@@ -18,17 +18,18 @@ def read_table(spark, name, database=None):
     return spark.table(resolve(spark, name, database))
 
 
-def read_csv(spark, path, schema, header=True, missing_texts=True):
+def read_csv(spark, path, schema, header=True, missing_texts=True, line_breaks=False):
     """Every CSV file below ``path`` with one fixed schema; short rows get NULL at the end.
 
-    ``missing_texts`` reads the usual words for a missing value as NULL.
+    ``missing_texts`` reads the usual words for a missing value as NULL. ``line_breaks`` allows line
+    breaks inside quotes; such a file cannot be divided among tasks.
     """
     raw = (
         spark.read.schema(schema)
         .option("header", header)
         .option("enforceSchema", not header)
         .option("mode", "PERMISSIVE")
-        .option("multiLine", False)
+        .option("multiLine", line_breaks)
         .option("escape", '"')
         .csv(path)
     )

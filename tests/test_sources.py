@@ -36,6 +36,13 @@ def test_csv_keeps_quotes_commas_and_blanks(spark):
     assert sorted(map(tuple, tables.read_csv(spark, path, df.schema).collect())) == rows
 
 
+def test_csv_line_breaks(spark):
+    rows = [(1, "two\nlines"), (2, "one")]
+    path = tables.write_csv(spark.createDataFrame(rows, "id int, t string"), new_path(spark, "csv"))
+    got = tables.read_csv(spark, path, "id int, t string", line_breaks=True)
+    assert sorted(map(tuple, got.collect())) == rows
+
+
 def test_missing_texts_are_an_option(spark):
     path = write_lines(spark, ["NA", "None", "x"])
     assert tables.read_csv(spark, path, "t string", header=False).where("t is null").count() == 2
@@ -125,6 +132,24 @@ def test_key_range_reaches_the_scan(spark):
     assert "write_time" not in plan.split("ReadSchema")[1]
 
 
+@pytest.mark.parametrize("by_key", [True, False])
+def test_a_hot_key_is_written_by_many_tasks(spark, by_key):
+    group = group_of(spark, f"fg_hot_{by_key}".lower())
+    rows = spark.range(30000).select(
+        format_key(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))).alias("customer_id"), F.lit(1).alias("n"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        group.append(rows, RUN, by_key)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = group.read(spark)
+    assert stored.count() == 30000
+    files = stored.groupBy(F.input_file_name().alias("f")).agg(
+        F.count_if(F.col("customer_id") == "CUST_000007").alias("hot"), F.count("*").alias("n")).collect()
+    if by_key:
+        assert max(r.n for r in files) < 15000 and sum(r.hot > 0 for r in files) > 1
+
+
 def test_deleted_records_disappear_from_the_latest_read(spark):
     group = group_of(spark, "fg_deleted")
     df = spark.createDataFrame([("CUST_000001", 1), ("CUST_000002", 2)], "customer_id string, n int")

@@ -82,3 +82,18 @@ def test_three_parts(spark):
     assert counted == {("test", 0): 150, ("test", 1): 50, ("validation", 0): 120, ("validation", 1): 40,
                        ("train", 0): 480, ("train", 1): 160}
     assert parts.select("id").distinct().count() == 1000
+
+
+def test_three_parts_of_copies(spark):
+    rows = [("x", 0)] * 100 + [("y", 0)] * 3 + [("x", 1)] * 51
+    df = spark.createDataFrame(rows, "c string, y int")
+    parts, sizes = split.mark_parts(df, "y")
+    counted = Counter((r.part, r.y) for r in parts.collect())
+    assert counted == {(p, y): n for p, by in sizes.items() for y, n in by.items() if n}
+    assert Counter((r.c, r.y) for r in parts.collect()) == Counter(rows)
+
+
+def test_a_split_is_one_pass_without_a_shuffle(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 2).alias("y"))
+    plan = split.mark_parts(df, "y", key=["id"], unique_key=True)[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "hashpartitioning" not in plan and plan.count("Range (") == 1
