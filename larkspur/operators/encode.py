@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from larkspur.operators.ranking import row_number_by_range
+from larkspur.session import small_table
 
 # Codes of a column up to this size travel inside the plan, up to the next one as a broadcast table;
 # a larger code table is an ordinary join.
@@ -52,7 +53,7 @@ class Codes:
 
     def to_table(self, spark):
         rows = [(c, v, i) for c, values in self.lists.items() for i, v in enumerate(values)]
-        small = spark.createDataFrame(rows, CODE_SCHEMA)
+        small = small_table(spark, rows, CODE_SCHEMA)
         return small if self.table is None else small.unionByName(self.table)
 
 
@@ -101,7 +102,7 @@ def _joined(df, name, codes, unseen):
     spark = df.sparkSession
     if name in codes.lists:
         rows = list(enumerate(codes.lists[name]))
-        side = F.broadcast(spark.createDataFrame(rows, "_code int, _value string"))
+        side = F.broadcast(small_table(spark, rows, "_code int, _value string"))
     else:
         side = codes.table.where(F.col("column") == name).select(
             F.col("code").alias("_code"), F.col("value").alias("_value")

@@ -2,6 +2,8 @@
 
 from pyspark.sql import Window, functions as F
 
+from larkspur.session import small_table
+
 
 def confusion(df, label="label", prediction="prediction"):
     """(label, prediction, n) of the pairs that occur."""
@@ -182,8 +184,8 @@ def evaluation_report(df, label="label", prediction="prediction", score=None, po
 def batch_report(df, target, prediction="prediction"):
     """One row with the keys of a scoring run; no row when there is no target."""
     if target not in df.columns:
-        return df.sparkSession.createDataFrame(
-            [], "accuracy double, precision double, recall double, f1 double, n long"
+        return small_table(
+            df.sparkSession, [], "accuracy double, precision double, recall double, f1 double, n long"
         )
     found = averages(class_scores(confusion(df.where(F.col(target).isNotNull()), target, prediction)))
     return found.where("n > 0").select("accuracy", "precision", "recall", F.col("f1_score").alias("f1"), "n")

@@ -6,6 +6,8 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from larkspur.session import small_table
+
 # The forest's settings.
 TREES, DEPTH, MIN_LEAF, SEED = 100, 10, 1, 42
 
@@ -82,6 +84,6 @@ def predict(model, df, probability="probability"):
 def importances(spark, model, features, top=None):
     """(feature, importance), most important first."""
     weights = [float(x) for x in model.stages[-1].featureImportances.toArray()]
-    rows = spark.createDataFrame(list(zip(features, weights)), "feature string, importance double")
+    rows = small_table(spark, list(zip(features, weights)), "feature string, importance double")
     ordered = rows.orderBy(F.desc("importance"), "feature")
     return ordered if top is None else ordered.limit(top)

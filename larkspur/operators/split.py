@@ -11,6 +11,8 @@ import math
 
 from pyspark.sql import Window, functions as F
 
+from larkspur.session import small_table
+
 DIGITS = 3
 SORT_LIMIT = 1_000_000
 CLASS_LIMIT = 10_000
@@ -125,7 +127,7 @@ def _near(rows, target, table, names, how="inner"):
     kind = rows.schema[target].dataType.simpleString()
     types = {"_class": kind, "_rest": "long", "_keep": "long", "_copies": "long"}
     ddl = ", ".join(f"{n.strip()} {types.get(n.strip(), 'string')}" for n in names.split(","))
-    side = F.broadcast(rows.sparkSession.createDataFrame(table, ddl))
+    side = F.broadcast(small_table(rows.sparkSession, table, ddl))
     return rows.join(side, F.col(target).eqNullSafe(F.col("_class")), how)
 
 

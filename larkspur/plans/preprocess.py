@@ -3,7 +3,6 @@
 import json
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from larkspur.operators.columns import (
@@ -11,6 +10,7 @@ from larkspur.operators.columns import (
 )
 from larkspur.operators.encode import Codes, apply_codes, fit_codes
 from larkspur.operators.impute import fill_medians, fill_unknown, fit_medians
+from larkspur.session import small_table
 
 
 @dataclass
@@ -70,7 +70,7 @@ class Preprocess:
             "target": self.target, "categorical": self.categorical, "numeric": self.numeric,
             "medians": self.medians, "target_classes": self.target_classes, "wide": self.codes.wide,
         }
-        text = spark.createDataFrame([(json.dumps(head),)], "value string")
+        text = small_table(spark, [(json.dumps(head),)], "value string")
         text.coalesce(1).write.mode("overwrite").text(f"{path}/head")
         self.codes.to_table(spark).write.mode("overwrite").parquet(f"{path}/codes")
 

@@ -11,7 +11,7 @@ from larkspur.operators.ranking import row_number_by_range
 from larkspur.plans import infer, search as searching, train as training
 from larkspur.plans.preprocess import fit_preprocess
 from larkspur.schema import CATEGORICAL, CLEAN, LABELLED, NUMERIC, RAW
-from larkspur.session import new_path
+from larkspur.session import new_path, small_table
 from larkspur.sources import fixtures as fx, registry, tables
 from larkspur.sources.feature_group import FeatureGroup
 from larkspur.streaming import ingest, load, scoring
@@ -152,7 +152,7 @@ def column_medians(spark, sf_dir):
     names = ["l_quantity", "l_extendedprice", "l_discount"]
     lines = fx.table(spark, sf_dir, "lineitem").select(*names)
     found = impute.fit_medians(lines, names, distinct_limit=2000)
-    return spark.createDataFrame(list(found.items()), "column string, median double")
+    return small_table(spark, list(found.items()), "column string, median double")
 
 
 # ---- category codes
@@ -321,7 +321,8 @@ def prep_metadata(spark, sf_dir):
         m["target_column"], ",".join(m["categorical_columns"]), m["n_train_samples"],
         m["n_test_samples"], m["n_classes"], m["class_distribution"],
     )
-    table = spark.createDataFrame(
+    table = small_table(
+        spark,
         [row],
         "target_column string, categorical_columns string, n_train_samples long, "
         "n_test_samples long, n_classes int, class_distribution map<string,long>",

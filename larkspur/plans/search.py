@@ -8,7 +8,9 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from larkspur.functions.times import stamped_name
 from larkspur.operators import metrics, models
+from larkspur.session import small_table
 
 # Names of the metrics a search can optimise; the last two are errors, lower is better.
 METRICS = ("Accuracy", "F1", "Precision", "Recall", "AUC", "RMSE", "MAE")
@@ -86,8 +88,8 @@ def search(train, validation, features, target, candidates=None, metric="Accurac
 
 def candidates_table(spark, found):
     rows = [(c.name, c.algorithm, c.settings, c.metric, float(c.value)) for c in found]
-    return spark.createDataFrame(
-        rows, "candidate string, algorithm string, settings string, metric string, metric_value double"
+    return small_table(
+        spark, rows, "candidate string, algorithm string, settings string, metric string, metric_value double"
     )
 
 
@@ -105,12 +107,10 @@ def best(found):
 
 def best_info(spark, found, base, job, run_ts):
     """One row: model name, search job, candidate, metric and its value."""
-    from larkspur.functions.times import stamped_name
-
     c = best(found)
     row = [(job, c.name, c.metric, float(c.value))]
-    table = spark.createDataFrame(
-        row, "search_job string, candidate_name string, metric string, metric_value double"
+    table = small_table(
+        spark, row, "search_job string, candidate_name string, metric string, metric_value double"
     )
     return table.withColumn("model_name", stamped_name(base, run_ts))
 

@@ -3,7 +3,9 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import SparkSession, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def local_session(cores="*", partitions=8, name="larkspur"):
@@ -50,3 +52,12 @@ def cut_lineage(df):
     if df.sparkSession.sparkContext.getCheckpointDir() is None:
         df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def small_table(spark, rows, schema):
+    """A table of a few rows held in the plan, so that Spark knows its size and can broadcast it."""
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(kind)
+    columns = list(zip(*rows)) or [()] * len(kind)
+    arrays = [pa.array(list(c), f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), kind)

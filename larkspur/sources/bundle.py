@@ -6,12 +6,13 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 
 from larkspur.plans.preprocess import Preprocess
+from larkspur.session import small_table
 
 
 def save(spark, path, model, preprocess, metadata):
     model.write().overwrite().save(f"{path}/model")
     preprocess.save(spark, f"{path}/preprocess")
-    text = spark.createDataFrame([(json.dumps(metadata),)], "value string")
+    text = small_table(spark, [(json.dumps(metadata),)], "value string")
     text.coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
     return path
 

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from larkspur.operators.ranking import row_number_by_bucket
+from larkspur.session import small_table
 
 APPROVED = "Approved"
 PENDING = "PendingManualApproval"
@@ -45,7 +46,7 @@ class Registry:
         try:
             return spark.read.schema(SCHEMA).parquet(self.path)
         except AnalysisException:
-            return spark.createDataFrame([], SCHEMA)
+            return small_table(spark, [], SCHEMA)
 
     def register(self, spark, group, model_path, metrics, created_at, threshold=0.5, gate=False,
                  status=None):
@@ -55,8 +56,8 @@ class Registry:
             return None
         status = status or (APPROVED if accuracy >= threshold else PENDING)
         numbers = {k: float(v) for k, v in metrics.items() if isinstance(v, (int, float))}
-        row = spark.createDataFrame(
-            [(group, model_path, status, float(accuracy), numbers, created_at)],
+        row = small_table(
+            spark, [(group, model_path, status, float(accuracy), numbers, created_at)],
             "g string, p string, s string, a double, m map<string,double>, t string",
         ).select(
             F.col("g").alias("group"), F.col("p").alias("model_path"), F.col("s").alias("status"),
