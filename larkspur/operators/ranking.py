@@ -36,7 +36,7 @@ def row_number_by_bucket(df, group, bucket, order, name):
 
 
 def row_number_by_range(df, group, order, name):
-    """Row number per group for orders that have no natural bucket.
+    """Row number per group for orders that have no natural bucket; no two rows may be equal in it.
 
     Rows are range-partitioned and checkpointed, so that the partition numbers used for counting and
     for numbering are the same ones even after a lost executor.

@@ -252,6 +252,7 @@ ORACLES = {
     "encode_fit_wide": f"""SELECT "column", value,
         CAST(row_number() OVER (PARTITION BY "column" ORDER BY value) - 1 AS INTEGER) AS code
         FROM (SELECT DISTINCT * FROM ({long_form('customer', ['c_name', 'c_mktsegment'], '{c}')}))""",
+    "codes_saved": with_(CODES, "SELECT * FROM codes"),
     "encode_apply": with_(CODES, coded("infer")),
     "encode_unseen_first": with_(CODES, coded("churn_raw")),
     "encode_by_join": """SELECT p_partkey, CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS DOUBLE) AS p_name,
@@ -316,6 +317,11 @@ ORACLES = {
         SCORED_BINARY + METRICS, 'SELECT accuracy, "precision", recall, f1_score AS f1, n FROM totals'),
     "regression_report": """SELECT sqrt(avg((l_quantity - l_linenumber) * (l_quantity - l_linenumber))) AS rmse,
         avg(abs(l_quantity - l_linenumber)) AS mae FROM lineitem""",
+    "metrics_by_name": with_(SCORED_AUC + METRICS, f"""SELECT 'Accuracy' AS metric, accuracy AS value FROM totals
+        UNION ALL SELECT 'F1', f1_score FROM totals UNION ALL SELECT 'Precision', "precision" FROM totals
+        UNION ALL SELECT 'Recall', recall FROM totals UNION ALL SELECT 'AUC', {AUC}
+        UNION ALL SELECT 'RMSE', sqrt(avg(CAST((label - prediction) * (label - prediction) AS DOUBLE))) FROM scored
+        UNION ALL SELECT 'MAE', avg(CAST(abs(label - prediction) AS DOUBLE)) FROM scored"""),
     "risk_score": with_(CLEANED, f"SELECT customer_id, {risk()} AS risk FROM cleaned"),
     "bernoulli_label": with_(CLEANED, f"""SELECT customer_id,
         CAST({uniform('customer_id', '42')} < {risk()} AS INTEGER) AS label FROM cleaned"""),
@@ -347,6 +353,12 @@ ORACLES = {
     "registry_latest_approved": with_(REGISTRY, """SELECT "group", entry_id, model_path, accuracy, status, created_at FROM (
         SELECT *, row_number() OVER (PARTITION BY "group" ORDER BY created_at DESC, entry_id DESC) AS i
         FROM entries WHERE status = 'Approved') WHERE i = 1"""),
+    "registry_latest_pending": with_(REGISTRY, """SELECT "group", entry_id FROM (
+        SELECT *, row_number() OVER (PARTITION BY "group" ORDER BY created_at DESC, entry_id DESC) AS i
+        FROM entries WHERE status = 'PendingManualApproval') WHERE i = 1"""),
+    "best_candidate": with_(REGISTRY, """SELECT "group", entry_id, accuracy FROM (
+        SELECT *, row_number() OVER (PARTITION BY "group" ORDER BY accuracy DESC, entry_id) AS i FROM entries)
+        WHERE i = 1"""),
     "registry_versions": with_(REGISTRY, """SELECT "group", entry_id,
         row_number() OVER (PARTITION BY "group" ORDER BY created_at, entry_id) AS version FROM entries"""),
     "quality_gate": with_(REGISTRY, 'SELECT "group", entry_id, accuracy FROM entries WHERE accuracy >= 0.5::DOUBLE'),
@@ -381,7 +393,7 @@ ORACLES = {
     "json_report": with_(SCORED_BINARY + METRICS, """SELECT accuracy, "precision", recall, f1_score, n AS test_samples,
         n_classes FROM totals"""),
     "feature_group_append": with_(APPENDED, f"""SELECT customer_id, age, contract_type, CAST(churn AS BIGINT) AS churn,
-        event_time, FALSE AS is_deleted, event_date FROM appended WHERE {TRAIN_IDS}"""),
+        event_time, FALSE AS is_deleted, CAST(event_date AS VARCHAR) AS event_date FROM appended WHERE {TRAIN_IDS}"""),
     "feature_group_latest": with_(APPENDED, """SELECT customer_id, any_value(contract_type) AS contract_type,
         CAST(any_value(churn) AS BIGINT) AS churn, max(event_time) AS event_time FROM appended GROUP BY customer_id"""),
     "parse_csv_requests": with_(ASKED, "SELECT * FROM csv_rows"),

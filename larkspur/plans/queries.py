@@ -9,7 +9,7 @@ from larkspur.functions.keys import format_key, key_between
 from larkspur.operators import clean, columns, encode, impute, metrics, requests, split, versions
 from larkspur.operators.ranking import row_number_by_range
 from larkspur.plans import infer, search as searching, train as training
-from larkspur.plans.preprocess import fit_preprocess
+from larkspur.plans.preprocess import Preprocess, fit_preprocess
 from larkspur.schema import CATEGORICAL, CLEAN, LABELLED, NUMERIC, RAW
 from larkspur.session import new_path, small_table
 from larkspur.sources import fixtures as fx, registry, tables
@@ -194,6 +194,15 @@ def encode_by_join(spark, sf_dir):
     return encode.apply_codes(parts, encode.Codes({}, table, ["p_name", "p_type"]))
 
 
+@query
+def codes_saved(spark, sf_dir):
+    """Codes written with the other preprocessing artifacts and read back."""
+    fitted = fit_preprocess(part_of(spark, sf_dir, "train"), "churn")
+    path = new_path(spark, "preprocess")
+    fitted.save(spark, path)
+    return Preprocess.load(spark, path).codes.to_table(spark)
+
+
 @query
 def encode_target(spark, sf_dir):
     rows = cleaned(spark, sf_dir).select(ID, "age", "payment_method")
@@ -425,6 +434,14 @@ def regression_report(spark, sf_dir):
     return metrics.regression_report(lines, "l_quantity", "l_linenumber")
 
 
+@query
+def metrics_by_name(spark, sf_dir):
+    """Every metric a search can be asked to optimise."""
+    scored = fx.scored_auc(spark, sf_dir).withColumnRenamed("score", "probability")
+    values = [(m, float(searching.metric_value(scored, "label", m))) for m in searching.METRICS]
+    return small_table(spark, values, "metric string, value double")
+
+
 # ---- derived columns
 
 
@@ -516,6 +533,18 @@ def registry_latest_approved(spark, sf_dir):
     return registry.newest_with_status(fx.registry_entries(spark, sf_dir), "group", tie=["entry_id"])
 
 
+@query
+def registry_latest_pending(spark, sf_dir):
+    entries = fx.registry_entries(spark, sf_dir)
+    return registry.newest_with_status(entries, "group", registry.PENDING, tie=["entry_id"]).select("group", "entry_id")
+
+
+@query
+def best_candidate(spark, sf_dir):
+    """The best entry of every group by its metric; equal ones go to the earlier entry."""
+    return searching.best_rows(fx.registry_entries(spark, sf_dir), "group", "accuracy", "entry_id")
+
+
 @query
 def registry_versions(spark, sf_dir):
     entries = fx.registry_entries(spark, sf_dir)
@@ -667,7 +696,8 @@ def feature_group_append(spark, sf_dir):
     group.append(rows, RUN_TS).append(rows.where("churn = 1"), "2024-06-02T12:00:00Z")
     first, middle, _ = fx.ranges(spark, sf_dir)
     return clean.event_time_text(group.read_range(spark, first, middle)).select(
-        ID, "age", "contract_type", "churn", "event_time", "is_deleted", "event_date"
+        ID, "age", "contract_type", "churn", "event_time", "is_deleted",
+        F.col("event_date").cast("string").alias("event_date"),
     )
 
 

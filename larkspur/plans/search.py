@@ -105,6 +105,13 @@ def best(found):
     return ranked(found)[0]
 
 
+def best_rows(table, group, metric, name, smaller_is_better=False):
+    """The best candidate of each group in a candidates table; ties go to the smaller ``name``."""
+    value = F.col(metric) if smaller_is_better else -F.col(metric)
+    best_one = F.min_by(F.struct(name, metric), F.struct(value, F.col(name))).alias("_b")
+    return table.where(F.col(metric).isNotNull()).groupBy(group).agg(best_one).select(group, "_b.*")
+
+
 def best_info(spark, found, base, job, run_ts):
     """One row: model name, search job, candidate, metric and its value."""
     c = best(found)

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from larkspur.functions.keys import format_key
-from larkspur.schema import CATEGORICAL, NUMERIC, RAW, RECORD_ID, TARGET
 
 MONEY = "decimal(12,2)"
 
@@ -197,7 +196,3 @@ def requests(spark, sf_dir):
 def invocations(spark, sf_dir):
     return table(spark, sf_dir, "events").select("ts", F.col("event_type").alias("endpoint"))
 
-
-RAW_COLUMNS = RAW.names
-RAW_FEATURES = [*NUMERIC, *CATEGORICAL]
-ID_AND_TARGET = [RECORD_ID, TARGET]
