@@ -14,6 +14,7 @@ from pyspark.sql import Window, functions as F
 from larkspur.session import small_table
 
 DIGITS = 3
+HEAD = 2 * DIGITS
 SORT_LIMIT = 1_000_000
 CLASS_LIMIT = 10_000
 COPY_CHUNK = 100_000
@@ -30,12 +31,18 @@ def quotas(counts, test_size):
     return base
 
 
-def order_text(df, key, seed, unique_key):
+def with_order(df, key, seed, unique_key, columns):
+    """Add ``_head``, leading digits of the key's digest, and ``_order``, the whole order text.
+
+    For keys that are not unique the digest of the whole row follows the head. It costs more, and is
+    worked out only where it is asked for.
+    """
     digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key], F.lit(str(seed))))
     if unique_key:
-        return digest
-    whole_row = F.md5(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
-    return F.concat(F.substring(digest, 1, 2 * DIGITS), whole_row)
+        return df.withColumn("_head", digest).withColumn("_order", F.col("_head"))
+    whole_row = F.md5(F.to_json(F.struct(*[F.col(c) for c in columns])))
+    headed = df.withColumn("_head", F.substring(digest, 1, HEAD))
+    return headed.withColumn("_order", F.concat(F.col("_head"), whole_row))
 
 
 def class_counts(df, target):
@@ -57,8 +64,9 @@ def mark_test(df, target, test_size=0.2, seed=42, key=None, unique_key=False, na
     if not found.partial:
         return found.flag(df, name)
     marked = found.joined(df)
-    tied = (F.col("_order") == F.col("_cut")) & (F.col("_keep") < F.col("_copies"))
-    whole = marked.where(~tied).select(*df.columns, (F.col("_order") <= F.col("_cut")).alias(name))
+    at_cut = F.col("_head") == F.substring("_cut", 1, HEAD)
+    tied = F.coalesce((F.col("_keep") < F.col("_copies")) & at_cut & (F.col("_order") == F.col("_cut")), F.lit(False))
+    whole = marked.where(~tied).select(*df.columns, _before_cut().alias(name))
     return whole.unionByName(_divide_copies(marked.where(tied), df.columns, name))
 
 
@@ -70,21 +78,28 @@ class Cuts:
         self.partial = any(keep < copies for _, _, keep, copies in rows)
 
     def joined(self, df):
-        ordered = df.withColumn("_order", self.order)
-        return _near(ordered, self.target, self.rows, "_class, _cut, _keep, _copies", "left")
+        near = _near(df, self.target, self.rows, "_class, _cut, _keep, _copies", "left")
+        return with_order(near, *self.order, df.columns)
 
     def flag(self, df, name):
         """One projection beside a join with one row per class."""
-        flag = F.coalesce(F.col("_order") <= F.col("_cut"), F.lit(False))
-        return self.joined(df).select(*df.columns, flag.alias(name))
+        return self.joined(df).select(*df.columns, _before_cut().alias(name))
+
+
+def _before_cut():
+    """The head decides nearly all rows; only those at the cut need the whole order text."""
+    cut = F.substring("_cut", 1, HEAD)
+    head = F.substring("_head", 1, HEAD)
+    decided = F.when(head < cut, True).when(head > cut, False).otherwise(F.col("_order") <= F.col("_cut"))
+    return F.coalesce(decided, F.lit(False))
 
 
 def find_cuts(df, target, test_size, seed, key=None, unique_key=False, sort_limit=SORT_LIMIT, counts=None):
-    order = order_text(df, list(key or df.columns), seed, unique_key)
+    order = (list(key or df.columns), seed, unique_key)
     counts = class_counts(df, target) if counts is None else counts
     if not counts:
         return Cuts(target, [], order)
-    rows = df.select(target, order.alias("_order"))
+    rows = with_order(df, *order, df.columns).select(target, "_head", "_order")
     return Cuts(target, _cuts(rows, target, counts, quotas(counts, test_size), sort_limit), order)
 
 
@@ -142,29 +157,30 @@ def _cuts(slim, target, counts, wanted, sort_limit):
     while bounds and size > sort_limit and depth < 4 * DIGITS:
         depth += DIGITS
         before = size
-        bounds, size = _step(slim, target, bounds, F.substring("_order", 1, depth))
+        text = "_head" if depth <= HEAD else "_order"
+        bounds, size = _step(slim, target, bounds, text, depth)
         if 2 * size > before:
-            if depth > 2 * DIGITS:
+            if depth > HEAD:
                 break
-            depth = 2 * DIGITS
+            depth = HEAD
     found = []
     if bounds:
-        hits = _hits(slim, target, bounds, F.col("_order"))
+        hits = _hits(slim, target, bounds, "_order", F.col("_order"))
         found = [(r[target], r["_cell"], r["_rest"] - r["_before"], r["_n"]) for r in hits]
     none = [(c, "", 0, 0) for c, k in wanted.items() if k == 0]
     return found + none
 
 
-def _step(slim, target, bounds, cell):
-    hits = _hits(slim, target, bounds, cell)
+def _step(slim, target, bounds, text, depth):
+    hits = _hits(slim, target, bounds, text, F.substring(text, 1, depth))
     return [(r[target], r["_cell"], r["_rest"] - r["_before"]) for r in hits], max(r["_n"] for r in hits)
 
 
-def _hits(slim, target, bounds, cell):
+def _hits(slim, target, bounds, text, cell):
     """Per class the cell in which its quota falls."""
-    inside = _near(slim, target, bounds, "_class, _prefix, _rest").where(
-        F.col("_order").startswith(F.col("_prefix"))
-    )
+    near = _near(slim, target, bounds, "_class, _prefix, _rest")
+    head = F.substring("_prefix", 1, HEAD)
+    inside = near.where(F.col("_head").startswith(head) & F.col(text).startswith(F.col("_prefix")))
     cells = inside.groupBy(target, "_rest", cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
     upto = F.sum("_n").over(Window.partitionBy(target).orderBy("_cell"))
     placed = cells.withColumn("_before", upto - F.col("_n"))

@@ -47,12 +47,21 @@ def test_as_of_equals_brute_force(spark):
 
     left = spark.createDataFrame(asked, "k string, at timestamp")
     right = spark.createDataFrame(facts, "k string, t timestamp, w int, d boolean, v double")
-    for period in ("hour", "month"):
-        out = versions.as_of(left, right, "k", "at", "t", ["v"], ["w"], "d", period).collect()
+    for period, hot_rows in (("hour", 500), ("month", 500), ("day", 0), ("hour", 1_000_000)):
+        out = versions.as_of(left, right, "k", "at", "t", ["v"], ["w"], "d", period, hot_rows).collect()
         got = sorted(repr((r.k, r["at"], r.feature_t, r.v)) for r in out)
         assert got == sorted(repr((k, at, *answer(k, at))) for k, at in asked)
 
 
+def test_as_of_with_too_many_hot_keys_to_list(spark, monkeypatch):
+    monkeypatch.setattr(versions, "HOT_KEYS", 2)
+    right = spark.range(50).select(
+        (F.col("id") % 5).alias("k"), F.timestamp_seconds(F.col("id") * 3000).alias("t"), F.col("id").alias("v"))
+    left = spark.range(5).select(F.col("id").alias("k"), F.timestamp_seconds(F.lit(100000)).alias("at"))
+    got = {r.k: r.v for r in versions.as_of(left, right, "k", "at", "t", ["v"], hot_rows=1).collect()}
+    assert got == {0: 30, 1: 31, 2: 32, 3: 33, 4: 29}
+
+
 def test_as_of_forms_no_pairs(spark):
     left = spark.range(10).select(F.lit("k").alias("k"), F.current_timestamp().alias("at"))
     right = spark.range(10).select(F.lit("k").alias("k"), F.current_timestamp().alias("t"), F.col("id").alias("v"))
