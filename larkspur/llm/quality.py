@@ -8,7 +8,7 @@ rejected for being short. Only the text is read, so other columns may have any n
 one output row; repeated rows give repeated results. Nothing is shuffled.
 """
 
-import re
+import functools
 
 from pyspark.sql import Column, functions as F
 
@@ -30,9 +30,9 @@ NAVIGATION = (
     r"comments?|subscribe|newsletter|follow us)\W*$"
 )
 BOILERPLATE = (
-    r"(?i)(we use cookies|cookie policy|privacy policy|terms of (use|service)|enable javascript|"
-    r"javascript is disabled|all rights reserved|lorem ipsum|powered by|back to top|add to cart|"
-    r"subscribe to our newsletter|page not found|access denied)"
+    "we use cookies", "cookie policy", "privacy policy", "terms of use", "terms of service", "enable javascript",
+    "javascript is disabled", "all rights reserved", "lorem ipsum", "powered by", "back to top", "add to cart",
+    "subscribe to our newsletter", "page not found", "access denied",
 )
 
 
@@ -53,6 +53,10 @@ def without(text: Column, characters: str) -> Column:
     return text
 
 
+def holds_any(text: Column, parts) -> Column:
+    return functools.reduce(lambda a, b: a | b, [F.contains(text, F.lit(x)) for x in parts])
+
+
 def symbols_in(text: Column) -> Column:
     return F.length(text) - F.length(without(text, SYMBOLS))
 
@@ -61,29 +65,39 @@ def bare(text: Column) -> Column:
     return without(text, " \t\n\x0b\x0c\r")
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)``, with the value worked out once: inside ``use`` it is a variable. A column that is
+    used inside a lambda may else be worked out anew for every element."""
+    return F.transform(F.array(value), use)[0]
+
+
 def window_hashes(words: Column) -> Column:
     """A 64-bit hash of each window of three words, by place."""
-    return F.when(
-        F.size(words) >= 4,
-        F.transform(F.sequence(F.lit(0), F.size(words) - 3),
-                    lambda i: F.xxhash64(words[i], words[i + 1], words[i + 2])),
-    )
+    return F.transform(F.sequence(F.lit(0), F.size(words) - 3),
+                       lambda i: F.xxhash64(words[i], words[i + 1], words[i + 2]))
 
 
-def hashes_in_order(hashes: Column) -> Column:
-    """Hashes with their places, ordered; null unless a hash occurs twice, which spares most texts the sort."""
-    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes),
-                  F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
+def covered_words(hashes: Column) -> Column:
+    """Words inside a window whose hash occurs twice."""
+    def count(ordered):
+        n = F.size(ordered) - 1
+        places = F.flatten(F.zip_with(
+            F.slice(ordered, F.lit(1), n), F.slice(ordered, F.lit(2), n),
+            lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"]))
+            .otherwise(F.array().cast("array<int>"))))
+        return F.size(F.array_distinct(F.flatten(F.transform(
+            F.array_distinct(places), lambda i: F.array(i, i + 1, i + 2)))))
 
+    return let(F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), count)
 
-def repeated_words(ordered: Column) -> Column:
-    """Words inside a window of three words that is found twice or more, its first place included."""
-    n = F.size(ordered) - 1
-    places = F.flatten(F.zip_with(
-        F.slice(ordered, F.lit(1), n), F.slice(ordered, F.lit(2), n),
-        lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])).otherwise(F.array().cast("array<int>"))))
-    covered = F.flatten(F.transform(F.array_distinct(places), lambda i: F.array(i, i + 1, i + 2)))
-    return F.when(ordered.isNull(), F.lit(0)).otherwise(F.size(F.array_distinct(covered))).cast("long")
+
+def repeated_words(words: Column) -> Column:
+    """Words inside a window of three words that is found twice or more, its first place included. Only
+    texts in which a window occurs twice are sorted."""
+    return F.when(F.size(words) < 4, F.lit(0)).otherwise(let(
+        window_hashes(words),
+        lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered_words(h)),
+    )).cast("long")
 
 
 def n_words(text: Column) -> Column:
@@ -96,7 +110,7 @@ def ends_sentence(line: Column) -> Column:
     return F.instr(F.lit(ENDS), last).cast("boolean") | line.rlike(INNER_END)
 
 
-def line_rule(x: Column, doc: dict[str, Column]) -> Column:
+def line_rule(x: Column, doc: Column) -> Column:
     """The rule that a line with its number of words fails, or null. Lines without a word pass.
 
     ``doc`` has, for each costly test, whether any line of the document can fail it.
@@ -112,7 +126,7 @@ def line_rule(x: Column, doc: dict[str, Column]) -> Column:
         .when(doc["symbols"] & (F.when(doc["symbols"], symbols_in(line)) > MAX_SYMBOL_RATE * n),
               F.lit("boilerplate"))
         .when(doc["shouts"] & (F.when(doc["shouts"], shouting) > MAX_SHOUT_RATE * n), F.lit("boilerplate"))
-        .when(doc["phrases"] & line.rlike(BOILERPLATE), F.lit("boilerplate"))
+        .when(doc["phrases"] & holds_any(F.lower(line), BOILERPLATE), F.lit("boilerplate"))
         .when((n >= SENTENCE_WORDS) & ~ends_sentence(line), F.lit("punctuation"))
     )
 
@@ -121,47 +135,58 @@ def failing(rules: Column, rule: str) -> Column:
     return F.size(F.filter(rules, lambda x: x == rule)).cast("long").alias(f"lost_{rule}")
 
 
+def measures(text: Column) -> Column:
+    """A struct of the counts of a text, the lines lost to each rule and what is left of it."""
+    lines = F.transform(F.split(text, "\n", -1), lambda x: F.struct(x.alias("line"), n_words(x).alias("n")))
+
+    def doc(symbols):
+        return F.struct(
+            (symbols > 0).alias("symbols"), holds_any(text, SEPARATORS).alias("separators"),
+            F.contains(text, F.lit("!!")).alias("shouts"),
+            let(F.lower(text), lambda x: holds_any(x, BOILERPLATE)).alias("phrases"))
+
+    def by_words(w):
+        return F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            repeated_words(w).alias("n_repeat_words"))
+
+    def left(lines, rules):
+        return F.array_join(F.filter(F.zip_with(
+            lines, rules, lambda x, r: F.when(r.isNull(), x["line"])), lambda x: x.isNotNull()), "\n")
+
+    def by_rules(lines, rules):
+        return F.struct(
+            *[failing(rules, r) for r in ("punctuation", "navigation", "boilerplate")],
+            F.when(F.size(F.array_compact(rules)) > 0, left(lines, rules)).alias("left"))
+
+    def by_lines(x, symbols):
+        full = F.transform(F.filter(x, lambda y: y["n"] > 0), lambda y: y["line"])
+        return F.struct(
+            let(full, lambda y: (F.size(y) - F.size(F.array_distinct(y))).cast("long")).alias("n_dup_lines"),
+            let(let(doc(symbols), lambda d: F.transform(x, lambda y: line_rule(y, d))), lambda r: by_rules(x, r)).alias("by"))
+
+    return F.struct(
+        let(words_of(text), by_words).alias("words"),
+        let(symbols_in(text).cast("long"), lambda n: F.struct(
+            n.alias("n_symbols"), let(lines, lambda x: by_lines(x, n)).alias("lines"))).alias("rest"))
+
+
 def clean(docs, text="text", keep=("doc_id",), max_lost=MAX_LOST, min_words=MIN_WORDS):
     """The columns ``keep`` of each document, its counts, the lines lost to each rule, its cleaned text and
     whether it is kept. The columns of ``docs`` that aren't named are not read."""
     t = F.coalesce(F.col(text), F.lit(""))
-    out = docs.select(*[F.col(c) for c in keep], t.alias("_text"))
-    out = out.withColumns({"_words": words_of(F.col("_text")), "_lines": F.split(F.col("_text"), "\n", -1)})
-    text = F.col("_text")
-    out = out.withColumns({
-        "_lines": F.transform(F.col("_lines"), lambda x: F.struct(x.alias("line"), n_words(x).alias("n"))),
-        "_hashes": window_hashes(F.col("_words")),
-        "_symbols": symbols_in(text).cast("long"),
-        "_doc": F.struct(
-            (F.length(text) > F.length(without(text, SYMBOLS))).alias("symbols"),
-            text.rlike("|".join(f"(^|[ \\n]){re.escape(x)}($|[ \\n])" for x in SEPARATORS)).alias("separators"),
-            F.contains(text, F.lit("!!")).alias("shouts"),
-            text.rlike(BOILERPLATE).alias("phrases")),
-    })
-    doc = {k: F.col("_doc")[k] for k in ("symbols", "separators", "shouts", "phrases")}
-    out = out.withColumns({
-        "_ordered": hashes_in_order(F.col("_hashes")),
-        "_full": F.transform(F.filter(F.col("_lines"), lambda x: x["n"] > 0), lambda x: x["line"]),
-        "_rules": F.transform(F.col("_lines"), lambda x: line_rule(x, doc)),
-    })
-    left = F.filter(F.transform(F.col("_lines"), lambda x, i: F.when(F.col("_rules")[i].isNull(), x["line"])),
-                    lambda x: x.isNotNull())
-    out = out.select(
-        *keep,
-        F.size("_words").cast("long").alias("n_words"),
-        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
-        F.col("_symbols").alias("n_symbols"),
-        (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("_ordered")).alias("n_repeat_words"),
-        *[failing(F.col("_rules"), r) for r in ("punctuation", "navigation", "boilerplate")],
-        F.when(F.size(F.array_compact("_rules")) == 0, text).otherwise(F.array_join(left, "\n"))
-        .alias("clean_text"),
-    )
-    out = out.withColumns({
-        "base_failed": (F.col("n_words") < min_words)
-        | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
-        "lost_chars": F.col("word_chars") - F.length(bare(F.col("clean_text"))),
-    })
+    out = docs.select(*[F.col(c) for c in keep], t.alias("_t"), let(t, measures).alias("_m"))
+    lines = [f"_m.rest.lines.by.lost_{r}" for r in ("punctuation", "navigation", "boilerplate")]
+    out = out.select(*keep, "_m.words.n_words", "_m.words.word_chars", "_m.rest.n_symbols",
+                     "_m.rest.lines.n_dup_lines", "_m.words.n_repeat_words", *lines,
+                     F.coalesce("_m.rest.lines.by.left", "_t").alias("clean_text"),
+                     F.when(F.col("_m.rest.lines.by.left").isNull(), F.lit(0).cast("long")).otherwise(
+                         F.col("_m.words.word_chars") - F.length(bare(F.col("_m.rest.lines.by.left"))))
+                     .alias("lost_chars"))
+    out = out.withColumn(
+        "base_failed", (F.col("n_words") < min_words)
+        | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     return out.withColumn(
         "kept", ~F.col("base_failed") & (F.col("lost_chars") <= max_lost * F.col("word_chars")))
 
@@ -171,4 +196,4 @@ def op1_quality_rules(spark, sf_dir):
     out = clean(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept", "lost_punctuation", "lost_navigation", "lost_boilerplate",
-                      F.col("lost_chars").cast("long").alias("lost_chars"))
+                      "lost_chars")

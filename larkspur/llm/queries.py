@@ -1,6 +1,8 @@
 """The registered queries of this subpackage and their SQL."""
 
-from larkspur.llm import quality
+from larkspur.llm import packing, quality
 
-QUERIES = {f.__name__: f for f in (quality.op1_quality_rules,)}
+QUERIES = {f.__name__: f for f in (
+    quality.op1_quality_rules, packing.op3_best_fit_packing,
+)}
 ORACLES = {}
