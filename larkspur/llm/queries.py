@@ -1,8 +1,17 @@
 """The registered queries of this subpackage and their SQL."""
 
-from larkspur.llm import packing, quality
+from larkspur.llm import packing, quality, warc
 
 QUERIES = {f.__name__: f for f in (
-    quality.op1_quality_rules, packing.op3_best_fit_packing,
+    quality.op1_quality_rules, packing.op3_best_fit_packing, warc.op5_warc,
 )}
-ORACLES = {}
+ORACLES = {
+    "op5_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages
+        ), f AS (SELECT d, min(page_id) AS first_id FROM p WHERE n >= 100 GROUP BY d)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
+               CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+        FROM p LEFT JOIN f ON p.d = f.d AND n >= 100""",
+}
