@@ -1,10 +1,10 @@
 """The registered queries of this subpackage and their SQL."""
 
-from larkspur.llm import mixing, packing, quality, warc
+from larkspur.llm import mixing, neighbours, packing, quality, warc
 
 QUERIES = {f.__name__: f for f in (
     quality.op1_quality_rules, packing.op3_best_fit_packing, warc.op5_warc,
-    mixing.op10_temperature_mixing,
+    neighbours.op9_nearest_neighbours, mixing.op10_temperature_mixing,
 )}
 ORACLES = {
     "op5_warc": """
