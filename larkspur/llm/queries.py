@@ -1,9 +1,9 @@
 """The registered queries of this subpackage and their SQL."""
 
-from larkspur.llm import mixing, neighbours, packing, quality, warc
+from larkspur.llm import mixing, neighbours, packing, quality, substring, warc
 
 QUERIES = {f.__name__: f for f in (
-    quality.op1_quality_rules, packing.op3_best_fit_packing, warc.op5_warc,
+    quality.op1_quality_rules, substring.op2_substring_dedup, packing.op3_best_fit_packing, warc.op5_warc,
     neighbours.op9_nearest_neighbours, mixing.op10_temperature_mixing,
 )}
 ORACLES = {
