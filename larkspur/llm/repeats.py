@@ -114,6 +114,17 @@ class Block:
             have += step
         return h[:max(len(self.doc) - n + 1, 0)]
 
+    def places(self, n, short):
+        """For each window of ``n`` tokens where its stand-in is: the first of equal ones."""
+        h = ONE.windows(self.values, short)
+        at, width, have = np.arange(len(h), dtype=np.int32), n - short + 1, 1
+        while have < width and len(at):
+            step = min(have, width - have)
+            left, right = at[:-step] if len(at) > step else at[:0], at[step:]
+            at = np.where(h[left] <= h[right], left, right)
+            have += step
+        return h, at[:max(len(self.doc) - n + 1, 0)]
+
 
 def blocks(batch, size=BLOCK):
     """Row ranges of an Arrow batch with text in column 1, of about ``size`` bytes each."""
@@ -156,19 +167,44 @@ def level_rows(docs, unit, n, short):
     return docs.where("doc_id is not null and text is not null").mapInArrow(emit, "h long, doc_id long")
 
 
+def places_rows(docs, unit, n, short):
+    """(h, doc_id, n) for the stand-ins of every document, once each, with the number of their places
+    (two stand for more): a stand-in may be found again in its own document, next to itself too."""
+
+    def emit(batches):
+        for batch in batches:
+            for a, b in blocks(batch):
+                x = Block(texts(batch, a, b), unit)
+                h, at = x.places(n, short)
+                at = at[x.whole(n)]
+                if not len(at):
+                    continue
+                at = at[np.concatenate([[True], at[1:] != at[:-1]])]
+                h, doc = h[at], x.doc[at]
+                order = np.lexsort((h, doc))
+                h, doc = h[order], doc[order]
+                first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])]))
+                times = np.minimum(np.diff(np.concatenate([first, [len(h)]])), 2)
+                ids = np.asarray(batch.column(0)[a:b])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[first].view(np.int64)), pa.array(ids[doc[first]]), pa.array(times.astype(np.int64))],
+                    names=["h", "doc_id", "n"])
+
+    return docs.where("doc_id is not null and text is not null").mapInArrow(emit, "h long, doc_id long, n long")
+
+
 #: Stand-ins in more documents than this are dealt out window by window instead of together.
 HOT = 5_000
 
 
-def common(rows, per="doc_id"):
-    """(doc_id, hs, hot) for documents with stand-ins that other rows of ``rows`` have too.
+def common(rows, apart):
+    """(doc_id, hs, hot) for documents with stand-ins for which ``apart``, an aggregate, holds.
 
-    ``per`` is what has to differ: documents, or (None) any two rows. Counting sums up before the shuffle, and the
-    join back has one row per stand-in on its other side, so hot ones can be split.
+    Counting sums up before the shuffle, and the join back has one row per stand-in on its other side, so
+    hot ones can be split.
     """
-    apart = (F.min("doc_id") < F.max("doc_id")) if per else (F.count("*") > 1)
-    shared = rows.groupBy("h").agg(apart.alias("apart"), F.count("*").alias("n")).where("apart").select(
-        F.col("h").alias("g"), (F.col("n") > HOT).alias("is_hot"))
+    shared = rows.groupBy("h").agg(apart.alias("apart"), F.count("*").alias("m")).where("apart").select(
+        F.col("h").alias("g"), (F.col("m") > HOT).alias("is_hot"))
     return rows.join(shared, F.col("h") == F.col("g")).groupBy("doc_id").agg(
         F.collect_set("h").alias("hs"), F.collect_set(F.when(F.col("is_hot"), F.col("h"))).alias("hot"))
 

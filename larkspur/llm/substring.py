@@ -45,7 +45,7 @@ def repeated(docs, n=WORDS, shortest=SHORTEST):
     for k, short in enumerate(steps := levels(n, shortest)):
         rows = R.level_rows(live, "words", n, short) if not k else later_rows(live, n, steps[k - 1], short)
         path = new_path(spark, f"substring-{short}")
-        R.common(rows).write.parquet(path)
+        R.common(rows, F.min("doc_id") < F.max("doc_id")).write.parquet(path)
         found = spark.read.schema("doc_id long, hs array<long>, hot array<long>").parquet(path)
         live = every.join(found.withColumnRenamed("doc_id", "d"), F.col("doc_id") == F.col("d")).drop("d")
     size = found.agg(F.sum(F.size("hs")), F.sum(F.size("hot"))).first()
