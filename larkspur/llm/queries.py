@@ -1,10 +1,10 @@
 """The registered queries of this subpackage and their SQL."""
 
-from larkspur.llm import mixing, neighbours, packing, quality, substring, suffix, warc
+from larkspur.llm import jaccard, mixing, neighbours, packing, quality, substring, suffix, warc
 
 QUERIES = {f.__name__: f for f in (
     quality.op1_quality_rules, substring.op2_substring_dedup, packing.op3_best_fit_packing, warc.op5_warc,
-    suffix.op6_suffix_array_dedup,     neighbours.op9_nearest_neighbours, mixing.op10_temperature_mixing,
+    suffix.op6_suffix_array_dedup, jaccard.op7_ngram_jaccard_join,     neighbours.op9_nearest_neighbours, mixing.op10_temperature_mixing,
 )}
 ORACLES = {
     "op5_warc": """
