@@ -253,6 +253,14 @@ def classes(docs):
         "doc_id", F.coalesce("n", F.lit(0).cast("long")).alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"))
 
 
+def one_of_each(docs):
+    """The row of ``docs`` with the smallest doc_id of each class; rows with a null id stay. Repeated rows of
+    one id are one document."""
+    first = classes(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_first_id")).distinct()
+    kept = docs.join(first, F.col("doc_id") == F.col("_first_id"), "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null"))
+
+
 def op7_ngram_jaccard_join(spark, sf_dir):
     """The class of every document under links of Jaccard similarity 0.8 and more."""
     return classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -20,7 +20,8 @@ from pyspark.sql import Window, functions as F
 from larkspur.llm.quality import words_of
 from larkspur.session import new_path
 
-#: Tokens drawn, as a multiple of those in the corpus; reads of a document at most.
+#: Tokens drawn, as a multiple of those in the corpus (None: the least at which every source is read whole);
+#: reads of a document at most.
 BUDGET, MAX_REPEATS = 1.0, 4.0
 #: The part of the largest possible entropy that weights should have.
 ENTROPY = 0.99
@@ -45,10 +46,11 @@ def solve(shares, entropy=ENTROPY, max_repeats=MAX_REPEATS, budget=BUDGET):
             "p", "k", F.pow("p", F.lit(low) + F.col("k") * ((high - low) / STEPS)).alias("x"))
         met = powers.groupBy("k").agg(
             F.sum("x").alias("z"), F.sum(F.col("x") * F.log("x")).alias("xlx"),
-            F.max(F.col("x") / F.col("p")).alias("over"), F.count("*").alias("n"))
+            F.max(F.col("x") / F.col("p")).alias("over"), F.min(F.col("x") / F.col("p")).alias("under"),
+            F.count("*").alias("n"))
         # entropy of x / z; reads of the most repeated source; both fall as the exponent grows
         met = met.select("k", (F.log("z") - F.col("xlx") / F.col("z")).alias("h"), F.log("n").alias("most"),
-                         (F.col("over") / F.col("z") * budget).alias("reads"))
+                         (F.col("over") / (F.col("under") if budget is None else F.col("z") / budget)).alias("reads"))
         rows = met.orderBy("k").collect()  # one row for each exponent looked at
         if not rows:
             return 1.0
@@ -78,6 +80,8 @@ def weights(rows, entropy=ENTROPY, max_repeats=MAX_REPEATS, budget=BUDGET):
     a = solve(shares, entropy, max_repeats, budget)
     raised = F.when(F.col("p") > 0, F.pow("p", F.lit(a))).otherwise(F.lit(0.0))
     norm = shares.agg(F.sum(raised)).first()[0] or 1.0
+    if budget is None:
+        budget = shares.where("p > 0").agg(F.max(F.col("p") / raised) * norm).first()[0] or 1.0
     return shares.select(
         "source", "documents", "tokens", F.col("p").alias("share"), F.lit(a).alias("exponent"),
         (raised / norm).alias("weight"), F.floor(raised / norm * (budget * total) + 0.5).cast("long").alias("goal"))
@@ -128,6 +132,15 @@ def mix(docs, entropy=ENTROPY, max_repeats=MAX_REPEATS, budget=BUDGET, block_tok
     return realise(rows, weights(rows, entropy, max_repeats, budget), block_tokens)
 
 
+def mixed_docs(docs, **settings):
+    """The rows of ``docs`` as often as they are drawn. Repeated rows of one doc_id are one document; rows
+    without a doc_id can't be drawn."""
+    once = docs.dropDuplicates(["doc_id"])
+    drawn = mix(once, **settings).groupBy(F.col("doc_id").alias("_drawn_id")).agg(F.count("*").cast("int").alias("_times"))
+    rows = once.join(drawn, F.col("doc_id") == F.col("_drawn_id"))
+    return rows.withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[once[c] for c in once.columns])
+
+
 def op10_temperature_mixing(spark, sf_dir):
     """Every drawing of a document: its source, pass, and place among the source's blocks."""
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(

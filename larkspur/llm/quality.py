@@ -191,6 +191,17 @@ def clean(docs, text="text", keep=("doc_id",), max_lost=MAX_LOST, min_words=MIN_
         "kept", ~F.col("base_failed") & (F.col("lost_chars") <= max_lost * F.col("word_chars")))
 
 
+def kept_docs(docs, text="text"):
+    """The rows of ``docs`` that are kept, their failing lines removed; all columns stay, whatever their names."""
+    out = docs.withColumn("_quality_", F.struct(let(F.coalesce(F.col(text), F.lit("")), measures).alias("m")))
+    m = "_quality_.m"
+    left = F.col(f"{m}.rest.lines.by.left")
+    words, n, repeated = (F.col(f"{m}.words.{c}") for c in ("word_chars", "n_words", "n_repeat_words"))
+    lost = F.when(left.isNull(), F.lit(0)).otherwise(words - F.length(bare(left)))
+    out = out.where((n >= MIN_WORDS) & (100 * repeated <= MAX_REPEAT_PERCENT * n) & (lost <= MAX_LOST * words))
+    return out.withColumn(text, F.coalesce(left, F.col(text))).drop("_quality_")
+
+
 def op1_quality_rules(spark, sf_dir):
     """Counts and verdict of every document."""
     out = clean(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -1,9 +1,9 @@
 """The registered queries of this subpackage and their SQL."""
 
-from larkspur.llm import jaccard, mixing, neighbours, packing, pii, quality, substring, suffix, warc
+from larkspur.llm import jaccard, licences, mixing, neighbours, packing, pii, quality, substring, suffix, warc
 
 QUERIES = {f.__name__: f for f in (
-    quality.op1_quality_rules, substring.op2_substring_dedup, packing.op3_best_fit_packing, warc.op5_warc,
+    quality.op1_quality_rules, substring.op2_substring_dedup, packing.op3_best_fit_packing, licences.op4_licence_scan, warc.op5_warc,
     suffix.op6_suffix_array_dedup, jaccard.op7_ngram_jaccard_join,
     pii.op8_pii,     neighbours.op9_nearest_neighbours, mixing.op10_temperature_mixing,
 )}
