@@ -5,13 +5,28 @@ from pyspark.sql import functions as F
 ZONE_PATTERN = r"(Z|[+-]\d{2}:?\d{2})$"
 
 
+#: Read besides ISO, in this order; months come before days.
+FORMATS = (
+    "yyyy-MM-dd HH:mm", "yyyy/MM/dd", "yyyyMMdd", "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm", "MM/dd/yyyy", "M/d/yyyy",
+    "MMM d yyyy", "MMM d, yyyy", "d MMM yyyy",
+)
+
+
 def parse_event_time(c, run_ts):
     """Text to timestamp; text without a zone is UTC; bad or missing text gives the run's time."""
+    return F.coalesce(read_event_time(c), as_timestamp(run_ts))
+
+
+def read_event_time(c):
+    """ISO text, or text in one of ``FORMATS``, as a timestamp; NULL for other text."""
     text = F.trim(c)
     zoned = F.when(text.rlike(ZONE_PATTERN), text).otherwise(F.concat(text, F.lit("Z")))
     # A bare date needs a time part before a zone can follow it.
     dated = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(text, F.lit("T00:00:00Z")))
-    return F.coalesce(F.coalesce(dated, zoned).try_cast("timestamp"), as_timestamp(run_ts))
+    # Eight digits alone would pass for a year.
+    iso = F.when(~text.rlike(r"^\d{5,}$"), F.coalesce(dated, zoned).try_cast("timestamp"))
+    others = [F.try_to_timestamp(F.concat(text, F.lit("Z")), F.lit(f"{f}X")) for f in FORMATS]
+    return F.coalesce(iso, *others)
 
 
 def as_timestamp(run_ts):

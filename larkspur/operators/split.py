@@ -9,9 +9,10 @@ reaches the driver is one row per class and step.
 
 import math
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import Window, functions as F, types as T
 
-from larkspur.session import small_table
+from larkspur.operators.ranking import row_number_by_range
+from larkspur.session import new_path, small_table
 
 DIGITS = 3
 HEAD = 2 * DIGITS
@@ -40,15 +41,28 @@ def with_order(df, key, seed, unique_key, columns):
     digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key], F.lit(str(seed))))
     if unique_key:
         return df.withColumn("_head", digest).withColumn("_order", F.col("_head"))
-    whole_row = F.md5(F.to_json(F.struct(*[F.col(c) for c in columns])))
+    whole_row = F.md5(F.concat_ws("|", *[exact_text(df, c) for c in columns]))
     headed = df.withColumn("_head", F.substring(digest, 1, HEAD))
     return headed.withColumn("_order", F.concat(F.col("_head"), whole_row))
 
 
+def exact_text(df, name):
+    """A text that differs wherever values differ; JSON, say, has no microseconds."""
+    c, kind = F.col(f"`{name}`"), df.schema[name].dataType
+    if isinstance(kind, (T.BinaryType, T.StringType)):
+        text = F.concat(F.lit("="), F.hex(c.cast("binary")))
+    elif isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        text = F.concat(F.lit("="), F.to_json(F.struct(c), {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"}))
+    else:
+        text = F.concat(F.lit("="), c.cast("string"))
+    return F.coalesce(text, F.lit("-"))
+
+
 def class_counts(df, target):
+    """Rows per class in class order, or None for more than ``CLASS_LIMIT`` classes, which stay a table."""
     found = df.groupBy(F.col(target)).agg(F.count(F.lit(1)).alias("n")).limit(CLASS_LIMIT + 1).collect()
     if len(found) > CLASS_LIMIT:
-        raise ValueError(f"{target} has more than {CLASS_LIMIT} classes")
+        return None
     return dict(sorted(((r[0], r["n"]) for r in found), key=lambda e: (e[0] is not None, e[0])))
 
 
@@ -60,7 +74,14 @@ def mark_test(df, target, test_size=0.2, seed=42, key=None, unique_key=False, na
     key; otherwise the whole row takes part in the order, and copies of one row are split by number.
     ``counts`` are the class counts, where they are known already.
     """
+    counts = class_counts(df, target) if counts is None else counts
+    if counts is None:
+        return mark_many(df, target, test_size, seed, key, unique_key, name, sort_limit)
     found = find_cuts(df, target, test_size, seed, key, unique_key, sort_limit, counts)
+    return apply_cuts(df, found, name)
+
+
+def apply_cuts(df, found, name):
     if not found.partial:
         return found.flag(df, name)
     marked = found.joined(df)
@@ -70,6 +91,51 @@ def mark_test(df, target, test_size=0.2, seed=42, key=None, unique_key=False, na
     return whole.unionByName(_divide_copies(marked.where(tied), df.columns, name))
 
 
+def quota_table(df, target, test_size):
+    """(class, n, k) as ``quotas`` has them, for any number of classes: rests are ranked range by range."""
+    counts = written(df.groupBy(F.col(target).alias("_class")).agg(F.count(F.lit(1)).alias("_n")), "split-classes")
+    total = counts.agg(F.sum("_n")).first()[0]
+    wanted = min(total, math.ceil(test_size * total))
+    share = F.lit(wanted).cast("decimal(19,0)") * F.col("_n")
+    based = counts.withColumns({"_base": F.floor(share / total).cast("long"), "_rest": (share % total).cast("decimal(38,0)")})
+    # Rounding of the division is put right by the rest, which is exact.
+    based = based.withColumn("_base", ((share - F.col("_rest")) / total).cast("long")).withColumn("_one", F.lit(1))
+    more = wanted - based.agg(F.sum("_base")).first()[0]
+    placed = row_number_by_range(based, ["_one"], [F.col("_rest").desc(), F.col("_class").asc_nulls_first()], "_place")
+    return written(placed.select("_class", "_n", (F.col("_base") + (F.col("_place") <= more).cast("long")).alias("_k")),
+                   "split-quotas")
+
+
+def written(df, name):
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def mark_many(df, target, test_size, seed, key, unique_key, name, sort_limit):
+    """``mark_test`` where classes are too many for the driver.
+
+    Classes of at most ``sort_limit`` rows are numbered in their order, each in one task; the few larger
+    ones, of which there are at most rows / ``sort_limit``, are cut as ``mark_test`` does it.
+    """
+    table = quota_table(df, target, test_size)
+    columns = df.columns
+    same = F.col(target).eqNullSafe(F.col("_class"))
+    ordered = with_order(df, list(key or columns), seed, unique_key, columns).join(
+        table.where(F.col("_n") <= sort_limit), same)
+    place = F.row_number().over(Window.partitionBy("_class").orderBy("_order"))
+    small = ordered.withColumn("_place", place).select(*columns, (F.col("_place") <= F.col("_k")).alias(name))
+    large = {r["_class"]: (r["_n"], r["_k"]) for r in table.where(F.col("_n") > sort_limit).collect()}
+    if not large:
+        return small
+    rows = df.join(table.where(F.col("_n") > sort_limit).select("_class"), same, "left_semi")
+    order = (list(key or columns), seed, unique_key)
+    slim = with_order(rows, *order, columns).select(target, "_head", "_order")
+    found = Cuts(target, _cuts(slim, target, {c: n for c, (n, _) in large.items()}, {c: k for c, (_, k) in large.items()},
+                               sort_limit), order)
+    return small.unionByName(apply_cuts(rows, found, name))
+
+
 class Cuts:
     """Where the test rows of each class end in the order of the rows."""
 
@@ -109,12 +175,15 @@ def train_test(df, target, test_size=0.2, seed=42, key=None, unique_key=False):
 
 
 def mark_parts(df, target, test_size=0.2, seed=42, key=None, unique_key=False, name="part"):
-    """All rows marked ``train``, ``validation`` or ``test``, and the class counts of each part.
+    """All rows marked ``train``, ``validation`` or ``test``, and the class counts of each part (None for
+    more than ``CLASS_LIMIT`` classes).
 
     The validation rows are the same share of what the test rows leave; all counts follow from the
     first ones and the quotas.
     """
     counts = class_counts(df, target)
+    if counts is None:
+        return parts_of_many(df, target, test_size, seed, key, unique_key, name)
     tests = quotas(counts, test_size)
     rest = {c: n - tests[c] for c, n in counts.items()}
     checks = quotas(rest, test_size)
@@ -137,6 +206,16 @@ def mark_parts(df, target, test_size=0.2, seed=42, key=None, unique_key=False, n
     return parts, sizes
 
 
+def parts_of_many(df, target, test_size, seed, key, unique_key, name):
+    columns = df.columns
+    tested = written(mark_test(df, target, test_size, seed, key, unique_key, "_is_test"), "split-tested")
+    rest = tested.where("not _is_test").select(*columns)
+    checked = mark_test(rest, target, test_size, f"{seed}-validation", key, unique_key, "_is_check")
+    parts = checked.select(*columns, F.when(F.col("_is_check"), "validation").otherwise("train").alias(name)).unionByName(
+        tested.where("_is_test").select(*columns, F.lit("test").alias(name)))
+    return parts, None
+
+
 def _near(rows, target, table, names, how="inner"):
     """Join a table of one row per class, whose size CLASS_LIMIT bounds."""
     kind = rows.schema[target].dataType.simpleString()

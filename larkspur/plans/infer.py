@@ -23,14 +23,17 @@ def score(df, model, preprocess, compact=False, record_id=RECORD_ID, scope="save
     return scored.select("_row.*", "prediction", "prediction_probability")
 
 
-def batch_inference(spark, df, registry, group, table=None, path=None, compact=False):
-    """(scored rows, report row) with the group's newest approved model; published if a table is named."""
+def batch_inference(spark, df, registry, group, table=None, path=None, compact=False, mode="overwrite"):
+    """(scored rows, report row) with the group's newest approved model; published if a table is named.
+
+    A second run on the same table replaces the first one's rows and report.
+    """
     entry = registry.latest(spark, group)
     model, preprocess, _ = bundle.load(spark, entry["model_path"])
     scored = score(df, model, preprocess, compact)
     if table:
-        scored = publish(scored, table, f"{path}/predictions")
+        scored = publish(scored, table, f"{path}/predictions", mode=mode)
     report = metrics.batch_report(scored, preprocess.target)
     if table:
-        write_report(report, f"{path}/evaluation")
+        write_report(report, f"{path}/evaluation", mode=mode)
     return scored, report

@@ -59,8 +59,19 @@ class FeatureGroup:
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.features(timed)]
         )
 
-    def append(self, df, run_ts, by_key=True):
-        """Append rows, stamped with the run's time.
+    def matched(self, rows, missing="error"):
+        """Rows with the table's own columns, in its order and types. A column that the table lacks is an
+        error; one that the rows lack is an error too, or NULL with ``missing="null"``."""
+        own = rows.sparkSession.table(self.name).schema
+        unknown = [c for c in rows.columns if c not in own.names]
+        absent = [c for c in own.names if c not in rows.columns]
+        if unknown or (absent and missing != "null"):
+            raise ValueError(f"{self.name}: unknown columns {unknown}, missing columns {absent}")
+        return rows.select(*[
+            (F.col(f.name) if f.name not in absent else F.lit(None)).cast(f.dataType).alias(f.name) for f in own])
+
+    def append(self, df, run_ts, by_key=True, missing="error"):
+        """Append rows, stamped with the run's time, column by column of the same name.
 
         ``by_key`` gives every file its own range of dates and keys, so that a key range reads few
         files; finding the ranges takes a second pass over the rows. The random last part of the
@@ -68,7 +79,7 @@ class FeatureGroup:
         ``by_key`` dates are only spread evenly over the writing tasks.
         """
         self.ensure(df)
-        rows = self.stamp(df, run_ts)
+        rows = self.matched(self.stamp(df, run_ts), missing)
         if by_key:
             placed = rows.repartitionByRange("event_date", self.record_id, F.rand(7))
         else:
@@ -77,6 +88,22 @@ class FeatureGroup:
         df.sparkSession.catalog.refreshTable(self.name)
         return self
 
+    def append_new(self, df, run_ts):
+        """Append those rows whose key and event time the table does not have yet, one for each. Doing it
+        again changes nothing, so a batch that is delivered twice is stored once. Only the dates that
+        occur in the rows are read."""
+        self.ensure(df)
+        rows = self.matched(self.stamp(df, run_ts), "null").dropDuplicates([self.record_id, self.event_time])
+        known = self.read(df.sparkSession).select(
+            F.col("event_date").alias("_date"), F.col(self.record_id).alias("_id"), F.col(self.event_time).alias("_time"))
+        known = known.join(rows.select(F.col("event_date").alias("_date")).distinct(), "_date", "left_semi")
+        new = rows.join(known, F.col(self.record_id).eqNullSafe(F.col("_id"))
+                        & F.col(self.event_time).eqNullSafe(F.col("_time")), "left_anti")
+        placed = new.hint("rebalance", "event_date").sortWithinPartitions("event_date", self.record_id)
+        placed.write.insertInto(self.name)
+        df.sparkSession.catalog.refreshTable(self.name)
+        return self
+
     def read(self, spark):
         return spark.table(resolve(spark, self.name))
 
@@ -86,6 +113,9 @@ class FeatureGroup:
         return require_rows(rows, f"{self.name} from {start} to {end}")
 
     def latest(self, spark):
-        """The newest, not deleted record of every key."""
+        """The newest, not deleted record of every key. Of versions with equal times the one with the
+        larger values stays, column by column, so that the choice does not depend on the shuffle."""
         rows = self.read(spark).drop("event_date")
-        return latest_records(rows, self.record_id, [self.event_time, "write_time"], "is_deleted")
+        first = [self.event_time, "write_time", "is_deleted"]
+        rest = sorted(c for c in rows.columns if c not in (self.record_id, *first))
+        return latest_records(rows, self.record_id, [*first, *rest], "is_deleted")

@@ -1,5 +1,8 @@
 """Reading and publishing tables and files."""
 
+import csv
+import functools
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F, types as T
 
@@ -41,14 +44,28 @@ def read_csv(spark, path, schema, header=True, missing_texts=True, line_breaks=F
 
 def read_csv_tables(spark, paths):
     """Union of CSV directories with unlike headers, by column name, all text."""
-    out = None
+    parts = []
     for path in paths:
-        names = spark.read.option("header", True).csv(path).columns
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        part = read_csv(spark, path, schema)
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    if out is None:
+        # A directory may hold files with unlike headers: those of one header are read together.
+        for names, files in sorted(headers(spark, path).items()):
+            schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+            parts.append(read_csv(spark, files, schema))
+    if not parts:
         raise ValueError("no paths to read")
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def headers(spark, path):
+    """{column names: files} of the CSV files below ``path``. The first line of each file is read by a
+    task of its own; what reaches the driver is one row per file."""
+    first = spark.read.option("wholetext", False).text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"))
+    lines = first.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("line"))
+    out = {}
+    for r in lines.collect():
+        names = next(csv.reader([r["line"]]))
+        out.setdefault(tuple(names), []).append(r["file"])
     return out
 
 
@@ -111,6 +128,10 @@ def as_published(df):
     return df.select(*out)
 
 
+def kinds(df):
+    return [(f.name, f.dataType.simpleString()) for f in df.schema]
+
+
 def create_external(spark, name, schema, path, fmt="parquet"):
     """External table over files, if it does not exist."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
@@ -119,15 +140,34 @@ def create_external(spark, name, schema, path, fmt="parquet"):
     return spark.table(name)
 
 
+def location_of(spark, name):
+    """Where a table's files are, or None when there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    return about["data_type"]
+
+
+def plain_path(path):
+    return path.removeprefix("file:").rstrip("/").replace("///", "/") if path else path
+
+
 def publish(df, name, path, fmt="parquet", mode="errorifexists"):
-    """Write rows below ``path`` and make them queryable as table ``name``."""
+    """Write rows below ``path`` and make them queryable as table ``name``.
+
+    A table of that name must lie at ``path`` and have the same columns and types. ``mode`` says what
+    becomes of rows that are there already: ``overwrite`` replaces them by this run's.
+    """
     rows = as_published(df)
+    at = location_of(df.sparkSession, name)
+    if at and plain_path(at) != plain_path(path):
+        raise ValueError(f"table {name} lies at {at}")
+    if at and kinds(df.sparkSession.table(name)) != kinds(rows):
+        raise ValueError(f"table {name} exists with other columns")
     if fmt == "csv":
         write_csv(rows, path, mode=mode)
     else:
         rows.write.mode(mode).format(fmt).save(path)
-    table = create_external(df.sparkSession, name, rows.schema, path, fmt)
-    if [f.name for f in table.schema] != rows.columns:
-        raise ValueError(f"table {name} exists with other columns")
+    create_external(df.sparkSession, name, rows.schema, path, fmt)
     df.sparkSession.catalog.refreshTable(name)
     return df.sparkSession.table(name)

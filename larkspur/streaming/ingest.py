@@ -1,30 +1,22 @@
-"""Raw rows as a stream into the feature table's files."""
+"""Raw rows as a stream into the feature table."""
 
-from pyspark.sql import functions as F
+from larkspur.operators.clean import clean_raw
 
-from larkspur.operators.clean import clean_raw, set_event_time
-from larkspur.schema import EVENT_TIME, RECORD_ID
 
+def ingest(stream, group, checkpoint, run_ts):
+    """Append everything that is available now to the feature group; a restart goes on from the checkpoint.
 
-def prepared(stream, run_ts, delay="1 day", record_id=RECORD_ID, event_time=EVENT_TIME):
-    """Cleaned rows with event time, one per (id, event time) among those within the watermark."""
-    timed = set_event_time(clean_raw(stream), run_ts, event_time)
-    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([record_id, event_time])
+    Each micro-batch goes the way of a batch append: the same types, dates and catalog table, without rows whose key
+    and event time are stored already. There is no watermark, so late rows and rows without an event
+    time, which take the run's, push nothing out.
+    """
 
+    def store(batch, batch_id):
+        group.append_new(clean_raw(batch), run_ts)
 
-def ingest(stream, path, checkpoint, run_ts, delay="1 day", event_time=EVENT_TIME):
-    """Append everything that is available now; a restart goes on from the checkpoint."""
-    rows = prepared(stream, run_ts, delay).withColumns({
-        "write_time": F.lit(run_ts).cast("timestamp"),
-        "is_deleted": F.lit(False),
-        "event_date": F.to_date(event_time),
-    })
     return (
-        rows.writeStream.format("parquet")
-        .option("path", path)
+        stream.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("event_date")
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

@@ -171,3 +171,43 @@ def test_registry(spark):
     assert entries.latest(spark, "g", registry.PENDING).model_path == "m2"
     numbered = registry.with_versions(entries.entries(spark), "group", ["created_at"], F.date_trunc("day", "created_at"))
     assert {r.model_path: r.version for r in numbered.collect()} == {"m1": 1, "m2": 2, "m4": 3}
+
+
+def test_publishing_again_shows_the_new_rows(spark):
+    name, path = "published_again", new_path(spark, "pub")
+    assert tables.publish(spark.range(3), name, path, mode="overwrite").count() == 3
+    got = tables.publish(spark.range(100, 105), name, path, mode="overwrite")
+    assert sorted(r.id for r in got.collect()) == list(range(100, 105))
+    with pytest.raises(ValueError):
+        tables.publish(spark.range(3), name, new_path(spark, "elsewhere"))
+    with pytest.raises(ValueError):
+        tables.publish(spark.range(3).select(F.col("id").cast("string").alias("id")), name, path, mode="overwrite")
+
+
+def test_appending_in_another_order_keeps_columns(spark):
+    group = group_of(spark, "reordered")
+    first = spark.createDataFrame([("a", 1, 2)], "customer_id string, age int, tenure_months int")
+    group.append(first, "2024-06-01T00:00:00Z")
+    other = spark.createDataFrame([("b", 7, 40.0)], "customer_id string, tenure_months int, age double")
+    group.append(other, "2024-06-02T00:00:00Z")
+    assert {(r.customer_id, r.age, r.tenure_months) for r in group.read(spark).collect()} == {("a", 1, 2), ("b", 40, 7)}
+    with pytest.raises(ValueError):
+        group.append(first.drop("age"), "2024-06-01T00:00:00Z")
+    group.append(first.drop("age"), "2024-06-03T00:00:00Z", missing="null")
+    with pytest.raises(ValueError):
+        group.append(first.withColumn("more", F.lit(1)), "2024-06-01T00:00:00Z")
+
+
+def test_latest_of_equal_times_is_always_the_same(spark):
+    group = group_of(spark, "tied_versions")
+    rows = spark.createDataFrame([("a", i, "2024-01-01T00:00:00Z") for i in range(50)], "customer_id string, age int, event_time string")
+    group.append(rows.repartition(7), "2024-06-01T00:00:00Z")
+    assert group.latest(spark).first()["age"] == 49
+
+
+def test_unlike_files_of_one_directory(spark):
+    path = new_path(spark, "unlike")
+    spark.createDataFrame([(1, "x")], "a int, b string").coalesce(1).write.option("header", True).csv(path)
+    spark.createDataFrame([("y", 2)], "c string, a int").coalesce(1).write.mode("append").option("header", True).csv(path)
+    got = tables.read_csv_tables(spark, [path])
+    assert {(r.a, r.b, r.c) for r in got.collect()} == {("1", "x", None), ("2", None, "y")}

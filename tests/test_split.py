@@ -97,3 +97,22 @@ def test_a_split_is_one_pass_without_a_shuffle(spark):
     df = spark.range(1000).select("id", (F.col("id") % 2).alias("y"))
     plan = split.mark_parts(df, "y", key=["id"], unique_key=True)[0]._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") == 2 and "hashpartitioning" not in plan and plan.count("Range (") == 1
+
+
+def test_rows_that_differ_below_a_millisecond_stay_three(spark):
+    rows = spark.sql("""SELECT 'k' AS k, 0 AS y, timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id / 1e6) AS t
+                        FROM range(3)""")
+    out = split.mark_test(rows, "y", 0.5, 1, ["k"]).collect()
+    assert len(out) == 3 and len({r.t for r in out}) == 3 and sum(r.is_test for r in out) == 2
+
+
+@pytest.mark.parametrize("sort_limit", [5, 100_000])
+def test_more_classes_than_the_driver_takes(spark, monkeypatch, sort_limit):
+    rows = [(f"k{i}", f"c{i % 40}" if i % 3 else "hot") for i in range(600)]
+    df = spark.createDataFrame(rows, "id string, y string")
+    want = {tuple(r) for r in split.mark_test(df, "y", 0.2, 42, ["id"], True).collect()}
+    monkeypatch.setattr(split, "CLASS_LIMIT", 3)
+    got = split.mark_test(df, "y", 0.2, 42, ["id"], True, sort_limit=sort_limit)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    parts, sizes = split.mark_parts(df, "y", key=["id"], unique_key=True)
+    assert sizes is None and Counter(r.part for r in parts.collect()) == {"test": 120, "validation": 96, "train": 384}

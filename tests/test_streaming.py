@@ -2,35 +2,44 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from larkspur.operators.clean import clean_raw
 from larkspur.schema import RAW
 from larkspur.session import new_path
+from larkspur.sources.feature_group import FeatureGroup
 from larkspur.streaming import ingest, load
 
 RUN = "2024-06-01T00:00:00Z"
 START = datetime(2024, 1, 1)
 
 
-def test_ingest_drops_copies_and_goes_on_after_a_restart(spark):
-    source, out, state = new_path(spark, "raw"), new_path(spark, "features"), new_path(spark, "state")
+def test_ingest_into_the_feature_group(spark):
+    """Copies are stored once, late rows and rows without a time push nothing out, a restart goes on, and batch
+    and stream rows are read back together."""
+    source, state = new_path(spark, "raw"), new_path(spark, "state")
+    group = FeatureGroup("streamed_features", new_path(spark, "features"))
     fields = [f"{n} string" for n in RAW.names]
     schema = ", ".join([*fields, "event_time string"])
 
-    def send(ids, day):
-        rows = [(f" CUST_{i:06d} ", "40", *["x"] * 12, f"2024-01-{day:02d}T00:00:00Z") for i in ids]
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+    def rows(ids, day):
+        time = f"2024-01-{day:02d}T00:00:00Z" if day else None
+        return spark.createDataFrame([(f" CUST_{i:06d} ", "40", *["x"] * 12, time) for i in ids], schema)
 
     def run():
-        stream = spark.readStream.schema(schema).parquet(source)
-        ingest.ingest(stream, out, state, RUN).awaitTermination()
-        return spark.read.parquet(out)
-
-    send([1, 2, 2, 3], 5)
-    assert run().count() == 3
-    send([3, 4], 5)
-    send([4], 6)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        ingest.ingest(stream, group, state, RUN).awaitTermination()
+        return group.read(spark)
+
+    for ids, day in (([9], None), ([1, 2, 2, 3], 5), ([3, 4], 6)):
+        rows(ids, day).coalesce(1).write.mode("append").parquet(source)
+        run()
+    assert run().count() == 6
+    rows([3, 4], 6).coalesce(1).write.mode("append").parquet(source)
+    rows([4], 4).coalesce(1).write.mode("append").parquet(source)
     got = run()
-    assert got.count() == 5 and got.select("customer_id").distinct().count() == 4
-    assert got.where("age = 40.0 and churn = 0 and not is_deleted").count() == 5
+    assert got.count() == 7 and got.select("customer_id").distinct().count() == 5
+    assert got.where("age = 40.0 and churn = 0 and not is_deleted").count() == 7
+    group.append(clean_raw(rows([7], 8)), RUN)
+    assert group.read(spark).count() == 8 and group.latest(spark).count() == 6
 
 
 def test_minutes_are_written_when_closed(spark):
