@@ -144,6 +144,11 @@ def class_distribution(df, target):
     return df.groupBy(F.col(target).alias("class")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def per_class_name(measure):
+    """The report's name for a measure's list: that of F1 is ``f1_per_class``."""
+    return "f1_per_class" if measure == "f1_score" else f"{measure}_per_class"
+
+
 def evaluation_report(df, label="label", prediction="prediction", score=None, positive=1):
     """One row of evaluation results; per-class lists only for more than two classes.
 
@@ -169,11 +174,11 @@ def evaluation_report(df, label="label", prediction="prediction", score=None, po
     measures = ("precision", "recall", "f1_score")
     found = scores.agg(
         *_averages(), distribution.alias("class_distribution"),
-        *[listed(m).alias(f"{m}_per_class") for m in measures],
+        *[listed(m).alias(per_class_name(m)) for m in measures],
     )
     out = found.select(
         "accuracy", *measures, F.col("n").alias("test_samples"), "n_classes", "class_distribution",
-        *[F.when(F.col("n_classes") > 2, F.col(f"{m}_per_class")).alias(f"{m}_per_class") for m in measures],
+        *[F.when(F.col("n_classes") > 2, F.col(per_class_name(m))).alias(per_class_name(m)) for m in measures],
     )
     if score is None:
         return out

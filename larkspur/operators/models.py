@@ -11,6 +11,9 @@ from larkspur.session import small_table
 # The forest's settings.
 TREES, DEPTH, MIN_LEAF, SEED = 100, 10, 1, 42
 
+# Partitions a fit's rows are dealt into; more for tables of which a part would not fit a task.
+PARTITIONS = 16
+
 VECTOR = "_features"
 PROBABILITY = "_probability"
 RAW = "_raw"
@@ -28,11 +31,20 @@ def pipeline(features, classifier, scaled=False):
     return Pipeline(stages=[*stages, classifier])
 
 
-def spread(df):
-    """Rows for a fit that reads them many times: few partitions would leave cores idle, so they are
-    divided anew; enough of them, as large tables have, stay where they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread(df, partitions=PARTITIONS):
+    """Rows for a fit, dealt by a hash of all values into a number of partitions that the caller names and
+    put in order there: bagging draws by partition and place, so the model depends on neither cores nor files."""
+    return df.repartition(partitions, F.xxhash64(*df.columns)).sortWithinPartitions(*df.columns)
+
+
+def has_probability(model):
+    """Whether the model gives class probabilities; a margin is none."""
+    return model.stages[-1].hasParam("probabilityCol")
+
+
+def probabilities(model, df, name):
+    """Input columns and an array of the probabilities of the classes."""
+    return model.transform(df).select(*df.columns, vector_to_array(PROBABILITY).alias(name))
 
 
 def forest(label, trees=TREES, depth=DEPTH, min_leaf=MIN_LEAF, seed=SEED):

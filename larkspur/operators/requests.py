@@ -8,7 +8,7 @@ CSV, JSON = "text/csv", "application/json"
 
 # A line ends at a line break outside quotes; a field is quoted text or anything without a comma.
 LINE_PATTERN = r'((?:[^"\r\n]++|"[^"]*+")*+)\r?\n'
-FIELD_PATTERN = r',("(?:[^"]|"")*"|[^,]*)'
+FIELD_PATTERN = r',("[^"]*+(?:""[^"]*+)*+"|[^,]*+)'
 
 
 def _lines(body):
@@ -27,8 +27,10 @@ def _fields(line):
 
 
 def parse_csv(requests, names):
-    """Rows of the CSV bodies by column name, as text; a field that is not sent is NULL."""
-    bodies = requests.where(F.col("content_type") == CSV).select(
+    """Rows of the CSV bodies by column name, as text; a field that is not sent is NULL. Bodies with an open
+    quote have no rows."""
+    quotes = F.length("body") - F.length(F.replace(F.col("body"), F.lit('"'), F.lit("")))
+    bodies = requests.where((F.col("content_type") == CSV) & (quotes % 2 == 0)).select(
         "request_id", _lines(F.col("body")).alias("_lines")
     )
     # The header is taken before the lines are spread, so that a row carries it and not the body.
@@ -79,17 +81,29 @@ def parse_json(requests):
     )
 
 
-def bad_requests(requests):
-    """(request_id, reason) of what cannot be read."""
-    lines = F.size(_lines(F.col("body")))
+def refusal(features=None):
+    """Why a request cannot be answered, or NULL. With ``features`` its columns are looked at as well: a
+    CSV body has to name all of them, a JSON row has to have as many values."""
+    kind, body = F.col("content_type"), F.col("body")
+    lines, rows = _lines(body), json_rows(body)
+    quotes = F.length(body) - F.length(F.replace(body, F.lit('"'), F.lit("")))
     reason = (
-        F.when(~F.col("content_type").isin(CSV, JSON) | F.col("content_type").isNull(),
-               F.lit("unsupported content type"))
-        .when((F.col("content_type") == JSON) & ~_usable(json_rows(F.col("body"))),
-              F.lit("unsupported JSON"))
-        .when((F.col("content_type") == CSV) & (F.coalesce(lines, F.lit(0)) < 2), F.lit("no rows"))
+        F.when(~kind.isin(CSV, JSON) | kind.isNull(), F.lit("unsupported content type"))
+        .when((kind == JSON) & ~_usable(rows), F.lit("unsupported JSON"))
+        .when((kind == CSV) & (quotes % 2 == 1), F.lit("open quote"))
+        .when((kind == CSV) & (F.coalesce(F.size(lines), F.lit(0)) < 2), F.lit("no rows"))
     )
-    return requests.select("request_id", reason.alias("reason")).where("reason is not null")
+    if features is not None:
+        named = F.size(F.array_except(F.array(*[F.lit(c) for c in features]), _fields(F.get(lines, F.lit(0)))))
+        wide = F.exists(rows, lambda r: F.size(r) != len(features))
+        reason = reason.when((kind == CSV) & (named > 0), F.lit("missing columns"))
+        reason = reason.when((kind == JSON) & wide, F.lit("wrong number of features"))
+    return reason
+
+
+def bad_requests(requests, features=None):
+    """(request_id, reason) of what cannot be read or, with ``features``, not be scored."""
+    return requests.select("request_id", refusal(features).alias("reason")).where("reason is not null")
 
 
 def answers(predictions, accept=JSON):
@@ -133,18 +147,19 @@ def replay(df, request_id, columns, header=True):
 def score_requests(requests, model, preprocess, clean=None):
     """(request_id, row_no, prediction): named rows are preprocessed, bare numbers go to the model.
 
-    ``clean`` runs on named rows first, so that they look like the rows the codes were fitted on.
+    ``clean`` runs on named rows first, so that they look like the rows the codes were fitted on. Requests
+    that ``bad_requests`` with the model's features names are the ones left out.
     """
     from larkspur.operators import models
 
+    requests = requests.where(refusal(preprocess.features).isNull())
     named = parse_csv(requests, preprocess.features)
     if clean is not None:
         named = clean(named)
     else:
         named = named.withColumns({c: F.col(c).try_cast("double") for c in preprocess.numeric})
     ready = preprocess.apply(named, keep=["request_id", "row_no"])
-    size = len(preprocess.features)
-    bare = parse_json(requests).where(F.size("features") == size).select(
+    bare = parse_json(requests).select(
         "request_id", "row_no",
         *[F.get("features", F.lit(i)).alias(c) for i, c in enumerate(preprocess.features)],
     )
@@ -157,8 +172,8 @@ def score_requests(requests, model, preprocess, clean=None):
 
 def wrong_width(requests, n_features):
     """JSON requests whose rows do not have the model's number of features."""
-    wide = parse_json(requests).where(F.size("features") != n_features)
-    return wide.select("request_id").distinct().withColumn("reason", F.lit("wrong number of features"))
+    wide = bad_requests(requests, [f"f{i}" for i in range(n_features)])
+    return wide.where(F.col("reason") == "wrong number of features")
 
 
 REQUEST = T.StructType(

@@ -223,6 +223,14 @@ SENT = """CASE WHEN CAST(substr(customer_id, 6) AS BIGINT) % 3 <> 0
        - INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S') || '+0000'
   ELSE '2024-06-01T00:00:00+0000' END"""
 
+SHARES = """WITH sizes AS (SELECT {target}, count(*) AS n, sum(count(*)) OVER () AS total FROM {table} GROUP BY 1),
+    base AS (SELECT *, CAST(ceil(0.2 * total) AS BIGINT) AS want FROM sizes),
+    shares AS (SELECT *, want * n // total AS k, want * n % total AS rest FROM base),
+    quota AS (SELECT {target}, n, CAST(k + CASE WHEN row_number() OVER (ORDER BY rest DESC, {target})
+        <= want - sum(k) OVER () THEN 1 ELSE 0 END AS BIGINT) AS k FROM shares)
+    SELECT {target}, TRUE AS is_test, k AS n FROM quota WHERE k > 0
+    UNION ALL SELECT {target}, FALSE, n - k FROM quota WHERE n > k"""
+
 ORACLES = {
     "raw_scan": with_(CHURN_RAW, "SELECT * FROM churn_raw"),
     "range_train": with_(CHURN_RAW, f"SELECT * FROM churn_raw WHERE {TRAIN_IDS}"),
@@ -312,7 +320,7 @@ ORACLES = {
         n AS test_samples, n_classes, {DISTRIBUTION} AS class_distribution,
         (SELECT CAST(count(*) AS INTEGER) FROM scores) AS precision_per_class,
         (SELECT CAST(count(*) AS INTEGER) FROM scores) AS recall_per_class,
-        (SELECT CAST(count(*) AS INTEGER) FROM scores) AS f1_score_per_class FROM totals"""),
+        (SELECT CAST(count(*) AS INTEGER) FROM scores) AS f1_per_class FROM totals"""),
     "batch_report": with_(
         SCORED_BINARY + METRICS, 'SELECT accuracy, "precision", recall, f1_score AS f1, n FROM totals'),
     "regression_report": """SELECT sqrt(avg((l_quantity - l_linenumber) * (l_quantity - l_linenumber))) AS rmse,
@@ -340,7 +348,7 @@ ORACLES = {
         single AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, event_time
             ORDER BY write_time DESC, o_orderkey DESC) AS i FROM versions) WHERE i = 1),
         spine AS (SELECT printf('CUST_%06d', o_custkey) AS customer_id, l_shipdate AS as_of
-            FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 1)""",
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
         """SELECT s.customer_id, s.as_of, CASE WHEN NOT v.is_deleted THEN v.event_time END AS feature_event_time,
             CASE WHEN NOT v.is_deleted THEN v.total_charges END AS total_charges
         FROM spine s ASOF LEFT JOIN single v ON s.customer_id = v.customer_id AND s.as_of >= v.event_time"""),
@@ -415,6 +423,17 @@ ORACLES = {
         FROM events GROUP BY 1, 2
         HAVING date_trunc('minute', ts) + INTERVAL 1 MINUTE <= date_trunc('millisecond', (SELECT max(ts) FROM events))
           - INTERVAL 10 MINUTE""",
+    "published_twice": with_(PREDICTED, """SELECT * REPLACE (CAST(churn AS BIGINT) AS churn,
+        CAST(prediction AS BIGINT) AS prediction) FROM scored_infer"""),
+    "feature_group_reordered": with_(CLEANED, """SELECT customer_id, age, tenure_months, CAST(churn AS BIGINT) AS churn
+        FROM cleaned UNION ALL SELECT customer_id, age, tenure_months, CAST(churn AS BIGINT) FROM cleaned WHERE churn = 1"""),
+    "split_ties": SHARES.format(target="event_type", table="(SELECT event_type FROM events UNION ALL SELECT event_type FROM events)"),
+    "split_many_classes": SHARES.format(target="l_orderkey", table="lineitem"),
+    "event_time_formats": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT00:00:00+0000') AS event_time FROM orders""",
+    "requests_accounted": with_(ASKED, """SELECT request_id, CASE WHEN k % 5 = 0 THEN 'unsupported content type'
+        WHEN k % 7 = 0 THEN 'unsupported JSON' WHEN k % 7 IN (1, 2) THEN NULL ELSE 'wrong number of features' END AS reason FROM asked"""),
+    "stream_then_batch": with_(CLEANED, """SELECT customer_id, CAST(churn AS BIGINT) AS churn,
+        '2024-06-01T00:00:00+0000' AS event_time FROM cleaned"""),
     "stream_ingest": with_(CLEANED, f"SELECT *, {SENT} AS event_time FROM cleaned"),
     "ranked_values": """SELECT c_mktsegment, c_custkey,
         row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal, c_custkey) AS place FROM customer""",

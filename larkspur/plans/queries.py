@@ -121,6 +121,16 @@ def clean_event_time(spark, sf_dir):
     return clean.event_time_text(clean.set_event_time(fx.event_time_texts(spark, sf_dir), RUN_TS))
 
 
+@query
+def event_time_formats(spark, sf_dir):
+    """Order dates in the formats read besides ISO."""
+    k, day = F.col("o_orderkey"), F.col("o_orderdate")
+    formats = ["MM/dd/yyyy", "MMM d yyyy", "yyyyMMdd", "yyyy-MM-dd HH:mm", "d MMM yyyy"]
+    text = F.element_at(F.array(*[F.date_format(day, f) for f in formats]), (k % len(formats) + 1).cast("int"))
+    rows = fx.table(spark, sf_dir, "orders").select("o_orderkey", text.alias("event_time"))
+    return clean.event_time_text(clean.set_event_time(rows, RUN_TS))
+
+
 @query
 def clean_all(spark, sf_dir):
     return cleaned(spark, sf_dir)
@@ -320,6 +330,26 @@ def split_copies(spark, sf_dir):
     return out.groupBy("l_returnflag", "is_test").agg(F.count(F.lit(1)).alias("n"))
 
 
+def shares_of(marked_rows, target):
+    return marked_rows.groupBy(target, "is_test").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def split_ties(spark, sf_dir):
+    """Every event and the same a microsecond later, split by user: unlike rows of one key stay what they are."""
+    events = fx.table(spark, sf_dir, "events").select("ts", "user_id", "event_type")
+    later = events.withColumn("ts", F.col("ts") + F.expr("interval 1 microsecond"))
+    both = events.unionByName(later)
+    return shares_of(split.mark_test(both, "event_type", key=["user_id"]), "event_type")
+
+
+@query
+def split_many_classes(spark, sf_dir):
+    """Order lines split by order: as many classes as there are orders."""
+    rows = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return shares_of(split.mark_test(rows, "l_orderkey", key=["l_orderkey", "l_linenumber"]), "l_orderkey")
+
+
 @query
 def prep_metadata(spark, sf_dir):
     rows = cleaned(spark, sf_dir)
@@ -412,13 +442,13 @@ def flat_report(report):
 @query
 def evaluation_report(spark, sf_dir):
     report = metrics.evaluation_report(fx.scored_auc(spark, sf_dir), score="score")
-    return flat_report(report).drop("precision_per_class", "recall_per_class", "f1_score_per_class")
+    return flat_report(report).drop("precision_per_class", "recall_per_class", "f1_per_class")
 
 
 @query
 def evaluation_report_multi(spark, sf_dir):
     report = metrics.evaluation_report(fx.scored_multi(spark, sf_dir))
-    lists = ("precision_per_class", "recall_per_class", "f1_score_per_class")
+    lists = ("precision_per_class", "recall_per_class", "f1_per_class")
     sizes = {c: F.size(c) for c in lists}
     return report.withColumns(sizes).withColumn("class_distribution", map_text(F.col("class_distribution")))
 
@@ -649,6 +679,14 @@ def published_table(spark, sf_dir):
     return tables.publish(scored, f"predictions_{uuid.uuid4().hex}", new_path(spark, "published"))
 
 
+@query
+def published_twice(spark, sf_dir):
+    """Two runs on one table: the second one's rows are what it shows."""
+    name, path = f"predictions_{uuid.uuid4().hex}", new_path(spark, "published")
+    tables.publish(with_prediction(part_of(spark, sf_dir, "train")), name, path, mode="overwrite")
+    return tables.publish(with_prediction(part_of(spark, sf_dir, "infer")), name, path, mode="overwrite")
+
+
 @query
 def published_csv(spark, sf_dir):
     scored = with_prediction(part_of(spark, sf_dir, "infer")).select(ID, "contract_type", "prediction")
@@ -678,7 +716,7 @@ def run_partition(spark, sf_dir):
 @query
 def json_report(spark, sf_dir):
     report = metrics.evaluation_report(fx.scored_binary(spark, sf_dir)).drop(
-        "class_distribution", "precision_per_class", "recall_per_class", "f1_score_per_class"
+        "class_distribution", "precision_per_class", "recall_per_class", "f1_per_class"
     )
     path = tables.write_report(report, new_path(spark, "report"))
     return spark.read.schema(report.schema).json(path)
@@ -701,6 +739,15 @@ def feature_group_append(spark, sf_dir):
     )
 
 
+@query
+def feature_group_reordered(spark, sf_dir):
+    """A second append whose columns come in another order."""
+    group, rows = new_group(spark), cleaned(spark, sf_dir)
+    group.append(rows, RUN_TS)
+    group.append(rows.where("churn = 1").select(*reversed(rows.columns)), "2024-06-02T12:00:00Z")
+    return group.read(spark).select(ID, "age", "tenure_months", "churn")
+
+
 @query
 def feature_group_latest(spark, sf_dir):
     group = new_group(spark)
@@ -732,6 +779,17 @@ def bad_requests(spark, sf_dir):
     return requests.bad_requests(fx.requests(spark, sf_dir))
 
 
+@query
+def requests_accounted(spark, sf_dir):
+    """Every request once, with the reason why it can't be scored on four named columns, or none."""
+    asked = fx.requests(spark, sf_dir)
+    names = [ID, "age", "monthly_charges", "contract_type"]
+    refused = requests.bad_requests(asked, names)
+    taken = asked.join(refused, "request_id", "left_anti")
+    read = requests.parse_csv(taken, names).select("request_id").union(requests.parse_json(taken).select("request_id"))
+    return refused.unionByName(read.distinct().withColumn("reason", F.lit(None).cast("string")))
+
+
 def rule_predictions(spark, sf_dir):
     """A plain rule in place of a model: prices above a limit."""
     asked = fx.requests(spark, sf_dir)
@@ -867,7 +925,7 @@ def score_requests(spark, sf_dir):
     return requests.score_requests(asked, t.model, t.preprocess, clean.clean_raw)
 
 
-def write_feed(spark, sf_dir):
+def written_feed(spark, sf_dir):
     """Raw rows with a text event time, each one sent twice."""
     rows = fx.churn_raw(spark, sf_dir)
     number = F.substring(ID, 6, 20).cast("long")
@@ -876,15 +934,39 @@ def write_feed(spark, sf_dir):
     path = new_path(spark, "feed")
     feed.write.parquet(path)
     feed.write.mode("append").parquet(path)
-    return spark.readStream.schema(feed.schema).parquet(path)
+    return path
+
+
+def write_feed(spark, sf_dir):
+    path = written_feed(spark, sf_dir)
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
 
 
 @query
 def stream_ingest(spark, sf_dir):
-    path = new_path(spark, "ingested")
-    ingest.ingest(write_feed(spark, sf_dir), path, new_path(spark, "ingest-state"), RUN_TS).awaitTermination()
-    schema = T.StructType([*CLEAN, T.StructField("event_time", T.TimestampType())])
-    return clean.event_time_text(spark.read.schema(schema).parquet(path).select(*schema.names))
+    """Several batches, rows without an event time first and every row twice, into the feature group."""
+    feed = spark.read.parquet(written_feed(spark, sf_dir))
+    path = new_path(spark, "feed-batches")
+    for part in (feed.where("event_time is null"), feed.where("event_time is not null"), feed):
+        part.coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    group = new_group(spark)
+    ingest.ingest(stream, group, new_path(spark, "ingest-state"), RUN_TS).awaitTermination()
+    stored = group.read(spark).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CLEAN], "event_time")
+    return clean.event_time_text(stored)
+
+
+@query
+def stream_then_batch(spark, sf_dir):
+    """Half of the customers by stream, then the others by a batch append, read back from one group."""
+    rows, group = fx.churn_raw(spark, sf_dir), new_group(spark)
+    even = F.substring(ID, 6, 20).cast("long") % 2 == 0
+    path = new_path(spark, "feed-half")
+    rows.where(even).write.parquet(path)
+    stream = spark.readStream.schema(rows.schema).parquet(path)
+    ingest.ingest(stream, group, new_path(spark, "ingest-state"), RUN_TS).awaitTermination()
+    group.append(clean.clean_raw(rows.where(~even)), RUN_TS)
+    return clean.event_time_text(group.read(spark)).select(ID, "churn", "event_time")
 
 
 @query

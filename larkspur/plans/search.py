@@ -1,5 +1,6 @@
 """Search over classifier families and settings, best candidate, soft vote."""
 
+import functools
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -27,6 +28,12 @@ class Candidate:
     model: PipelineModel
 
 
+class Found(list):
+    """The candidates that ran, and those for which time was out."""
+
+    not_tried = ()
+
+
 def metric_value(scored, target, metric):
     """One metric of scored rows as a number."""
     if metric == "AUC":
@@ -59,12 +66,16 @@ def search(train, validation, features, target, candidates=None, metric="Accurac
            max_seconds=3600, parallelism=2, clock=time.monotonic):
     """Fit each candidate and measure it on the validation rows.
 
-    No candidate starts after ``max_seconds``; those that run are finished, so none is left behind.
+    No candidate starts after ``max_seconds``; those that run are finished, so none is left behind. The
+    ones not started are in the result's ``not_tried``.
     """
     if metric not in METRICS:
         raise ValueError(f"metric {metric} is not one of {METRICS}")
-    if candidates is None:
+    if candidates is None or metric == "AUC":
         n_classes = train.select(F.count_distinct(target)).first()[0]
+        if metric == "AUC" and n_classes > 2:
+            raise ValueError("AUC is for two classes")
+    if candidates is None:
         candidates = default_candidates(target, len(features), n_classes)
     train = models.spread(train).persist()
     deadline = clock() + max_seconds
@@ -83,11 +94,15 @@ def search(train, validation, features, target, candidates=None, metric="Accurac
         jobs = enumerate(candidates, 1)
         found = list(pool.map(inheritable_thread_target(train.sparkSession)(run), jobs))
     train.unpersist()
-    return [c for c in found if c is not None]
+    out = Found(c for c in found if c is not None)
+    out.not_tried = [(f"candidate-{i:02d}", *job[:2], metric) for i, (job, c) in enumerate(zip(candidates, found), 1) if c is None]
+    return out
 
 
 def candidates_table(spark, found):
+    """One row per candidate; those not tried have no value."""
     rows = [(c.name, c.algorithm, c.settings, c.metric, float(c.value)) for c in found]
+    rows += [(*x, None) for x in getattr(found, "not_tried", ())]
     return small_table(
         spark, rows, "candidate string, algorithm string, settings string, metric string, metric_value double"
     )
@@ -123,14 +138,16 @@ def best_info(spark, found, base, job, run_ts):
 
 
 def soft_vote(found, df, top=3):
-    """Mean class-1 probability of the ``top`` best candidates; from one half up it is class 1."""
-    chosen = ranked(found)[:top]
+    """Mean class probabilities of the ``top`` best candidates that have them; the largest decides, equal ones
+    for the higher class. ``probability`` is that of class 1 for two classes, else that of the prediction."""
+    chosen = [c for c in ranked(found) if models.has_probability(c.model)][:top]
     if not chosen:
-        raise LookupError("the search has no candidate")
+        raise LookupError("the search has no candidate with probabilities")
     out = df
     for i, c in enumerate(chosen):
-        out = models.predict(c.model, out, f"_p{i}").drop("prediction")
-    mean = sum((F.col(f"_p{i}") for i in range(len(chosen))), F.lit(0.0)) / len(chosen)
-    return out.withColumn("probability", mean).select(
-        *df.columns, (F.col("probability") >= 0.5).cast("double").alias("prediction"), "probability"
-    )
+        out = models.probabilities(c.model, out, f"_p{i}")
+    total = functools.reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), [F.col(f"_p{i}") for i in range(len(chosen))])
+    out = out.select(*df.columns, F.transform(total, lambda x: x / len(chosen)).alias("_mean"))
+    best = F.array_max(F.transform("_mean", lambda p, i: F.struct(p.alias("p"), i.alias("i"))))
+    shown = F.when(F.size("_mean") == 2, F.get("_mean", F.lit(1))).otherwise(best["p"])
+    return out.select(*df.columns, best["i"].cast("double").alias("prediction"), shown.alias("probability"))

@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from larkspur.operators import metrics, models
-from larkspur.operators.split import mark_parts
+from larkspur.operators.split import mark_parts, written
 from larkspur.plans.preprocess import Preprocess, fit_preprocess, labelled_rows
 from larkspur.schema import RECORD_ID, TARGET
 from larkspur.sources import bundle
@@ -38,7 +38,7 @@ class Trained:
         fitted = metrics.averages(metrics.class_scores(
             metrics.confusion(models.predict(self.model, self.train), target)))
         out = self.evaluation(self.validation).drop("class_distribution").drop(
-            *[f"{m}_per_class" for m in ("precision", "recall", "f1_score")])
+            *[metrics.per_class_name(m) for m in ("precision", "recall", "f1_score")])
         return out.withColumnRenamed("test_samples", "n_val_samples").withColumns({
             "_fitted": fitted.select(F.struct("accuracy", "n")).scalar(),
             "n_features": F.lit(len(self.preprocess.features)),
@@ -59,12 +59,13 @@ def prepare(df, target=TARGET, key=(RECORD_ID,), test_size=0.2, seed=42, fill_ta
     """(preprocess, parts, class counts): parts are the preprocessed 64/16/20 shares by name.
 
     The split runs on the raw rows, and medians and codes come from those that are not test rows.
-    The marked rows are kept, because fitting and the model read them many times.
+    The marked rows are written once to the shared folder, because fitting and the model read them many
+    times.
     """
     key = [c for c in key if c in df.columns]
     known = df if fill_target else df.where(df[target].isNotNull())
     marked, sizes = mark_parts(known, target, test_size, seed, key, unique_key)
-    marked = marked.persist()
+    marked = written(marked, "marked")
     fitted = fit_preprocess(marked.where("part <> 'test'").drop("part"), target, fill_target)
     ready = labelled_rows(marked, fitted, fill_target)
     parts = {
@@ -75,13 +76,14 @@ def prepare(df, target=TARGET, key=(RECORD_ID,), test_size=0.2, seed=42, fill_ta
 
 
 def train(df, target=TARGET, key=(RECORD_ID,), test_size=0.2, seed=42, classifier=None,
-          unique_key=False):
-    """Fit the forest (or another ``classifier``) on the training part of ``df``."""
+          unique_key=False, partitions=models.PARTITIONS):
+    """Fit the forest (or another ``classifier``) on the training part of ``df``, dealt into ``partitions``."""
     fitted, parts, sizes = prepare(df, target, key, test_size, seed, unique_key=unique_key)
     classifier = classifier or models.forest(target)
-    model = models.pipeline(fitted.features, classifier).fit(models.spread(parts["train"]))
+    model = models.pipeline(fitted.features, classifier).fit(models.spread(parts["train"], partitions))
     learned = {c: n + sizes["validation"].get(c, 0) for c, n in sizes["train"].items()}
     metadata = fitted.metadata(learned, sizes["test"]) | {
+        "fit_partitions": partitions,
         "feature_columns": fitted.features,
         "class_names": fitted.target_classes or [str(c) for c in learned],
         "seed": seed,

@@ -124,8 +124,8 @@ def feature_versions(spark, sf_dir):
 
 
 def as_of_spine(spark, sf_dir):
-    """A customer and the day their first order line was shipped."""
-    lines = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select("l_orderkey", "l_shipdate")
+    """A customer and the day a line of their orders was shipped, for every line."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         format_key(F.col("o_custkey")).alias("customer_id"), F.col("l_shipdate").alias("as_of")

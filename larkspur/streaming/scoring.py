@@ -1,6 +1,6 @@
 """Rows or requests as a stream through a saved model; no state, so nothing to keep or to lose."""
 
-from larkspur.operators.requests import score_requests
+from larkspur.operators.requests import bad_requests, score_requests
 from larkspur.plans.infer import score
 
 
@@ -22,4 +22,8 @@ def score_rows(stream, model, preprocess, path, checkpoint, clean=None):
 
 
 def score_request_stream(stream, model, preprocess, path, checkpoint, clean=None):
-    return append_to(score_requests(stream, model, preprocess, clean), path, checkpoint)
+    """Two streams: answers below ``path``, and below ``<path>_rejected`` the other requests with reasons."""
+    return (
+        append_to(score_requests(stream, model, preprocess, clean), path, checkpoint),
+        append_to(bad_requests(stream, preprocess.features), f"{path}_rejected", f"{checkpoint}_rejected"),
+    )

@@ -148,5 +148,23 @@ def test_stream_scores_like_a_table(spark, customers, trained):
     requests, answers = new_path(spark, "requests"), new_path(spark, "answers")
     rq.replay(customers, "customer_id", trained.preprocess.features).write.parquet(requests)
     asked = spark.readStream.schema(rq.REQUEST).parquet(requests)
-    scoring.score_request_stream(asked, trained.model, trained.preprocess, answers, new_path(spark, "state")).awaitTermination()
+    for query in scoring.score_request_stream(asked, trained.model, trained.preprocess, answers, new_path(spark, "state")):
+        query.awaitTermination()
     assert spark.read.parquet(answers).count() == 1200
+
+
+def test_vote_over_three_classes(spark):
+    df = spark.range(600).select((F.col("id") % 30).cast("double").alias("v"), F.floor(F.col("id") % 30 / 10).cast("double").alias("y"))
+    tried = [("forest", "", models.forest("y", 5, 4), False), ("logistic", "", models.logistic("y"), False)]
+    found = search.search(df, df, ["v"], "y", tried, "Accuracy")
+    voted = search.soft_vote([c for c in found if c.algorithm == "forest"], df)
+    assert voted.where("prediction <> y").isEmpty()
+    with pytest.raises(ValueError):
+        search.search(df, df, ["v"], "y", tried, "AUC")
+
+
+def test_forest_does_not_depend_on_the_files(spark, customers):
+    fitted, parts, _ = train.prepare(customers, "churn", unique_key=True)
+    forests = [models.pipeline(fitted.features, models.forest("churn", 5, 4)).fit(models.spread(parts["train"].repartition(n)))
+               for n in (1, 7)]
+    assert forests[0].stages[-1].toDebugString.split("\n")[1:] == forests[1].stages[-1].toDebugString.split("\n")[1:]

@@ -83,3 +83,13 @@ def test_replay_and_back(spark):
 def test_wrong_width(spark):
     requests = asked(spark, (rq.JSON, "[[1, 2]]"), (rq.JSON, "[[1]]"))
     assert [r.request_id for r in rq.wrong_width(requests, 2).collect()] == ["1"]
+
+
+def test_long_fields_and_open_quotes(spark):
+    long = "x" * 50_000
+    assert csv_rows(spark, f'id,t,x\n1,"{long}""{long}",2') == [("1", f'{long}"{long}', "2")]
+    requests = asked(spark, (rq.CSV, 'id,t\n1,"x\n2,y\n'), (rq.CSV, "id,t\n1,2"), (rq.JSON, "[[1, 2, 3]]"), (rq.JSON, "[[1], [1, 2, 3]]"),
+                     (rq.CSV, "x,t,id\n1,2,3"))
+    reasons = dict(map(tuple, rq.bad_requests(requests, NAMES).collect()))
+    assert reasons == {"0": "open quote", "1": "missing columns", "3": "wrong number of features"}
+    assert rq.parse_csv(requests.where("request_id = '0'"), NAMES).isEmpty()
