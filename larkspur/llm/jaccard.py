@@ -5,18 +5,22 @@ documents link when their sets' Jaccard similarity is at least ``PERCENT`` / 100
 smallest doc_id it reaches by links.
 
 Equal sets are collapsed first. The tokens of a set are ordered rarest first, by a count sketch of fixed size
-over all documents; two sets that link share a token among their first n - ceil(t n) + 1 (their heads). Similar
+over all documents; two sets that link share k tokens among their first n - ceil(t n) + k (their heads; k grows
+with n, and the smaller one holds). Similar
 documents are partitioned into groups: each document is held against the document that most of its head tokens
-name as their leader, and those that link form groups. The token-group matrix holds the union of the head tokens of
-each group. A document opens a foreign group only if a head token of its own stands in the group's
-union, as it must where they link, and the sizes in it can match; documents of two groups that may open each other and share a head token are compared exactly.
-So a large group of near copies is linked through leaders and matrix rows, not through all its pairs.
+name as their leader, and those that link form groups. The token-group matrix holds the union of the head
+tokens of each group. A document opens a larger group only if as many of its head tokens stand in
+the group's union as must where they link, and the sizes in it can match; it is then compared exactly with the
+group's members, chunk by chunk, until one links. So a large group of near copies is linked through leaders
+and matrix rows, not through all its pairs.
 
 Shingles are compared as 64-bit hashes. Null texts and texts without words are empty and link with nothing. doc_id
 is the key: repeated rows of one id must be copies; rows with a null id are returned without a class.
 Other columns are not read. An empty table gives no rows.
 """
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -29,7 +33,11 @@ PERCENT = 80
 #: Counters of the sketch that orders tokens by frequency.
 SKETCH = 1 << 21
 CHUNK = 1 << 15
-ROUNDS = 2
+#: A head has one token more for each ``EXTRA`` shingles than must be looked at, so that more than one has to be
+#: shared; bits of the filter of documents whose sets are compared.
+EXTRA, FILTER = 20, 1 << 23
+#: Rounds in which each group opens one other, before all are opened that have to be; members in a chunk.
+ROUNDS, MEMBERS = 1, 128
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -79,37 +87,63 @@ def set_keys(docs):
     return known(docs).mapInArrow(emit, "doc_id long, n long, k1 long, k2 long")
 
 
-def sketch(docs, counters=SKETCH):
-    """How often tokens occur over all documents, by hash modulo ``counters``: the logarithm of the count
-    above four times the mean, as bytes. Its size does not depend on the data."""
+def tally(df, positions, counters):
+    """How often each number below ``counters`` is among the ``positions`` of the rows of ``df``. What is shuffled and
+    gathered are that many counts, whatever the data's size."""
+    part = min(CHUNK, counters)
 
     def count(batches):
         total = np.zeros(counters, np.int64)
         for batch in batches:
             for a, b in R.blocks(batch):
-                _, h = shingle_sets(batch, a, b)
-                np.add.at(total, (h % np.uint64(counters)).astype(np.int64), 1)
-        part = min(CHUNK, counters)
+                total += np.bincount(positions(batch, a, b).astype(np.int64), minlength=counters)
         for k in range(0, counters, part):
-            some = np.flatnonzero(total[k:k + part])
-            if len(some):
+            if total[k:k + part].any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k // part], pa.int32()), pa.array([some.astype("<i4").tobytes()]),
-                     pa.array([total[k:k + part][some].astype("<i8").tobytes()])], names=["part", "at", "many"])
+                    [pa.array([k // part], pa.int32()), pa.array([zlib.compress(total[k:k + part].astype("<i8").tobytes(), 1)])],
+                    names=["part", "many"])
 
     def add(key, table):
-        total = np.zeros(min(CHUNK, counters), np.int64)
-        for at, many in zip(table.column("at").to_pylist(), table.column("many").to_pylist()):
-            total[np.frombuffer(at, "<i4")] += np.frombuffer(many, "<i8")
+        total = np.zeros(part, np.int64)
+        for many in table.column("many").to_pylist():
+            total += np.frombuffer(zlib.decompress(many), "<i8")
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "many": [total.astype("<i8").tobytes()]})
 
-    rows = known(docs).mapInArrow(count, "part int, at binary, many binary").groupBy("part").applyInArrow(
-        add, "part int, many binary").collect()  # ``counters`` numbers in all
+    rows = df.mapInArrow(count, "part int, many binary").groupBy("part").applyInArrow(add, "part int, many binary")
     total = np.zeros(counters, np.int64)
-    for r in rows:
+    for r in rows.toLocalIterator():
         x = np.frombuffer(r["many"], "<i8")
-        total[r["part"] * len(x):][:len(x)] = x
-    return np.maximum(np.log2((total + 1) / (4 * total.mean() + 16)), 0).astype(np.uint8)
+        total[r["part"] * part:][:len(x)] = x
+    return total
+
+
+def sketch(docs, counters=SKETCH):
+    """How far above the mean tokens occur over all documents, by hash modulo ``counters``, as bytes on a
+    logarithmic scale."""
+    total = tally(known(docs), lambda batch, a, b: shingle_sets(batch, a, b)[1] % np.uint64(counters), counters)
+    above = np.maximum(total - total.mean(), 0) / (2 * np.sqrt(total.mean()) + 2)
+    return np.minimum(8 * np.log2(1 + above), 255).astype(np.uint8)
+
+
+def filter_of(ids, bits=FILTER):
+    """A filter of fixed size that lets pass all ``ids`` (column doc_id) and few others."""
+    def places(batch, a, b):
+        h = R.mixed(ids_of(batch, a, b).astype(np.int64).view(np.uint64))
+        return np.concatenate([h % np.uint64(bits), (h >> np.uint64(32)) % np.uint64(bits)])
+
+    # ``blocks`` measures the second column.
+    return tally(ids.select("doc_id", F.lit("").alias("text")), places, bits) > 0
+
+
+def passing(seen, ids):
+    h, bits = R.mixed(ids.astype(np.int64).view(np.uint64)), np.uint64(len(seen))
+    return seen[(h % bits).astype(np.int64)] & seen[((h >> np.uint64(32)) % bits).astype(np.int64)]
+
+
+def least_shared(n):
+    """Head tokens that a document of ``n`` shingles shares with every other that it links with, at least, as a column:
+    the smallest such number of the two."""
+    return 1 + F.floor(F.ceil(n * PERCENT / 100) / EXTRA)
 
 
 def heads(docs, levels):
@@ -128,7 +162,7 @@ def heads(docs, levels):
                 first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
                 n = np.diff(np.concatenate([first, [len(h)]]))
                 place = np.arange(len(h)) - np.repeat(first, n)
-                use = place < np.repeat(n - (PERCENT * n + 99) // 100 + 1, n)
+                use = place < np.repeat(n - (PERCENT * n + 99) // 100 + 1 + n // EXTRA, n)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[use].view(np.int64)), pa.array(ids_of(batch, a, b)[doc[use]])], names=["h", "doc_id"])
 
@@ -141,22 +175,36 @@ def written(df, name):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def compare(pairs, sets):
-    """The pairs (x, y) that link. ``sets``: doc_id, hashes as bytes."""
-    left = sets.select(F.col("doc_id").alias("x"), F.col("s").alias("sx"))
-    right = sets.select(F.col("doc_id").alias("y"), F.col("s").alias("sy"))
-
-    def same(batches):
-        for batch in batches:
-            keep = []
-            for sx, sy in zip(batch.column(2), batch.column(3)):
-                a, b = (np.frombuffer(s.as_buffer(), "<u8") for s in (sx, sy))
+def meet(asks, members, sets, any_member=False):
+    """Links (x, y) between the documents that ask a key (q, key) and its members (m, key).
+
+    A key's members are cut into chunks of about ``MEMBERS``, in each of which the sets of those who ask are
+    compared with the members' exactly; so a set is sent once for each chunk, not for each pair. With
+    ``any_member`` one link for each who asks and chunk is enough.
+    """
+    many = members.groupBy("key").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("chunks"))
+    kept = members.join(many, "key").select("key", F.pmod(F.xxhash64("m"), F.col("chunks")).cast("int").alias("chunk"), "m")
+    asked = asks.join(many, "key").select("key", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "q")
+    kept = kept.join(sets, F.col("m") == F.col("doc_id")).select("key", "chunk", F.col("m").alias("d"), "s")
+    other = sets.select(F.col("doc_id").alias("q"), F.col("s").alias("t"))
+    asked = asked.join(other, "q").select(F.col("key").alias("k"), F.col("chunk").alias("c"), "q", "t")
+
+    def compare(left, right):
+        own = [(d, np.frombuffer(x.as_buffer(), "<u8")) for d, x in zip(left.column("d").to_pylist(), left.column("s"))]
+        xs, ys = [], []
+        for q, x in zip(right.column("q").to_pylist(), right.column("t")):
+            a = np.frombuffer(x.as_buffer(), "<u8")
+            for m, b in own:
+                if m == q or 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
+                    continue
                 both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= PERCENT * (len(a) + len(b) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+                if 100 * both >= PERCENT * (len(a) + len(b) - both):
+                    xs.append(q), ys.append(m)
+                    if any_member:
+                        break
+        return pa.table({"x": pa.array(xs, pa.int64()), "y": pa.array(ys, pa.int64())})
 
-    joined = pairs.select("x", "y").join(left, "x").join(right, "y").select("x", "y", "sx", "sy")
-    return joined.mapInArrow(same, "x long, y long")
+    return kept.groupBy("key", "chunk").cogroup(asked.groupBy("k", "c")).applyInArrow(compare, "x long, y long")
 
 
 def components(links, nodes):
@@ -182,16 +230,19 @@ def links_of(docs, reps):
     """Links between documents that stand for their sets, enough to join all that link. ``reps``: rep, n."""
     spark = docs.sparkSession
     rows = heads(docs, sketch(docs))
-    # Only one document of each set; tokens that no other document has in its head can't join anything.
-    rows = rows.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    # Tokens that no other document has in its head can't join anything.
     shared = rows.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h")
-    rows = written(rows.join(shared, "h", "left_semi"), "jaccard-heads")
-    size = reps.select(F.col("rep").alias("doc_id"), "n")
-    rows = written(rows.join(size, "doc_id"), "jaccard-sized")
-    wanted = rows.select(F.col("doc_id").alias("d")).distinct()
+    rows = rows.join(shared, "h", "left_semi").join(reps.select(F.col("rep").alias("doc_id"), "n"), "doc_id")
+    rows = written(rows, "jaccard-heads")
+    enough = rows.groupBy(F.col("doc_id").alias("d"), "n").agg(F.count("*").alias("m")).where(
+        F.col("m") >= least_shared(F.col("n"))).select("d")
+    rows = written(rows.join(enough, F.col("doc_id") == F.col("d"), "left_semi"), "jaccard-heads")
+    wanted = written(rows.select(F.col("doc_id").alias("d")).distinct(), "jaccard-wanted")
+    seen = spark.sparkContext.broadcast(filter_of(wanted.withColumnRenamed("d", "doc_id")))
 
     def sets_of(batches):
         for batch in batches:
+            batch = batch.filter(pa.array(passing(seen.value, np.asarray(batch.column(0)))))
             for a, b in R.blocks(batch):
                 doc, h = shingle_sets(batch, a, b)
                 if len(h):
@@ -201,42 +252,53 @@ def links_of(docs, reps):
                         [pa.array(ids_of(batch, a, b)[doc[first]]),
                          pa.array([h[i:j].tobytes() for i, j in zip(ends, ends[1:])], pa.binary())], names=["doc_id", "s"])
 
-    sets = written(known(docs).join(wanted, F.col("doc_id") == F.col("d"), "left_semi").mapInArrow(
-        sets_of, "doc_id long, s binary").dropDuplicates(["doc_id"]), "jaccard-sets")
+    sets = written(known(docs).mapInArrow(sets_of, "doc_id long, s binary").join(
+        wanted, F.col("doc_id") == F.col("d"), "left_semi").dropDuplicates(["doc_id"]), "jaccard-sets")
     groups = written(wanted.select(F.col("d").alias("v"), F.col("d").alias("c")), "jaccard-groups")
-    links = spark.createDataFrame([], "x long, y long")
-    fits = (100 * F.col("n") >= PERCENT * F.col("leader.n")) & (100 * F.col("leader.n") >= PERCENT * F.col("n"))
-    for k in range(ROUNDS):
-        # The leader of a token is another document in each round.
-        grouped = rows.join(groups.withColumnRenamed("v", "doc_id"), "doc_id")
-        lead = grouped.groupBy("h").agg(F.min(F.struct(
-            F.xxhash64("doc_id", F.lit(k)).alias("o"), "doc_id", "n", "c")).alias("leader"))
-        votes = grouped.join(lead, "h").where(fits & (F.col("c") != F.col("leader.c"))).groupBy(
-            F.col("doc_id").alias("x"), F.col("leader.doc_id").alias("y")).agg(F.count("*").alias("m"))
-        best = votes.groupBy("x").agg(F.max_by("y", F.struct("m", "y")).alias("y"))
-        links = written(links.unionByName(compare(best, sets)), "jaccard-found")
+    links = written(meet(*leaders(rows), sets), "jaccard-found")
+    for k in range(ROUNDS + 1):
         groups = written(components(links, groups.select("v")), "jaccard-groups")
-    return links.unionByName(compare(opened(rows, groups), sets))
+        opens = opened(rows, groups)
+        if k < ROUNDS:  # first the group that a group's tokens name most often, by one document each
+            best = opens.groupBy("c").agg(F.max_by(F.struct("doc_id", "g"), F.struct("m", "size", "g", "doc_id")).alias("b"))
+            opens = best.select("b.doc_id", "c", "b.g")
+        asks = opens.select(F.col("doc_id").alias("q"), F.col("g").alias("key"))
+        members = groups.join(asks.select(F.col("key").alias("c")).distinct(), "c", "left_semi").select(
+            F.col("v").alias("m"), F.col("c").alias("key"))
+        links = written(links.unionByName(meet(asks, members, sets, any_member=True)), "jaccard-found")
+    return links
+
+
+def fits(a, b):
+    return (100 * F.col(a) >= PERCENT * F.col(b)) & (100 * F.col(b) >= PERCENT * F.col(a))
+
+
+def leaders(rows):
+    """Each document's leader, as (those who ask, members): of the documents that lead its tokens by a random order of
+    all, the one that leads most."""
+    lead = rows.groupBy("h").agg(F.min(F.struct(F.xxhash64("doc_id").alias("o"), "doc_id", "n")).alias("leader")).select(
+        "h", F.col("leader.doc_id").alias("key"), F.col("leader.n").alias("k"))
+    votes = rows.join(lead, "h").where(fits("n", "k") & (F.col("doc_id") != F.col("key"))).groupBy(
+        F.col("doc_id").alias("m"), "key").agg(F.count("*").alias("many"))
+    members = written(votes.groupBy("m").agg(F.max_by("key", F.struct("many", "key")).alias("key")), "jaccard-votes")
+    return members.select(F.col("key").alias("q"), "key").distinct(), members
 
 
 def opened(rows, groups):
-    """Pairs of documents in groups that both open: by the token-group matrix first, then by their tokens."""
+    """(doc_id, c, g, m, size): documents of group c that open a larger group g, the number of their head tokens in the
+    union of its head tokens, and its size."""
     grouped = written(rows.join(groups.withColumnRenamed("v", "doc_id"), "doc_id"), "jaccard-grouped")
-    matrix = grouped.groupBy("h", F.col("c").alias("g")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    # A token within one group opens nothing.
-    open_ = grouped.groupBy("h").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a < b").select("h")
-    some = written(grouped.join(open_, "h", "left_semi"), "jaccard-open")
-    matrix = matrix.join(open_, "h", "left_semi")
-    bound = some.join(matrix, "h").where(
-        (F.col("c") != F.col("g")) & (100 * F.col("high") >= PERCENT * F.col("n")) & (100 * F.col("n") >= PERCENT * F.col("low")))
-    opens = written(bound.select("doc_id", "c", "g").distinct(), "jaccard-opens")
-    # Documents of c that open g, and of g that open c.
-    met = opens.join(opens.select(F.col("c").alias("g"), F.col("g").alias("c")).distinct(), ["c", "g"])
-    x = some.join(met.select("doc_id", "g"), "doc_id").select(
-        "h", F.col("doc_id").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"), F.col("g").alias("cy"))
-    y = x.select("h", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("cx").alias("cy"), F.col("cy").alias("cx"))
-    return x.where("cx < cy").join(y, ["h", "cx", "cy"]).where(
-        (100 * F.col("nx") >= PERCENT * F.col("ny")) & (100 * F.col("ny") >= PERCENT * F.col("nx"))).select("x", "y").distinct()
+    sizes = groups.groupBy("c").agg(F.count("*").alias("size"))
+    # The matrix, but for tokens within one group, which open nothing.
+    matrix = grouped.groupBy("h", "c").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    apart = matrix.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h")
+    matrix = written(matrix.join(apart, "h", "left_semi").join(sizes, "c"), "jaccard-matrix")
+    mine = grouped.join(apart, "h", "left_semi").join(sizes.withColumnRenamed("size", "own"), "c")
+    bound = mine.join(matrix.withColumnRenamed("c", "g"), "h").where(
+        (F.struct("own", "c") < F.struct("size", "g")) & (100 * F.col("high") >= PERCENT * F.col("n"))
+        & (100 * F.col("n") >= PERCENT * F.col("low")))
+    return written(bound.groupBy("doc_id", "c", "g", "size").agg(
+        F.count("*").alias("m"), F.first("n").alias("n")).where(F.col("m") >= least_shared(F.col("n"))).drop("n"), "jaccard-opens")
 
 
 def classes(docs):
