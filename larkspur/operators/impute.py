@@ -5,8 +5,7 @@ from pyspark.sql import Window, functions as F, types as T
 from larkspur.operators.columns import number_columns, text_columns
 from larkspur.schema import UNKNOWN
 
-DISTINCT_LIMIT = 100_000
-ACCURACY = 10_000
+BINS = 4_096
 
 
 def fill_unknown(df, columns=None, word=UNKNOWN):
@@ -20,11 +19,12 @@ def fill_medians(df, medians):
     return doubles.fillna(known) if known else doubles
 
 
-def fit_medians(df, columns=None, distinct_limit=DISTINCT_LIMIT):
+def fit_medians(df, columns=None, bins=BINS):
     """Exact medians of all columns as a dict, NULL and NaN ignored.
 
-    ``median`` holds a count per distinct value in one task, so it takes the columns with few
-    distinct values, in one pass. The others are first narrowed to a range around the middle.
+    The range of each column is divided into bins that are counted with map-side sums; the bin of the
+    middle rank becomes the next range, until it holds one value. A task never gathers more than the bins,
+    and a column of few or whole numbers is done after one count.
     """
     columns = list(number_columns(df) if columns is None else columns)
     if not columns:
@@ -32,19 +32,45 @@ def fit_medians(df, columns=None, distinct_limit=DISTINCT_LIMIT):
     values = df.select(*[_present(df, c).alias(c) for c in columns])
     stats = values.agg(
         F.count(F.lit(1)).alias("rows"),
-        *[F.count(c).alias(f"n_{c}") for c in columns],
-        *[F.approx_count_distinct(c).alias(f"d_{c}") for c in columns],
+        *[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("n", F.count), ("low", F.min), ("high", F.max))],
     ).first()
     if not stats["rows"]:
         raise ValueError("no rows to take medians of")
-    few = [c for c in columns if stats[f"d_{c}"] <= distinct_limit]
-    found = {}
-    if few:
-        found = values.agg(*[F.median(c).alias(c) for c in few]).first().asDict()
-    many = {c: stats[f"n_{c}"] for c in columns if c not in few}
-    if many:
-        found |= _wide_medians(values, many, distinct_limit)
-    return {c: found[c] for c in columns}
+    middle = {}  # (column, rank) -> its value
+    todo = []  # (column, rank, low, high, rows below low)
+    for c in columns:
+        for rank in {(stats[f"n_{c}"] - 1) // 2, stats[f"n_{c}"] // 2} if stats[f"n_{c}"] else ():
+            todo.append((c, rank, stats[f"low_{c}"], stats[f"high_{c}"], 0))
+    while todo:
+        for c, rank, low, high, _ in todo:
+            if low == high:
+                middle[c, rank] = low
+        todo = [t for t in todo if t[2] < t[3]]
+        if todo:
+            todo = _narrowed(values, todo, bins)
+    return {c: _mean([v for (name, _), v in middle.items() if name == c]) for c in columns}
+
+
+def _mean(ends):
+    return (min(ends) + max(ends)) / 2 if ends else None
+
+
+def _narrowed(values, todo, bins):
+    """Each rank with the range of the bin it falls into. The ends of a range lie in different bins, so every
+    step leaves fewer different values."""
+    cells = []
+    for i, (c, _, low, high, _) in enumerate(todo):
+        v = F.col(c)
+        # Halves, as the width of a range may exceed the largest number.
+        share = (v / 2 - low / 2) / (high / 2 - low / 2)
+        cell = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
+        cells.append(F.when(v.between(low, high), F.struct(F.lit(i).alias("t"), cell.alias("cell"), v.alias("v"))))
+    counted = values.select(F.explode(F.array_compact(F.array(*cells))).alias("x")).select("x.*").groupBy("t", "cell").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    upto = F.sum("n").over(Window.partitionBy("t").orderBy("cell"))
+    place = F.element_at(F.array(*[F.lit(rank - below) for _, rank, _, _, below in todo]), F.col("t") + 1)
+    hits = counted.withColumn("upto", upto).where((F.col("upto") - F.col("n") <= place) & (place < F.col("upto"))).collect()
+    return [(todo[r["t"]][0], todo[r["t"]][1], r["low"], r["high"], todo[r["t"]][4] + r["upto"] - r["n"]) for r in hits]
 
 
 def _present(df, name):
@@ -52,74 +78,3 @@ def _present(df, name):
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
         return F.when(~F.isnan(c), c)
     return c
-
-
-def _wide_medians(values, counts, distinct_limit):
-    """Shrink a range around both middle ranks until few distinct values lie in it, then count them."""
-    ranges = {c: _Range(n) for c, n in counts.items()}
-    todo = list(ranges)
-    while todo:
-        guesses = values.agg(
-            *[
-                F.percentile_approx(ranges[c].inside(c), ranges[c].shares(), ACCURACY).alias(c)
-                for c in todo
-            ]
-        ).first()
-        checks = []
-        for c in todo:
-            low, high = guesses[c]
-            checks += [
-                F.count_if(F.col(c) < low).alias(f"b_{c}"),
-                F.count_if(F.col(c) <= high).alias(f"u_{c}"),
-                F.approx_count_distinct(F.when(F.col(c).between(low, high), F.col(c))).alias(f"d_{c}"),
-            ]
-        seen = values.agg(*checks).first()
-        for c in list(todo):
-            r = ranges[c]
-            if not r.narrow(*guesses[c], seen[f"b_{c}"], seen[f"u_{c}"]) or seen[f"d_{c}"] <= distinct_limit:
-                todo.remove(c)
-    return _pick(values, ranges)
-
-
-class _Range:
-    """Values from ``low`` to ``high`` hold both middle ranks; ``below`` rows lie under ``low``."""
-
-    def __init__(self, n):
-        self.ranks = ((n - 1) // 2, n // 2)
-        self.low, self.high, self.below, self.rows = None, None, 0, n
-
-    def inside(self, name):
-        c = F.col(name)
-        return c if self.low is None else F.when(c.between(self.low, self.high), c)
-
-    def shares(self):
-        slack = 4 / ACCURACY
-        first, last = ((r - self.below) / self.rows for r in self.ranks)
-        return [max(0.0, first - slack), min(1.0, last + slack)]
-
-    def narrow(self, low, high, below, upto):
-        """Take the smaller range when it still holds both ranks; False when it gains nothing."""
-        if not (below <= self.ranks[0] and self.ranks[1] < upto and upto - below < self.rows):
-            return False
-        self.low, self.high, self.below, self.rows = low, high, below, upto - below
-        return True
-
-
-def _pick(values, ranges):
-    """The middle ranks from the counts of the distinct values that are left in each range."""
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("c"), r.inside(c).alias("v")) for c, r in ranges.items()])
-    )
-    counted = values.select(pairs.alias("p")).select("p.*").where("v is not null").groupBy("c", "v").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    upto = F.sum("n").over(Window.partitionBy("c").orderBy("v"))
-    wanted = F.lit(False)
-    for c, r in ranges.items():
-        for rank in set(r.ranks):
-            place = rank - r.below
-            wanted = wanted | ((F.col("c") == c) & (F.col("upto") - F.col("n") <= place) & (F.col("upto") > place))
-    hits = counted.withColumn("upto", upto).where(wanted).groupBy("c").agg(
-        ((F.min("v") + F.max("v")) / 2).alias("m")
-    )
-    return {r.c: r.m for r in hits.collect()}

@@ -432,6 +432,14 @@ ORACLES = {
     "event_time_formats": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT00:00:00+0000') AS event_time FROM orders""",
     "requests_accounted": with_(ASKED, """SELECT request_id, CASE WHEN k % 5 = 0 THEN 'unsupported content type'
         WHEN k % 7 = 0 THEN 'unsupported JSON' WHEN k % 7 IN (1, 2) THEN NULL ELSE 'wrong number of features' END AS reason FROM asked"""),
+    "forest_rule": """SELECT 1.0::DOUBLE AS accuracy, 1.0::DOUBLE AS "precision", 1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1_score,
+        1.0::DOUBLE AS roc_auc, 'line' AS first_feature, 1.0::DOUBLE AS train_accuracy, 'Approved' AS status""",
+    "soft_vote_multi": """SELECT l_orderkey, CAST(l_linenumber AS DOUBLE) AS line,
+        CAST((l_linenumber - 1) // 3 AS DOUBLE) AS prediction, 1.0::DOUBLE AS probability FROM lineitem""",
+    "bundle_roundtrip": with_(CLEANED, "SELECT customer_id, TRUE AS alike FROM cleaned"),
+    "batch_inference_rows": with_(PARTS, """SELECT customer_id, age, contract_type, CAST(churn AS BIGINT) AS churn,
+        TRUE AS consistent FROM infer"""),
+    "stream_score_rows": with_(CLEANED, "SELECT customer_id, 2 AS n, TRUE AS alike FROM cleaned"),
     "stream_then_batch": with_(CLEANED, """SELECT customer_id, CAST(churn AS BIGINT) AS churn,
         '2024-06-01T00:00:00+0000' AS event_time FROM cleaned"""),
     "stream_ingest": with_(CLEANED, f"SELECT *, {SENT} AS event_time FROM cleaned"),

@@ -161,7 +161,7 @@ def column_medians(spark, sf_dir):
     """Medians of line item columns, narrowed to the middle first because their values are many."""
     names = ["l_quantity", "l_extendedprice", "l_discount"]
     lines = fx.table(spark, sf_dir, "lineitem").select(*names)
-    found = impute.fit_medians(lines, names, distinct_limit=2000)
+    found = impute.fit_medians(lines, names, bins=64)
     return small_table(spark, list(found.items()), "column string, median double")
 
 
@@ -925,6 +925,77 @@ def score_requests(spark, sf_dir):
     return requests.score_requests(asked, t.model, t.preprocess, clean.clean_raw)
 
 
+def lines_by_rule(spark, sf_dir):
+    """Order lines with labels that follow from their number: two classes and three."""
+    n = F.col("l_linenumber")
+    return fx.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", n.cast("double").alias("line"), (F.col("l_orderkey") % 5).cast("double").alias("noise"),
+        (n >= 4).cast("int").alias("late"), F.floor((n - 1) / 3).cast("double").alias("third"))
+
+
+@query
+def forest_rule(spark, sf_dir):
+    """A forest on a label that follows from one feature: its measures, gate and first feature are exact."""
+    rows = lines_by_rule(spark, sf_dir).drop("third")
+    t = training.train(rows, "late", ["l_orderkey"])
+    first = t.importances(1).select(F.col("feature").alias("first_feature"))
+    found = t.evaluation().select("accuracy", "precision", "recall", "f1_score", "roc_auc")
+    fitted = t.training_metrics().select("train_accuracy")
+    return found.crossJoin(first).crossJoin(fitted).withColumn("status", F.lit(
+        training.register(t, registry.Registry(new_path(spark, "registry")), "late", new_path(spark, "model"), RUN_TS, 0.9)))
+
+
+@query
+def soft_vote_multi(spark, sf_dir):
+    """A vote over three classes that follow from a feature."""
+    rows = lines_by_rule(spark, sf_dir).select("l_orderkey", "line", "noise", "third")
+    tried = [("forest", f"depth={d}", searching.models.forest("third", 10, d), False) for d in (3, 5)]
+    found = searching.search(rows, rows, ["line"], "third", tried, "F1")
+    return searching.soft_vote(found, rows).select("l_orderkey", "line", "prediction", F.round("probability", 6).alias("probability"))
+
+
+@query
+def bundle_roundtrip(spark, sf_dir):
+    """Customers scored by a model in memory, by the same one saved and loaded, and as requests: all agree."""
+    t = trained(spark, sf_dir)
+    path = new_path(spark, "bundle")
+    t.save(path)
+    model, preprocess, _ = infer.bundle.load(spark, path)
+    rows = cleaned(spark, sf_dir)
+    own = infer.score(rows, t.model, t.preprocess, compact=True)
+    again = infer.score(rows, model, preprocess, compact=True).toDF(ID, "p2", "q2")
+    asked = requests.replay(fx.churn_raw(spark, sf_dir), ID, preprocess.features)
+    sent = requests.score_requests(asked, model, preprocess, clean.clean_raw).select(
+        F.col("request_id").alias("sent_id"), F.col("prediction").alias("p3"), F.col("probability").alias("q3"))
+    # A request's key is the raw one.
+    both = own.join(again, ID).join(sent, F.col(ID) == F.trim("sent_id"), "left")
+    alike = (F.col("prediction") == F.col("p2")) & (F.col("prediction_probability") == F.col("q2")) & (
+        F.col("prediction") == F.col("p3")) & (F.col("prediction_probability") == F.col("q3"))
+    return both.select(ID, alike.alias("alike"))
+
+
+@query
+def batch_inference_rows(spark, sf_dir):
+    """What batch scoring publishes: the input's columns, and predictions that follow from probabilities."""
+    out = batch_inference(spark, sf_dir)
+    sure = (F.col("prediction") == (F.col("prediction_probability") > 0.5).cast("int")) & F.col("prediction_probability").between(0, 1)
+    return out.select(ID, "age", "contract_type", F.col("churn").cast("long").alias("churn"), (
+        sure | (F.col("prediction_probability") == 0.5)).alias("consistent"))
+
+
+@query
+def stream_score_rows(spark, sf_dir):
+    """Rows scored as a stream and as a table have the same predictions."""
+    t = trained(spark, sf_dir)
+    path = new_path(spark, "stream-scored")
+    scoring.score_rows(write_feed(spark, sf_dir), t.model, t.preprocess, path, new_path(spark, "score-state"),
+                       clean.clean_raw).awaitTermination()
+    own = infer.score(cleaned(spark, sf_dir), t.model, t.preprocess, compact=True).toDF(ID, "p", "q")
+    both = spark.read.parquet(path).join(own, ID)
+    return both.groupBy(ID).agg(F.count("*").alias("n"), F.bool_and(
+        (F.col("prediction") == F.col("p")) & (F.col("prediction_probability") == F.col("q"))).alias("alike"))
+
+
 def written_feed(spark, sf_dir):
     """Raw rows with a text event time, each one sent twice."""
     rows = fx.churn_raw(spark, sf_dir)

@@ -23,7 +23,7 @@ def test_wide_medians_equal_plain_ones(spark, n):
         F.when(F.col("id") % 5 == 0, 1e300 * F.rand(1)).otherwise(F.col("id") * 1.0).alias("outliers"),
     ).persist()
     expected = {c: statistics.median(r[c] for r in df.collect()) for c in df.columns}
-    assert impute.fit_medians(df, distinct_limit=20) == pytest.approx(expected, rel=1e-15)
+    assert impute.fit_medians(df, bins=5) == pytest.approx(expected, rel=1e-15)
 
 
 def test_medians_of_nothing(spark):
