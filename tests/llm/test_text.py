@@ -153,3 +153,32 @@ def test_personal_held_out(spark):
     got = rows.select("kind", "label", *[c.alias(k) for k, c in named.items()]).select("kind", "label", score({k: F.col(k) for k in named}).alias("s"))
     flagged = [(r["label"], r["s"] >= limits[r["kind"]]) for r in got.collect()]
     assert sum(y for y, f in flagged if f) >= 0.9 * sum(f for _, f in flagged) and sum(f for _, f in flagged) > 100
+
+
+def near_copies(seed, n=260):
+    """Families of texts whose members differ by few to many words, so that many pairs lie near the limit, and chains."""
+    r = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    rows = []
+    for family in range(3):
+        base = [r.choice(vocabulary) for _ in range((60, 150, 400)[family])]
+        for _ in range(n // 4):
+            w = list(base)
+            for _ in range(r.randint(0, len(w) // 30)):
+                w[r.randrange(len(w))] = r.choice(vocabulary)
+            rows.append(" ".join(w))
+    chain = [r.choice(vocabulary) for _ in range(120)]
+    for _ in range(n // 4):
+        chain = chain[3:] + [r.choice(vocabulary) for _ in range(3)]
+        rows.append(" ".join(chain))
+    r.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("seed, members", [(1, 128), (2, 5)])
+def test_jaccard_near_the_limit(spark, monkeypatch, seed, members):
+    monkeypatch.setattr(jaccard, "MEMBERS", members)
+    rows = near_copies(seed)
+    got = sorted(tuple(r) for r in jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == helpers.jaccard(rows)
+    assert 1 < len({c for _, _, c in got}) < 200
