@@ -31,7 +31,7 @@ from larkspur.session import new_path
 SHINGLE = 5
 PERCENT = 80
 #: Counters of the sketch that orders tokens by frequency.
-SKETCH = 1 << 21
+SKETCH = 1 << 20
 CHUNK = 1 << 15
 #: A head has one token more for each ``EXTRA`` shingles than must be looked at, so that more than one has to be
 #: shared; bits of the filter of documents whose sets are compared.
@@ -87,33 +87,42 @@ def set_keys(docs):
     return known(docs).mapInArrow(emit, "doc_id long, n long, k1 long, k2 long")
 
 
-def tally(df, positions, counters):
-    """How often each number below ``counters`` is among the ``positions`` of the rows of ``df``. What is shuffled and
-    gathered are that many counts, whatever the data's size."""
-    part = min(CHUNK, counters)
+def tally(df, positions, counters, flags=False):
+    """How often each number below ``counters`` is among the ``positions`` of the rows of ``df``, or whether it is
+    (``flags``). What is shuffled and gathered are that many counts or bits, whatever the data's size."""
+    part = min(CHUNK * (64 if flags else 1), counters)
+
+    def packed(x):
+        return np.packbits(x > 0).tobytes() if flags else x.astype("<i8").tobytes()
+
+    def unpacked(raw):
+        return np.unpackbits(np.frombuffer(raw, np.uint8)) if flags else np.frombuffer(raw, "<i8")
 
     def count(batches):
-        total = np.zeros(counters, np.int64)
+        total = np.zeros(counters, bool if flags else np.int64)
         for batch in batches:
             for a, b in R.blocks(batch):
-                total += np.bincount(positions(batch, a, b).astype(np.int64), minlength=counters)
+                at = positions(batch, a, b).astype(np.int64)
+                if flags:
+                    total[at] = True
+                else:
+                    total += np.bincount(at, minlength=counters)
         for k in range(0, counters, part):
             if total[k:k + part].any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k // part], pa.int32()), pa.array([zlib.compress(total[k:k + part].astype("<i8").tobytes(), 1)])],
+                    [pa.array([k // part], pa.int32()), pa.array([zlib.compress(packed(total[k:k + part]), 1)])],
                     names=["part", "many"])
 
     def add(key, table):
         total = np.zeros(part, np.int64)
         for many in table.column("many").to_pylist():
-            total += np.frombuffer(zlib.decompress(many), "<i8")
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "many": [total.astype("<i8").tobytes()]})
+            total += unpacked(zlib.decompress(many))
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "many": [packed(total)]})
 
     rows = df.mapInArrow(count, "part int, many binary").groupBy("part").applyInArrow(add, "part int, many binary")
-    total = np.zeros(counters, np.int64)
+    total = np.zeros(counters, bool if flags else np.int64)
     for r in rows.toLocalIterator():
-        x = np.frombuffer(r["many"], "<i8")
-        total[r["part"] * part:][:len(x)] = x
+        total[r["part"] * part:][:part] = unpacked(bytes(r["many"]))
     return total
 
 
@@ -126,18 +135,22 @@ def sketch(docs, counters=SKETCH):
 
 
 def filter_of(ids, bits=FILTER):
-    """A filter of fixed size that lets pass all ``ids`` (column doc_id) and few others."""
+    """A filter of fixed size, as packed bits, that lets pass all ``ids`` (column doc_id) and few others."""
     def places(batch, a, b):
         h = R.mixed(ids_of(batch, a, b).astype(np.int64).view(np.uint64))
         return np.concatenate([h % np.uint64(bits), (h >> np.uint64(32)) % np.uint64(bits)])
 
     # ``blocks`` measures the second column.
-    return tally(ids.select("doc_id", F.lit("").alias("text")), places, bits) > 0
+    return np.packbits(tally(ids.select("doc_id", F.lit("").alias("text")), places, bits, flags=True))
 
 
 def passing(seen, ids):
-    h, bits = R.mixed(ids.astype(np.int64).view(np.uint64)), np.uint64(len(seen))
-    return seen[(h % bits).astype(np.int64)] & seen[((h >> np.uint64(32)) % bits).astype(np.int64)]
+    h, bits = R.mixed(ids.astype(np.int64).view(np.uint64)), np.uint64(8 * len(seen))
+
+    def holds(at):
+        return (seen[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1
+
+    return holds(h % bits) & holds((h >> np.uint64(32)) % bits)
 
 
 def least_shared(n):
