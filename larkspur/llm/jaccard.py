@@ -23,7 +23,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from larkspur.llm import repeats as R
 from larkspur.session import new_path
@@ -36,8 +36,8 @@ CHUNK = 1 << 15
 #: A head has one token more for each ``EXTRA`` shingles than must be looked at, so that more than one has to be
 #: shared; bits of the filter of documents whose sets are compared.
 EXTRA, FILTER = 20, 1 << 23
-#: Rounds in which each group opens one other, before all are opened that have to be; members in a chunk.
-ROUNDS, MEMBERS = 1, 128
+#: Rounds in which each document opens one group, before all are opened that have to be; members in a chunk.
+ROUNDS, MEMBERS = 2, 128
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -271,10 +271,7 @@ def links_of(docs, reps):
     links = written(meet(*leaders(rows), sets), "jaccard-found")
     for k in range(ROUNDS + 1):
         groups = written(components(links, groups.select("v")), "jaccard-groups")
-        opens = opened(rows, groups)
-        if k < ROUNDS:  # first the group that a group's tokens name most often, by one document each
-            best = opens.groupBy("c").agg(F.max_by(F.struct("doc_id", "g"), F.struct("m", "size", "g", "doc_id")).alias("b"))
-            opens = best.select("b.doc_id", "c", "b.g")
+        opens = largest(rows, groups) if k < ROUNDS else opened(rows, groups)
         asks = opens.select(F.col("doc_id").alias("q"), F.col("g").alias("key"))
         members = groups.join(asks.select(F.col("key").alias("c")).distinct(), "c", "left_semi").select(
             F.col("v").alias("m"), F.col("c").alias("key"))
@@ -297,21 +294,41 @@ def leaders(rows):
     return members.select(F.col("key").alias("q"), "key").distinct(), members
 
 
+def by_group(rows, groups):
+    """The head tokens with the group of each document and its size."""
+    sized = groups.join(groups.groupBy("c").agg(F.count("*").alias("size")), "c")
+    return written(rows.join(sized.withColumnRenamed("v", "doc_id"), "doc_id"), "jaccard-grouped")
+
+
+def largest(rows, groups):
+    """(doc_id, g): each document opens the group that is most often the largest one with a head token of its own. One
+    row per token and group size up what follows, so this grows with the tokens alone."""
+    grouped = by_group(rows, groups)
+    top = grouped.groupBy("h").agg(F.max(F.struct("size", "c")).alias("top")).select("h", F.col("top.size").alias("most"), F.col("top.c").alias("g"))
+    votes = grouped.join(top, "h").where(F.col("c") != F.col("g")).groupBy("doc_id", "g", "most").agg(F.count("*").alias("m"))
+    return written(votes.groupBy("doc_id").agg(F.max_by("g", F.struct("m", "most", "g")).alias("g")), "jaccard-largest")
+
+
 def opened(rows, groups):
-    """(doc_id, c, g, m, size): documents of group c that open a larger group g, the number of their head tokens in the
-    union of its head tokens, and its size."""
-    grouped = written(rows.join(groups.withColumnRenamed("v", "doc_id"), "doc_id"), "jaccard-grouped")
-    sizes = groups.groupBy("c").agg(F.count("*").alias("size"))
-    # The matrix, but for tokens within one group, which open nothing.
-    matrix = grouped.groupBy("h", "c").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    apart = matrix.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h")
-    matrix = written(matrix.join(apart, "h", "left_semi").join(sizes, "c"), "jaccard-matrix")
-    mine = grouped.join(apart, "h", "left_semi").join(sizes.withColumnRenamed("size", "own"), "c")
+    """(doc_id, g): documents that open a group not smaller than their own, as enough of their head tokens stand in
+    the union of its head tokens, and the sizes in it can match.
+
+    Tokens within one group open nothing. A document with fewer other tokens than it has to share is left out, and of
+    the others' the most common ones are: a document that shares k of s tokens has one of any s - k + 1.
+    """
+    grouped = by_group(rows, groups)
+    # The matrix: how many groups have a token, and in each the sizes of documents with it.
+    matrix = written(grouped.groupBy("h", "c", "size").agg(F.min("n").alias("low"), F.max("n").alias("high")), "jaccard-matrix")
+    apart = matrix.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
+    mine = grouped.join(apart, "h").withColumnRenamed("size", "own")
+    ranked = Window.partitionBy("doc_id").orderBy("k", "h")
+    mine = mine.withColumn("s", F.count("*").over(Window.partitionBy("doc_id"))).withColumn("place", F.row_number().over(ranked))
+    need = least_shared(F.col("n"))
+    mine = written(mine.where((F.col("s") >= need) & (F.col("place") <= F.col("s") - need + 1)).drop("s", "place"), "jaccard-mine")
     bound = mine.join(matrix.withColumnRenamed("c", "g"), "h").where(
         (F.struct("own", "c") < F.struct("size", "g")) & (100 * F.col("high") >= PERCENT * F.col("n"))
         & (100 * F.col("n") >= PERCENT * F.col("low")))
-    return written(bound.groupBy("doc_id", "c", "g", "size").agg(
-        F.count("*").alias("m"), F.first("n").alias("n")).where(F.col("m") >= least_shared(F.col("n"))).drop("n"), "jaccard-opens")
+    return written(bound.select("doc_id", "g").distinct(), "jaccard-opens")
 
 
 def classes(docs):
