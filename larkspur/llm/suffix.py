@@ -135,10 +135,16 @@ def window_runs(live, n, short, buckets):
     return live.mapInArrow(emit, "bucket int, h long, doc_id long, a long, piece binary")
 
 
+def one_of_each_id(rows):
+    """One of the copies of each doc_id. Only where ids repeat are texts shuffled; else it is a count of the ids."""
+    again = rows.groupBy(F.col("doc_id").alias("d")).agg(F.count("*").alias("copies")).where("d is not null and copies > 1")
+    return rows if again.isEmpty() else rows.where("doc_id is not null").dropDuplicates(["doc_id"])
+
+
 def repeated(docs, n=BYTES, short=SHORT):
     """(doc_id, a, z): bytes a..z-1 are covered by strings that start elsewhere too."""
     spark = docs.sparkSession
-    every = R.slim(docs)
+    every = one_of_each_id(R.slim(docs))
     path = new_path(spark, "suffix-shared")
     R.common(R.places_rows(every, "bytes", n, min(short, n)), F.sum("n") > 1).write.parquet(path)
     found = spark.read.schema("doc_id long, hs array<long>, hot array<long>").parquet(path)

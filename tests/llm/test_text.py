@@ -67,6 +67,15 @@ def test_suffix(spark, monkeypatch, n, short, hot):
     assert sorted(r[2] for r in got if r[0] is None) == [0, 0]
 
 
+@pytest.mark.parametrize("hot", [5000, 2])
+def test_suffix_repeated_rows_are_one_document(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)
+    rows = ROWS + [(901, " ".join(f"alone{k}" for k in range(100)))]
+    out = suffix.dedup(table(spark, rows + rows[-1:] * 3 + rows[:70]), 200, 64).withColumn("k", F.size("removed"))
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["k"], r["kept_sha256"]) for r in out.collect()]
+    assert sorted(set(got)) == helpers.suffix(rows, 200) and len(got) == len(rows) + 73
+
+
 def test_levels_grow_geometrically():
     r = random.Random(2)
     text = bytes(r.choice(b"ab") for _ in range(4000))
