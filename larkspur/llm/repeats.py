@@ -168,8 +168,8 @@ def level_rows(docs, unit, n, short):
 
 
 def places_rows(docs, unit, n, short):
-    """(h, doc_id, n) for the stand-ins of every document, once each, with the number of their places
-    (two stand for more): a stand-in may be found again in its own document, next to itself too."""
+    """(h, doc_id, n) for the stand-ins of every document, once each, with the number of their places:
+    a stand-in may be found again in its own document, next to itself too."""
 
     def emit(batches):
         for batch in batches:
@@ -184,7 +184,7 @@ def places_rows(docs, unit, n, short):
                 order = np.lexsort((h, doc))
                 h, doc = h[order], doc[order]
                 first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])]))
-                times = np.minimum(np.diff(np.concatenate([first, [len(h)]])), 2)
+                times = np.diff(np.concatenate([first, [len(h)]]))
                 ids = np.asarray(batch.column(0)[a:b])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[first].view(np.int64)), pa.array(ids[doc[first]]), pa.array(times.astype(np.int64))],
@@ -193,20 +193,23 @@ def places_rows(docs, unit, n, short):
     return docs.where("doc_id is not null and text is not null").mapInArrow(emit, "h long, doc_id long, n long")
 
 
-#: Stand-ins in more documents than this are dealt out window by window instead of together.
+#: Stand-ins in more rows or places than this are dealt out window by window instead of together.
 HOT = 5_000
 
 
-def common(rows, apart):
-    """(doc_id, hs, hot) for documents with stand-ins for which ``apart``, an aggregate, holds.
+def common(rows, apart, places=None):
+    """(doc_id, hs, hot, n) for documents with stand-ins for which ``apart``, an aggregate, holds. ``places`` is the
+    number of places that a row stands for (one); ``n`` sums up those of stand-ins that aren't hot.
 
     Counting sums up before the shuffle, and the join back has one row per stand-in on its other side, so
     hot ones can be split.
     """
-    shared = rows.groupBy("h").agg(apart.alias("apart"), F.count("*").alias("m")).where("apart").select(
+    places = F.lit(1) if places is None else places
+    shared = rows.groupBy("h").agg(apart.alias("apart"), F.sum(places).alias("m")).where("apart").select(
         F.col("h").alias("g"), (F.col("m") > HOT).alias("is_hot"))
     return rows.join(shared, F.col("h") == F.col("g")).groupBy("doc_id").agg(
-        F.collect_set("h").alias("hs"), F.collect_set(F.when(F.col("is_hot"), F.col("h"))).alias("hot"))
+        F.collect_set("h").alias("hs"), F.collect_set(F.when(F.col("is_hot"), F.col("h"))).alias("hot"),
+        F.sum(F.when(~F.col("is_hot"), places).otherwise(0)).alias("n"))
 
 
 def live_windows(batch, a, b, unit, n, short, hot, second):

@@ -6,7 +6,7 @@ another document; matches never cross documents and are judged on the input. Can
 buckets of bounded size. In each bucket new windows come in batches: a batch gets a suffix array (its windows in
 the order of their bytes), is merge-scanned against the arrays of the existing levels for matches of ``n``
 bytes, and becomes a level; levels of equal size merge, so there are about log2 of the number of batches.
-Stand-ins in very many places are instead decided window by window over 128-bit hashes, so that no bucket
+Stand-ins in very many places, of many documents or of few, are instead decided window by window over 128-bit hashes, so that no bucket
 grows with one passage.
 
 Text counts as UTF-8; null text as empty. doc_id is the key: repeated rows of one id must be copies, which
@@ -146,10 +146,10 @@ def repeated(docs, n=BYTES, short=SHORT):
     spark = docs.sparkSession
     every = one_of_each_id(R.slim(docs))
     path = new_path(spark, "suffix-shared")
-    R.common(R.places_rows(every, "bytes", n, min(short, n)), F.sum("n") > 1).write.parquet(path)
-    found = spark.read.schema("doc_id long, hs array<long>, hot array<long>").parquet(path)
-    live = every.join(found.withColumnRenamed("doc_id", "d"), F.col("doc_id") == F.col("d")).drop("d")
-    size = found.agg(F.sum(F.size("hs")), F.sum(F.size("hot"))).first()
+    R.common(R.places_rows(every, "bytes", n, min(short, n)), F.sum("n") > 1, F.col("n")).write.parquet(path)
+    found = spark.read.schema("doc_id long, hs array<long>, hot array<long>, n long").parquet(path)
+    live = every.join(found.withColumnRenamed("doc_id", "d"), F.col("doc_id") == F.col("d")).drop("d", "n")
+    size = found.agg(F.sum("n"), F.sum(F.size("hot"))).first()
     buckets = max(1, -(-(size[0] or 0) // BUCKET))
     spans = window_runs(live, n, min(short, n), buckets).groupBy("bucket").applyInPandas(decide(n), SPANS)
     if size[1]:

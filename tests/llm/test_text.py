@@ -76,6 +76,22 @@ def test_suffix_repeated_rows_are_one_document(spark, monkeypatch, hot):
     assert sorted(set(got)) == helpers.suffix(rows, 200) and len(got) == len(rows) + 73
 
 
+def test_suffix_buckets_are_bounded_by_places(spark, monkeypatch):
+    """A passage in very many places of two documents is hot, and the rest is dealt by its places."""
+    monkeypatch.setattr(repeats, "HOT", 100)
+    monkeypatch.setattr(suffix, "BUCKET", 100)
+    r, dealt, runs = random.Random(5), [], suffix.window_runs
+    parts = ["".join(r.choice("abcdefgh") for _ in range(260)) for _ in range(12)]
+    rows = [(d, "".join(parts[0] + f" {d} {k} " for k in range(120))) for d in range(2)]
+    rows += [(5 + d, "".join(p + f" {d} {k} " for k in range(20) for p in parts[1:])) for d in range(2)]
+    monkeypatch.setattr(suffix, "window_runs", lambda *x: dealt.append(runs(*x)) or dealt[0])
+    out = suffix.dedup(table(spark, rows), 200, 64).withColumn("k", F.size("removed"))
+    assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["k"], r["kept_sha256"]) for r in out.collect()) == helpers.suffix(rows, 200)
+    assert dealt[0].groupBy("h").count().agg(F.max("count")).first()[0] <= 100
+    sizes = [r["count"] for r in dealt[0].groupBy("bucket").count().collect()]
+    assert len(sizes) > 5 and max(sizes) <= sum(sizes) / 2
+
+
 def test_levels_grow_geometrically():
     r = random.Random(2)
     text = bytes(r.choice(b"ab") for _ in range(4000))
