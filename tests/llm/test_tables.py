@@ -170,6 +170,17 @@ def test_licences(spark):
     assert licences.scan(docs.limit(0)).count() == 0
 
 
+def test_licences_in_any_spelling(spark):
+    forms = (str.upper, str.lower, str.title, lambda t: t.replace(" ", "-"))
+    rows = [(f, form(t)) for f, texts in licences.TEMPLATES.items() for t in texts for form in forms]
+    rows += [("CC-BY", "cc-by 4.0"), ("CC-BY-SA", "CC-BY-SA 4.0"), ("CC-BY", "Creative Commons Attribution 4.0")]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["family"] for r in licences.scan(docs).collect()}
+    assert len(got) == len(rows)
+    wrong = [(f, t, got[i]) for i, (f, t) in enumerate(rows[:-3]) if got[i] != f]
+    assert not wrong
+
+
 def test_licences_held_out(spark):
     rows = [(i, t, f) for i, (t, f) in enumerate(licences.examples(seed=77, each=20))]
     got = {r["doc_id"]: r["family"] for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string, f string")).collect()}
