@@ -23,6 +23,12 @@ SENTENCE_WORDS = 3
 MAX_SYMBOL_RATE, MAX_SEPARATOR_RATE, MAX_SHOUT_RATE = 0.5, 0.3, 0.5
 ENDS = ".!?…。！？:;\"'”’»)]"
 INNER_END = r"[.!?…] "
+#: Sentence ends of further scripts, which `sentences` takes beside ENDS.
+SCRIPT_ENDS = "।॥؟۔።፧፨။៕។།։"
+ANY_END = r"[" + ENDS.replace("]", r"\]") + SCRIPT_ENDS + r"]\s*+$|[.!?…" + SCRIPT_ENDS + r"]\s"
+#: Line breaks inside a paragraph: the next line goes on in small letters or a script without capitals, or with any
+#: letter after a line of a usual width.
+INSIDE = r"(?<=\S[ \t\r]{0,2})\n(?=[\p{Ll}\p{Lo}])|(?<=[^\n]{45})\n(?=\p{L})"
 SEPARATORS = ("|", "›", "»", "•", ">", "·", "::")
 NAVIGATION = (
     r"(?i)^\W*(home|menu|next|previous|prev|back|log ?in|log ?out|sign (in|up)|register|search|share|print|"
@@ -110,6 +116,19 @@ def ends_sentence(line: Column) -> Column:
     return F.instr(F.lit(ENDS), last).cast("boolean") | line.rlike(INNER_END)
 
 
+def sentences(text: Column) -> Column:
+    """Whether each line ends or holds the end of a sentence, in any script, or is followed by one that does in the
+    same paragraph."""
+    marked = F.regexp_replace(F.replace(text, F.lit("\x01"), F.lit(" ")), INSIDE, "\x01")
+
+    def upto_last(ends):
+        last = F.size(ends) - F.array_position(F.reverse(ends), True)
+        return F.when(F.array_contains(ends, True), F.transform(ends, lambda _, i: i <= last)).otherwise(ends)
+
+    return F.flatten(F.transform(F.split(marked, "\n", -1), lambda paragraph: let(
+        F.transform(F.split(paragraph, "\x01", -1), lambda line: line.rlike(ANY_END)), upto_last)))
+
+
 def line_rule(x: Column, doc: Column) -> Column:
     """The rule that a line with its number of words fails, or null. Lines without a word pass.
 
@@ -127,7 +146,7 @@ def line_rule(x: Column, doc: Column) -> Column:
               F.lit("boilerplate"))
         .when(doc["shouts"] & (F.when(doc["shouts"], shouting) > MAX_SHOUT_RATE * n), F.lit("boilerplate"))
         .when(doc["phrases"] & holds_any(F.lower(line), BOILERPLATE), F.lit("boilerplate"))
-        .when((n >= SENTENCE_WORDS) & ~ends_sentence(line), F.lit("punctuation"))
+        .when((n >= SENTENCE_WORDS) & ~x["ends"], F.lit("punctuation"))
     )
 
 
@@ -135,9 +154,14 @@ def failing(rules: Column, rule: str) -> Column:
     return F.size(F.filter(rules, lambda x: x == rule)).cast("long").alias(f"lost_{rule}")
 
 
-def measures(text: Column) -> Column:
-    """A struct of the counts of a text, the lines lost to each rule and what is left of it."""
-    lines = F.transform(F.split(text, "\n", -1), lambda x: F.struct(x.alias("line"), n_words(x).alias("n")))
+def measures(text: Column, wrapped=False) -> Column:
+    """A struct of the counts of a text, the lines lost to each rule and what is left of it. ``wrapped`` judges the end
+    of a line with its paragraph (``sentences``), else each line is judged alone, as in SQL."""
+    split = F.split(text, "\n", -1)
+    if wrapped:
+        lines = F.zip_with(split, sentences(text), lambda x, e: F.struct(x.alias("line"), n_words(x).alias("n"), e.alias("ends")))
+    else:
+        lines = F.transform(split, lambda x: F.struct(x.alias("line"), n_words(x).alias("n"), ends_sentence(x).alias("ends")))
 
     def doc(symbols):
         return F.struct(
@@ -176,7 +200,7 @@ def clean(docs, text="text", keep=("doc_id",), max_lost=MAX_LOST, min_words=MIN_
     """The columns ``keep`` of each document, its counts, the lines lost to each rule, its cleaned text and
     whether it is kept. The columns of ``docs`` that aren't named are not read."""
     t = F.coalesce(F.col(text), F.lit(""))
-    out = docs.select(*[F.col(c) for c in keep], t.alias("_t"), let(t, measures).alias("_m"))
+    out = docs.select(*[F.col(c) for c in keep], t.alias("_t"), let(t, lambda x: measures(x)).alias("_m"))
     lines = [f"_m.rest.lines.by.lost_{r}" for r in ("punctuation", "navigation", "boilerplate")]
     out = out.select(*keep, "_m.words.n_words", "_m.words.word_chars", "_m.rest.n_symbols",
                      "_m.rest.lines.n_dup_lines", "_m.words.n_repeat_words", *lines,
@@ -192,8 +216,10 @@ def clean(docs, text="text", keep=("doc_id",), max_lost=MAX_LOST, min_words=MIN_
 
 
 def kept_docs(docs, text="text"):
-    """The rows of ``docs`` that are kept, their failing lines removed; all columns stay, whatever their names."""
-    out = docs.withColumn("_quality_", F.struct(let(F.coalesce(F.col(text), F.lit("")), measures).alias("m")))
+    """The rows of ``docs`` that are kept, their failing lines removed; all columns stay, whatever their names. Lines
+    inside a wrapped paragraph and sentence ends of all scripts count as prose."""
+    out = docs.withColumn("_quality_", F.struct(let(
+        F.coalesce(F.col(text), F.lit("")), lambda t: measures(t, wrapped=True)).alias("m")))
     m = "_quality_.m"
     left = F.col(f"{m}.rest.lines.by.left")
     words, n, repeated = (F.col(f"{m}.words.{c}") for c in ("word_chars", "n_words", "n_repeat_words"))

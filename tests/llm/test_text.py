@@ -3,6 +3,7 @@
 import os
 import random
 import sys
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,6 +143,24 @@ def test_quality_lines(spark):
     assert [x["text"] for x in kept] == [prose_] * 3 and kept[0]["n_words"] == "x"
 
 
+def test_quality_keeps_wrapped_and_other_scripts(spark):
+    r, rows = random.Random(6), []
+    for width, capitals in ((60, False), (76, False), (70, True)):
+        words = []
+        for _ in range(12):
+            s = ["".join(r.choice("abcdefg") for _ in range(r.randint(2, 8))) for _ in range(20)]
+            s = [w.title() if capitals and k % 3 == 0 else w for k, w in enumerate(s)]
+            words += [s[0].title(), *s[1:-1], s[-1] + "."]
+        rows.append((len(rows), textwrap.fill(" ".join(words), width)))
+    for letters, end in (("कखगघचछजट", "।"), ("ابتثجحخد", "۔"), ("ሀለሐመሠረሰ", "።"), ("ကခဂဃင", "။")):
+        for lines in ("\n", " "):
+            rows.append((len(rows), lines.join(" ".join(
+                "".join(r.choice(letters) for _ in range(r.randint(2, 6))) for _ in range(12)) + end for _ in range(8))))
+    fragments = "\n".join(" ".join("".join(r.choice("abcdefg") for _ in range(5)) for _ in range(4)) for _ in range(30))
+    kept = {x["doc_id"]: x["text"] for x in quality.kept_docs(table(spark, [*rows, (len(rows), fragments)])).collect()}
+    assert kept == dict(rows)
+
+
 def test_quality_labels(spark, sf_dir):
     kept = quality.clean(spark.read.parquet(f"{sf_dir}/documents.parquet")).where("not base_failed")
     both = kept.join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id")
