@@ -19,7 +19,7 @@ MAX_LOST = 0.3
 SYMBOLS = "#*$%&|<>"
 #: A line of at least so many words has to end a sentence.
 SENTENCE_WORDS = 3
-#: Symbols a word, separators a word, and shouting words a word, beyond which a line is no prose.
+#: Symbols a word and shouting words a word beyond which, and separators a word from which on, a line is no prose.
 MAX_SYMBOL_RATE, MAX_SEPARATOR_RATE, MAX_SHOUT_RATE = 0.5, 0.3, 0.5
 ENDS = ".!?…。！？:;\"'”’»)]"
 INNER_END = r"[.!?…] "
@@ -139,7 +139,7 @@ def line_rule(x: Column, doc: Column) -> Column:
     shouting = F.length(line) - F.length(F.replace(line, F.lit("!!"), F.lit("!")))
     return (
         F.when(n == 0, F.lit(None).cast("string"))
-        .when(doc["separators"] & (F.when(doc["separators"], separators) > MAX_SEPARATOR_RATE * n),
+        .when(doc["separators"] & (F.when(doc["separators"], separators) >= MAX_SEPARATOR_RATE * n),
               F.lit("navigation"))
         .when((n <= 4) & line.rlike(NAVIGATION), F.lit("navigation"))
         .when(doc["symbols"] & (F.when(doc["symbols"], symbols_in(line)) > MAX_SYMBOL_RATE * n),

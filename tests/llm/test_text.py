@@ -143,6 +143,13 @@ def test_quality_lines(spark):
     assert [x["text"] for x in kept] == [prose_] * 3 and kept[0]["n_words"] == "x"
 
 
+def test_quality_separators_at_the_limit(spark):
+    """Ten words with three separators are navigation, as in SQL (>=); eleven words are not."""
+    rows = [(1, "a | b | c | d e f g."), (2, "a | b | c | d e f g h.")]
+    got = {x["doc_id"]: x["lost_navigation"] for x in quality.clean(table(spark, rows)).collect()}
+    assert got == {1: 1, 2: 0}
+
+
 def test_quality_keeps_wrapped_and_other_scripts(spark):
     r, rows = random.Random(6), []
     for width, capitals in ((60, False), (76, False), (70, True)):
