@@ -4,8 +4,10 @@ Centroids are fitted on a bounded sample (``SAMPLE`` vectors, those with the sma
 clusters are halved until none has more than its share, so the lists are balanced. Every vector is put into
 the list of its nearest centroid, and boundary vectors also into those of further centroids whose distance is at
 most ``REPLICATE`` times the nearest. A query finds centroids by best-first search through a graph of their
-neighbours, held in memory, and opens the lists whose centroid is at most ``OPEN`` times as far as the nearest.
-Lists are cut into cells of bounded size; queries meet the vectors of a cell in blocks.
+neighbours, held in memory, and opens the lists whose centroid is at most ``OPEN`` times as far as the nearest. Only that
+ratio ends the search, so the number of open lists grows with the input where vectors are spread evenly.
+Lists are gathered or cut into cells of bounded size; a query is sent once to each cell with a list that it opens, and
+queries meet the vectors of a cell in blocks.
 
 Of equal vectors only the ``k`` + 1 with the smallest ids can be among the nearest ``k`` of anything, so the rest
 is left out of the lists (not of the queries): a vector that holds a third of all rows fills no list.
@@ -26,9 +28,10 @@ SAMPLE = 16_384
 MAX_LISTS = 2_048
 LIST_SIZE = 256
 REPLICAS, REPLICATE = 4, 1.15
-BEAM, OPEN, LEAST_OPEN = 64, 1.5, 12
+OPEN, LEAST_OPEN = 1.5, 12
 DEGREE = 24
-CELL = 20_000
+#: Vectors in a cell, and queries that meet it in one task.
+CELL, ASKED = 20_000, 50_000
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -74,21 +77,35 @@ def graph(centres, degree=DEGREE):
     return near
 
 
-def search_graph(q, centres, links, beam=BEAM, entries=8):
-    """Indices and similarities of the best centroids found from a few fixed entries, best first."""
-    step = max(1, len(centres) // entries)
-    frontier = list(range(0, len(centres), step))
-    seen = dict(zip(frontier, centres[frontier] @ q))
-    expanded = set()
+def search_graph(q, centres, links, entries=8):
+    """Indices of all centroids found, from a few fixed entries, that are at most ``OPEN`` times as far as the nearest
+    or among the ``LEAST_OPEN`` nearest. The search goes on until all of these have been expanded."""
+    dist = np.full(len(centres), np.inf)
+    expanded = np.zeros(len(centres), bool)
+    new = np.arange(0, len(centres), max(1, len(centres) // entries))
     while True:
-        best = sorted(seen, key=lambda c: (-seen[c], c))[:beam]
-        todo = [c for c in best if c not in expanded][:8]
-        if not todo:
-            return best, [seen[c] for c in best]
-        expanded.update(todo)
-        new = [c for c in dict.fromkeys(links[todo].ravel().tolist()) if c not in seen]
-        if new:
-            seen.update(zip(new, (centres[new] @ q).tolist()))
+        dist[new] = np.sqrt(np.maximum(2 - 2 * (centres[new] @ q), 0))
+        few = min(LEAST_OPEN, len(centres)) - 1
+        use = np.isfinite(dist) & (dist <= max(OPEN * dist.min() + 1e-6, np.partition(dist, few)[few]))
+        todo = np.flatnonzero(use & ~expanded)
+        if not len(todo):
+            return np.flatnonzero(use)
+        expanded[todo] = True
+        new = np.unique(links[todo])
+        new = new[np.isinf(dist[new])]
+
+
+def cells_of(sizes, lists):
+    """The first cell and the number of cells of each list: lists next to each other share a cell up to ``CELL``
+    vectors, larger ones have several of their own. Also the number of cells."""
+    first, many, cell, held = np.zeros(lists, np.int32), np.ones(lists, np.int32), 0, 0
+    for x in range(lists):
+        n = sizes.get(x, 0)
+        if held and held + n > CELL:
+            cell, held = cell + 1, 0
+        first[x], many[x] = cell, max(1, -(-n // CELL))
+        cell, held = (cell + int(many[x]), 0) if n > CELL else (cell, held + n)
+    return first, many, cell + 1
 
 
 def usable(vectors):
@@ -105,7 +122,8 @@ def cell_search(k):
     def search(key, cands, queries):
         if not len(cands) or not len(queries):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        c, ids = np.stack(cands["v"].to_numpy()), cands["vec_id"].to_numpy()
+        ids, one = np.unique(cands["vec_id"].to_numpy(), return_index=True)  # a vector may stand in several lists of a cell
+        c = np.stack(cands["v"].to_numpy()[one])
         cn, out = np.linalg.norm(c, axis=1), []
         cu = c / cn[:, None]
         for a in range(0, len(queries), 512):
@@ -157,41 +175,42 @@ def nearest(vectors, k=5, is_query=None, sample=SAMPLE, list_size=LIST_SIZE, max
             yield pd.DataFrame({"list": near[r, j].astype("int32"), "vec_id": b["vec_id"].to_numpy()[r],
                                 "v": b["v"].to_numpy()[r]})
 
+    posted = new_path(spark, "ann-lists")
+    kept.mapInPandas(post, "list int, vec_id long, v array<double>").write.parquet(posted)
+    lists = spark.read.schema("list int, vec_id long, v array<double>").parquet(posted)
+    sizes = {r["list"]: r["n"] for r in lists.groupBy("list").agg(F.count("*").alias("n")).collect()}
+    first, many, cells = cells_of(sizes, len(centres))
+    table = F.broadcast(spark.createDataFrame(
+        [(x, int(a), int(n)) for x, (a, n) in enumerate(zip(first, many))], "list int, first int, cells int"))
+    lists = lists.join(table, "list").select(
+        (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("cells"))).cast("int").alias("cell"), "vec_id", "v")
+
     def choose(batches):
         c, links = held.value
         for b in batches:
             out = []
             for i, v in zip(b["vec_id"], b["v"]):
-                best, sims = search_graph((v / np.linalg.norm(v)).astype(np.float32), c, links)
-                d = np.sqrt(np.maximum(2 - 2 * np.array(sims), 0))
-                use = (d <= OPEN * d[0] + 1e-6) | (np.arange(len(d)) < LEAST_OPEN)
-                out += [(int(x), i, v) for x, y in zip(best, use) if y]
-            yield pd.DataFrame(out, columns=["list", "query_id", "v"]).astype({"list": "int32"})
+                use = search_graph((v / np.linalg.norm(v)).astype(np.float32), c, links)
+                opens = {int(first[x]) + k for x in use for k in range(many[x])}
+                out += [(x, i, v) for x in sorted(opens)]
+            yield pd.DataFrame(out, columns=["cell", "query_id", "v"]).astype({"cell": "int32"})
 
-    posted = new_path(spark, "ann-lists")
-    kept.mapInPandas(post, "list int, vec_id long, v array<double>").write.parquet(posted)
-    lists = spark.read.schema("list int, vec_id long, v array<double>").parquet(posted)
-    sizes = {r["list"]: r["n"] for r in lists.groupBy("list").agg(F.count("*").alias("n")).collect()}
-    cells = F.broadcast(spark.createDataFrame(
-        [(x, -(-n // CELL)) for x, n in sizes.items()] or [(0, 1)], "list int, cells int"))
-    lists = lists.join(cells, "list").withColumn(
-        "cell", F.pmod(F.xxhash64("vec_id"), F.col("cells")).cast("int"))
+    queries = rows.where(is_query if is_query is not None else F.lit(True))
+    blocks = max(1, -(-queries.count() // ASKED))
 
     def meet(asked):
-        asked = asked.join(cells, "list").select(
-            "list", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), "query_id", "v")
-        return lists.select("list", "cell", "vec_id", "v").groupBy("list", "cell").cogroup(
-            asked.groupBy("list", "cell")).applyInPandas(cell_search(k), FOUND)
+        asked = asked.select("cell", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"), "query_id", "v")
+        return lists.select("cell", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vec_id", "v").groupBy(
+            "cell", "block").cogroup(asked.groupBy("cell", "block")).applyInPandas(cell_search(k), FOUND)
 
-    queries = rows.where(is_query if is_query is not None else F.lit(True))
     found = new_path(spark, "ann-found")
     asked = queries.select("vec_id", "v").repartition(F.col("vec_id"))
-    meet(asked.mapInPandas(choose, "list int, query_id long, v array<double>")).write.parquet(found)
+    meet(asked.mapInPandas(choose, "cell int, query_id long, v array<double>")).write.parquet(found)
     got = spark.read.schema(FOUND).parquet(found).distinct()
     enough = got.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= min(k, max(count - 1, 0)))
     short = queries.select(F.col("vec_id").alias("query_id"), "v").join(enough, "query_id", "left_anti")
     again = new_path(spark, "ann-again")
-    meet(short.withColumn("list", F.explode(F.sequence(F.lit(0), F.lit(len(centres) - 1))))).write.parquet(again)
+    meet(short.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))).write.parquet(again)
     got = got.unionByName(spark.read.schema(FOUND).parquet(again)).distinct()
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return got.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k).select(

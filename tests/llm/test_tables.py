@@ -117,6 +117,18 @@ def test_neighbours_recall(spark):
     assert all(len(v) == 5 for v in found.values())
 
 
+def test_neighbours_recall_beyond_64_lists(spark, monkeypatch):
+    """Spread-out vectors, where a query's neighbours lie in more lists than a fixed number would open."""
+    monkeypatch.setattr(neighbours, "CELL", 60)
+    monkeypatch.setattr(neighbours, "ASKED", 20, raising=False)
+    points = np.random.default_rng(4).normal(size=(6000, 32)).astype(np.float32)
+    rows = [(i, [float(x) for x in p], "x", 1) for i, p in enumerate(points)]
+    got = neighbours.nearest(vectors(spark, rows), 5, F.col("vec_id") % 100 == 0, list_size=10).collect()
+    want = brute(rows, range(0, 6000, 100), 5)
+    found = {q: {x["vec_id"] for x in got if x["query_id"] == q} for q in want}
+    assert sum(len(found[q] & set(v)) for q, v in want.items()) >= 0.94 * 5 * len(want)
+
+
 def mixture(spark):
     rows = [(i, "w " * (i % 7), "hot") for i in range(900)] + [(1000 + i, "a b c", "mid") for i in range(90)]
     rows += [(2000 + i, "a b", None) for i in range(10)] + [(3000, None, "void"), (3001, "", "void"), (None, "x y", "mid")]
