@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
 
-from larkspur.llm import jaccard, licences, mixing, neighbours, packing, pii, quality, substring, suffix, warc
+from larkspur.llm import jaccard, licences, mixing, neighbours, packing, pii, quality, substring, suffix, trie, warc
 
 
 def quoted(text):
@@ -90,12 +90,51 @@ JACCARD_SQL = f"""
     SELECT docs.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(r) AS component_id
     FROM docs JOIN reached ON v = docs.doc_id LEFT JOIN sizes ON sizes.doc_id = docs.doc_id GROUP BY docs.doc_id"""
 
+#: CRC-32 of the decimal id, bit by bit.
+CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+            string_split(CAST(conv_id AS VARCHAR), ''), lambda z: CAST(ascii(z) AS BIGINT))), lambda a, z: list_reduce(
+            list_prepend(xor(a, z), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]),
+            lambda s, u: CASE WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END)), 4294967295)"""
+TRIE_SQL = f"""
+    WITH t AS (
+        SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS i
+        FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (
+        SELECT conv_id, n, conv_id - conv_id % {trie.FAMILY} AS base, {CRC} % {trie.SHARED} AS h
+        FROM (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id)),
+    rebuilt AS (
+        SELECT c.conv_id, t.i AS d, r, x FROM c JOIN t ON t.conv_id = c.base AND t.i <= h
+        UNION ALL
+        SELECT c.conv_id, t.i - c.h + least(c.h, coalesce(b.n, 0)), r, x
+        FROM c JOIN t ON t.conv_id = c.conv_id LEFT JOIN c b ON b.conv_id = c.base WHERE t.i > c.h),
+    steps AS (
+        SELECT conv_id, d, x, list([r, x]) OVER (PARTITION BY conv_id ORDER BY d) AS p FROM rebuilt
+        UNION ALL SELECT conv_id, 0, '', [] FROM c),
+    nodes AS (SELECT p, len(p) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(len(x)) AS chars FROM steps GROUP BY p),
+    children AS (SELECT p[:depth - 1] AS p, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+    valued AS (
+        SELECT nodes.*, coalesce(n_children, 0) AS n_children, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf
+        FROM nodes LEFT JOIN children USING (p)),
+    sums AS (
+        SELECT p[:i] AS p, sum(leaf) AS n_leaves, sum((n_convs - 1) * chars) AS saved_tokens
+        FROM (SELECT *, unnest(range(depth + 1)) AS i FROM valued) GROUP BY ALL),
+    lasts AS (SELECT conv_id, max(d) AS d FROM steps GROUP BY conv_id),
+    ends AS (
+        SELECT p, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+        FROM steps JOIN lasts USING (conv_id, d) GROUP BY p)
+    SELECT v.conv_id, v.depth, up.conv_id AS parent_conv_id, v.n_convs, v.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+        CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+    FROM valued v JOIN sums USING (p) LEFT JOIN ends USING (p)
+    LEFT JOIN nodes up ON v.depth > 0 AND up.p = v.p[:v.depth - 1]"""
+
 QUERIES = {f.__name__: f for f in (
     quality.op1_quality_rules, substring.op2_substring_dedup, packing.op3_best_fit_packing, licences.op4_licence_scan, warc.op5_warc,
     suffix.op6_suffix_array_dedup, jaccard.op7_ngram_jaccard_join,
-    pii.op8_pii,     neighbours.op9_nearest_neighbours, mixing.op10_temperature_mixing,
+    pii.op8_pii, neighbours.op9_nearest_neighbours, mixing.op10_temperature_mixing, trie.op11_prefix_trie,
 )}
 ORACLES = {
+    "op11_prefix_trie": TRIE_SQL,
     "op7_ngram_jaccard_join": JACCARD_SQL,
     "op1_quality_rules": QUALITY_SQL,
     "op2_substring_dedup": SUBSTRING_SQL,
