@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
 
-from larkspur.llm import alignment, jaccard, licences, mixing, neighbours, packing, pii, quality, substring, suffix, trie, warc
+from larkspur.llm import alignment, jaccard, licences, lm, mixing, neighbours, packing, pii, quality, substring, suffix, trie, warc
 
 
 def quoted(text):
@@ -132,7 +132,7 @@ QUERIES = {f.__name__: f for f in (
     quality.op1_quality_rules, substring.op2_substring_dedup, packing.op3_best_fit_packing, licences.op4_licence_scan, warc.op5_warc,
     suffix.op6_suffix_array_dedup, jaccard.op7_ngram_jaccard_join,
     pii.op8_pii, neighbours.op9_nearest_neighbours, mixing.op10_temperature_mixing, trie.op11_prefix_trie,
-    alignment.op13_tokenizer_alignment,
+    lm.op12_lm_scoring, alignment.op13_tokenizer_alignment,
 )}
 ORACLES = {
     "op11_prefix_trie": TRIE_SQL,
