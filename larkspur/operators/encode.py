@@ -9,6 +9,8 @@ from larkspur.session import small_table
 # a larger code table is an ordinary join.
 INLINE_LIMIT = 64
 BROADCAST_LIMIT = 100_000
+#: Frequent values of a wide column that travel in the plan, and values that the sketch keeps apart.
+FREQUENT, TRACKED = 32, 4_096
 CODE_SCHEMA = "column string, value string, code int"
 
 
@@ -41,12 +43,31 @@ def cardinality(df, columns):
     return distinct_values(df, columns).groupBy("column").agg(F.count(F.lit(1)).alias("n_values"))
 
 
+def frequent_values(df, columns, k=FREQUENT, tracked=TRACKED, share=1 / 64):
+    """Column -> values that hold at least about ``share`` of its rows, at most ``k``, by one pass with sketches of
+    fixed size. Nothing depends on the estimates but how rows travel."""
+    columns = list(columns)
+    if not columns or df.isStreaming:
+        return {}
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    row = texts.agg(F.count(F.lit(1)).alias("_rows"), *[
+        F.expr(f"approx_top_k(`{c}`, {k}, {tracked})").alias(c) for c in columns]).first()
+    return {c: [x["item"] for x in row[c] or () if x["item"] is not None and x["count"] >= share * row["_rows"]] for c in columns}
+
+
 class Codes:
     """Fitted codes: value lists of the small columns, a table for the large ones."""
 
     def __init__(self, lists, table=None, wide=()):
         self.lists, self.table, self.wide = lists, table, tuple(wide)
 
+    def of(self, name, values):
+        """Value -> code of a few values of a wide column; a value without a code is absent."""
+        if not values:
+            return {}
+        found = self.table.where((F.col("column") == name) & F.col("value").isin(*values))
+        return {r["value"]: r["code"] for r in found.collect()}
+
     @property
     def columns(self):
         return [*self.lists, *self.wide]
@@ -77,8 +98,13 @@ def fit_codes(df, columns, limit=BROADCAST_LIMIT):
     return Codes(lists, wide_code_table(df, wide) if wide else None, wide)
 
 
-def apply_codes(df, codes, columns=None, unseen=0):
-    """Replace texts by codes as doubles, in place; ``unseen`` is the code of values not fitted."""
+def apply_codes(df, codes, columns=None, unseen=0, frequent=None):
+    """Replace texts by codes as doubles, in place; ``unseen`` is the code of values not fitted.
+
+    Columns with a code table are joined with it. Their ``frequent`` values (found by a sketch of ``df``, or given as
+    column -> values) are coded in the plan: rows whose wide columns hold frequent values only don't enter a join,
+    and in other rows a frequent value is no key of it, so no task gets the rows of a hot value.
+    """
     columns = [c for c in codes.columns if c in (columns or df.columns)]
     inline = {}
     for c in columns:
@@ -86,9 +112,40 @@ def apply_codes(df, codes, columns=None, unseen=0):
         if values is not None and len(values) <= INLINE_LIMIT:
             inline[c] = _inline(F.col(c).cast("string"), values, unseen)
     out = df.withColumns(inline)
-    for c in [c for c in columns if c not in inline]:
+    for c in [c for c in columns if c not in inline and c in codes.lists]:
         out = _joined(out, c, codes, unseen)
-    return out
+    wide = [c for c in columns if c in codes.wide]
+    if not wide:
+        return out
+    frequent = frequent_values(df, wide) if frequent is None else frequent
+    known = {c: _frequent_codes(codes.of(c, frequent.get(c)), frequent.get(c) or (), unseen) for c in wide}
+    return _wide_joined(out, wide, codes, known, unseen)
+
+
+def _frequent_codes(found, values, unseen):
+    return {v: float(found.get(v, unseen)) for v in values}
+
+
+def _wide_joined(df, wide, codes, known, unseen):
+    in_plan = {c: F.when(F.col(c).cast("string").isin(*known[c]), F.lit(True)).otherwise(F.lit(False)) if known[c] else F.lit(False)
+               for c in wide}
+    coded = {c: F.try_element_at(F.create_map(*[F.lit(x) for p in known[c].items() for x in p]), F.col(c).cast("string"))
+             if known[c] else F.lit(None).cast("double") for c in wide}
+    every = F.lit(True)
+    for c in wide:
+        every = every & in_plan[c]
+    tail = df.where(~every)
+    for c in wide:
+        side = codes.table.where(F.col("column") == c).select(F.col("code").alias("_code"), F.col("value").alias("_value"))
+        # A frequent value, or none at all, becomes a key that no code has; copies of it are spread.
+        spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*df.columns), F.lit(1 << 16)).cast("string"))
+        key = F.when(in_plan[c] | F.col(c).isNull(), spread).otherwise(F.col(c).cast("string"))
+        tail = tail.withColumn("_key", key).join(side, F.col("_key") == F.col("_value"), "left").withColumn(
+            f"_coded_{c}", F.coalesce(coded[c], F.col("_code").cast("double"), F.lit(float(unseen)))).drop("_key", "_code", "_value")
+    tail = tail.select(*[F.col(f"_coded_{c}").alias(c) if c in wide else F.col(c) for c in df.columns])
+    if not all(known.values()):
+        return tail
+    return df.where(every).withColumns(coded).unionByName(tail)
 
 
 def _inline(c, values, unseen):
@@ -99,14 +156,8 @@ def _inline(c, values, unseen):
 
 
 def _joined(df, name, codes, unseen):
-    spark = df.sparkSession
-    if name in codes.lists:
-        rows = list(enumerate(codes.lists[name]))
-        side = F.broadcast(small_table(spark, rows, "_code int, _value string"))
-    else:
-        side = codes.table.where(F.col("column") == name).select(
-            F.col("code").alias("_code"), F.col("value").alias("_value")
-        )
+    rows = list(enumerate(codes.lists[name]))
+    side = F.broadcast(small_table(df.sparkSession, rows, "_code int, _value string"))
     joined = df.join(side, F.col(name).cast("string") == F.col("_value"), "left")
     coded = F.coalesce(F.col("_code").cast("double"), F.lit(float(unseen)))
     return joined.withColumn(name, coded).select(*df.columns)

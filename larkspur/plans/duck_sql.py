@@ -263,6 +263,10 @@ ORACLES = {
     "codes_saved": with_(CODES, "SELECT * FROM codes"),
     "encode_apply": with_(CODES, coded("infer")),
     "encode_unseen_first": with_(CODES, coded("churn_raw")),
+    "encode_hot_value": """SELECT l_orderkey, l_linenumber, coalesce(code, -1.0) AS ordered FROM
+        (SELECT *, CASE WHEN l_orderkey % 2 = 0 THEN '0' WHEN l_orderkey % 50 <> 1 THEN CAST(l_orderkey AS VARCHAR) END AS v
+         FROM lineitem) LEFT JOIN (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS DOUBLE) AS code
+         FROM (SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS v FROM orders)) USING (v)""",
     "encode_by_join": """SELECT p_partkey, CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS DOUBLE) AS p_name,
         CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS DOUBLE) AS p_type FROM part""",
     "encode_target": with_(CLEANED, """SELECT customer_id,
@@ -442,6 +446,13 @@ ORACLES = {
     "stream_score_rows": with_(CLEANED, "SELECT customer_id, 2 AS n, TRUE AS alike FROM cleaned"),
     "stream_then_batch": with_(CLEANED, """SELECT customer_id, CAST(churn AS BIGINT) AS churn,
         '2024-06-01T00:00:00+0000' AS event_time FROM cleaned"""),
+    "stream_minute_counts": """SELECT event_type AS endpoint, date_trunc('minute', ts) AS minute, count(*) AS n_requests,
+        CAST(least(greatest(ceil(count(*) / 2.0), 1), 5) AS INTEGER) AS instances FROM events GROUP BY 1, 2""",
+    "stream_requests_scored": with_(ASKED, """SELECT request_id,
+        CASE WHEN k % 5 = 0 OR k % 7 = 0 THEN 0 WHEN k % 7 IN (2, 3) THEN 2 ELSE 1 END AS n_rows,
+        CASE WHEN k % 5 = 0 OR k % 7 = 0 THEN NULL ELSE TRUE END AS valid,
+        CASE WHEN k % 5 = 0 THEN 'unsupported content type' WHEN k % 7 = 0 THEN 'unsupported JSON' END AS reason FROM asked"""),
+    "stream_ingest_late": with_(CLEANED, f"SELECT *, {SENT} AS event_time FROM cleaned"),
     "stream_ingest": with_(CLEANED, f"SELECT *, {SENT} AS event_time FROM cleaned"),
     "ranked_values": """SELECT c_mktsegment, c_custkey,
         row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal, c_custkey) AS place FROM customer""",

@@ -1,12 +1,13 @@
 """The registered queries: every operator over the given tables."""
 
 import uuid
+from datetime import date
 
 from pyspark.sql import functions as F, types as T
 
 from larkspur.functions import numbers, times
 from larkspur.functions.keys import format_key, key_between
-from larkspur.operators import clean, columns, encode, impute, metrics, requests, split, versions
+from larkspur.operators import clean, columns, encode, impute, metrics, models, requests, split, versions
 from larkspur.operators.ranking import row_number_by_range
 from larkspur.plans import infer, search as searching, train as training
 from larkspur.plans.preprocess import Preprocess, fit_preprocess
@@ -158,10 +159,10 @@ def impute_saved_median(spark, sf_dir):
 
 @query
 def column_medians(spark, sf_dir):
-    """Medians of line item columns, narrowed to the middle first because their values are many."""
+    """Medians of line item columns by sketches and one count."""
     names = ["l_quantity", "l_extendedprice", "l_discount"]
     lines = fx.table(spark, sf_dir, "lineitem").select(*names)
-    found = impute.fit_medians(lines, names, bins=64)
+    found = impute.fit_medians(lines, names)
     return small_table(spark, list(found.items()), "column string, median double")
 
 
@@ -204,6 +205,17 @@ def encode_by_join(spark, sf_dir):
     return encode.apply_codes(parts, encode.Codes({}, table, ["p_name", "p_type"]))
 
 
+@query
+def encode_hot_value(spark, sf_dir):
+    """Codes of order keys of all lines, half of which name one order that is no key, and a hundredth none."""
+    orders = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("ordered"))
+    lines = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    n = F.col("l_orderkey")
+    hot = lines.withColumn("ordered", F.when(n % 2 == 0, "0").when(n % 50 != 1, n.cast("string")))
+    codes = encode.Codes({}, encode.wide_code_table(orders, ["ordered"]), ["ordered"])
+    return encode.apply_codes(hot, codes, unseen=-1)
+
+
 @query
 def codes_saved(spark, sf_dir):
     """Codes written with the other preprocessing artifacts and read back."""
@@ -850,6 +862,20 @@ def stream_requests_per_minute(spark, sf_dir):
     return found.withColumn("minute", F.col("minute").cast("timestamp_ntz"))
 
 
+@query
+def stream_minute_counts(spark, sf_dir):
+    """Every request counted, whatever its lateness: the newest half arrives first, then the rest, then nothing new."""
+    calls = fx.invocations(spark, sf_dir)
+    middle = calls.agg(F.percentile_approx("ts", 0.5)).first()[0]
+    source, path, state = (new_path(spark, x) for x in ("calls", "minute-parts", "minute-state"))
+    for part in (calls.where(F.col("ts") > middle), calls.where(F.col("ts") <= middle)):
+        part.coalesce(1).write.mode("append").parquet(source)
+        for _ in range(2):
+            stream = spark.readStream.schema(calls.schema).parquet(source)
+            load.count_minutes(stream, path, state).awaitTermination()
+    return load.minute_counts(spark, path, per_instance=2).withColumn("minute", F.col("minute").cast("timestamp_ntz"))
+
+
 # ---- models
 
 
@@ -1027,6 +1053,40 @@ def stream_ingest(spark, sf_dir):
     return clean.event_time_text(stored)
 
 
+@query
+def stream_ingest_late(spark, sf_dir):
+    """Copies across batches and runs; half of the rows are older than what the state remembers."""
+    feed = spark.read.parquet(written_feed(spark, sf_dir))
+    number = F.substring(F.trim(ID), 6, 20).cast("long")
+    source, state, group = new_path(spark, "late"), new_path(spark, "late-state"), new_group(spark)
+    memory = f"{(date.today() - date(2024, 1, 15)).days} days"
+    for parts in ((feed.where(number % 2 == 0), feed), (feed.where(number % 5 == 0), feed)):
+        for part in parts:
+            part.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        ingest.ingest(stream, group, state, RUN_TS, memory).awaitTermination()
+    stored = group.read(spark).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CLEAN], "event_time")
+    return clean.event_time_text(stored)
+
+
+@query
+def stream_requests_scored(spark, sf_dir):
+    """Each request once, scored or refused, also those that come after a restart."""
+    rows = cleaned(spark, sf_dir).select(ID, "age", "monthly_charges", "churn")
+    t = training.train(rows, "churn", [ID], classifier=models.forest("churn", 5, 4), unique_key=True)
+    asked, half = fx.requests(spark, sf_dir), F.pmod(F.xxhash64("request_id"), F.lit(2))
+    source, path, state = (new_path(spark, x) for x in ("asked", "asked-out", "asked-state"))
+    for part in (0, 1):
+        asked.where(half == part).repartition(2).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(asked.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        scoring.score_request_stream(stream, t.model, t.preprocess, path, state, clean.parse_numbers).awaitTermination()
+    answered = scoring.scored_requests(spark, path).groupBy("request_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.bool_and(F.col("prediction").isin(0, 1) & F.col("probability").between(0, 1)).alias("valid"))
+    refused = scoring.rejected_requests(spark, path)
+    return answered.withColumn("reason", F.lit(None).cast("string")).unionByName(
+        refused.select("request_id", F.lit(0).cast("long").alias("n_rows"), F.lit(None).cast("boolean").alias("valid"), "reason"))
+
+
 @query
 def stream_then_batch(spark, sf_dir):
     """Half of the customers by stream, then the others by a batch append, read back from one group."""

@@ -12,6 +12,10 @@ from larkspur.schema import EVENT_TIME, RECORD_ID
 from larkspur.sources.tables import resolve
 
 
+#: Dates that are named in the plan when rows are compared with the table; more are joined.
+NAMED_DATES = 1_000
+
+
 def feature_kind(kind):
     """bigint, double or string, the three kinds a feature can have."""
     if isinstance(kind, T.IntegralType):
@@ -94,15 +98,38 @@ class FeatureGroup:
         occur in the rows are read."""
         self.ensure(df)
         rows = self.matched(self.stamp(df, run_ts), "null").dropDuplicates([self.record_id, self.event_time])
-        known = self.read(df.sparkSession).select(
+        self._insert(self.unknown(rows))
+        return self
+
+    def unknown(self, rows):
+        """Stamped rows without those whose key and event time are stored; of the table, only the dates that
+        the rows name, and of these only key and time, are read."""
+        dates = rows.select("event_date").distinct()
+        named = [r["event_date"] for r in dates.limit(NAMED_DATES + 1).collect()]
+        known = self.read(rows.sparkSession).select(
             F.col("event_date").alias("_date"), F.col(self.record_id).alias("_id"), F.col(self.event_time).alias("_time"))
-        known = known.join(rows.select(F.col("event_date").alias("_date")).distinct(), "_date", "left_semi")
-        new = rows.join(known, F.col(self.record_id).eqNullSafe(F.col("_id"))
-                        & F.col(self.event_time).eqNullSafe(F.col("_time")), "left_anti")
-        placed = new.hint("rebalance", "event_date").sortWithinPartitions("event_date", self.record_id)
+        if len(named) <= NAMED_DATES:
+            known = known.where(F.col("_date").isin([d for d in named if d is not None]) | (
+                F.col("_date").isNull() if None in named else F.lit(False)))
+        else:
+            known = known.join(dates.withColumnRenamed("event_date", "_named"), F.col("_date").eqNullSafe(F.col("_named")), "left_semi")
+        return rows.join(known, F.col(self.record_id).eqNullSafe(F.col("_id"))
+                         & F.col(self.event_time).eqNullSafe(F.col("_time")), "left_anti")
+
+    def store(self, rows, compare, fresh):
+        """Append the stamped ``fresh`` rows and those of ``compare`` that are not stored yet, both out of ``rows``, by one
+        write."""
+        rows.persist()
+        try:
+            new = fresh if compare.isEmpty() else fresh.unionByName(self.unknown(compare))
+            self._insert(self.matched(new, "null"))
+        finally:
+            rows.unpersist()
+
+    def _insert(self, rows):
+        placed = rows.hint("rebalance", "event_date").sortWithinPartitions("event_date", self.record_id)
         placed.write.insertInto(self.name)
-        df.sparkSession.catalog.refreshTable(self.name)
-        return self
+        rows.sparkSession.catalog.refreshTable(self.name)
 
     def read(self, spark):
         return spark.table(resolve(spark, self.name))

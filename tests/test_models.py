@@ -148,9 +148,13 @@ def test_stream_scores_like_a_table(spark, customers, trained):
     requests, answers = new_path(spark, "requests"), new_path(spark, "answers")
     rq.replay(customers, "customer_id", trained.preprocess.features).write.parquet(requests)
     asked = spark.readStream.schema(rq.REQUEST).parquet(requests)
-    for query in scoring.score_request_stream(asked, trained.model, trained.preprocess, answers, new_path(spark, "state")):
-        query.awaitTermination()
-    assert spark.read.parquet(answers).count() == 1200
+    bad = spark.createDataFrame([("bad", "text/plain", "x")], rq.REQUEST)
+    for part in (None, bad):
+        if part is not None:
+            part.write.mode("append").parquet(requests)
+        scoring.score_request_stream(asked, trained.model, trained.preprocess, answers, f"{answers}-state").awaitTermination()
+        assert scoring.scored_requests(spark, answers).count() == 1200
+    assert [tuple(r) for r in scoring.rejected_requests(spark, answers).collect()] == [("bad", "unsupported content type")]
 
 
 def test_vote_over_three_classes(spark):

@@ -118,3 +118,42 @@ def test_filled_target(spark):
     fitted = fit_preprocess(raw(spark), fill_target=True)
     assert fitted.target_classes == ["Unknown", "no", "yes"]
     assert labelled_rows(raw(spark), fitted, fill_target=True).where("label is null").isEmpty()
+
+
+@pytest.mark.parametrize("limit", [50_000, 0])
+@pytest.mark.parametrize("spread", [8, 0])
+def test_medians_by_sketch_are_exact(spark, monkeypatch, limit, spread):
+    """Also where the values of the bracket are counted in bins, and where brackets of one value miss."""
+    monkeypatch.setattr(impute, "DRIVER_VALUES", limit)
+    monkeypatch.setattr(impute, "SPREAD", spread)
+    k = F.col("id")
+    rows = spark.range(0, 20_001, numPartitions=7).select(
+        F.pmod(F.xxhash64(k), F.lit(1_000_000)).cast("double").alias("many"), (k % 3).cast("double").alias("few"),
+        F.when(k % 2 == 0, F.lit(5.0)).otherwise(k.cast("double")).alias("half"), F.when(k == 7, F.lit(1.5)).alias("one"),
+        F.lit(None).cast("double").alias("none"), F.when(k % 5 == 0, F.lit(float("nan"))).otherwise(-k.cast("double")).alias("nans"),
+        F.when(k % 2 == 0, F.lit(-1.7e308)).otherwise(F.lit(1.7e308)).alias("wide"), (k * 3).alias("whole"))
+    found = impute.fit_medians(rows, k=64)
+    wanted = rows.toPandas()
+    for c in wanted:
+        values = wanted[c].dropna()
+        middle = sorted(values)[(len(values) - 1) // 2:len(values) // 2 + 1]
+        assert found[c] == ((middle[0] + middle[-1]) / 2 if middle else None), c
+
+
+def test_hot_values_do_not_enter_the_join(spark):
+    """Half of the rows hold one value, a quarter another without a code; the join's own input is the rest."""
+    k = F.col("id")
+    rows = spark.range(0, 8_000, numPartitions=4).select(k, F.when(k % 2 == 0, "hot").when(k % 4 == 1, "strange").when(
+        k % 8 == 3, k.cast("string")).alias("a"), F.concat(F.lit("v"), k % 700).alias("b"))
+    table = encode.wide_code_table(rows.where("a is null or a <> 'strange'"), ["a", "b"])
+    codes = encode.Codes({}, table, ["a", "b"])
+    assert set(encode.frequent_values(rows, ["a", "b"])["a"]) == {"hot", "strange"}
+    codes_of = {(r["column"], r["value"]): float(r["code"]) for r in table.collect()}
+    for frequent in (None, {}, {"a": ["hot"], "b": ["v1", "v2"]}):
+        got = {r["id"]: (r["a"], r["b"]) for r in encode.apply_codes(rows, codes, frequent=frequent).collect()}
+        assert got == {r["id"]: (codes_of.get(("a", r["a"]), 0.0), codes_of.get(("b", r["b"]), 0.0)) for r in rows.collect()}
+    one = encode.apply_codes(rows.select("id", "a"), encode.Codes({}, table, ["a"]))
+    plan = one._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftOuter") == 1 and plan.startswith("Union")
+    joined = rows.where("not coalesce(a in ('hot', 'strange'), false)").count()
+    assert joined == 2_000 and encode.apply_codes(rows.limit(0), codes).count() == 0

@@ -1,4 +1,5 @@
-from datetime import datetime, timedelta
+import pathlib
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -62,3 +63,69 @@ def test_instances_stay_within_bounds(spark):
     calls = spark.createDataFrame(rows, "ts timestamp, endpoint string")
     got = {r.endpoint: (r.n_requests, r.instances) for r in load.requests_per_minute(calls).collect()}
     assert got == {"busy": (9000, 5), "calm": (1, 1)}
+
+
+def test_only_late_rows_are_compared_with_stored_dates(spark, monkeypatch):
+    """Recent copies are kept out by the state, across batches and a restart; only the dates of late rows are read."""
+    source, state = new_path(spark, "raw"), new_path(spark, "state")
+    group = FeatureGroup("remembered_features", new_path(spark, "features"))
+    schema = ", ".join([*[f"{n} string" for n in RAW.names], "event_time string"])
+    today = datetime.now(timezone.utc)
+    compared = []
+    plain = FeatureGroup.unknown
+
+    def watched(self, rows):
+        compared.append(sorted({r.event_date.isoformat() for r in rows.select("event_date").collect()}))
+        return plain(self, rows)
+
+    monkeypatch.setattr(FeatureGroup, "unknown", watched)
+
+    def send(*rows):
+        stamped = [(f"CUST_{i:06d}", "40", *["x"] * 12, (today - timedelta(days=d)).isoformat()) for i, d in rows]
+        spark.createDataFrame(stamped, schema).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        ingest.ingest(stream, group, state, RUN, "7 days").awaitTermination()
+        return group.read(spark).count()
+
+    day = lambda n: (today - timedelta(days=n)).date().isoformat()
+    send((1, 1))
+    send((1, 1), (2, 1), (3, 30))
+    send((2, 1), (3, 30), (3, 31), (4, 2))
+    send((1, 1), (4, 2))
+    assert run() == 5
+    # The first batch of the process, then late rows that the state has not met, and in the last batch nothing.
+    assert compared == [[day(1)], [day(30)], [day(31)]]
+    compared.clear()
+    send((5, 1), (1, 1))
+    send((6, 1), (5, 1), (7, -2))
+    assert run() == 8
+    assert compared == [[day(1)], [day(-2)]]
+    # A new checkpoint on a table with rows: its state does not know them, so they are compared.
+    compared.clear()
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    ingest.ingest(stream, group, new_path(spark, "other"), RUN, "7 days").awaitTermination()
+    assert group.read(spark).count() == 8 and len(compared) >= 3
+
+
+def test_a_batch_that_comes_twice_counts_once(spark):
+    """The commit of the last batch is lost, so that it runs again."""
+    source, out, state = (new_path(spark, x) for x in ("calls", "minutes", "state"))
+    calls = spark.createDataFrame([(START + timedelta(seconds=s), "a") for s in (0, 30, 59, 60)], "ts timestamp, endpoint string")
+
+    def run():
+        stream = spark.readStream.schema(calls.schema).parquet(source)
+        load.count_minutes(stream, out, state).awaitTermination()
+        return sorted((r.minute, r.n_requests, r.instances) for r in load.minute_counts(spark, out, per_instance=2).collect())
+
+    calls.write.parquet(source)
+    once = [(START, 3, 2), (START + timedelta(minutes=1), 1, 1)]
+    assert run() == once
+    calls.where("second(ts) = 59").write.mode("append").parquet(source)
+    late = [(START, 4, 2), once[1]]
+    assert run() == late
+    commits = sorted(pathlib.Path(state, "commits").glob("[0-9]*"))
+    for f in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        f.unlink(missing_ok=True)
+    assert run() == late
