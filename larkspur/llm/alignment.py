@@ -37,6 +37,8 @@ LIST_LIMIT = BLOCK_DOCS // 16
 #: Links expanded at a time, and (pair, document) rows held before bitmaps are written.
 EXPAND = 1 << 21
 HOLD = 1 << 21
+#: Chunks of text that a task remembers, and the longest of them.
+REMEMBER, LONG = 1 << 18, 100
 
 PARTS = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pair long, block long, "
          "docs binary, planes binary")
@@ -46,8 +48,8 @@ POSTINGS = "pair long, block long, docs binary, planes binary"
 class Side:
     """A tokenizer with the bytes of each of its ids."""
 
-    def __init__(self, encode, table):
-        self.encode, self.table = encode, table
+    def __init__(self, encode, table, encode_all=None):
+        self.encode, self.table, self.encode_all = encode, table, encode_all
         self.length = np.array([len(x) for x in table], np.int64)
 
     def ends(self, ids, raw):
@@ -86,7 +88,18 @@ def byte_level(folder, name):
             slow[0].encode_special_tokens = True
         return slow[0].encode(text, add_special_tokens=False).ids
 
-    return Side(lambda text: encode(" " + text), table)
+    opens = np.array([x[:1] == b" " for x in table])
+
+    def encode_all(many):
+        """Ids of texts without spaces: joined by spaces, each begins with the next id that opens with one."""
+        ids = np.array(encode(" " + " ".join(many)), np.int64) if many else np.zeros(0, np.int64)
+        begin = np.flatnonzero(opens[ids]).tolist()
+        if len(begin) != len(many):
+            return [encode(" " + x) for x in many]
+        ids = ids.tolist()
+        return [ids[x:y] for x, y in zip(begin, [*begin[1:], len(ids)])]
+
+    return Side(lambda text: encode(" " + text), table, encode_all)
 
 
 def pieces(folder, name):
@@ -104,7 +117,8 @@ def pieces(folder, name):
             return bytes([int(m.group(1), 16)])
         return piece.replace("▁", " ").encode()
 
-    return Side(lambda text: model.encode(text, num_threads=1), [raw(i) for i in range(model.get_piece_size())])
+    return Side(lambda text: model.encode(text, num_threads=1), [raw(i) for i in range(model.get_piece_size())],
+                lambda many: model.encode(many, num_threads=1))
 
 
 def group_marks(a_ends, b_ends):
@@ -114,18 +128,18 @@ def group_marks(a_ends, b_ends):
     return np.searchsorted(common, a_ends), np.searchsorted(common, b_ends), len(common)
 
 
-def digest(a, b, a_group, b_group, numbers):
-    """SHA-256 of the groups as text: ids joined by commas, sides by |, groups by ;"""
+def group_texts(a, b, a_group, b_group, numbers, last):
+    """The groups as pieces of text in order: ids joined by commas, sides by |, groups by ;, and nothing after the groups of
+    ``last``."""
     both = np.concatenate([a, b])
     place = np.concatenate([2 * a_group, 2 * b_group + 1])
     order = np.argsort(place, kind="stable")
     place, both = place[order], both[order]
     # After a token: a comma within a side, | after a group's left side, ; after its right side.
     mark = np.zeros(len(place), np.int64)
-    edge = place[1:] != place[:-1]
-    mark[:-1][edge] = 1 + (place[:-1][edge] & 1)
-    mark[-1] = 3
-    return hashlib.sha256("".join(numbers[mark, both].tolist()).encode()).hexdigest()
+    mark[:-1] = np.where(place[1:] != place[:-1], 1 + (place[:-1] & 1), 0)
+    mark[np.searchsorted(place, 2 * np.asarray(last) + 1, "right") - 1] = 3
+    return numbers[mark, both].tolist()
 
 
 def id_texts(n):
@@ -256,21 +270,107 @@ def from_postings(batch):
     return row, doc, n
 
 
+def aligned(a_side, b_side, numbers, text):
+    """Numbers of left and right ids and groups, the groups as text and the codes of linked ids, as stretches; None where a
+    tokenizer changes the text."""
+    raw = b" " + text.encode()
+    a, b = a_side.encode(text), b_side.encode(text)
+    a_ends, b_ends = a_side.ends(a, raw), b_side.ends(b, raw)
+    if a_ends is None or b_ends is None:
+        return None
+    a, b = np.array(a), np.array(b)
+    a_group, b_group, n_groups = group_marks(a_ends, b_ends)
+    texts_of = "".join(group_texts(a, b, a_group, b_group, numbers, [n_groups - 1]))
+    return len(a), len(b), n_groups, texts_of, links(a, b, a_group, b_group, n_groups, len(b_side.table))
+
+
+class Chunks:
+    """What is between lone spaces, aligned once and remembered.
+
+    Neither tokenizer has an id that holds a space after another character, but for ids of white space alone (else nothing is
+    remembered). So a space that has no other white space beside it begins an id on both sides, and the text between two such spaces is tokenized the same anywhere.
+    """
+
+    def __init__(self, a_side, b_side, numbers):
+        self.a_side, self.b_side, self.numbers = a_side, b_side, numbers
+        inner = [x for side in (a_side, b_side) for x in side.table
+                 if b" " in x.lstrip(b" ") and not x.decode("utf-8", "replace").isspace()]
+        self.usable = not inner
+        self.forget()
+
+    def forget(self):
+        self.at, self.texts = {}, []
+        self.counts = np.zeros((0, 4), np.int64)  # left and right ids, groups, 1 where the chunk can be used
+        self.codes, self.begin = np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def learn(self, found):
+        new = [c for c in found if c not in self.at]
+        if not new:
+            return
+        self.at.update(zip(new, range(len(self.texts), len(self.texts) + len(new))))
+        raw = [b" " + c.encode() for c in new]
+        plain = [k for k, c in enumerate(new) if c and c == c.strip()]
+        a_ids, b_ids = [[]] * len(new), [[]] * len(new)
+        for ids, side in ((a_ids, self.a_side), (b_ids, self.b_side)):
+            for k, x in zip(plain, side.encode_all([new[k] for k in plain])):
+                ids[k] = x
+        a_get, b_get = self.a_side.table.__getitem__, self.b_side.table.__getitem__
+        good = np.array([bool(a) and b"".join(map(a_get, a)) == x == b"".join(map(b_get, b)) for a, b, x in zip(a_ids, b_ids, raw)])
+        used = np.flatnonzero(good).tolist()
+        n_a, n_b = (np.array([len(ids[k]) for k in used], np.int64) for ids in (a_ids, b_ids))
+        counts, texts_of = np.zeros((len(new), 4), np.int64), [""] * len(new)
+        n_codes = np.zeros(len(new), np.int64)
+        if used:
+            a, b = (np.fromiter((i for k in used for i in ids[k]), np.int64) for ids in (a_ids, b_ids))
+            a_ends, b_ends = np.cumsum(self.a_side.length[a]), np.cumsum(self.b_side.length[b])
+            a_group, b_group, n_groups = group_marks(a_ends, b_ends)
+            last = a_group[np.cumsum(n_a) - 1]
+            pieces_of = group_texts(a, b, a_group, b_group, self.numbers, last)
+            z = np.cumsum(n_a + n_b)
+            for k, x, y in zip(used, (z - n_a - n_b).tolist(), z.tolist()):
+                texts_of[k] = "".join(pieces_of[x:y])
+            many = np.bincount(b_group, minlength=n_groups)[a_group]
+            upto = np.concatenate([[0], np.cumsum(many)])[np.cumsum(n_a)]
+            n_codes[used] = np.diff(upto, prepend=0)
+            counts[used] = np.stack([n_a, n_b, np.diff(last, prepend=-1), np.ones(len(used), np.int64)], 1)
+            self.codes = np.concatenate([self.codes, *links(a, b, a_group, b_group, n_groups, len(self.b_side.table))])
+        self.texts += texts_of
+        self.counts = np.concatenate([self.counts, counts])
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(n_codes)])
+
+    def prepare(self, texts_of):
+        """Learn what the texts need; a text with a chunk longer than LONG is left to ``aligned``."""
+        if len(self.texts) > REMEMBER:
+            self.forget()
+        if self.usable:
+            self.learn({c for t in texts_of for c in t.split(" ") if len(c) <= LONG})
+
+    def aligned(self, text):
+        """As the function ``aligned``, or None where the text can't be put together from chunks."""
+        own = [self.at.get(c, -1) for c in text.split(" ")] if self.usable else [-1]
+        own = np.array(own)
+        if own.min() < 0 or not self.counts[own, 3].all():
+            return None
+        n_a, n_b, n_groups, _ = self.counts[own].sum(axis=0).tolist()
+        n = self.begin[own + 1] - self.begin[own]
+        at = np.repeat(self.begin[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return n_a, n_b, n_groups, ";".join(map(self.texts.__getitem__, own.tolist())), [self.codes[at]]
+
+
 def parts(docs, folder=None, left=LEFT, right=RIGHT):
     """Per document its tokens, groups and links, and the index rows of the documents that a task has seen."""
 
     def run(batches):
         a_side, b_side = byte_level(folder, left), pieces(folder, right)
-        width = len(b_side.table)
-        numbers = id_texts(max(len(a_side.table), width))
+        numbers = id_texts(max(len(a_side.table), len(b_side.table)))
+        chunks = Chunks(a_side, b_side, numbers)
         held, rows = [], 0
 
         def empty_columns(n, names):
             return [pa.nulls(n, t) for t in names]
 
         def flush():
-            code, block, doc, n = (np.concatenate(c) for c in zip(*held))
-            made = to_postings(code, block, doc, n)
+            made = to_postings(*(np.concatenate(c) for c in zip(*held)))
             none = empty_columns(len(made), [pa.int64()] * 5 + [pa.string()])
             for at in range(0, max(len(made), 1), 1 << 17):
                 part = made.slice(at, 1 << 17)
@@ -278,26 +378,21 @@ def parts(docs, folder=None, left=LEFT, right=RIGHT):
 
         for batch in batches:
             for begin, end in blocks(batch):
-                done = []
-                for i, raw in zip(batch.column(0)[begin:end].to_pylist(), texts(batch, begin, end)):
-                    text = raw.decode()
-                    raw = b" " + raw
-                    a = a_side.encode(text) if text else []
-                    b = b_side.encode(text) if a else []
-                    a_ends, b_ends = (a_side.ends(a, raw), b_side.ends(b, raw)) if b else (None, None)
-                    if a_ends is None or b_ends is None:
+                done, given = [], [x.decode() for x in texts(batch, begin, end)]
+                chunks.prepare(given)
+                for i, text in zip(batch.column(0)[begin:end].to_pylist(), given):
+                    found = (chunks.aligned(text) or aligned(a_side, b_side, numbers, text)) if text else None
+                    if found is None:
                         done.append((i, 0, 0, 0, 0, ""))
                         continue
-                    a, b = np.array(a), np.array(b)
-                    a_group, b_group, n_groups = group_marks(a_ends, b_ends)
-                    n_links = int((np.bincount(a_group, minlength=n_groups) * np.bincount(b_group, minlength=n_groups)).sum())
-                    done.append((i, len(a), len(b), n_groups, n_links, digest(a, b, a_group, b_group, numbers)))
-                    if i is None:
-                        continue
-                    code, n = None, None
-                    for stretch in links(a, b, a_group, b_group, n_groups, width):
+                    n_a, n_b, n_groups, groups, stretches = found
+                    code = n = None
+                    for stretch in stretches:
                         new = counted(stretch)
                         code, n = new if code is None else summed(np.concatenate([code, new[0]]), np.concatenate([n, new[1]]))
+                    done.append((i, n_a, n_b, n_groups, int(n.sum()), hashlib.sha256(groups.encode()).hexdigest()))
+                    if i is None:
+                        continue
                     held.append((code, np.full(len(code), i >> BLOCK_BITS), np.full(len(code), i & (BLOCK_DOCS - 1)), n))
                     rows += len(code)
                     if rows >= HOLD:

@@ -112,3 +112,24 @@ def test_postings_round_trip(seed):
     row, back, number = al.from_postings(batch)
     p, b = (np.asarray(batch.column(k))[row].tolist() for k in (0, 1))
     assert dict(zip(zip(p, b, back.tolist()), number.tolist())) == want and len(row) == len(want)
+
+
+def test_chunks_give_what_whole_texts_give(monkeypatch):
+    """Any text put together from remembered chunks is aligned as if it were read whole."""
+    monkeypatch.setattr(al, "REMEMBER", 50)
+    r = np.random.default_rng(5)
+    parts = ["the", "The", "naïve", "東京", "x" * 99, "x" * 101, "a\nb", "\n", "\t", "", "ﬁ", "'s", "1,000.5", "<0x41>", "▁", " ", "é́", "don't",
+             " ", "a ", "​", "😀😀", "</s>", "...", "\r\n"]
+    a, b = al.byte_level(None, al.LEFT), al.pieces(None, al.RIGHT)
+    numbers = al.id_texts(max(len(a.table), len(b.table)))
+    chunks, used = al.Chunks(a, b, numbers), 0
+    for _ in range(60):
+        made = [" ".join(parts[k] for k in r.integers(0, len(parts) if r.random() < 0.3 else 9, r.integers(1, 12))) for _ in range(20)]
+        chunks.prepare(made)
+        for t in made:
+            got = chunks.aligned(t)
+            if got:
+                used += 1
+                want = al.aligned(a, b, numbers, t)
+                assert got[:4] == want[:4] and np.array_equal(np.concatenate(got[4]), np.concatenate(list(want[4]))), t
+    assert chunks.usable and used > 100
