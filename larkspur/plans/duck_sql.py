@@ -356,6 +356,18 @@ ORACLES = {
         """SELECT s.customer_id, s.as_of, CASE WHEN NOT v.is_deleted THEN v.event_time END AS feature_event_time,
             CASE WHEN NOT v.is_deleted THEN v.total_charges END AS total_charges
         FROM spine s ASOF LEFT JOIN single v ON s.customer_id = v.customer_id AND s.as_of >= v.event_time"""),
+    "bucketed_as_of": with_(VERSIONS + """,
+        single AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, event_time
+            ORDER BY write_time DESC, o_orderkey DESC) AS i FROM versions) WHERE i = 1),
+        spine AS (SELECT printf('CUST_%06d', o_custkey) AS customer_id, l_shipdate AS as_of
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
+        """SELECT s.customer_id, s.as_of, CASE WHEN NOT v.is_deleted THEN v.event_time END AS feature_event_time,
+            CASE WHEN NOT v.is_deleted THEN v.total_charges END AS total_charges
+        FROM spine s ASOF LEFT JOIN single v ON s.customer_id = v.customer_id AND s.as_of >= v.event_time"""),
+    "bucketed_latest": with_(VERSIONS, """SELECT customer_id, event_time, total_charges, o_orderkey FROM (
+        SELECT *, row_number() OVER (PARTITION BY customer_id
+            ORDER BY event_time DESC, write_time DESC, is_deleted DESC, o_orderkey DESC) AS i
+        FROM versions) WHERE i = 1 AND NOT is_deleted"""),
     "range_overlap": with_(PARTS, "SELECT customer_id FROM train INTERSECT SELECT customer_id FROM infer"),
     "infer_without_train": with_(
         PARTS, "SELECT customer_id, churn FROM infer WHERE customer_id NOT IN (SELECT customer_id FROM train)"),

@@ -14,6 +14,7 @@ from larkspur.plans.preprocess import Preprocess, fit_preprocess
 from larkspur.schema import CATEGORICAL, CLEAN, LABELLED, NUMERIC, RAW
 from larkspur.session import new_path, small_table
 from larkspur.sources import fixtures as fx, registry, tables
+from larkspur.sources.bucketed_group import BucketedGroup
 from larkspur.sources.feature_group import FeatureGroup
 from larkspur.streaming import ingest, load, scoring
 
@@ -768,6 +769,31 @@ def feature_group_latest(spark, sf_dir):
     return clean.event_time_text(group.latest(spark)).select(ID, "contract_type", "churn", "event_time")
 
 
+def versions_in_buckets(spark, sf_dir):
+    """The orders' records as two appends to a table in key buckets."""
+    group = BucketedGroup(f"bucketed_{uuid.uuid4().hex}", new_path(spark, "bucketed"), buckets=8)
+    rows = fx.feature_versions(spark, sf_dir).withColumns({
+        "event_time": F.col("event_time").cast("timestamp"), "write_time": F.col("write_time").cast("timestamp"),
+        "total_charges": F.col("total_charges").cast("double")})
+    odd = F.col("o_orderkey") % 2 == 1
+    return group.append(rows.where(odd), RUN_TS).append(rows.where(~odd), RUN_TS)
+
+
+@query
+def bucketed_latest(spark, sf_dir):
+    """Newest records out of key buckets."""
+    newest = versions_in_buckets(spark, sf_dir).latest(spark)
+    return newest.select(ID, F.col("event_time").cast("timestamp_ntz").alias("event_time"), "total_charges", "o_orderkey")
+
+
+@query
+def bucketed_as_of(spark, sf_dir):
+    """Each shipped line with its customer's record as of that day, the versions read where they lie."""
+    spine = fx.as_of_spine(spark, sf_dir).withColumn("as_of", F.col("as_of").cast("timestamp"))
+    found = versions_in_buckets(spark, sf_dir).as_of(spine, "as_of", ["total_charges"], ["write_time", "o_orderkey"])
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("as_of", "feature_event_time")})
+
+
 # ---- requests
 
 

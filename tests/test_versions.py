@@ -5,6 +5,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from larkspur.operators import ranking, versions
+from larkspur.session import new_path
+from larkspur.sources.bucketed_group import BucketedGroup
 from larkspur.sources import registry
 
 DAY = datetime(2024, 1, 1)
@@ -96,3 +98,41 @@ def test_newest_with_status(spark):
     df = spark.createDataFrame(rows, "group string, model_path string, status string, created_at int")
     got = {r["group"]: r.model_path for r in registry.newest_with_status(df, "group", tie=["model_path"]).collect()}
     assert got == {"g": "m2", "e": "m6"}
+
+
+def exchanges_above_scan(df, table_marker):
+    """Exchanges on the paths from the plan's root to the scans of the bucketed table."""
+    counts, above = [], []
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*"))
+        above = [(d, x) for d, x in above if d < depth]
+        if "FileScan" in line and table_marker in line:
+            counts.append(sum("Exchange" in x for _, x in above))
+        above.append((depth, line.split("(")[0] if "Exchange" in line.split("(")[0] else line.split("[")[0]))
+    return counts
+
+
+def test_bucketed_versions_are_read_where_they_lie(spark):
+    group = BucketedGroup("bucketed_features", new_path(spark, "bucketed"), buckets=4)
+    k = F.col("id")
+    rows = spark.range(400).select(
+        F.when(k % 37 != 0, F.format_string("CUST_%06d", k % 23)).alias("customer_id"),
+        (F.lit("2024-01-01T00:00:00Z").cast("timestamp") + F.make_dt_interval(hours=F.pmod(F.xxhash64("id"), F.lit(90)).cast("int"))).alias("event_time"),
+        (k % 11).cast("double").alias("x"), (k % 29 == 0).alias("is_deleted"))
+    group.append(rows.where("x < 5"), "2024-02-01T00:00:00Z").append(rows.where("x >= 5"), "2024-02-02T00:00:00Z")
+    group.append_new(rows.withColumn("x", F.lit(99.0)), "2024-02-03T00:00:00Z")
+    assert group.read(spark).count() == 400 and group.read(spark).where("x = 99").isEmpty()
+    spine = rows.where("x % 2 = 0").select("customer_id", F.col("event_time").alias("at"), F.col("x").cast("long").alias("note")).unionByName(
+        spark.createDataFrame([("nobody", None, 1), ("CUST_000001", None, 2)], "customer_id string, at timestamp, note long"))
+    plain = versions.as_of(spine, group.read(spark), "customer_id", "at", "event_time", ["x"], ["write_time", "is_deleted", "x"], "is_deleted")
+    for hot in (1_000_000, 17, 0):
+        got = group.as_of(spine, "at", ["x"], hot_rows=hot)
+        assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+    joins = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert exchanges_above_scan(group.latest(spark), "bucketed_features") == [0]
+        assert set(exchanges_above_scan(group.as_of(spine, "at", ["x"]), "bucketed_features")) == {0}
+        assert exchanges_above_scan(group.read(spark).groupBy("x").count(), "bucketed_features") == [1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", joins)
