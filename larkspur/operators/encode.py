@@ -11,6 +11,8 @@ INLINE_LIMIT = 64
 BROADCAST_LIMIT = 100_000
 #: Frequent values of a wide column that travel in the plan, and values that the sketch keeps apart.
 FREQUENT, TRACKED = 32, 4_096
+#: Bytes of bitmaps for each row, beyond which numbers are too far apart for them.
+DENSE = 8
 CODE_SCHEMA = "column string, value string, code int"
 
 
@@ -43,6 +45,31 @@ def cardinality(df, columns):
     return distinct_values(df, columns).groupBy("column").agg(F.count(F.lit(1)).alias("n_values"))
 
 
+def distinct_whole_numbers(df, columns, bytes_per_value=DENSE):
+    """Exact number of distinct whole numbers per column: (column, n_values).
+
+    Numbers are bits: tasks set them in bitmaps of 32,768 neighbouring numbers, which are merged by OR, so no pair of column
+    and value is shuffled. That pays where numbers lie close, as keys and codes do; a column whose range would need more
+    than ``bytes_per_value`` bytes of bitmaps a row is counted by its values.
+    """
+    columns = list(columns)
+    if not columns:
+        return small_table(df.sparkSession, [], "column string, n_values long")
+    longs = df.select(*[F.col(c).cast("long").alias(c) for c in columns])
+    ends = longs.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("n", F.count), ("low", F.min), ("high", F.max))]).first()
+    dense = [c for c in columns if ends[f"n_{c}"] and (ends[f"high_{c}"] - ends[f"low_{c}"]) // 8 <= max(
+        bytes_per_value * ends[f"n_{c}"], 1 << 20)]
+    out = small_table(df.sparkSession, [(c, 0) for c in columns if not ends[f"n_{c}"]], "column string, n_values long")
+    if dense:
+        numbers = F.array(*[F.struct(F.lit(c).alias("column"), (F.col(c) - F.lit(ends[f"low_{c}"]) + 1).alias("v")) for c in dense])
+        pairs = longs.select(F.explode(numbers).alias("p")).select("p.*").where("v is not null")
+        maps = pairs.groupBy("column", F.bitmap_bucket_number("v").alias("bucket")).agg(
+            F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("v"))).alias("n"))
+        out = out.unionByName(maps.groupBy("column").agg(F.sum("n").alias("n_values")))
+    sparse = [c for c in columns if ends[f"n_{c}"] and c not in dense]
+    return out.unionByName(cardinality(longs, sparse)) if sparse else out
+
+
 def frequent_values(df, columns, k=FREQUENT, tracked=TRACKED, share=1 / 64):
     """Column -> values that hold at least about ``share`` of its rows, at most ``k``, by one pass with sketches of
     fixed size. Nothing depends on the estimates but how rows travel."""

@@ -263,6 +263,10 @@ ORACLES = {
     "codes_saved": with_(CODES, "SELECT * FROM codes"),
     "encode_apply": with_(CODES, coded("infer")),
     "encode_unseen_first": with_(CODES, coded("churn_raw")),
+    "distinct_by_bitmaps": " UNION ALL ".join(
+        f"SELECT '{name}' AS \"column\", count(DISTINCT {value}) AS n_values FROM lineitem" for name, value in (
+            ("l_orderkey", "l_orderkey"), ("line", "(l_orderkey, l_linenumber)"), ("l_linenumber", "l_linenumber"),
+            ("far_apart", "l_orderkey"))),
     "encode_hot_value": """SELECT l_orderkey, l_linenumber, coalesce(code, -1.0) AS ordered FROM
         (SELECT *, CASE WHEN l_orderkey % 2 = 0 THEN '0' WHEN l_orderkey % 50 <> 1 THEN CAST(l_orderkey AS VARCHAR) END AS v
          FROM lineitem) LEFT JOIN (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS DOUBLE) AS code
@@ -408,6 +412,8 @@ ORACLES = {
         UNION ALL SELECT customer_id, prediction FROM scored_infer"""),
     "published_table": with_(PREDICTED, """SELECT * REPLACE (CAST(churn AS BIGINT) AS churn,
         CAST(prediction AS BIGINT) AS prediction) FROM scored_infer"""),
+    "published_broken_run": with_(PREDICTED, """SELECT customer_id, contract_type, CAST(prediction AS BIGINT) AS prediction
+        FROM scored_rows WHERE prediction = 1"""),
     "published_csv": with_(PREDICTED, """SELECT customer_id, contract_type, CAST(prediction AS BIGINT) AS prediction
         FROM scored_infer"""),
     "labelled_table": with_(PARTS, """SELECT * REPLACE (CAST(age AS INTEGER) AS age,

@@ -3,6 +3,7 @@
 import uuid
 from datetime import date
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F, types as T
 
 from larkspur.functions import numbers, times
@@ -206,6 +207,15 @@ def encode_by_join(spark, sf_dir):
     return encode.apply_codes(parts, encode.Codes({}, table, ["p_name", "p_type"]))
 
 
+@query
+def distinct_by_bitmaps(spark, sf_dir):
+    """Exact distinct counts: a key with a value in every row, a key shared by several, and codes."""
+    lines = fx.table(spark, sf_dir, "lineitem")
+    own = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    rows = lines.select("l_orderkey", own.alias("line"), "l_linenumber", (F.col("l_orderkey") * 10**12).alias("far_apart"))
+    return encode.distinct_whole_numbers(rows, ["l_orderkey", "line", "l_linenumber", "far_apart"])
+
+
 @query
 def encode_hot_value(spark, sf_dir):
     """Codes of order keys of all lines, half of which name one order that is no key, and a hundredth none."""
@@ -700,6 +710,22 @@ def published_twice(spark, sf_dir):
     return tables.publish(with_prediction(part_of(spark, sf_dir, "infer")), name, path, mode="overwrite")
 
 
+@query
+def published_broken_run(spark, sf_dir):
+    """A second run that breaks off in the middle: the table shows the first one's rows, and then a third's made from them."""
+    name, path = f"predictions_{uuid.uuid4().hex}", new_path(spark, "published")
+    rows = with_prediction(cleaned(spark, sf_dir)).select(ID, "contract_type", "prediction")
+    tables.publish(rows, name, path)
+    number = F.substring(ID, 6, 20).cast("long")
+    broken = rows.withColumn("contract_type", F.when(number % 7 == 6, F.raise_error(F.lit("lost"))).otherwise("never"))
+    try:
+        tables.publish(broken, name, path, mode="overwrite")
+        raise AssertionError("the run did not break off")
+    except PySparkException:
+        pass
+    return tables.publish(spark.table(name).where("prediction = 1"), name, path, mode="overwrite")
+
+
 @query
 def published_csv(spark, sf_dir):
     scored = with_prediction(part_of(spark, sf_dir, "infer")).select(ID, "contract_type", "prediction")

@@ -2,6 +2,7 @@
 
 import csv
 import functools
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F, types as T
@@ -155,19 +156,49 @@ def plain_path(path):
 def publish(df, name, path, fmt="parquet", mode="errorifexists"):
     """Write rows below ``path`` and make them queryable as table ``name``.
 
+    A run's rows go to a folder of their own, are noted in ``<path>/runs.log``, and only then the table is pointed at
+    them: a reader sees the former rows or the new ones, a run that breaks off changes nothing, and a table may be published
+    from its own rows. Folders of former runs stay for those who still read them. The log lies with the data, so a
+    catalog that has lost the table finds the newest run again.
+
     A table of that name must lie at ``path`` and have the same columns and types. ``mode`` says what
-    becomes of rows that are there already: ``overwrite`` replaces them by this run's.
+    becomes of rows that are there already: ``overwrite`` shows this run's instead, ``append`` adds to them.
     """
-    rows = as_published(df)
-    at = location_of(df.sparkSession, name)
-    if at and plain_path(at) != plain_path(path):
+    spark, rows = df.sparkSession, as_published(df)
+    at = location_of(spark, name)
+    if at and plain_path(at).rpartition("/")[0] != plain_path(path):
         raise ValueError(f"table {name} lies at {at}")
-    if at and kinds(df.sparkSession.table(name)) != kinds(rows):
+    newest = newest_run_folder(spark, path)
+    if newest and not at:
+        create_external(spark, name, rows.schema, newest, fmt)
+    if newest and kinds(spark.table(name)) != kinds(rows):
         raise ValueError(f"table {name} exists with other columns")
+    if newest and mode in ("error", "errorifexists"):
+        raise FileExistsError(f"table {name} has rows already")
+    if newest and mode == "ignore":
+        return spark.table(name)
+    folder = newest if newest and mode == "append" else f"{path}/run-{uuid.uuid4().hex}"
     if fmt == "csv":
-        write_csv(rows, path, mode=mode)
+        write_csv(rows, folder, mode="append")
     else:
-        rows.write.mode(mode).format(fmt).save(path)
-    create_external(df.sparkSession, name, rows.schema, path, fmt)
-    df.sparkSession.catalog.refreshTable(name)
-    return df.sparkSession.table(name)
+        rows.write.mode("append").format(fmt).save(folder)
+    if folder != newest:
+        now = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        noted = spark.range(1).select(now.alias("noted"), F.lit(folder.rpartition("/")[2]).alias("folder"))
+        noted.coalesce(1).write.mode("append").json(f"{path}/runs.log")
+        if newest:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        else:
+            create_external(spark, name, rows.schema, folder, fmt)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def newest_run_folder(spark, path):
+    """The folder of the newest finished run below ``path``, or None."""
+    try:
+        log = spark.read.schema("noted string, folder string").json(f"{path}/runs.log")
+    except AnalysisException:
+        return None
+    row = log.agg(F.max_by("folder", F.struct("noted", "folder"))).first()
+    return f"{path}/{row[0]}" if row[0] else None

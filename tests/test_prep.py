@@ -157,3 +157,13 @@ def test_hot_values_do_not_enter_the_join(spark):
     assert plan.count("LeftOuter") == 1 and plan.startswith("Union")
     joined = rows.where("not coalesce(a in ('hot', 'strange'), false)").count()
     assert joined == 2_000 and encode.apply_codes(rows.limit(0), codes).count() == 0
+
+
+def test_distinct_whole_numbers(spark):
+    k = F.col("id")
+    rows = spark.range(0, 70_000, numPartitions=5).select(
+        k.alias("each"), (k % 1000 - 500).alias("few"), (k * 10**14).alias("far"), F.when(k % 7 == 0, k * 32_768).alias("steps"),
+        F.lit(None).cast("long").alias("none"), F.when(k == 3, F.lit(-(1 << 62))).otherwise(F.lit(1 << 61)).alias("ends"), (k * 0 + 5).cast("int").alias("one"))
+    found = {r["column"]: r["n_values"] for r in encode.distinct_whole_numbers(rows, rows.columns).collect()}
+    assert found == {"each": 70_000, "few": 1000, "far": 70_000, "steps": 10_000, "none": 0, "ends": 2, "one": 1}
+    assert encode.distinct_whole_numbers(rows, []).count() == 0

@@ -211,3 +211,26 @@ def test_unlike_files_of_one_directory(spark):
     spark.createDataFrame([("y", 2)], "c string, a int").coalesce(1).write.mode("append").option("header", True).csv(path)
     got = tables.read_csv_tables(spark, [path])
     assert {(r.a, r.b, r.c) for r in got.collect()} == {("1", "x", None), ("2", None, "y")}
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_a_broken_run_loses_nothing(spark, fmt):
+    name, path = f"published_broken_{fmt}", new_path(spark, "pub")
+    tables.publish(spark.range(3), name, path, fmt)
+    reader = spark.table(name)
+    broken = spark.range(0, 100, numPartitions=4).select(F.when(F.col("id") < 90, F.col("id")).otherwise(
+        F.raise_error(F.lit("lost")).cast("long")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        tables.publish(broken, name, path, fmt, "overwrite").count()
+    assert spark.table(name).count() == 3
+    # From its own rows, twice; who has read the former table still can.
+    tables.publish(spark.table(name).where("id > 0"), name, path, fmt, "overwrite")
+    assert tables.publish(spark.table(name), name, path, fmt, "append").count() == 4
+    assert reader.count() == 3
+    # Another catalog, which has no such table, finds the newest run.
+    spark.sql(f"DROP TABLE {name}")
+    with pytest.raises(FileExistsError):
+        tables.publish(spark.range(1), name, path, fmt)
+    assert spark.table(name).count() == 4
+    assert tables.publish(spark.range(7), name, path, fmt, "overwrite").count() == 7
+    assert tables.newest_run_folder(spark, new_path(spark, "nothing")) is None
