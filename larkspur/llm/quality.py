@@ -28,7 +28,8 @@ SCRIPT_ENDS = "।॥؟۔።፧፨။៕។།։"
 ANY_END = r"[" + ENDS.replace("]", r"\]") + SCRIPT_ENDS + r"]\s*+$|[.!?…" + SCRIPT_ENDS + r"]\s"
 #: Line breaks inside a paragraph: the next line goes on in small letters or a script without capitals, or with any
 #: letter after a line of a usual width.
-INSIDE = r"(?<=\S[ \t\r]{0,2})\n(?=[\p{Ll}\p{Lo}])|(?<=[^\n]{45})\n(?=\p{L})"
+#: The break comes before the look behind it, so that only breaks are looked at.
+INSIDE = r"\n(?<=\S[ \t\r]{0,2}\n)(?=[\p{Ll}\p{Lo}])|\n(?<=[^\n]{45}\n)(?=\p{L})"
 SEPARATORS = ("|", "›", "»", "•", ">", "·", "::")
 NAVIGATION = (
     r"(?i)^\W*(home|menu|next|previous|prev|back|log ?in|log ?out|sign (in|up)|register|search|share|print|"
@@ -218,8 +219,9 @@ def clean(docs, text="text", keep=("doc_id",), max_lost=MAX_LOST, min_words=MIN_
 def kept_docs(docs, text="text"):
     """The rows of ``docs`` that are kept, their failing lines removed; all columns stay, whatever their names. Lines
     inside a wrapped paragraph and sentence ends of all scripts count as prose."""
-    out = docs.withColumn("_quality_", F.struct(let(
-        F.coalesce(F.col(text), F.lit("")), lambda t: measures(t, wrapped=True)).alias("m")))
+    # Exploding one value keeps the filter behind it, so that the measures are worked out once.
+    out = docs.withColumn("_quality_", F.explode(F.array(F.struct(let(
+        F.coalesce(F.col(text), F.lit("")), lambda t: measures(t, wrapped=True)).alias("m")))))
     m = "_quality_.m"
     left = F.col(f"{m}.rest.lines.by.left")
     words, n, repeated = (F.col(f"{m}.words.{c}") for c in ("word_chars", "n_words", "n_repeat_words"))
