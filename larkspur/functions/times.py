@@ -1,5 +1,7 @@
 """Time expressions."""
 
+import re
+
 from pyspark.sql import functions as F
 
 ZONE_PATTERN = r"(Z|[+-]\d{2}:?\d{2})$"
@@ -25,10 +27,17 @@ def read_event_time(c):
     dated = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(text, F.lit("T00:00:00Z")))
     # Eight digits alone would pass for a year.
     iso = F.when(~text.rlike(r"^\d{5,}$"), F.coalesce(dated, zoned).try_cast("timestamp"))
-    others = [F.try_to_timestamp(F.concat(text, F.lit("Z")), F.lit(f"{f}X")) for f in FORMATS]
+    # A text is tried in those formats only whose fixed characters it has.
+    others = [F.when(text.rlike(shape_of(f)), F.try_to_timestamp(F.concat(text, F.lit("Z")), F.lit(f"{f}X"))) for f in FORMATS]
     return F.coalesce(iso, *others)
 
 
+def shape_of(form):
+    """A pattern that every text of a format holds: letters for month names, its other characters, digits between."""
+    parts = re.split(r"([^A-Za-z]+)", form)
+    return ".*".join(re.escape(p) if i % 2 else "[A-Za-z]" if p == "MMM" else r"\d" for i, p in enumerate(parts) if p)
+
+
 def as_timestamp(run_ts):
     """A run's time, given as ISO text with zone, as a timestamp literal."""
     return F.lit(run_ts).cast("timestamp")
