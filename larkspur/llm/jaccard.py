@@ -10,10 +10,14 @@ with n, and the smaller one holds). Similar
 documents are partitioned into groups: each document is held against the document that most of its head tokens
 name as their leader, and those that link form groups. The token-group matrix holds the union of the head
 tokens of each group. A document opens a larger group only if as many of its head tokens stand in
-the group's union as must where they link, and the sizes in it can match; it is then compared exactly with the
+the group's union as must where they link, and the sizes in it can match; it is then compared with the
 group's members, chunk by chunk, until one links. So a large group of near copies is linked through leaders
 and matrix rows, not through all its pairs.
 
+A comparison first looks at parities: a set's tokens are dealt over about as many bits, each the parity of its tokens'
+number. Two sets' parities differ in no more bits than tokens stand in one set only, so too many bits prove that
+the sets don't link. Only documents that pass in a chunk send their sets there, for the exact comparison.
+
 Shingles are compared as 64-bit hashes. Null texts and texts without words are empty and link with nothing. doc_id
 is the key: repeated rows of one id must be copies; rows with a null id are returned without a class.
 Other columns are not read. An empty table gives no rows.
@@ -36,8 +40,12 @@ CHUNK = 1 << 15
 #: A head has one token more for each ``EXTRA`` shingles than must be looked at, so that more than one has to be
 #: shared; bits of the filter of documents whose sets are compared.
 EXTRA, FILTER = 20, 1 << 23
-#: Rounds in which each document opens one group, before all are opened that have to be; members in a chunk.
-ROUNDS, MEMBERS = 2, 128
+#: Rounds in which each document opens one group, before all are opened that have to be.
+ROUNDS = 2
+#: Members and askers of a chunk, and the shingles that either may hold where sets are long.
+MEMBERS, ASKERS, ROOM = 128, 512, 1 << 20
+#: Sizes are put in classes by powers of this; sets that can link are at most one class apart.
+STEP = 100 / PERCENT + 0.01
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -160,7 +168,7 @@ def least_shared(n):
 
 
 def heads(docs, levels):
-    """(token, doc_id) for the first tokens, rarest first, of every document."""
+    """(token, doc_id, n) for the first tokens, rarest first, of every document."""
     held = docs.sparkSession.sparkContext.broadcast(levels)
 
     def emit(batches):
@@ -177,9 +185,10 @@ def heads(docs, levels):
                 place = np.arange(len(h)) - np.repeat(first, n)
                 use = place < np.repeat(n - (PERCENT * n + 99) // 100 + 1 + n // EXTRA, n)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[use].view(np.int64)), pa.array(ids_of(batch, a, b)[doc[use]])], names=["h", "doc_id"])
+                    [pa.array(h[use].view(np.int64)), pa.array(ids_of(batch, a, b)[doc[use]]),
+                     pa.array(np.repeat(n, n)[use].astype(np.int64))], names=["h", "doc_id", "n"])
 
-    return known(docs).mapInArrow(emit, "h long, doc_id long")
+    return known(docs).mapInArrow(emit, "h long, doc_id long, n long")
 
 
 def written(df, name):
@@ -188,26 +197,49 @@ def written(df, name):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def meet(asks, members, sets, any_member=False):
-    """Links (x, y) between the documents that ask a key (q, key) and its members (m, key).
+def parities(h):
+    """Bits, as bytes, of which each is the parity of the number of tokens that fall on it: as many as there are
+    tokens, rounded up to a power of two."""
+    bits = max(64, 1 << (len(h) - 1).bit_length())
+    at = (R.mixed(h) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=bits) & 1, bitorder="little").tobytes()
 
-    A key's members are cut into chunks of about ``MEMBERS``, in each of which the sets of those who ask are
-    compared with the members' exactly; so a set is sent once for each chunk, not for each pair. With
-    ``any_member`` one link for each who asks and chunk is enough.
-    """
-    many = members.groupBy("key").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("chunks"))
-    kept = members.join(many, "key").select("key", F.pmod(F.xxhash64("m"), F.col("chunks")).cast("int").alias("chunk"), "m")
-    asked = asks.join(many, "key").select("key", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "q")
-    kept = kept.join(sets, F.col("m") == F.col("doc_id")).select("key", "chunk", F.col("m").alias("d"), "s")
-    other = sets.select(F.col("doc_id").alias("q"), F.col("s").alias("t"))
-    asked = asked.join(other, "q").select(F.col("key").alias("k"), F.col("chunk").alias("c"), "q", "t")
-
-    def compare(left, right):
-        own = [(d, np.frombuffer(x.as_buffer(), "<u8")) for d, x in zip(left.column("d").to_pylist(), left.column("s"))]
-        xs, ys = [], []
-        for q, x in zip(right.column("q").to_pylist(), right.column("t")):
-            a = np.frombuffer(x.as_buffer(), "<u8")
-            for m, b in own:
+
+def folded(bits, size):
+    """Parities over ``size`` bytes: a token's place is a number modulo the bits, so parts add up."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, np.uint8).reshape(-1, size), axis=0)
+
+
+def most_apart(a, b):
+    """Tokens that may stand in one only of two sets of ``a`` and ``b`` tokens that link."""
+    return a + b - 2 * -(-PERCENT * (a + b) // (100 + PERCENT))
+
+
+def may_link(table):
+    """The rows of a chunk, members (``own``) and askers, that some row of the other side can link with as far as
+    their parities show."""
+    own = np.asarray(table.column("own").combine_chunks()).astype(bool)
+    n, ids, sig = np.asarray(table.column("n")), np.asarray(table.column("d")), table.column("sig").to_pylist()
+    size = min(map(len, sig))
+    words = np.stack([folded(x, size) for x in sig]).view("<u8")
+    members, good = np.flatnonzero(own), np.zeros(len(own), bool)
+    for q in np.flatnonzero(~own):
+        apart = np.bitwise_count(words[members] ^ words[q]).sum(axis=1, dtype=np.int64)
+        hit = members[(apart <= most_apart(n[members], n[q])) & (ids[members] != ids[q])]
+        if len(hit):
+            good[q] = good[hit] = True
+    return table.filter(pa.array(good)).select(["key", "class", "chunk", "part", "own", "d"])
+
+
+def exact(any_member):
+    """Links of a chunk's askers with its members by their sets."""
+
+    def run(table):
+        rows = list(zip(table.column("own").to_pylist(), table.column("d").to_pylist(),
+                        (np.frombuffer(x.as_buffer(), "<u8") for x in table.column("s"))))
+        members, xs, ys = [(d, b) for own, d, b in rows if own], [], []
+        for q, a in ((d, a) for own, d, a in rows if not own):
+            for m, b in members:
                 if m == q or 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
                     continue
                 both = len(np.intersect1d(a, b, assume_unique=True))
@@ -217,7 +249,55 @@ def meet(asks, members, sets, any_member=False):
                         break
         return pa.table({"x": pa.array(xs, pa.int64()), "y": pa.array(ys, pa.int64())})
 
-    return kept.groupBy("key", "chunk").cogroup(asked.groupBy("k", "c")).applyInArrow(compare, "x long, y long")
+    return run
+
+
+def meet(asks, members, sets, any_member=False):
+    """Links (x, y) between the documents that ask a key (q, key) and its members (m, key).
+
+    The members of a key are parted by size class and then by hash into chunks, those who ask likewise, and each
+    chunk meets each part. Parities go first; a set is sent only to the chunks in which it may link. With
+    ``any_member`` one link for each who asks and chunk is enough.
+    """
+    klass = F.floor(F.log("n") / F.lit(float(np.log(STEP)))).cast("int")
+    lengths = sets.select("doc_id", "n")
+
+    def sided(df, name, more):
+        return df.join(lengths.withColumnRenamed("doc_id", name), name).withColumn("class", more)
+
+    def pieces(count, most):
+        per = F.greatest(F.lit(1), F.least(F.lit(most), F.floor(ROOM / F.pow(F.lit(STEP), F.col("class") + 1))))
+        return F.ceil(F.col(count) / per).cast("int")
+
+    kept = sided(members, "m", klass)
+    asked = sided(asks, "q", F.explode(F.sequence(klass - 1, klass + 1)))
+    dims = kept.groupBy("key", "class").agg(F.count("*").alias("k")).join(
+        asked.groupBy("key", "class").agg(F.count("*").alias("l")), ["key", "class"]).select(
+        "key", "class", pieces("k", MEMBERS).alias("chunks"), pieces("l", ASKERS).alias("parts"))
+    dims = written(dims, "jaccard-dims")
+
+    def dealt(name, many):
+        return F.pmod(F.xxhash64(name), F.col(many)).cast("int")
+
+    def each(many):
+        return F.explode(F.sequence(F.lit(0), F.col(many) - 1))
+
+    kept = kept.join(dims, ["key", "class"]).select(
+        "key", "class", dealt("m", "chunks").alias("chunk"), each("parts").alias("part"), F.lit(True).alias("own"), F.col("m").alias("d"))
+    asked = asked.join(dims, ["key", "class"]).select(
+        "key", "class", each("chunks").alias("chunk"), dealt("q", "parts").alias("part"), F.lit(False).alias("own"), F.col("q").alias("d"))
+    place = ["key", "class", "chunk", "part"]
+    rows = kept.unionByName(asked).join(sets.select(F.col("doc_id").alias("d"), "n", "sig"), "d")
+    rows = written(rows.groupBy(*place).applyInArrow(
+        may_link, "key long, class int, chunk int, part int, own boolean, d long"), "jaccard-may")
+    seen = rows.sparkSession.sparkContext.broadcast(filter_of(rows.select(F.col("d").alias("doc_id")).distinct()))
+
+    def needed(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(passing(seen.value, np.asarray(batch.column(0)))))
+
+    some = sets.select(F.col("doc_id").alias("d"), "s").mapInArrow(needed, "d long, s binary")
+    return rows.join(some, "d").groupBy(*place).applyInArrow(exact(any_member), "x long, y long")
 
 
 def components(links, nodes):
@@ -245,13 +325,11 @@ def links_of(docs, reps):
     rows = heads(docs, sketch(docs))
     # Tokens that no other document has in its head can't join anything.
     shared = rows.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h")
-    rows = rows.join(shared, "h", "left_semi").join(reps.select(F.col("rep").alias("doc_id"), "n"), "doc_id")
-    rows = written(rows, "jaccard-heads")
-    enough = rows.groupBy(F.col("doc_id").alias("d"), "n").agg(F.count("*").alias("m")).where(
-        F.col("m") >= least_shared(F.col("n"))).select("d")
-    rows = written(rows.join(enough, F.col("doc_id") == F.col("d"), "left_semi"), "jaccard-heads")
-    wanted = written(rows.select(F.col("doc_id").alias("d")).distinct(), "jaccard-wanted")
-    seen = spark.sparkContext.broadcast(filter_of(wanted.withColumnRenamed("d", "doc_id")))
+    held = rows.join(shared, "h", "left_semi").groupBy("doc_id", "n").agg(F.collect_set("h").alias("hs")).where(
+        F.size("hs") >= least_shared(F.col("n")))
+    held = written(held.join(reps, F.col("doc_id") == F.col("rep"), "left_semi"), "jaccard-heads")
+    wanted = held.select(F.col("doc_id").alias("d"))
+    seen = spark.sparkContext.broadcast(filter_of(held))
 
     def sets_of(batches):
         for batch in batches:
@@ -261,17 +339,19 @@ def links_of(docs, reps):
                 if len(h):
                     first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
                     ends = np.concatenate([first, [len(h)]])
+                    own = [h[i:j] for i, j in zip(ends, ends[1:])]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids_of(batch, a, b)[doc[first]]),
-                         pa.array([h[i:j].tobytes() for i, j in zip(ends, ends[1:])], pa.binary())], names=["doc_id", "s"])
+                        [pa.array(ids_of(batch, a, b)[doc[first]]), pa.array(np.diff(ends).astype(np.int64)),
+                         pa.array([parities(x) for x in own], pa.binary()), pa.array([x.tobytes() for x in own], pa.binary())],
+                        names=["doc_id", "n", "sig", "s"])
 
-    sets = written(known(docs).mapInArrow(sets_of, "doc_id long, s binary").join(
+    sets = written(known(docs).mapInArrow(sets_of, "doc_id long, n long, sig binary, s binary").join(
         wanted, F.col("doc_id") == F.col("d"), "left_semi").dropDuplicates(["doc_id"]), "jaccard-sets")
     groups = written(wanted.select(F.col("d").alias("v"), F.col("d").alias("c")), "jaccard-groups")
-    links = written(meet(*leaders(rows), sets), "jaccard-found")
+    links = written(meet(*leaders(held.select("doc_id", "n", F.explode("hs").alias("h"))), sets), "jaccard-found")
     for k in range(ROUNDS + 1):
         groups = written(components(links, groups.select("v")), "jaccard-groups")
-        opens = largest(rows, groups) if k < ROUNDS else opened(rows, groups)
+        opens = largest(held, groups) if k < ROUNDS else opened(held, groups)
         asks = opens.select(F.col("doc_id").alias("q"), F.col("g").alias("key"))
         members = groups.join(asks.select(F.col("key").alias("c")).distinct(), "c", "left_semi").select(
             F.col("v").alias("m"), F.col("c").alias("key"))
@@ -294,38 +374,45 @@ def leaders(rows):
     return members.select(F.col("key").alias("q"), "key").distinct(), members
 
 
-def by_group(rows, groups):
+def by_group(held, groups):
     """The head tokens with the group of each document and its size."""
     sized = groups.join(groups.groupBy("c").agg(F.count("*").alias("size")), "c")
-    return written(rows.join(sized.withColumnRenamed("v", "doc_id"), "doc_id"), "jaccard-grouped")
+    grouped = held.join(sized.withColumnRenamed("v", "doc_id"), "doc_id")
+    return written(grouped.select("doc_id", "n", "c", "size", F.explode("hs").alias("h")), "jaccard-grouped")
 
 
-def largest(rows, groups):
+def largest(held, groups):
     """(doc_id, g): each document opens the group that is most often the largest one with a head token of its own. One
     row per token and group size up what follows, so this grows with the tokens alone."""
-    grouped = by_group(rows, groups)
+    grouped = by_group(held, groups)
     top = grouped.groupBy("h").agg(F.max(F.struct("size", "c")).alias("top")).select("h", F.col("top.size").alias("most"), F.col("top.c").alias("g"))
     votes = grouped.join(top, "h").where(F.col("c") != F.col("g")).groupBy("doc_id", "g", "most").agg(F.count("*").alias("m"))
     return written(votes.groupBy("doc_id").agg(F.max_by("g", F.struct("m", "most", "g")).alias("g")), "jaccard-largest")
 
 
-def opened(rows, groups):
+def opened(held, groups):
     """(doc_id, g): documents that open a group not smaller than their own, as enough of their head tokens stand in
     the union of its head tokens, and the sizes in it can match.
 
     Tokens within one group open nothing. A document with fewer other tokens than it has to share is left out, and of
-    the others' the most common ones are: a document that shares k of s tokens has one of any s - k + 1.
+    the others' the most common ones are: a document that shares k of s tokens has one of any s - k + 1. Tokens that
+    stand in the same groups, as those of one passage do, are one row of the matrix.
     """
-    grouped = by_group(rows, groups)
+    grouped = by_group(held, groups)
     # The matrix: how many groups have a token, and in each the sizes of documents with it.
     matrix = written(grouped.groupBy("h", "c", "size").agg(F.min("n").alias("low"), F.max("n").alias("high")), "jaccard-matrix")
-    apart = matrix.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
+    apart = matrix.groupBy("h").agg(
+        F.count("*").alias("k"), F.bit_xor(F.xxhash64("c")).alias("p1"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("p2"))
+    apart = written(apart.where("k > 1"), "jaccard-apart")
     mine = grouped.join(apart, "h").withColumnRenamed("size", "own")
-    ranked = Window.partitionBy("doc_id").orderBy("k", "h")
+    ranked = Window.partitionBy("doc_id").orderBy("k", "p1", "p2", "h")
     mine = mine.withColumn("s", F.count("*").over(Window.partitionBy("doc_id"))).withColumn("place", F.row_number().over(ranked))
     need = least_shared(F.col("n"))
-    mine = written(mine.where((F.col("s") >= need) & (F.col("place") <= F.col("s") - need + 1)).drop("s", "place"), "jaccard-mine")
-    bound = mine.join(matrix.withColumnRenamed("c", "g"), "h").where(
+    mine = mine.where((F.col("s") >= need) & (F.col("place") <= F.col("s") - need + 1)).select(
+        "doc_id", "n", "c", "own", "p1", "p2").distinct()
+    unions = matrix.join(apart, "h").groupBy("p1", "p2", F.col("c").alias("g"), "size").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"))
+    bound = written(mine, "jaccard-mine").join(written(unions, "jaccard-unions"), ["p1", "p2"]).where(
         (F.struct("own", "c") < F.struct("size", "g")) & (100 * F.col("high") >= PERCENT * F.col("n"))
         & (100 * F.col("n") >= PERCENT * F.col("low")))
     return written(bound.select("doc_id", "g").distinct(), "jaccard-opens")

@@ -5,6 +5,7 @@ import random
 import sys
 import textwrap
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -233,3 +234,29 @@ def test_jaccard_near_the_limit(spark, monkeypatch, seed, members):
     got = sorted(tuple(r) for r in jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == helpers.jaccard(rows)
     assert 1 < len({c for _, _, c in got}) < 200
+
+
+@pytest.mark.parametrize("n", [1, 3, 60, 400, 1500])
+def test_parities_never_part_sets_that_link(n):
+    """Bits that differ are at most the tokens of one set only, also between sizes of unlike numbers of bits."""
+    r = np.random.default_rng(n)
+    for _ in range(200):
+        a = r.integers(0, 1 << 63, n, dtype=np.uint64)
+        same = int(r.integers(0, n + 1))
+        b = np.concatenate([a[:same], r.integers(0, 1 << 63, int(r.integers(0, n // 3 + 2)), dtype=np.uint64)])
+        if not len(b):
+            continue
+        x, y = jaccard.parities(a), jaccard.parities(b)
+        size = min(len(x), len(y))
+        apart = int(np.bitwise_count(jaccard.folded(x, size) ^ jaccard.folded(y, size)).sum())
+        both, total = same, len(a) + len(b)
+        assert apart <= total - 2 * both
+        if 100 * both >= 80 * (total - both):
+            assert apart <= jaccard.most_apart(len(a), len(b))
+
+
+def test_size_classes_of_sets_that_link_are_neighbours():
+    n = np.arange(1, 200_000)
+    k = np.floor(np.log(n) / np.log(jaccard.STEP))
+    smallest = -(-80 * n // 100)
+    assert (k - k[smallest - 1] <= 1).all()
