@@ -124,8 +124,8 @@ def realise(rows, plan, block_tokens=BLOCK_TOKENS):
     return out.withColumn("source", F.when(F.col("source") != "\0", F.col("source")))
 
 
-def mix(docs, entropy=ENTROPY, max_repeats=MAX_REPEATS, budget=BUDGET, block_tokens=BLOCK_TOKENS):
-    rows = counted(docs)
+def mix(docs, entropy=ENTROPY, max_repeats=MAX_REPEATS, budget=BUDGET, block_tokens=BLOCK_TOKENS, key="doc_id"):
+    rows = counted(docs, key=key)
     path = new_path(docs.sparkSession, "mix-counts")
     rows.write.parquet(path)
     rows = docs.sparkSession.read.schema(rows.schema).parquet(path)
@@ -133,12 +133,17 @@ def mix(docs, entropy=ENTROPY, max_repeats=MAX_REPEATS, budget=BUDGET, block_tok
 
 
 def mixed_docs(docs, **settings):
-    """The rows of ``docs`` as often as they are drawn. Repeated rows of one doc_id are one document; rows
-    without a doc_id can't be drawn."""
-    once = docs.dropDuplicates(["doc_id"])
-    drawn = mix(once, **settings).groupBy(F.col("doc_id").alias("_drawn_id")).agg(F.count("*").cast("int").alias("_times"))
-    rows = once.join(drawn, F.col("doc_id") == F.col("_drawn_id"))
-    return rows.withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[once[c] for c in once.columns])
+    """The rows of ``docs`` as often as they are drawn. Rows of one doc_id and one text are one document; rows without a
+    doc_id are told apart by their texts. Only where there are copies are all texts shuffled to collapse them."""
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.coalesce("text", F.lit("")))
+    once = docs.withColumn("_mix_key", F.md5(name))
+    again = once.groupBy("_mix_key").agg(F.count("*").alias("copies")).where("copies > 1")
+    if not again.isEmpty():
+        once = once.dropDuplicates(["_mix_key"])
+    drawn = mix(once, key="_mix_key", **settings).groupBy(F.col("doc_id").alias("_drawn_key")).agg(
+        F.count("*").cast("int").alias("_times"))
+    rows = once.join(drawn, F.col("_mix_key") == F.col("_drawn_key"))
+    return rows.withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[once[c] for c in docs.columns])
 
 
 def op10_temperature_mixing(spark, sf_dir):

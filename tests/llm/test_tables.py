@@ -173,6 +173,15 @@ def test_mixing_whole_budget_and_empty(spark):
     assert mixing.mix(mixture(spark).limit(0)).count() == 0
 
 
+def test_mixing_keeps_rows_without_id_and_unlike_texts_of_one(spark):
+    rows = [(None, "a b c", "x"), (None, "d e", "x"), (None, "d e", "x"), (1, "f g", "x"), (1, "h", "x"), (1, "h", "x"), (2, "", "x"), (3, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mixed_docs(docs, entropy=0.9, budget=None).select("doc_id", "text").collect()
+    assert sorted(tuple(r) for r in out if r["doc_id"]) == [(1, "f g"), (1, "h")]
+    assert sorted(r["text"] for r in out if r["doc_id"] is None) == ["a b c", "d e"]
+    assert mixing.mixed_docs(docs.limit(0), entropy=0.9, budget=None).count() == 0
+
+
 def test_licences(spark):
     rows = [(1, "Some prose.\nReleased under the MIT License.\nMore."), (2, "She lost her driving licence in the public library."), (3, None),
             (4, ""), (5, "Released under the Apache License, Version 2.0"), (6, "All rights reserved."), (6, "All rights reserved.")]
