@@ -372,6 +372,12 @@ ORACLES = {
         SELECT *, row_number() OVER (PARTITION BY customer_id
             ORDER BY event_time DESC, write_time DESC, is_deleted DESC, o_orderkey DESC) AS i
         FROM versions) WHERE i = 1 AND NOT is_deleted"""),
+    "newest_merged": with_(VERSIONS, """SELECT customer_id, event_time, total_charges, o_orderkey FROM (
+        SELECT *, row_number() OVER (PARTITION BY customer_id
+            ORDER BY event_time DESC, write_time DESC, is_deleted DESC, o_orderkey DESC) AS i
+        FROM versions) WHERE i = 1 AND NOT is_deleted"""),
+    "newest_caught_up": with_(CLEANED, """SELECT customer_id, contract_type, CAST(CASE WHEN churn = 1 THEN 2 ELSE churn END AS BIGINT) AS churn,
+        CASE WHEN churn = 1 THEN '2024-06-02T12:00:00+0000' ELSE '2024-06-01T00:00:00+0000' END AS event_time FROM cleaned"""),
     "range_overlap": with_(PARTS, "SELECT customer_id FROM train INTERSECT SELECT customer_id FROM infer"),
     "infer_without_train": with_(
         PARTS, "SELECT customer_id, churn FROM infer WHERE customer_id NOT IN (SELECT customer_id FROM train)"),
@@ -408,6 +414,10 @@ ORACLES = {
     "union_by_name": with_(CHURN_RAW, f"""
         SELECT customer_id, payment_method, phone_service, NULL AS online_security FROM churn_raw WHERE {TRAIN_IDS}
         UNION ALL SELECT customer_id, payment_method, NULL, online_security FROM churn_raw WHERE {INFER_IDS}"""),
+    "union_headers": with_(CHURN_RAW, """SELECT customer_id,
+        CASE WHEN CAST(substr(customer_id, 6) AS BIGINT) % 3 < 2 THEN payment_method END AS payment_method,
+        CASE WHEN CAST(substr(customer_id, 6) AS BIGINT) % 3 = 1 THEN phone_service END AS phone_service,
+        CASE WHEN CAST(substr(customer_id, 6) AS BIGINT) % 3 = 2 THEN online_security END AS online_security FROM churn_raw"""),
     "union_parts": with_(PREDICTED, f"""SELECT customer_id, prediction FROM scored_rows WHERE {TRAIN_IDS}
         UNION ALL SELECT customer_id, prediction FROM scored_infer"""),
     "published_table": with_(PREDICTED, """SELECT * REPLACE (CAST(churn AS BIGINT) AS churn,
@@ -458,6 +468,9 @@ ORACLES = {
         1.0::DOUBLE AS roc_auc, 'line' AS first_feature, 1.0::DOUBLE AS train_accuracy, 'Approved' AS status""",
     "soft_vote_multi": """SELECT l_orderkey, CAST(l_linenumber AS DOUBLE) AS line,
         CAST((l_linenumber - 1) // 3 AS DOUBLE) AS prediction, 1.0::DOUBLE AS probability FROM lineitem""",
+    "halving_survivor": """SELECT l_orderkey, CAST(l_linenumber AS DOUBLE) AS line,
+        CAST((l_linenumber - 1) // 3 AS DOUBLE) AS prediction, 'candidate-03' AS candidate, 1.0::DOUBLE AS accuracy,
+        3 AS n_rungs, 7 AS n_fits FROM lineitem""",
     "bundle_roundtrip": with_(CLEANED, "SELECT customer_id, TRUE AS alike FROM cleaned"),
     "batch_inference_rows": with_(PARTS, """SELECT customer_id, age, contract_type, CAST(churn AS BIGINT) AS churn,
         TRUE AS consistent FROM infer"""),

@@ -17,6 +17,7 @@ from larkspur.session import new_path, small_table
 from larkspur.sources import fixtures as fx, registry, tables
 from larkspur.sources.bucketed_group import BucketedGroup
 from larkspur.sources.feature_group import FeatureGroup
+from larkspur.sources.newest import NewestTable
 from larkspur.streaming import ingest, load, scoring
 
 RUN_TS = "2024-06-01T00:00:00Z"
@@ -685,6 +686,17 @@ def union_by_name(spark, sf_dir):
     return tables.read_csv_tables(spark, paths)
 
 
+@query
+def union_headers(spark, sf_dir):
+    """One folder of CSV files with three headers, one of them quoted and in another order."""
+    rows = fx.churn_raw(spark, sf_dir).select(ID, "payment_method", "phone_service", "online_security")
+    path, part = new_path(spark, "headers"), F.substring(ID, 6, 20).cast("long") % 3
+    for i, names in enumerate(([ID, "payment_method"], ["phone_service", ID, "payment_method"], ["online_security", ID])):
+        shown = [F.col(c).alias(c + ", text" if c == "phone_service" else c) for c in names]
+        tables.write_csv(rows.where(part == i).repartition(4).select(*shown), path, mode="append")
+    return tables.read_csv_tables(spark, [path]).withColumnRenamed("phone_service, text", "phone_service")
+
+
 @query
 def union_parts(spark, sf_dir):
     """Headerless prediction parts read as one table."""
@@ -812,6 +824,32 @@ def bucketed_latest(spark, sf_dir):
     return newest.select(ID, F.col("event_time").cast("timestamp_ntz").alias("event_time"), "total_charges", "o_orderkey")
 
 
+def newest_table(spark, name):
+    return NewestTable(FeatureGroup(f"{name}_{uuid.uuid4().hex}", new_path(spark, name)), new_path(spark, f"{name}-newest"), buckets=8)
+
+
+@query
+def newest_merged(spark, sf_dir):
+    """Newest records merged append by append; the appends' versions come in no order of time."""
+    rows = fx.feature_versions(spark, sf_dir).withColumns({
+        "event_time": F.col("event_time").cast("timestamp"), "write_time": F.col("write_time").cast("timestamp"),
+        "total_charges": F.col("total_charges").cast("double")})
+    kept, part = newest_table(spark, "newest"), F.pmod(F.xxhash64("o_orderkey"), F.lit(4))
+    for i in range(4):
+        kept.append(rows.where(part == i), RUN_TS)
+    return kept.latest(spark).select(ID, F.col("event_time").cast("timestamp_ntz").alias("event_time"), "total_charges", "o_orderkey")
+
+
+@query
+def newest_caught_up(spark, sf_dir):
+    """Rows that only the group got, as if the run had broken off, are merged afterwards; a second time changes nothing."""
+    kept, rows = newest_table(spark, "caught"), cleaned(spark, sf_dir)
+    kept.append(rows, RUN_TS)
+    kept.group.append(rows.where("churn = 1").withColumn("churn", F.lit(2)), "2024-06-02T12:00:00Z")
+    kept.catch_up(spark, "2024-06-02T12:00:00Z").catch_up(spark, "2024-06-02T12:00:00Z")
+    return clean.event_time_text(kept.latest(spark)).select(ID, "contract_type", "churn", "event_time")
+
+
 @query
 def bucketed_as_of(spark, sf_dir):
     """Each shipped line with its customer's record as of that day, the versions read where they lie."""
@@ -1032,6 +1070,20 @@ def soft_vote_multi(spark, sf_dir):
     return searching.soft_vote(found, rows).select("l_orderkey", "line", "prediction", F.round("probability", 6).alias("probability"))
 
 
+@query
+def halving_survivor(spark, sf_dir):
+    """Candidates halved on growing samples; the label follows from one feature, so the one that finds it is known."""
+    rows = lines_by_rule(spark, sf_dir).select("l_orderkey", "line", "third")
+    tried = [("logistic", "penalty=1000", models.logistic("third", 1000.0, 5), False), ("stump", "depth=0", models.forest("third", 1, 0), False),
+             ("forest", "depth=4", models.forest("third", 5, 4), False), ("logistic", "penalty=100", models.logistic("third", 100.0, 5), False)]
+    found = searching.halving(rows, rows, ["line"], "third", tried, max_seconds=600)
+    won = searching.survivor(found)
+    # The candidate, the rungs it took, and its predictions.
+    return models.predict(won.model, rows).select(
+        "l_orderkey", "line", "prediction", F.lit(won.name).alias("candidate"), F.lit(won.value).alias("accuracy"),
+        F.lit(sum(name == won.name for name, *_ in found.rungs)).alias("n_rungs"), F.lit(len(found.rungs)).alias("n_fits"))
+
+
 @query
 def bundle_roundtrip(spark, sf_dir):
     """Customers scored by a model in memory, by the same one saved and loaded, and as requests: all agree."""

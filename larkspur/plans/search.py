@@ -2,7 +2,8 @@
 
 import functools
 import time
-from concurrent.futures import ThreadPoolExecutor
+import uuid
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
@@ -32,6 +33,8 @@ class Found(list):
     """The candidates that ran, and those for which time was out."""
 
     not_tried = ()
+    rungs = ()
+    out_of_time = False
 
 
 def metric_value(scored, target, metric):
@@ -99,6 +102,98 @@ def search(train, validation, features, target, candidates=None, metric="Accurac
     return out
 
 
+def sample_rows(df, share, salt=""):
+    """About ``share`` of the rows, by a hash of all values: a smaller share is part of a larger one, and no run differs from
+    another. Copies of a row stay together."""
+    if share >= 1:
+        return df
+    return df.where(F.pmod(F.xxhash64(*df.columns, F.lit(salt)), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
+def halving(train, validation, features, target, candidates=None, metric="Accuracy", first_share=0.125,
+            max_seconds=3600, parallelism=2, clock=time.monotonic, tick=0.5):
+    """Successive halving: all candidates are fitted on ``first_share`` of the rows, the better half on twice as many, and
+    so on, until one is left or all rows are used; the last rung always has all rows.
+
+    Every fit carries a job tag of its own. When ``max_seconds`` are over, the jobs of the fits still running are cancelled by
+    their tags, and of the candidates of that rung those count that were finished. The result holds the newest model of every candidate, with
+    the rung it got to in ``rungs`` (name, rung, share, value) and whether time ran out in ``out_of_time``; models
+    of a higher rung come first. A fit that fails for any other reason is an error.
+    """
+    if metric not in METRICS:
+        raise ValueError(f"metric {metric} is not one of {METRICS}")
+    if not 0 < first_share <= 1:
+        raise ValueError("first_share lies above 0 and is at most 1")
+    if candidates is None or metric == "AUC":
+        n_classes = train.select(F.count_distinct(target)).first()[0]
+        if metric == "AUC" and n_classes > 2:
+            raise ValueError("AUC is for two classes")
+    if candidates is None:
+        candidates = default_candidates(target, len(features), n_classes)
+    spark, context, run = train.sparkSession, train.sparkSession.sparkContext, uuid.uuid4().hex[:8]
+    deadline = clock() + max_seconds
+    alive = {f"candidate-{i:02d}": c for i, c in enumerate(candidates, 1)}
+    newest, rungs, rung, share, late = {}, [], 0, first_share, False
+
+    def fit(name, rows, tag):
+        algorithm, settings, classifier, scaled = alive[name]
+        context.addJobTag(tag)
+        try:
+            start = clock()
+            model = models.pipeline(features, classifier, scaled).fit(rows)
+            value = metric_value(models.predict(model, validation), target, metric)
+            return Candidate(name, algorithm, settings, metric, value, clock() - start, model)
+        finally:
+            context.removeJobTag(tag)
+
+    while alive and not late:
+        if len(alive) == 1:
+            share = 1.0
+        rows = models.spread(sample_rows(train, share)).persist()
+        tags = {name: f"halving-{run}-{rung}-{name}" for name in alive}
+        with ThreadPoolExecutor(parallelism) as pool:
+            jobs = {pool.submit(inheritable_thread_target(spark)(fit), name, rows, tags[name]): name for name in sorted(alive)}
+            running = set(jobs)
+            while running:
+                running = wait(running, timeout=tick)[1]
+                if running and clock() > deadline:
+                    late = True
+                    for job in running:
+                        # Cancelled again at each tick: a fit that has just come to its next job has none to cancel now.
+                        if not job.cancel():
+                            context.cancelJobsWithTag(tags[jobs[job]])
+        rows.unpersist()
+        done = {}
+        for job, name in jobs.items():
+            if job.cancelled():
+                continue
+            failure = job.exception()
+            if failure is None:
+                done[name] = job.result()
+            elif not late:
+                raise failure
+        for name, c in sorted(done.items()):
+            newest[name] = (rung, c)
+            rungs.append((name, rung, float(share), float(c.value)))
+        if late or share >= 1:
+            break
+        kept = [c.name for c in ranked(list(done.values()))][: max(1, (len(done) + 1) // 2)]
+        alive = {name: alive[name] for name in kept}
+        rung, share = rung + 1, min(1.0, share * 2)
+    top = max((r for r, _ in newest.values()), default=0)
+    out = Found(c for r in range(top, -1, -1) for c in ranked([c for at, c in newest.values() if at == r]))
+    out.rungs, out.out_of_time = rungs, late
+    out.not_tried = [(f"candidate-{i:02d}", *job[:2], metric) for i, job in enumerate(candidates, 1) if f"candidate-{i:02d}" not in newest]
+    return out
+
+
+def survivor(found):
+    """The best candidate of the highest rung of a halving search."""
+    if not found:
+        raise LookupError("the search has no candidate")
+    return found[0]
+
+
 def candidates_table(spark, found):
     """One row per candidate; those not tried have no value."""
     rows = [(c.name, c.algorithm, c.settings, c.metric, float(c.value)) for c in found]

@@ -1,13 +1,12 @@
 """Reading and publishing tables and files."""
 
-import csv
-import functools
 import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F, types as T
 
 from larkspur.functions.text import missing_to_null
+from larkspur.session import new_path
 
 
 def resolve(spark, name, database=None):
@@ -44,30 +43,48 @@ def read_csv(spark, path, schema, header=True, missing_texts=True, line_breaks=F
 
 
 def read_csv_tables(spark, paths):
-    """Union of CSV directories with unlike headers, by column name, all text."""
-    parts = []
-    for path in paths:
-        # A directory may hold files with unlike headers: those of one header are read together.
-        for names, files in sorted(headers(spark, path).items()):
-            schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-            parts.append(read_csv(spark, files, schema))
-    if not parts:
-        raise ValueError("no paths to read")
-    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
+    """Union of CSV files with unlike headers, by column name, all text.
 
-def headers(spark, path):
-    """{column names: files} of the CSV files below ``path``. The first line of each file is read by a
-    task of its own; what reaches the driver is one row per file."""
-    first = spark.read.option("wholetext", False).text(path).select(
+    Every file has its own header; files of one directory may differ. All are read at once, by position, and each row meets
+    its file's header, so there is no plan, list or row per file on the driver: only the distinct column names come there. A name
+    that a header holds twice means its first column; a column without a name is left out. A file without any line adds nothing.
+    The header's lines are found by a scan of their own.
+    """
+    paths = list(paths)
+    if not paths:
+        raise ValueError("no paths to read")
+    heads = headers(spark, paths)
+    width, names = heads.agg(F.max(F.size("names"))).first()[0] or 0, column_names(heads)
+    if not names:
+        raise ValueError("no header in any file")
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("escape", '"').csv(paths)
+    rows = rows.select(F.array(*schema.names).alias("values"), F.col("_metadata.file_path").alias("file"))
+    both = rows.join(heads, "file")
+    cell = lambda name: F.get("values", F.array_position("names", F.lit(name)).cast("int") - 1)
+    return both.select(*[missing_to_null(cell(n)).alias(n) for n in names])
+
+
+def headers(spark, paths):
+    """file and names of the CSV files below ``paths``: a table with a row per file, written to the shared folder."""
+    lines = spark.read.text(list(paths)).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("at"))
-    lines = first.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("line"))
-    out = {}
-    for r in lines.collect():
-        names = next(csv.reader([r["line"]]))
-        out.setdefault(tuple(names), []).append(r["file"])
-    return out
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("line"))
+    found, out = new_path(spark, "csv-lines"), new_path(spark, "csv-headers")
+    first.write.parquet(found)
+    first = spark.read.schema("file string, line string").parquet(found)
+    # Commas inside quotes make a header narrower than this, never wider.
+    most = first.agg(F.max(F.length("line") - F.length(F.replace("line", F.lit(",")))) + 1).first()[0] or 1
+    parsed = F.from_csv(F.regexp_replace("line", "^\ufeff", ""), ", ".join(f"c{i} string" for i in range(most)), {"escape": '"'})
+    first.select("file", parsed.alias("p")).select("file", F.array(*[f"p.c{i}" for i in range(most)]).alias("names")).write.parquet(out)
+    return spark.read.schema("file string, names array<string>").parquet(out)
+
+
+def column_names(heads):
+    """The distinct names of all headers, by their first place, then by name."""
+    every = heads.select(F.posexplode("names").alias("i", "name")).where("name is not null")
+    return [r["name"] for r in every.groupBy("name").agg(F.min("i").alias("i")).orderBy("i", "name").collect()]
 
 
 def read_any(spark, path, schema):
