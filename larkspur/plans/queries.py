@@ -824,17 +824,14 @@ def bucketed_latest(spark, sf_dir):
     return newest.select(ID, F.col("event_time").cast("timestamp_ntz").alias("event_time"), "total_charges", "o_orderkey")
 
 
-def newest_table(spark, name):
-    return NewestTable(FeatureGroup(f"{name}_{uuid.uuid4().hex}", new_path(spark, name)), new_path(spark, f"{name}-newest"), buckets=8)
-
-
 @query
 def newest_merged(spark, sf_dir):
     """Newest records merged append by append; the appends' versions come in no order of time."""
     rows = fx.feature_versions(spark, sf_dir).withColumns({
         "event_time": F.col("event_time").cast("timestamp"), "write_time": F.col("write_time").cast("timestamp"),
         "total_charges": F.col("total_charges").cast("double")})
-    kept, part = newest_table(spark, "newest"), F.pmod(F.xxhash64("o_orderkey"), F.lit(4))
+    group = BucketedGroup(f"newest_{uuid.uuid4().hex}", new_path(spark, "bucketed"), buckets=8)
+    kept, part = NewestTable(group, new_path(spark, "newest"), buckets=8), F.pmod(F.xxhash64("o_orderkey"), F.lit(4))
     for i in range(4):
         kept.append(rows.where(part == i), RUN_TS)
     return kept.latest(spark).select(ID, F.col("event_time").cast("timestamp_ntz").alias("event_time"), "total_charges", "o_orderkey")
@@ -843,7 +840,7 @@ def newest_merged(spark, sf_dir):
 @query
 def newest_caught_up(spark, sf_dir):
     """Rows that only the group got, as if the run had broken off, are merged afterwards; a second time changes nothing."""
-    kept, rows = newest_table(spark, "caught"), cleaned(spark, sf_dir)
+    kept, rows = NewestTable(new_group(spark), new_path(spark, "newest"), buckets=8), cleaned(spark, sf_dir)
     kept.append(rows, RUN_TS)
     kept.group.append(rows.where("churn = 1").withColumn("churn", F.lit(2)), "2024-06-02T12:00:00Z")
     kept.catch_up(spark, "2024-06-02T12:00:00Z").catch_up(spark, "2024-06-02T12:00:00Z")

@@ -138,12 +138,15 @@ def halving(train, validation, features, target, candidates=None, metric="Accura
     def fit(name, rows, tag):
         algorithm, settings, classifier, scaled = alive[name]
         context.addJobTag(tag)
+        # A task in the middle of a long step is interrupted, not waited for.
+        context.setLocalProperty("spark.job.interruptOnCancel", "true")
         try:
             start = clock()
             model = models.pipeline(features, classifier, scaled).fit(rows)
             value = metric_value(models.predict(model, validation), target, metric)
             return Candidate(name, algorithm, settings, metric, value, clock() - start, model)
         finally:
+            context.setLocalProperty("spark.job.interruptOnCancel", None)
             context.removeJobTag(tag)
 
     while alive and not late:

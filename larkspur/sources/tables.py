@@ -54,7 +54,7 @@ def read_csv_tables(spark, paths):
     if not paths:
         raise ValueError("no paths to read")
     heads = headers(spark, paths)
-    width, names = heads.agg(F.max(F.size("names"))).first()[0] or 0, column_names(heads)
+    width, names = heads.agg(F.max(F.size("names"))).first()[0] or 0, column_names(heads, paths)
     if not names:
         raise ValueError("no header in any file")
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
@@ -81,10 +81,11 @@ def headers(spark, paths):
     return spark.read.schema("file string, names array<string>").parquet(out)
 
 
-def column_names(heads):
-    """The distinct names of all headers, by their first place, then by name."""
-    every = heads.select(F.posexplode("names").alias("i", "name")).where("name is not null")
-    return [r["name"] for r in every.groupBy("name").agg(F.min("i").alias("i")).orderBy("i", "name").collect()]
+def column_names(heads, paths):
+    """The distinct names of all headers, in the order of the paths, of the headers of a path, and of the names in a header."""
+    nth = F.array_position(F.transform(F.array(*map(F.lit, paths)), lambda p: F.contains("file", p)), F.lit(True))
+    every = heads.select(nth.alias("nth"), "names", F.posexplode("names").alias("i", "name")).where("name is not null")
+    return [r["name"] for r in every.groupBy("name").agg(F.min(F.struct("nth", "names", "i")).alias("at")).orderBy("at").collect()]
 
 
 def read_any(spark, path, schema):

@@ -1,4 +1,5 @@
 import itertools
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,3 +173,45 @@ def test_forest_does_not_depend_on_the_files(spark, customers):
     forests = [models.pipeline(fitted.features, models.forest("churn", 5, 4)).fit(models.spread(parts["train"].repartition(n)))
                for n in (1, 7)]
     assert forests[0].stages[-1].toDebugString.split("\n")[1:] == forests[1].stages[-1].toDebugString.split("\n")[1:]
+
+
+def halving_rows(spark):
+    return spark.range(4000).select((F.col("id") % 8).cast("double").alias("a"), "id", (F.col("id") % 8 > 3).cast("double").alias("y"))
+
+
+def test_halving_keeps_the_one_that_finds_the_rule(spark):
+    rows = halving_rows(spark).withColumn("b", F.when(F.col("a").between(2, 5), 1.0).otherwise(0.0)).drop("y")
+    tried = [("forest", f"depth={d}", models.forest("b", 1, d), False) for d in (0, 0, 3, 0)]
+    found = search.halving(rows, rows, ["a"], "b", tried, first_share=0.25, max_seconds=600)
+    assert search.survivor(found).name == "candidate-03" and search.survivor(found).value == 1.0
+    assert [(n, r, s) for n, r, s, _ in found.rungs] == [
+        *[(f"candidate-0{i}", 0, 0.25) for i in (1, 2, 3, 4)], ("candidate-01", 1, 0.5), ("candidate-03", 1, 0.5), ("candidate-03", 2, 1.0)]
+    assert not found.out_of_time and not found.not_tried
+    parts = [search.sample_rows(rows, s) for s in (0.25, 0.5, 1.0)]
+    assert all(a.exceptAll(b).isEmpty() for a, b in zip(parts, parts[1:])) and 800 < parts[0].count() < 1200
+
+
+class Slow:
+    """A classifier whose fit is a job of minutes."""
+
+    def fit(self, rows):
+        return rows.crossJoin(rows.toDF("a2", "id2", "y2")).crossJoin(rows.toDF("a3", "id3", "y3")).coalesce(1).agg(
+            F.sum(F.xxhash64("id", "id2", "id3") % 7)).collect()
+
+
+def test_halving_cancels_what_runs_at_the_limit(spark, monkeypatch):
+    rows = halving_rows(spark)
+    real = models.pipeline
+    monkeypatch.setattr(models, "pipeline", lambda f, c, s=False: c if isinstance(c, Slow) else real(f, c, s))
+    tried = [("forest", "depth=2", models.forest("y", 1, 2), False), ("slow", "", Slow(), False), ("slow", "", Slow(), False)]
+    # Time is over once the first candidate is measured.
+    measured, measure = [], search.metric_value
+    monkeypatch.setattr(search, "metric_value", lambda *a: measured.append(measure(*a)) or measured[-1])
+    found = search.halving(rows, rows, ["a"], "y", tried, first_share=0.5, max_seconds=100, tick=0.2,
+                           clock=lambda: 200.0 if measured else 0.0)
+    assert found.out_of_time
+    assert [c.name for c in found] == ["candidate-01"] and {n for n, *_ in found.not_tried} == {"candidate-02", "candidate-03"}
+    deadline = time.monotonic() + 20
+    while spark.sparkContext.statusTracker().getActiveJobsIds() and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert not spark.sparkContext.statusTracker().getActiveJobsIds(), "nothing runs on"

@@ -1,3 +1,5 @@
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -23,6 +25,30 @@ def test_csv_with_unlike_headers(spark):
     assert {tuple(r) for r in got.collect()} == {("1", "one", None), ("2", None, None), ("3", None, "why")}
 
 
+def test_many_csv_files_of_three_headers(spark):
+    """Small files in one folder, a data line that equals a header, quoted and doubled names, short and long lines, a file without
+    rows. What reaches the driver is one number and the names."""
+    path = new_path(spark, "headers")
+    heads = ["id,x", '"y, z",id', "id,x,x,,w"]
+    folder = pathlib.Path(path.removeprefix("file:"))
+    folder.mkdir(parents=True)
+    for i in range(90):
+        body = {0: f"{i},one\nid,x\n", 1: f'"a, ""b""",{i}\n', 2: f"{i},p,q,r,s,t,u\n{i}\n"}[i % 3]
+        (folder / f"{i}.csv").write_text(heads[i % 3] + "\n" + body)
+    (folder / "none.csv").write_text("")
+    spark.createDataFrame([(heads[0],)], "value string").coalesce(1).write.mode("append").text(path)
+    got = tables.read_csv_tables(spark, [path])
+    assert got.columns == ["id", "x", "w", "y, z"]
+    rows = sorted(map(tuple, got.collect()), key=str)
+    expected = []
+    for i in range(90):
+        expected += {0: [(str(i), "one", None, None), ("id", "x", None, None)], 1: [(str(i), None, None, 'a, "b"')],
+                     2: [(str(i), "p", "s", None), (str(i), None, None, None)]}[i % 3]
+    assert rows == sorted(expected, key=str)
+    with pytest.raises(ValueError, match="no paths"):
+        tables.read_csv_tables(spark, [])
+
+
 def test_ragged_and_headerless_rows(spark):
     path = write_lines(spark, ["1,a,2.5", "2,b", "3"])
     got = tables.read_csv(spark, path, "id int, t string, x double", header=False)

@@ -1,13 +1,16 @@
 import bisect
 import random
+import uuid
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from larkspur.operators import ranking, versions
 from larkspur.session import new_path
 from larkspur.sources.bucketed_group import BucketedGroup
 from larkspur.sources import registry
+from larkspur.sources.newest import NewestTable
 
 DAY = datetime(2024, 1, 1)
 
@@ -136,3 +139,64 @@ def test_bucketed_versions_are_read_where_they_lie(spark):
         assert exchanges_above_scan(group.read(spark).groupBy("x").count(), "bucketed_features") == [1]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", joins)
+
+
+def kept_newest(spark, buckets=8):
+    group = BucketedGroup(f"kept_{uuid.uuid4().hex}", new_path(spark, "kept"), buckets=2)
+    return NewestTable(group, new_path(spark, "kept-newest"), buckets)
+
+
+def kept_rows(spark, n, seed):
+    k = F.xxhash64(F.lit(seed), "id")
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 41 != 0, F.format_string("k%d", F.pmod(k, F.lit(60)))).alias("customer_id"),
+        F.timestamp_seconds(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(50)) * 3600).alias("event_time"),
+        (k % 7).cast("double").alias("x"), (k % 5 == 0).alias("is_deleted"))
+
+
+def test_merged_newest_equals_the_full_aggregate(spark):
+    """Batches in no order of time, a third of the rows on one key, keys that are NULL, deleted records, and a batch merged twice."""
+    kept = kept_newest(spark)
+    for i in range(4):
+        kept.append(kept_rows(spark, 150, i), f"2024-02-0{4 - i}T00:00:00Z")
+        assert sorted(map(str, kept.latest(spark).collect())) == sorted(map(str, kept.group.latest(spark).select(
+            *kept.latest(spark).columns).collect()))
+    before = sorted(map(str, kept.latest(spark).collect()))
+    kept.catch_up(spark, "2024-02-02T00:00:00Z")
+    assert sorted(map(str, kept.latest(spark).collect())) == before
+    assert kept.merge(kept.group.read(spark).limit(0)).places(spark)[1] == 5, "an empty batch notes no merge"
+    assert "Exchange" not in kept.latest(spark)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_merge_reads_and_writes_touched_buckets_only(spark, monkeypatch):
+    kept = kept_newest(spark)
+    kept.append(kept_rows(spark, 200, 1), "2024-02-01T00:00:00Z")
+    assert len(kept.places(spark)[0]) == 8
+    read, plain = [], NewestTable.stored
+    monkeypatch.setattr(NewestTable, "stored", lambda self, s, places: read.append(sorted(places)) or plain(self, s, places))
+    kept.append(kept_rows(spark, 1, 1), "2024-02-02T00:00:00Z")
+    places, last = kept.places(spark)
+    newest = kept.merges(spark).where(F.col("number") == last).first()
+    assert last == 2 and len(newest.buckets) == 1 and read == [list(newest.buckets)]
+    assert [b for b, folder in places.items() if folder == newest.folder] == list(newest.buckets)
+
+
+def test_a_broken_or_rival_merge_changes_nothing(spark, monkeypatch):
+    kept = kept_newest(spark)
+    kept.append(kept_rows(spark, 50, 1), "2024-02-01T00:00:00Z")
+    before = sorted(map(str, kept.latest(spark).collect()))
+    lost = kept.group.read(spark).withColumn("x", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        kept.merge(lost)
+    plain, calls = NewestTable.places, []
+
+    def rival(self, s):
+        calls.append(1)
+        found, last = plain(self, s)
+        return found, last + (len(calls) > 1)
+
+    monkeypatch.setattr(NewestTable, "places", rival)
+    with pytest.raises(RuntimeError, match="another merge"):
+        kept.merge(kept.group.read(spark).withColumn("x", F.lit(9.0)))
+    monkeypatch.undo()
+    assert sorted(map(str, kept.latest(spark).collect())) == before
