@@ -6,7 +6,8 @@ refer to it; smaller payloads are always responses. ``chunks`` reads archives as
 number): no task ever holds more of a payload than one chunk, and each row carries the digest of the payload
 up to its end, so that the last chunk of a record has the digest of the whole.
 
-Archives go to the folder that all executors share, each under a name of its own attempt. Only those which a
+Archives go to the folder that all executors share (a path without a scheme lies in the cluster's default file system; ``s3a`` is
+written as ``s3``; a file system that Arrow does not know is an error before any task runs), each under a name of its own attempt. Only those which a
 task that ended well has reported are read, so a lost or repeated attempt leaves no double records.
 
 Null html is an empty payload. Rows repeated in the input (equal page_id) are written repeatedly, each as
@@ -17,6 +18,7 @@ are not read. An empty table gives no archives and no rows.
 import hashlib
 import uuid
 import zlib
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -28,6 +30,7 @@ CHUNK = 1 << 20
 CHUNKS = ("record_id string, page_id long, record_type string, refers_to long, url string, content_length long, "
           "chunk long, offset long, bytes binary, digest_so_far string, is_last boolean, stated_digest string")
 ID = "urn:page:"
+S3 = ("s3", "s3a", "s3n")
 
 
 def typed(pages):
@@ -59,15 +62,42 @@ def header(page_id, url, size, digest, kind, refers_to):
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + http
 
 
+def qualified(spark, folder):
+    """The folder with the scheme and authority that Spark itself would use: one without a scheme lies in the cluster's
+    default file system, not on each executor's own disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    scheme = path.toUri().getScheme()
+    if scheme in S3:
+        return folder  # Known without Hadoop's own connector.
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.makeQualified(path).toString()
+
+
+def arrow_uri(folder):
+    """A qualified folder as Arrow names it; an error for a file system that Arrow cannot write."""
+    scheme, _, rest = folder.partition(":")
+    if scheme == "file":
+        return "file:///" + rest.lstrip("/")
+    if scheme in S3:
+        return "s3:" + rest
+    if scheme not in ("hdfs", "viewfs", "gs", "abfs", "abfss"):
+        raise ValueError(f"archives can't be written to {folder}")
+    return folder
+
+
 def filesystem(folder):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (
-        fs.LocalFileSystem(), folder)
+    uri = arrow_uri(folder)
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), unquote(uri.removeprefix("file://"))
+    return fs.FileSystem.from_uri(uri)
 
 
 def write(pages, folder, chunk=CHUNK):
     """Write archives below ``folder``; the table of those that count: archive, records."""
+    folder = qualified(pages.sparkSession, folder)
+    arrow_uri(folder)  # An unknown file system is an error here, not in the tasks.
 
     def archive(batches):
         out, name, n = None, f"{uuid.uuid4().hex}.warc.gz", 0
@@ -172,7 +202,9 @@ def records(text, chunk=CHUNK):
 
 
 def chunks(archives, folder, chunk=CHUNK, payloads=True):
-    """The chunk table of the archives named in ``archives``; ``payloads=False`` leaves the bytes out."""
+    """The chunk table of the archives named in ``archives``; ``payloads=False`` leaves the bytes out. An archive that does not hold
+    as many records as ``archives`` states is an error, also where it ends between two records."""
+    folder = qualified(archives.sparkSession, folder)
     schema = pa.schema([("record_id", pa.string()), ("page_id", pa.int64()), ("record_type", pa.string()),
                         ("refers_to", pa.int64()), ("url", pa.string()), ("content_length", pa.int64()),
                         ("chunk", pa.int64()), ("offset", pa.int64()), ("bytes", pa.binary()),
@@ -180,12 +212,14 @@ def chunks(archives, folder, chunk=CHUNK, payloads=True):
 
     def read(batches):
         for batch in batches:
-            for name in batch.column(0).to_pylist():
+            for name, written in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = 0
                 store, path = filesystem(folder)
                 with store.open_input_stream(f"{path}/{name}", compression=None) as stream:
                     rows, held = [], 0
                     for row in records(Unzipped(stream), chunk):
                         held += len(row[8])
+                        found += row[10]
                         rows.append(row if payloads else (*row[:8], None, *row[9:]))
                         if held >= 4 * chunk or len(rows) >= 4096:
                             yield pa.RecordBatch.from_arrays(
@@ -194,8 +228,10 @@ def chunks(archives, folder, chunk=CHUNK, payloads=True):
                     if rows:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                if found != written:
+                    raise ValueError(f"{name} holds {found} records, {written} were written")
 
-    return archives.select("archive").mapInArrow(read, CHUNKS)
+    return archives.select("archive", "records").mapInArrow(read, CHUNKS)
 
 
 def round_trip(pages):
