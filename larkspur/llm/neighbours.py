@@ -7,7 +7,7 @@ most ``REPLICATE`` times the nearest. A query finds centroids by best-first sear
 neighbours, held in memory, and opens the lists whose centroid is at most ``OPEN`` times as far as the nearest. Only that
 ratio ends the search, so the number of open lists grows with the input where vectors are spread evenly.
 Lists are gathered or cut into cells of bounded size; a query is sent once to each cell with a list that it opens, and
-queries meet the vectors of a cell in blocks.
+queries meet the vectors of a cell in blocks: list by list, each with those queries that open it.
 
 Of equal vectors only the ``k`` + 1 with the smallest ids can be among the nearest ``k`` of anything, so the rest
 is left out of the lists (not of the queries): a vector that holds a third of all rows fills no list.
@@ -118,26 +118,50 @@ def usable(vectors):
     return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
+def best_of(q, qid, c, ids, k):
+    """Rows, columns and scores of the ``k`` nearest of each query, and of those that tie with them."""
+    sims = unit(q) @ unit(c).T
+    sims[qid[:, None] == ids[None, :]] = -np.inf
+    kth = np.partition(sims, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(q), -np.inf)
+    rows, cols = np.nonzero((sims >= kth[:, None] - 1e-9) & (sims > -np.inf))
+    # The same sum for the same two vectors wherever they meet, so that ties are ties.
+    x, y = q[rows], c[cols]
+    return rows, cols, (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1)))
+
+
+def meetings(held, opens):
+    """(queries, vectors) of a cell that are compared, as indices: list by list with those who open it; queries that open every
+    list of the cell meet its vectors once, though some stand in several lists. ``opens`` None opens all."""
+    there = np.unique(held)
+    wide = np.array([o is None or np.isin(there, o).all() for o in opens], bool)
+    if wide.any():
+        yield np.flatnonzero(wide), None
+    narrow = np.flatnonzero(~wide)
+    if len(narrow):
+        who = np.repeat(narrow, [len(opens[i]) for i in narrow])
+        what = np.concatenate([np.asarray(opens[i]) for i in narrow])
+        for x in there:
+            asked = who[what == x]
+            if len(asked):
+                yield asked, np.flatnonzero(held == x)
+
+
 def cell_search(k):
     def search(key, cands, queries):
+        empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         if not len(cands) or not len(queries):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return empty
         ids, one = np.unique(cands["vec_id"].to_numpy(), return_index=True)  # a vector may stand in several lists of a cell
-        c = np.stack(cands["v"].to_numpy()[one])
-        cn, out = np.linalg.norm(c, axis=1), []
-        cu = c / cn[:, None]
-        for a in range(0, len(queries), 512):
-            part = queries.iloc[a:a + 512]
-            q, qid = np.stack(part["v"].to_numpy()), part["query_id"].to_numpy()
-            sims = unit(q) @ cu.T
-            sims[qid[:, None] == ids[None, :]] = -np.inf
-            kth = np.partition(sims, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(q), -np.inf)
-            rows, cols = np.nonzero((sims >= kth[:, None] - 1e-9) & (sims > -np.inf))
-            # The same sum for the same two vectors wherever they meet, so that ties are ties.
-            x, y = q[rows], c[cols]
-            score = (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1)))
-            out.append(pd.DataFrame({"query_id": qid[rows], "vec_id": ids[cols], "score": score}))
-        found = pd.concat(out).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+        every, c = cands["vec_id"].to_numpy(), np.stack(cands["v"].to_numpy())
+        q, qid, out = np.stack(queries["v"].to_numpy()), queries["query_id"].to_numpy(), [empty]
+        for asked, near in meetings(cands["list"].to_numpy(), list(queries["opens"])):
+            near = one if near is None else near
+            for a in range(0, len(asked), 512):
+                part = asked[a:a + 512]
+                rows, cols, score = best_of(q[part], qid[part], c[near], every[near], k)
+                out.append(pd.DataFrame({"query_id": qid[part][rows], "vec_id": every[near][cols], "score": score}))
+        found = pd.concat([x for x in out if len(x)] or [empty]).drop_duplicates(["query_id", "vec_id"]).sort_values(
+            ["query_id", "score", "vec_id"], ascending=[True, False, True])
         return found.groupby("query_id").head(k)
 
     return search
@@ -183,7 +207,7 @@ def nearest(vectors, k=5, is_query=None, sample=SAMPLE, list_size=LIST_SIZE, max
     table = F.broadcast(spark.createDataFrame(
         [(x, int(a), int(n)) for x, (a, n) in enumerate(zip(first, many))], "list int, first int, cells int"))
     lists = lists.join(table, "list").select(
-        (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("cells"))).cast("int").alias("cell"), "vec_id", "v")
+        (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("cells"))).cast("int").alias("cell"), "list", "vec_id", "v")
 
     def choose(batches):
         c, links = held.value
@@ -191,26 +215,30 @@ def nearest(vectors, k=5, is_query=None, sample=SAMPLE, list_size=LIST_SIZE, max
             out = []
             for i, v in zip(b["vec_id"], b["v"]):
                 use = search_graph((v / np.linalg.norm(v)).astype(np.float32), c, links)
-                opens = {int(first[x]) + k for x in use for k in range(many[x])}
-                out += [(x, i, v) for x in sorted(opens)]
-            yield pd.DataFrame(out, columns=["cell", "query_id", "v"]).astype({"cell": "int32"})
+                opens = {}
+                for x in use:
+                    for part in range(many[x]):
+                        opens.setdefault(int(first[x]) + part, []).append(int(x))
+                out += [(cell, i, v, of) for cell, of in sorted(opens.items())]
+            yield pd.DataFrame(out, columns=["cell", "query_id", "v", "opens"]).astype({"cell": "int32"})
 
     queries = rows.where(is_query if is_query is not None else F.lit(True))
     blocks = max(1, -(-queries.count() // ASKED))
 
     def meet(asked):
-        asked = asked.select("cell", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"), "query_id", "v")
-        return lists.select("cell", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vec_id", "v").groupBy(
+        asked = asked.select("cell", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"), "query_id", "v", "opens")
+        return lists.select("cell", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "list", "vec_id", "v").groupBy(
             "cell", "block").cogroup(asked.groupBy("cell", "block")).applyInPandas(cell_search(k), FOUND)
 
     found = new_path(spark, "ann-found")
     asked = queries.select("vec_id", "v").repartition(F.col("vec_id"))
-    meet(asked.mapInPandas(choose, "cell int, query_id long, v array<double>")).write.parquet(found)
+    meet(asked.mapInPandas(choose, "cell int, query_id long, v array<double>, opens array<int>")).write.parquet(found)
     got = spark.read.schema(FOUND).parquet(found).distinct()
     enough = got.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= min(k, max(count - 1, 0)))
     short = queries.select(F.col("vec_id").alias("query_id"), "v").join(enough, "query_id", "left_anti")
     again = new_path(spark, "ann-again")
-    meet(short.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))).write.parquet(again)
+    meet(short.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))).withColumn(
+        "opens", F.lit(None).cast("array<int>"))).write.parquet(again)
     got = got.unionByName(spark.read.schema(FOUND).parquet(again)).distinct()
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return got.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k).select(
