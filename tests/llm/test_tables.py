@@ -75,6 +75,24 @@ def test_warc_chunks(spark, tmp_path, chunk):
     assert revisits == {(3, 1), (None, 1)}
 
 
+def test_warc_folders():
+    assert warc.arrow_uri("s3a://bucket/a") == "s3://bucket/a" and warc.arrow_uri("hdfs://name:8020/a") == "hdfs://name:8020/a"
+    assert warc.arrow_uri("file:/a/b") == warc.arrow_uri("file:///a/b") == "file:///a/b"
+    for folder in ("wasb://x/y", "/bare", "odd"):
+        with pytest.raises(ValueError, match="can't be written"):
+            warc.arrow_uri(folder)
+
+
+def test_warc_place_and_number_of_records(spark, tmp_path):
+    """A path without a scheme is that of the default file system; an archive with fewer records than were written is an error."""
+    assert warc.qualified(spark, str(tmp_path)) == f"file:{tmp_path}" and warc.qualified(spark, "s3a://b/x") == "s3a://b/x"
+    pages = spark.createDataFrame([(i, "u", "x" * i) for i in range(20)], "page_id long, url string, html string").coalesce(1)
+    manifest = spark.createDataFrame(warc.write(warc.typed(pages), f"file:{tmp_path}/a b").collect(), "archive string, records long")
+    assert warc.chunks(manifest, f"{tmp_path}/a b").where("is_last").count() == 20
+    with pytest.raises(Exception, match="holds 20 records, 21 were written"):
+        warc.chunks(manifest.withColumn("records", F.col("records") + 1), f"{tmp_path}/a b").count()
+
+
 def test_warc_empty(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
@@ -117,6 +135,34 @@ def test_neighbours_recall(spark):
     assert all(len(v) == 5 for v in found.values())
 
 
+def test_neighbours_compare_opened_lists_only():
+    """Each query meets the vectors of the lists that it opens, those who open all of a cell meet each vector once."""
+    held = np.array([3, 3, 5, 7, 5])
+    opens = [np.array([3]), None, np.array([3, 5, 7, 9]), np.array([5, 3]), np.array([8])]
+    met = [(list(a), None if b is None else list(b)) for a, b in neighbours.meetings(held, opens)]
+    assert met == [([1, 2], None), ([0, 3], [0, 1]), ([3], [2, 4])]
+
+
+def test_neighbours_of_clusters_skip_lists(spark, monkeypatch):
+    """Clustered vectors: most lists stay closed, also where many share a cell, and the nearest are found."""
+    rng = np.random.default_rng(5)
+    middles = rng.normal(size=(40, 16))
+    rows = [(i, list(map(float, middles[i % 40] + 0.2 * rng.normal(size=16)))) for i in range(4000)]
+    asked, plain = [], neighbours.search_graph
+    c = neighbours.fit(neighbours.unit(np.array([r[1] for r in rows])), 100)
+    for i in range(0, 4000, 50):
+        asked.append(len(plain(neighbours.unit(np.array([rows[i][1]]))[0].astype(np.float32), c.astype(np.float32), neighbours.graph(c))))
+    assert np.mean(asked) < 0.25 * len(c)
+    got = neighbours.nearest(vectors(spark, [(*r, "x", 1) for r in rows]), 5, F.col("vec_id") % 50 == 0, list_size=40).collect()
+    u = neighbours.unit(np.array([r[1] for r in rows]))
+    hits = 0
+    for i in range(0, 4000, 50):
+        sims = u @ u[i]
+        sims[i] = -2
+        hits += len(set(np.argsort(-sims, kind="stable")[:5]) & {r.vec_id for r in got if r.query_id == i})
+    assert len(got) == 400 and hits >= 0.9 * 400
+
+
 def test_neighbours_recall_beyond_64_lists(spark, monkeypatch):
     """Spread-out vectors, where a query's neighbours lie in more lists than a fixed number would open."""
     monkeypatch.setattr(neighbours, "CELL", 60)
