@@ -1,15 +1,15 @@
 """Licence notices in text: a trained paragraph classifier, confirmed against templates.
 
-A paragraph is a line with a word. Paragraphs that hold one of ``STEMS`` (every template does) are turned into word
-one- and two-grams and scored by multinomial logistic regression over the licence families and an unknown
-class. A family is named if its probability reaches the family's threshold, which is calibrated on held-out
-examples, and if enough of the three-word shingles of one of its templates stand in the paragraph, or of the
-paragraph's in the template; else the paragraph is unknown.
+A paragraph is a line with a word. Every paragraph is turned into word one- and two-grams and scored by multinomial
+logistic regression over the licence families and an unknown class. A family is named if its probability reaches the
+family's threshold, which is calibrated on held-out examples, and if enough of the three-word shingles of one of its
+templates stand in the paragraph, or of the paragraph's in the template; else the paragraph is unknown. Of the unknown
+paragraphs those are listed that reach a family's threshold or hold one of ``STEMS``.
 
 The classifier is fitted on a bounded number of labelled rows (``EXAMPLES`` for each family, and as many
-negative ones), made from the templates by dropping and adding words. Scoring is DataFrame functions
-only: candidates are exploded, joined with the table of weights (one row per n-gram of the examples, so its
-size is bounded) and summed up per paragraph. Texts without a stem are not shuffled.
+negative ones), made from the templates by dropping and adding words. Scoring is DataFrame functions and the
+fitted models of ``pyspark.ml`` (a weight per n-gram of the examples, so their size is bounded), line by line; nothing
+is shuffled.
 
 Null or empty text has no paragraphs. Repeated rows give repeated results. Columns besides doc_id and text
 are not read. An empty table gives no rows.
@@ -20,6 +20,7 @@ import random
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, functions as F
 
 from larkspur.llm.quality import holds_any, let
@@ -72,8 +73,8 @@ TEMPLATES = {
     ),
 }
 UNKNOWN = "unknown"
-#: Looked for in lower case, with every run of other characters than letters and digits as one space, as the classifier
-#: reads a line.
+#: Unknown paragraphs with one of these are listed. Looked for in lower case, with every run of other characters than
+#: letters and digits as one space, as the classifier reads a line.
 STEMS = ("licens", "licenc", "rights reserved", "permission", "redistribut", "public domain", "copyright", "creative commons",
          "cc by", "cc0", "cc zero", "gpl", "gnu general public", "free software", "mozilla public", "source code form", "spdx",
          "related rights", "apache 2", "bsd 2", "bsd 3")
@@ -135,7 +136,7 @@ def examples(seed=3, each=EXAMPLES):
 
 @functools.lru_cache(maxsize=4)
 def fitted(spark):
-    """(weights as rows (gram, one weight per family), intercepts, thresholds, families)."""
+    """(vectors of grams, classifier, thresholds, families); both models are Spark's."""
     families = [UNKNOWN, *TEMPLATES]
     rows = small_table(spark, [(t, float(families.index(f)), i) for i, (t, f) in enumerate(examples())],
                        "text string, label double, i int")
@@ -154,33 +155,33 @@ def fitted(spark):
             if hits / n >= PRECISION:
                 best = p
         thresholds.append(max(best, 0.5))
-    matrix = model.coefficientMatrix.toArray()
-    weights = [(g, *map(float, matrix[:, j])) for j, g in enumerate(counts.vocabulary)]
-    return weights, list(map(float, model.interceptVector)), thresholds, families
+    return counts, model.setRawPredictionCol("").setPredictionCol(""), thresholds, families
+
+
+def all_grams(text: Column) -> Column:
+    """The words of ``features`` and their pairs, with repeats."""
+    return let(words_in(text), lambda w: let(F.greatest(F.size(w) - 1, F.lit(0)), lambda n: F.concat(w, F.zip_with(
+        F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.concat(a, F.lit(" "), b)))))
 
 
 def scan(docs, text="text", key="doc_id"):
-    """A row for each paragraph with a stem: key, paragraph (line number from 0), family, probability, the share of
-    a template that confirms it, and the paragraph."""
-    spark = docs.sparkSession
-    weights, intercepts, thresholds, families = fitted(spark)
+    """A row for each paragraph that the classifier takes for a notice or that holds a stem: key, paragraph (line number
+    from 0), family, probability, the share of a template that confirms it, and the paragraph. All paragraphs are scored."""
+    counts, model, thresholds, families = fitted(docs.sparkSession)
     t = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).alias("doc_id"), t.alias("t")).where(has_stem(F.col("t")))
-    lines = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.posexplode(F.split("t", "\n", -1)).alias(
-        "paragraph", "line")).where(has_stem(F.col("line")))
-    table = F.broadcast(small_table(spark, weights, "gram string, " + ", ".join(f"w{k} double" for k in range(len(families)))))
-    scored = lines.select("row", "doc_id", "paragraph", "line", F.explode_outer(features(F.col("line"))).alias("gram")).join(
-        table, "gram", "left").groupBy("row", "doc_id", "paragraph", "line").agg(
-        *[(F.coalesce(F.sum(f"w{k}"), F.lit(0.0)) + intercepts[k]).alias(f"s{k}") for k in range(len(families))])
-    top = F.greatest(*[F.col(f"s{k}") for k in range(len(families))])
-    total = functools.reduce(lambda a, b: a + b, [F.exp(F.col(f"s{k}") - top) for k in range(len(families))])
-    best = F.array_max(F.array(*[F.struct(
-        (F.exp(F.col(f"s{k}") - top) / total).alias("p"), F.lit(-k).alias("k")) for k in range(1, len(families))]))
-    named = scored.select("doc_id", "paragraph", "line", best.alias("best")).select(
+    lines = docs.select(F.col(key).alias("doc_id"), F.posexplode(F.split(t, "\n", -1)).alias("paragraph", "line"))
+    scored = model.transform(counts.transform(lines.withColumn("grams", all_grams(F.col("line")))))
+    limits = F.array(*[F.lit(x) for x in thresholds])
+
+    def best(p):
+        return F.array_max(F.transform(F.slice(p, 2, len(thresholds)), lambda x, i: F.struct(x.alias("p"), (-1 - i).alias("k"))))
+
+    reaches = let(vector_to_array("probability"), lambda p: let(best(p), lambda b: b["p"] >= F.element_at(limits, -b["k"])))
+    kept = scored.where(reaches | has_stem(F.col("line")))
+    named = kept.select("doc_id", "paragraph", "line", let(vector_to_array("probability"), best).alias("best")).select(
         "doc_id", "paragraph", "line", F.col("best.p").alias("p"), (-F.col("best.k")).alias("k"))
-    limit = F.element_at(F.array(*[F.lit(x) for x in thresholds]), F.col("k"))
     named = named.withColumn("like", let(words_in(F.col("line")), lambda w: likeness(w, F.col("k"), families)))
-    sure = (F.col("p") >= limit) & (F.col("like") >= CONFIRM)
+    sure = (F.col("p") >= F.element_at(limits, F.col("k"))) & (F.col("like") >= CONFIRM)
     return named.select(
         "doc_id", F.col("paragraph").cast("long").alias("paragraph"),
         F.when(sure, F.element_at(F.array(*[F.lit(x) for x in families[1:]]), F.col("k"))).otherwise(UNKNOWN).alias("family"),

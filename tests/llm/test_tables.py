@@ -248,6 +248,16 @@ def test_licences_in_any_spelling(spark):
     assert not wrong
 
 
+def test_licences_without_a_stem(spark):
+    rows = [(1, "To the extent possible under law, the author has waived all rights to this work."), (2, "Prose.\n\n \nMore prose, and nothing else."),
+            (3, "Any person obtaining a copy of this software and associated documentation files, to deal in the software without restriction"),
+            (4, "The use in source and binary forms, with or without modification, are provided that the following conditions are met")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert docs.where(licences.has_stem(F.col("text"))).isEmpty()
+    got = {r["doc_id"]: r["family"] for r in licences.scan(docs).collect()}
+    assert got == {1: "CC0", 3: "MIT", 4: "BSD"}
+
+
 def test_licences_held_out(spark):
     rows = [(i, t, f) for i, (t, f) in enumerate(licences.examples(seed=77, each=20))]
     got = {r["doc_id"]: r["family"] for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string, f string")).collect()}
