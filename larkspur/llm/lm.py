@@ -8,7 +8,7 @@ What is learned, all from rows that are not held out:
 * counts of every word and of every id, over all texts. The most frequent ids are classes of their own, the
   others share classes of about equal counts; an id's share of its class is its count and one;
 * a layer of causal self-attention over the ids before, with a residual, that gives the next id's class: first one of
-  ``GROUPS`` groups of classes, then one of its ``MEMBERS``. It starts as the class counts. Its sample is a fixed share of the documents (``SHARE``), so it grows with the corpus; the sample is dealt to
+  ``GROUPS`` groups of classes, then one of its ``MEMBERS``. It starts as the class counts. All windows are dealt to
   learners of about ``LEARNER`` windows, each trains on its own, and their parameters are averaged in a
   tree (``ROUNDS`` times, each with other documents). The parameters have a fixed size.
 
@@ -44,9 +44,11 @@ WIDTH, INPUTS = 16, 2048
 #: Classes: groups, members of a group, and of all classes those that several ids share.
 GROUPS, MEMBERS, SHARED = 32, 32, 64
 OWN = GROUPS * MEMBERS - SHARED
-#: One of so many documents is in the attention layer's sample, split over the rounds.
-SHARE, ROUNDS = 16, 2
+#: Rounds of training; every document is in one of them.
+ROUNDS = 2
 LEARNER, BATCH, RATE = 32_768, 32, 0.01
+#: What fills up a document's last window; no id is as large.
+FILL = 65_535
 #: Scores are cut off here, so that their exponentials stay numbers of 32 bits.
 LIMIT = 60
 #: Parameter sets averaged by one task.
@@ -357,29 +359,28 @@ def unpacked(raw, like):
     return out
 
 
-def sample_windows(docs, folder=None):
-    """(round, deal, ids): the windows of the sampled documents; the last ones are filled up with -1."""
+def windows(docs, turn, folder=None):
+    """(deal, ids): the windows of all documents of a round; the last one of a document is filled up with ``FILL``."""
 
     def cut(batches):
         coder, task, made = Subwords(folder), TaskContext.get().partitionId(), 0
         for batch in batches:
             for a, b in blocks(batch):
                 out = []
-                for turn, raw in zip(batch.column(2)[a:b].to_pylist(), texts(batch, a, b)):
+                for raw in texts(batch, a, b):
                     ids, _ = coder.sequence(np.append(coder.entries(words(raw)), 0))
                     s = np.concatenate([[END_ID], ids])
                     for at in range(0, len(s) - 1, WINDOW):
-                        part = np.full(WINDOW + 1, -1, "<i4")
+                        part = np.full(WINDOW + 1, FILL, "<u2")
                         part[:len(s[at:at + WINDOW + 1])] = s[at:at + WINDOW + 1]
                         made += 1
-                        out.append((turn, zlib.crc32(b"%d %d" % (task, made)), part.tobytes()))
+                        out.append((zlib.crc32(b"%d %d" % (task, made)), part.tobytes()))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                        zip(*out), (pa.int32(), pa.int64(), pa.binary()))], names=["round", "deal", "ids"])
+                        zip(*out), (pa.int64(), pa.binary()))], names=["deal", "ids"])
 
-    turn = F.pmod(F.xxhash64("doc_id"), F.lit(SHARE * ROUNDS)).cast("int")
-    return docs.select("doc_id", "text", turn.alias("round")).where(F.col("round") < ROUNDS).mapInArrow(
-        cut, "round int, deal long, ids binary")
+    here = F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)) == turn
+    return docs.where(here).select("doc_id", "text").mapInArrow(cut, "deal long, ids binary")
 
 
 def fit(docs, folder=None):
@@ -389,29 +390,30 @@ def fit(docs, folder=None):
     learning = slim(docs).where("not held_out")
     word_counts(learning).write.parquet(f"{path}/words")
     counted = spark.read.schema("word binary, c long").parquet(f"{path}/words")
-    vocabulary = Vocabulary(id_counts(counted, folder))
-    sample_windows(learning, folder).write.parquet(f"{path}/windows")
-    windows = spark.read.schema("round int, deal long, ids binary").parquet(f"{path}/windows")
-    sizes = dict(windows.groupBy("round").count().collect())
+    total = id_counts(counted, folder)
+    vocabulary = Vocabulary(total)
+    # Every document's last window may be short, so a round has about so many windows at most.
+    n = -(-int(total.sum() // WINDOW + total[END_ID]) // ROUNDS)
     model = start(vocabulary)
-    for turn in range(ROUNDS):
-        if turn in sizes:
-            model = learned(windows.where(F.col("round") == turn), sizes[turn], model, vocabulary, f"{path}/round-{turn}")
+    for turn in range(ROUNDS if n else 0):
+        model = learned(windows(learning, turn, folder), n, model, vocabulary, f"{path}/round-{turn}")
     return vocabulary, model, counted
 
 
-def learned(windows, n, model, vocabulary, path):
-    """The weighted mean of the parameters of learners that each train on a share of the windows."""
-    spark = windows.sparkSession
+def learned(dealt, n, model, vocabulary, path):
+    """The weighted mean of the parameters of learners that each train on a share of about ``n`` windows."""
+    spark = dealt.sparkSession
     learners = -(-n // LEARNER)
     begin, cls, row = packed(model), vocabulary.cls, vocabulary.row
     # Shapes only: the values travel packed.
     like = {k: np.empty(x.shape, np.float32) for k, x in model.items() if k != "E"} | {"E": np.empty(model["E"].shape, np.float32)}
 
     def learn(key, rows):
-        ids = np.frombuffer(b"".join(rows.sort_values("deal")["ids"]), "<i4").reshape(-1, WINDOW + 1)
+        ids = np.frombuffer(b"".join(rows.sort_values("deal")["ids"]), "<u2").reshape(-1, WINDOW + 1)
+        used = ids != FILL
+        ids = np.where(used, ids, END_ID)
         x, y = ids[:, :-1], ids[:, 1:]
-        done = train(unpacked(begin, like), np.where(x >= 0, row[x], 0), np.where(y >= 0, cls[y], -1))
+        done = train(unpacked(begin, like), np.where(used[:, :-1], row[x], 0), np.where(used[:, 1:], cls[y], -1))
         return pd.DataFrame({"i": [key[0]], "weight": [float(len(ids))], "m": [packed(done)]})
 
     def mean(key, rows):
@@ -420,13 +422,14 @@ def learned(windows, n, model, vocabulary, path):
         return pd.DataFrame({"i": [key[0]], "weight": [w.sum()], "m": [total.astype("<f4").tobytes()]})
 
     kind = "i long, weight double, m binary"
-    sets = windows.withColumn("i", F.pmod(F.xxhash64("deal"), F.lit(learners))).groupBy("i").applyInPandas(learn, kind)
+    sets = dealt.withColumn("i", F.pmod(F.xxhash64("deal"), F.lit(learners))).groupBy("i").applyInPandas(learn, kind)
     step = 0
     while True:
         sets.write.parquet(f"{path}-{step}")
         sets = spark.read.schema(kind).parquet(f"{path}-{step}")
         if learners == 1:
-            return unpacked(sets.first()["m"], like)
+            last = sets.first()
+            return unpacked(last["m"], like) if last else model
         sets = sets.withColumn("i", F.floor(F.col("i") / FAN_IN)).groupBy("i").applyInPandas(mean, kind)
         learners, step = -(-learners // FAN_IN), step + 1
 

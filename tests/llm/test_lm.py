@@ -63,6 +63,17 @@ def test_held_out_documents_are_likelier_than_by_counts(spark):
     assert rows["score"].sum() > 0.97 * plain["score"].sum()
 
 
+def test_all_learning_documents_are_trained_on(spark):
+    docs = lm.slim(spark.createDataFrame([(i, f"word{i} and more " * (i % 40)) for i in range(300)], "doc_id long, text string"))
+    learning = docs.where("not held_out")
+    total = lm.id_counts(lm.word_counts(learning))
+    seen = np.zeros(lm.FILL + 1, np.int64)
+    for turn in range(lm.ROUNDS):
+        for r in lm.windows(learning, turn).collect():
+            np.add.at(seen, np.frombuffer(r["ids"], "<u2")[1:], 1)
+    assert (seen[:lm.IDS] == total).all()
+
+
 def model_of(seed=3):
     rng = np.random.default_rng(seed)
     vocabulary = lm.Vocabulary(rng.integers(0, 50, lm.IDS))
