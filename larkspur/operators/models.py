@@ -11,8 +11,9 @@ from larkspur.session import small_table
 # The forest's settings.
 TREES, DEPTH, MIN_LEAF, SEED = 100, 10, 1, 42
 
-# Partitions a fit's rows are dealt into; more for tables of which a part would not fit a task.
-PARTITIONS = 16
+# Partitions a fit's rows are dealt into, at least, and rows of one on average, at most: a tree fit holds about half a
+# kilobyte a row, for its counts per tree.
+PARTITIONS, PARTITION_ROWS = 16, 100_000
 
 VECTOR = "_features"
 PROBABILITY = "_probability"
@@ -31,9 +32,16 @@ def pipeline(features, classifier, scaled=False):
     return Pipeline(stages=[*stages, classifier])
 
 
-def spread(df, partitions=PARTITIONS):
-    """Rows for a fit, dealt by a hash of all values into a number of partitions that the caller names and
-    put in order there: bagging draws by partition and place, so the model depends on neither cores nor files."""
+def partitions_for(rows):
+    """Partitions for a fit on so many rows."""
+    return max(PARTITIONS, -(-rows // PARTITION_ROWS))
+
+
+def spread(df, partitions=None):
+    """Rows for a fit, dealt by a hash of all values into a number of partitions that follows from their count, or that
+    the caller names, and put in order there: bagging draws by partition and place, so the model depends on neither
+    cores nor files."""
+    partitions = partitions or partitions_for(df.count())
     return df.repartition(partitions, F.xxhash64(*df.columns)).sortWithinPartitions(*df.columns)
 
 

@@ -76,9 +76,11 @@ def prepare(df, target=TARGET, key=(RECORD_ID,), test_size=0.2, seed=42, fill_ta
 
 
 def train(df, target=TARGET, key=(RECORD_ID,), test_size=0.2, seed=42, classifier=None,
-          unique_key=False, partitions=models.PARTITIONS):
-    """Fit the forest (or another ``classifier``) on the training part of ``df``, dealt into ``partitions``."""
+          unique_key=False, partitions=None):
+    """Fit the forest (or another ``classifier``) on the training part of ``df``, dealt into ``partitions``, by default as
+    many as its rows need."""
     fitted, parts, sizes = prepare(df, target, key, test_size, seed, unique_key=unique_key)
+    partitions = partitions or models.partitions_for(sum(sizes["train"].values()))
     classifier = classifier or models.forest(target)
     model = models.pipeline(fitted.features, classifier).fit(models.spread(parts["train"], partitions))
     learned = {c: n + sizes["validation"].get(c, 0) for c, n in sizes["train"].items()}

@@ -215,3 +215,12 @@ def test_halving_cancels_what_runs_at_the_limit(spark, monkeypatch):
     while spark.sparkContext.statusTracker().getActiveJobsIds() and time.monotonic() < deadline:
         time.sleep(0.2)
     assert not spark.sparkContext.statusTracker().getActiveJobsIds(), "nothing runs on"
+
+
+def test_partitions_of_a_fit_grow_with_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(models, "PARTITION_ROWS", 10)
+    rows = spark.range(1000).selectExpr("id", "id % 7 AS x")
+    dealt = models.spread(rows)
+    assert dealt.rdd.getNumPartitions() == 100
+    assert max(dealt.rdd.glom().map(len).collect()) < 40
+    assert models.spread(rows.limit(50)).rdd.getNumPartitions() == models.PARTITIONS
