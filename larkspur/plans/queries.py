@@ -15,7 +15,7 @@ from larkspur.plans.preprocess import Preprocess, fit_preprocess
 from larkspur.schema import CATEGORICAL, CLEAN, LABELLED, NUMERIC, RAW
 from larkspur.session import new_path, small_table
 from larkspur.sources import fixtures as fx, registry, tables
-from larkspur.sources.bucketed_group import BucketedGroup
+from larkspur.sources.bucketed_group import BucketedGroup, buckets_for
 from larkspur.sources.feature_group import FeatureGroup
 from larkspur.sources.newest import NewestTable
 from larkspur.streaming import ingest, load, scoring
@@ -807,9 +807,10 @@ def feature_group_latest(spark, sf_dir):
     return clean.event_time_text(group.latest(spark)).select(ID, "contract_type", "churn", "event_time")
 
 
-def versions_in_buckets(spark, sf_dir):
-    """The orders' records as two appends to a table in key buckets."""
-    group = BucketedGroup(f"bucketed_{uuid.uuid4().hex}", new_path(spark, "bucketed"), buckets=8)
+def versions_in_buckets(spark, sf_dir, asked=0):
+    """The orders' records as two appends to a table in key buckets, enough for them and ``asked`` rows of a spine."""
+    buckets = buckets_for(fx.table(spark, sf_dir, "orders").count() + asked, least=8)
+    group = BucketedGroup(f"bucketed_{uuid.uuid4().hex}", new_path(spark, "bucketed"), buckets=buckets)
     rows = fx.feature_versions(spark, sf_dir).withColumns({
         "event_time": F.col("event_time").cast("timestamp"), "write_time": F.col("write_time").cast("timestamp"),
         "total_charges": F.col("total_charges").cast("double")})
@@ -851,7 +852,8 @@ def newest_caught_up(spark, sf_dir):
 def bucketed_as_of(spark, sf_dir):
     """Each shipped line with its customer's record as of that day, the versions read where they lie."""
     spine = fx.as_of_spine(spark, sf_dir).withColumn("as_of", F.col("as_of").cast("timestamp"))
-    found = versions_in_buckets(spark, sf_dir).as_of(spine, "as_of", ["total_charges"], ["write_time", "o_orderkey"])
+    asked = fx.table(spark, sf_dir, "lineitem").count()
+    found = versions_in_buckets(spark, sf_dir, asked).as_of(spine, "as_of", ["total_charges"], ["write_time", "o_orderkey"])
     return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("as_of", "feature_event_time")})
 
 

@@ -8,6 +8,13 @@ from larkspur.operators import versions
 from larkspur.sources.feature_group import FeatureGroup
 
 BUCKETS = 64
+#: Versions and spine rows of one bucket, at most on average: a task gathers and sorts them.
+BUCKET_ROWS = 400_000
+
+
+def buckets_for(rows, least=1):
+    """Buckets for so many versions and spine rows."""
+    return max(least, -(-rows // BUCKET_ROWS))
 
 
 @dataclass(frozen=True)
@@ -16,7 +23,7 @@ class BucketedGroup(FeatureGroup):
 
     Every append adds files to the buckets. A key that holds a large part of all versions makes its bucket large: it is
     written by many tasks, its as-of reads go over the general way, which cuts its line into periods, and its
-    newest version is an aggregate. Choose ``buckets`` so that one bucket fits a task.
+    newest version is an aggregate. Choose ``buckets`` so that one bucket fits a task (``buckets_for``).
     """
 
     buckets: int = BUCKETS

@@ -200,3 +200,17 @@ def test_a_broken_or_rival_merge_changes_nothing(spark, monkeypatch):
         kept.merge(kept.group.read(spark).withColumn("x", F.lit(9.0)))
     monkeypatch.undo()
     assert sorted(map(str, kept.latest(spark).collect())) == before
+
+
+def test_buckets_grow_with_the_rows(spark, sf_dir, monkeypatch):
+    from larkspur.plans import queries
+    from larkspur.sources import bucketed_group
+
+    monkeypatch.setattr(bucketed_group, "BUCKET_ROWS", 500)
+    asked = queries.fx.table(spark, sf_dir, "lineitem").count()
+    group = queries.versions_in_buckets(spark, sf_dir, asked)
+    versions = group.read(spark).count()
+    assert group.buckets == -(-(asked + versions) // 500) > 8
+    got = queries.bucketed_as_of(spark, sf_dir)
+    monkeypatch.setattr(bucketed_group, "BUCKET_ROWS", 10**9)
+    assert sorted(map(str, got.collect())) == sorted(map(str, queries.bucketed_as_of(spark, sf_dir).collect()))
