@@ -1137,6 +1137,19 @@ def written_feed(spark, sf_dir):
     return path
 
 
+#: Rows of a file of a feed, at most on average.
+FILE_ROWS = 50_000
+
+
+def files_for(rows):
+    return max(1, -(-rows // FILE_ROWS))
+
+
+def add_files(part, path, files):
+    """Append a part as so many files, so that a batch of a stream is read and cleaned by as many tasks."""
+    (part.coalesce(1) if files == 1 else part.repartition(files)).write.mode("append").parquet(path)
+
+
 def write_feed(spark, sf_dir):
     path = written_feed(spark, sf_dir)
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
@@ -1146,10 +1159,10 @@ def write_feed(spark, sf_dir):
 def stream_ingest(spark, sf_dir):
     """Several batches, rows without an event time first and every row twice, into the feature group."""
     feed = spark.read.parquet(written_feed(spark, sf_dir))
-    path = new_path(spark, "feed-batches")
+    path, files = new_path(spark, "feed-batches"), files_for(feed.count())
     for part in (feed.where("event_time is null"), feed.where("event_time is not null"), feed):
-        part.coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        add_files(part, path, files)
+    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", files).parquet(path)
     group = new_group(spark)
     ingest.ingest(stream, group, new_path(spark, "ingest-state"), RUN_TS).awaitTermination()
     stored = group.read(spark).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CLEAN], "event_time")
@@ -1162,11 +1175,11 @@ def stream_ingest_late(spark, sf_dir):
     feed = spark.read.parquet(written_feed(spark, sf_dir))
     number = F.substring(F.trim(ID), 6, 20).cast("long")
     source, state, group = new_path(spark, "late"), new_path(spark, "late-state"), new_group(spark)
-    memory = f"{(date.today() - date(2024, 1, 15)).days} days"
+    memory, files = f"{(date.today() - date(2024, 1, 15)).days} days", files_for(feed.count())
     for parts in ((feed.where(number % 2 == 0), feed), (feed.where(number % 5 == 0), feed)):
         for part in parts:
-            part.coalesce(1).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(source)
+            add_files(part, source, files)
+        stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", files).parquet(source)
         ingest.ingest(stream, group, state, RUN_TS, memory).awaitTermination()
     stored = group.read(spark).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CLEAN], "event_time")
     return clean.event_time_text(stored)

@@ -129,3 +129,18 @@ def test_a_batch_that_comes_twice_counts_once(spark):
     for f in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
         f.unlink(missing_ok=True)
     assert run() == late
+
+
+def test_a_large_feed_is_cleaned_by_several_tasks(spark, sf_dir, monkeypatch):
+    from larkspur.plans import queries
+
+    def rows():
+        return sorted(map(str, queries.stream_ingest_late(spark, sf_dir).collect()))
+
+    want, made, add = rows(), [], queries.add_files
+    monkeypatch.setattr(queries, "FILE_ROWS", 100)
+    monkeypatch.setattr(queries, "add_files", lambda part, path, files: (made.append((path, files)), add(part, path, files)))
+    assert rows() == want
+    assert len(made) == 4 and made[0][1] > 1
+    # Each part is as many files, so it is a batch of its own.
+    assert len(spark.read.parquet(made[0][0]).inputFiles()) == sum(files for _, files in made)
