@@ -968,16 +968,21 @@ def stream_minute_counts(spark, sf_dir):
 # ---- models
 
 
-def stored(spark, sf_dir, which):
+def cleaned_once(spark, sf_dir):
+    """Cleaned customers kept in the shared folder: the append's two passes and the scoring range read them there."""
+    return split.written(cleaned(spark, sf_dir), "cleaned")
+
+
+def stored(spark, sf_dir, which, rows=None):
     """A key range read from the feature table, which is filled first."""
-    group = new_group(spark).append(cleaned(spark, sf_dir), RUN_TS)
+    group = new_group(spark).append(cleaned_once(spark, sf_dir) if rows is None else rows, RUN_TS)
     first, middle, last = fx.ranges(spark, sf_dir)
     start, end = (first, middle) if which == "train" else (middle, last)
     return group.read_range(spark, start, end).drop("event_date")
 
 
-def trained(spark, sf_dir):
-    return training.train(stored(spark, sf_dir, "train"), "churn", [ID], unique_key=True)
+def trained(spark, sf_dir, rows=None):
+    return training.train(stored(spark, sf_dir, "train", rows), "churn", [ID], unique_key=True)
 
 
 @query
@@ -998,10 +1003,10 @@ def forest_importance_top10(spark, sf_dir):
 @query
 def batch_inference(spark, sf_dir):
     """Train, register, take the newest approved model, score and publish the scoring range."""
-    entries = registry.Registry(new_path(spark, "registry"))
-    training.register(trained(spark, sf_dir), entries, "churn", new_path(spark, "model"), RUN_TS, threshold=0.0)
+    entries, rows = registry.Registry(new_path(spark, "registry")), cleaned_once(spark, sf_dir)
+    training.register(trained(spark, sf_dir, rows), entries, "churn", new_path(spark, "model"), RUN_TS, threshold=0.0)
     scored, _ = infer.batch_inference(
-        spark, part_of(spark, sf_dir, "infer"), entries, "churn",
+        spark, in_range(spark, sf_dir, rows, "infer"), entries, "churn",
         f"predictions_{uuid.uuid4().hex}", new_path(spark, "scored"),
     )
     return scored

@@ -40,3 +40,14 @@ def test_shared_folder_is_the_named_one(spark):
     if named:
         assert shared_dir(spark) == named.rstrip("/")
     assert new_path(spark, "x") != new_path(spark, "x")
+
+
+def test_batch_inference_cleans_the_customers_once(spark, sf_dir, monkeypatch):
+    from larkspur.plans import queries
+
+    made, clean_raw = [], queries.clean.clean_raw
+    monkeypatch.setattr(queries.clean, "clean_raw", lambda df: (made.append(1), clean_raw(df))[1])
+    got = queries.batch_inference(spark, sf_dir)
+    assert len(made) == 1
+    want = queries.part_of(spark, sf_dir, "infer").select(queries.ID)
+    assert sorted(r[0] for r in got.select(queries.ID).collect()) == sorted(r[0] for r in want.collect())
