@@ -6,20 +6,22 @@ another document; matches never cross documents and are judged on the input. Can
 buckets of bounded size. In each bucket new windows come in batches: a batch gets a suffix array (its windows in
 the order of their bytes), is merge-scanned against the arrays of the existing levels for matches of ``n``
 bytes, and becomes a level; levels of equal size merge, so there are about log2 of the number of batches.
-Stand-ins in very many places, of many documents or of few, are instead decided window by window over 128-bit hashes, so that no bucket
-grows with one passage.
+Stand-ins in very many places, of many documents or of few, are instead decided over 128-bit hashes, so that no bucket
+grows with one passage: runs of windows around one place of a stand-in first, of equal ones only one goes on, then the parts of the
+runs that are left (``PARTS`` windows), down to single windows.
 
 Text counts as UTF-8; null text as empty. doc_id is the key: repeated rows of one id must be copies, which
 count as one document; rows with a null id are returned whole. Other columns are not read. An empty table
 gives no rows.
 """
 
+import functools
 import hashlib
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from larkspur.llm import repeats as R
 from larkspur.session import new_path
@@ -28,7 +30,11 @@ BYTES = 200
 SHORT = 64
 #: Runs of windows in a bucket on average, and windows in a batch.
 BUCKET, BATCH = 3_000, 32_768
-SPANS = "doc_id long, a long, z long"
+SPANS, SPAN = "doc_id long, a long, z long", ("doc_id", "a", "z")
+#: Windows of the parts in which runs of hot windows are compared, after the whole runs; the last ones are single windows.
+PARTS = (32, 8, 1)
+HOT_RUNS = "k1 long, k2 long, doc_id long, a long, z long, o long, n long, piece binary"
+HOT_NAMES = [x.split()[0] for x in HOT_RUNS.split(", ")]
 
 
 class Levels:
@@ -135,6 +141,93 @@ def window_runs(live, n, short, buckets):
     return live.mapInArrow(emit, "bucket int, h long, doc_id long, a long, piece binary")
 
 
+def run_rows(raw, starts, ends, ids, begins, offsets, times, keys):
+    """Rows of ``HOT_RUNS`` for the bytes from ``starts`` to ``ends``, which begin at ``begins`` of documents ``ids``."""
+    text = raw.tobytes()
+    return pa.RecordBatch.from_arrays(
+        [*(pa.array(k.view(np.int64)) for k in keys), ids, pa.array(begins), pa.array(begins + (ends - starts)), pa.array(offsets),
+         pa.array(times), pa.array([text[a:z] for a, z in zip(starts, ends)], pa.binary())], names=HOT_NAMES)
+
+
+def hot_runs(live, n, short):
+    """Runs of windows whose hot stand-in is at one place, with the distance ``o`` of that place from the first window. What is in a
+    run alone decides its distance, and equal windows have equal ones. Of equal runs of a block one row leaves, without a document
+    and with their number, and what they cover as rows without a key."""
+
+    def emit(batches):
+        for batch in batches:
+            for a, b in R.blocks(batch):
+                x = R.Block(R.texts(batch, a, b), "bytes", True)
+                h, place = x.places(n, short)
+                hot = np.unique(np.asarray(batch.column(3)[a:b].flatten())).view(np.uint64)
+                at = np.flatnonzero(x.whole(n) & np.isin(h, hot)[place])
+                if not len(at):
+                    continue
+                place = place[at].astype(np.int64)
+                first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (at[1:] != at[:-1] + 1)]))
+                last = np.concatenate([first[1:], [len(at)]]) - 1
+                starts, ends, doc = at[first], at[last] + n, x.doc[at[first]]
+                ids, begins = np.asarray(batch.column(0)[a:b])[doc], starts - x.first[doc]
+                k1, k2 = R.ONE.spans(x.values, starts, ends), R.TWO.spans(x.others, starts, ends)
+                order = np.lexsort((k2, k1))
+                new = np.flatnonzero(np.concatenate(
+                    [[True], (k1[order[1:]] != k1[order[:-1]]) | (k2[order[1:]] != k2[order[:-1]])]))
+                times = np.diff(np.concatenate([new, [len(order)]]))
+                one, again = order[new], order[np.repeat(times > 1, times)]
+                yield run_rows(x.raw, starts[one], ends[one], pa.array(ids[one], mask=times > 1), begins[one],
+                               place[first][one] - starts[one], times, (k1[one], k2[one]))
+                if len(again):
+                    found = R.covered(ids[again], begins[again], (ends - starts)[again])
+                    none = pa.nulls(len(found[0]), pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [none, none, *map(pa.array, found), none, none, pa.nulls(len(none), pa.binary())], names=HOT_NAMES)
+
+    return live.where(F.size("hot") > 0).mapInArrow(emit, HOT_RUNS)
+
+
+def run_parts(runs, n, size):
+    """The parts of runs (doc_id, piece, a, o) between places that are multiples of ``size`` windows from the stand-in."""
+
+    def emit(batches):
+        for batch in batches:
+            for a, b in R.blocks(batch):
+                pieces = R.texts(batch, a, b)
+                lengths = np.array([len(x) for x in pieces], np.int64)
+                begin, many = np.cumsum(lengths) - lengths, lengths - n + 1
+                own = np.repeat(np.arange(len(pieces)), many)
+                w = np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many)
+                o = np.asarray(batch.column(3)[a:b])[own] - w
+                first = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (o[1:] // size != o[:-1] // size)]))
+                last, at = np.concatenate([first[1:], [len(own)]]) - 1, begin[own] + w
+                raw, starts, ends = np.frombuffer(b"".join(pieces), np.uint8), at[first], at[last] + n
+                yield run_rows(raw, starts, ends, batch.column(0)[a:b].take(pa.array(own[first])),
+                               np.asarray(batch.column(2)[a:b])[own[first]] + w[first], o[first], np.ones(len(first), np.int64),
+                               [x.spans(x.table[raw], starts, ends) for x in (R.ONE, R.TWO)])
+
+    return runs.select("doc_id", "piece", "a", "o").mapInArrow(emit, HOT_RUNS)
+
+
+def hot_spans(live, n, short):
+    """Spans of windows with hot stand-ins that occur twice. Of equal runs only one goes on to the parts, without a document, for others to
+    be equal to its parts; so rows grow with the runs and with the windows at the ends of what is repeated."""
+    spark = live.sparkSession
+    path = new_path(spark, "suffix-hot")
+    runs, spans = hot_runs(live, n, short), []
+    for size in (*PARTS, None):
+        runs.write.parquet(f"{path}/before-{size}")
+        found = spark.read.schema(HOT_RUNS).parquet(f"{path}/before-{size}")
+        runs = found.where("k1 is not null")
+        twice = runs.groupBy(F.col("k1").alias("j1"), F.col("k2").alias("j2")).agg(F.sum("n").alias("n")).where("n > 1").drop("n")
+        spans.append(runs.where("doc_id is not null").select("k1", "k2", *SPAN).join(
+            twice, (F.col("k1") == F.col("j1")) & (F.col("k2") == F.col("j2"))).select(*SPAN))
+        if size == PARTS[0]:
+            spans.append(found.where("k1 is null").select(*SPAN))
+        if size:
+            one = runs.groupBy("k1", "k2").agg(F.sum("n").alias("n"), *(F.max(x).alias(x) for x in ("doc_id", "a", "o", "piece")))
+            runs = run_parts(one.withColumn("doc_id", F.when(F.col("n") == 1, F.col("doc_id"))), n, size)
+    return functools.reduce(DataFrame.unionByName, spans)
+
+
 def one_of_each_id(rows):
     """One of the copies of each doc_id. Only where ids repeat are texts shuffled; else it is a count of the ids."""
     again = rows.groupBy(F.col("doc_id").alias("d")).agg(F.count("*").alias("copies")).where("d is not null and copies > 1")
@@ -153,11 +246,7 @@ def repeated(docs, n=BYTES, short=SHORT):
     buckets = max(1, -(-(size[0] or 0) // BUCKET))
     spans = window_runs(live, n, min(short, n), buckets).groupBy("bucket").applyInPandas(decide(n), SPANS)
     if size[1]:
-        hot = R.hot_rows(live, "bytes", n, min(short, n))
-        twice = hot.groupBy(F.col("k1").alias("j1"), F.col("k2").alias("j2")).agg(
-            F.count("*").alias("n")).where("n > 1").drop("n")
-        again = hot.join(twice, (F.col("k1") == F.col("j1")) & (F.col("k2") == F.col("j2")))
-        spans = spans.unionByName(again.select("doc_id", "a", (F.col("a") + n).alias("z")))
+        spans = spans.unionByName(hot_spans(live, n, min(short, n)))
     return spans
 
 

@@ -94,6 +94,23 @@ def test_suffix_buckets_are_bounded_by_places(spark, monkeypatch):
     assert len(sizes) > 5 and max(sizes) <= sum(sizes) / 2
 
 
+def test_suffix_hot_windows_travel_as_runs(spark, monkeypatch):
+    """Copies, near copies and a shared passage, all hot: rows are runs and parts of them, far fewer than windows."""
+    monkeypatch.setattr(repeats, "HOT", 10)
+    r = random.Random(8)
+    base, passage = ("".join(r.choice("abcdefgh ") for _ in range(k)) for k in (900, 300))
+    rows = [(i, base) for i in range(30)]
+    for i in range(30, 60):
+        at = r.randrange(300, 600)
+        rows.append((i, base[:at] + f"#{i}#" + base[at:]))
+    rows += [(i, f"{i}" * 40 + passage + f"-{i}-" * 40) for i in range(60, 90)]
+    docs = table(spark, rows)
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["removed"], r["kept_sha256"]) for r in suffix.dedup(docs, 200, 64).collect()]
+    assert sorted((*x[:3], len(x[3]), x[4]) for x in got) == helpers.suffix(rows, 200)
+    windows = sum(z - a - 199 for x in got for a, z in x[3])
+    assert suffix.repeated(docs, 200, 64).count() < windows / 10
+
+
 def test_levels_grow_geometrically():
     r = random.Random(2)
     text = bytes(r.choice(b"ab") for _ in range(4000))
