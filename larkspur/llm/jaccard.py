@@ -12,7 +12,8 @@ name as their leader, and those that link form groups. The token-group matrix ho
 tokens of each group. A document opens a larger group only if as many of its head tokens stand in
 the group's union as must where they link, and the sizes in it can match; it is then compared with the
 group's members, chunk by chunk, until one links. So a large group of near copies is linked through leaders
-and matrix rows, not through all its pairs.
+and matrix rows, not through all its pairs. Tokens of very many groups, as of near copies that don't link, open no groups one
+by one: families of such tokens are opened, and the documents of a family meet chunk by chunk.
 
 A comparison first looks at parities: a set's tokens are dealt over about as many bits, each the parity of its tokens'
 number. Two sets' parities differ in no more bits than tokens stand in one set only, so too many bits prove that
@@ -42,6 +43,8 @@ CHUNK = 1 << 15
 EXTRA, FILTER = 20, 1 << 23
 #: Rounds in which each document opens one group, before all are opened that have to be.
 ROUNDS = 2
+#: Groups that a token may open one by one; the tokens of a family stand in as many documents as ``SPREAD`` times those of each, at most.
+APART, SPREAD = 16, 4
 #: Members and askers of a chunk, and the shingles that either may hold where sets are long.
 MEMBERS, ASKERS, ROOM = 128, 512, 1 << 20
 #: Sizes are put in classes by powers of this; sets that can link are at most one class apart.
@@ -217,47 +220,42 @@ def most_apart(a, b):
 
 def may_link(table):
     """The rows of a chunk, members (``own``) and askers, that some row of the other side can link with as far as
-    their parities show."""
+    their parities show; rows of one group (``c``) need no link."""
     own = np.asarray(table.column("own").combine_chunks()).astype(bool)
-    n, ids, sig = np.asarray(table.column("n")), np.asarray(table.column("d")), table.column("sig").to_pylist()
+    n, c, sig = np.asarray(table.column("n")), np.asarray(table.column("c")), table.column("sig").to_pylist()
     size = min(map(len, sig))
     words = np.stack([folded(x, size) for x in sig]).view("<u8")
     members, good = np.flatnonzero(own), np.zeros(len(own), bool)
     for q in np.flatnonzero(~own):
         apart = np.bitwise_count(words[members] ^ words[q]).sum(axis=1, dtype=np.int64)
-        hit = members[(apart <= most_apart(n[members], n[q])) & (ids[members] != ids[q])]
+        hit = members[(apart <= most_apart(n[members], n[q])) & (c[members] != c[q])]
         if len(hit):
             good[q] = good[hit] = True
-    return table.filter(pa.array(good)).select(["key", "class", "chunk", "part", "own", "d"])
-
-
-def exact(any_member):
-    """Links of a chunk's askers with its members by their sets."""
-
-    def run(table):
-        rows = list(zip(table.column("own").to_pylist(), table.column("d").to_pylist(),
-                        (np.frombuffer(x.as_buffer(), "<u8") for x in table.column("s"))))
-        members, xs, ys = [(d, b) for own, d, b in rows if own], [], []
-        for q, a in ((d, a) for own, d, a in rows if not own):
-            for m, b in members:
-                if m == q or 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
-                    continue
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                if 100 * both >= PERCENT * (len(a) + len(b) - both):
-                    xs.append(q), ys.append(m)
-                    if any_member:
-                        break
-        return pa.table({"x": pa.array(xs, pa.int64()), "y": pa.array(ys, pa.int64())})
-
-    return run
-
-
-def meet(asks, members, sets, any_member=False):
+    return table.filter(pa.array(good)).select(["key", "class", "chunk", "part", "own", "d", "c"])
+
+
+def exact(table):
+    """Links of a chunk's askers with its members by their sets: one at most of each who asks with a group."""
+    rows = list(zip(table.column("own").to_pylist(), table.column("d").to_pylist(), table.column("c").to_pylist(),
+                    (np.frombuffer(x.as_buffer(), "<u8") for x in table.column("s"))))
+    members, xs, ys = [row[1:] for row in rows if row[0]], [], []
+    for q, own, a in (row[1:] for row in rows if not row[0]):
+        done = {own}
+        for m, c, b in members:
+            if c in done or 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
+                continue
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            if 100 * both >= PERCENT * (len(a) + len(b) - both):
+                xs.append(q), ys.append(m), done.add(c)
+    return pa.table({"x": pa.array(xs, pa.int64()), "y": pa.array(ys, pa.int64())})
+
+
+def meet(asks, members, sets, groups=None):
     """Links (x, y) between the documents that ask a key (q, key) and its members (m, key).
 
     The members of a key are parted by size class and then by hash into chunks, those who ask likewise, and each
     chunk meets each part. Parities go first; a set is sent only to the chunks in which it may link. With
-    ``any_member`` one link for each who asks and chunk is enough.
+    ``groups`` (v, c) one link for each who asks, chunk and group is enough, and none inside a group.
     """
     klass = F.floor(F.log("n") / F.lit(float(np.log(STEP)))).cast("int")
     lengths = sets.select("doc_id", "n")
@@ -288,8 +286,9 @@ def meet(asks, members, sets, any_member=False):
         "key", "class", each("chunks").alias("chunk"), dealt("q", "parts").alias("part"), F.lit(False).alias("own"), F.col("q").alias("d"))
     place = ["key", "class", "chunk", "part"]
     rows = kept.unionByName(asked).join(sets.select(F.col("doc_id").alias("d"), "n", "sig"), "d")
+    rows = rows.withColumn("c", F.col("d")) if groups is None else rows.join(groups.withColumnRenamed("v", "d"), "d")
     rows = written(rows.groupBy(*place).applyInArrow(
-        may_link, "key long, class int, chunk int, part int, own boolean, d long"), "jaccard-may")
+        may_link, "key long, class int, chunk int, part int, own boolean, d long, c long"), "jaccard-may")
     seen = rows.sparkSession.sparkContext.broadcast(filter_of(rows.select(F.col("d").alias("doc_id")).distinct()))
 
     def needed(batches):
@@ -297,7 +296,7 @@ def meet(asks, members, sets, any_member=False):
             yield batch.filter(pa.array(passing(seen.value, np.asarray(batch.column(0)))))
 
     some = sets.select(F.col("doc_id").alias("d"), "s").mapInArrow(needed, "d long, s binary")
-    return rows.join(some, "d").groupBy(*place).applyInArrow(exact(any_member), "x long, y long")
+    return rows.join(some, "d").groupBy(*place).applyInArrow(exact, "x long, y long")
 
 
 def components(links, nodes):
@@ -351,11 +350,13 @@ def links_of(docs, reps):
     links = written(meet(*leaders(held.select("doc_id", "n", F.explode("hs").alias("h"))), sets), "jaccard-found")
     for k in range(ROUNDS + 1):
         groups = written(components(links, groups.select("v")), "jaccard-groups")
-        opens = largest(held, groups) if k < ROUNDS else opened(held, groups)
+        opens, families = (largest(held, groups), ()) if k < ROUNDS else opened(held, groups)
         asks = opens.select(F.col("doc_id").alias("q"), F.col("g").alias("key"))
         members = groups.join(asks.select(F.col("key").alias("c")).distinct(), "c", "left_semi").select(
             F.col("v").alias("m"), F.col("c").alias("key"))
-        links = written(links.unionByName(meet(asks, members, sets, any_member=True)), "jaccard-found")
+        if families:
+            asks, members = asks.unionByName(families[0]), members.unionByName(families[1])
+        links = written(links.unionByName(meet(asks, members, sets, groups)), "jaccard-found")
     return links
 
 
@@ -392,7 +393,7 @@ def largest(held, groups):
 
 def opened(held, groups):
     """(doc_id, g): documents that open a group not smaller than their own, as enough of their head tokens stand in
-    the union of its head tokens, and the sizes in it can match.
+    the union of its head tokens, and the sizes in it can match; and the ``families`` of tokens in more than ``APART`` groups.
 
     Tokens within one group open nothing. A document with fewer other tokens than it has to share is left out, and of
     the others' the most common ones are: a document that shares k of s tokens has one of any s - k + 1. Tokens that
@@ -409,13 +410,34 @@ def opened(held, groups):
     mine = mine.withColumn("s", F.count("*").over(Window.partitionBy("doc_id"))).withColumn("place", F.row_number().over(ranked))
     need = least_shared(F.col("n"))
     mine = mine.where((F.col("s") >= need) & (F.col("place") <= F.col("s") - need + 1)).select(
-        "doc_id", "n", "c", "own", "p1", "p2").distinct()
-    unions = matrix.join(apart, "h").groupBy("p1", "p2", F.col("c").alias("g"), "size").agg(
+        "doc_id", "n", "c", "own", "k", "p1", "p2").distinct()
+    mine, few, many = written(mine, "jaccard-mine"), F.col("k") <= APART, F.col("k") > APART
+    unions = matrix.join(apart.where(few), "h").groupBy("p1", "p2", F.col("c").alias("g"), "size").agg(
         F.min("low").alias("low"), F.max("high").alias("high"))
-    bound = written(mine, "jaccard-mine").join(written(unions, "jaccard-unions"), ["p1", "p2"]).where(
+    bound = mine.where(few).join(written(unions, "jaccard-unions"), ["p1", "p2"]).where(
         (F.struct("own", "c") < F.struct("size", "g")) & (100 * F.col("high") >= PERCENT * F.col("n"))
         & (100 * F.col("n") >= PERCENT * F.col("low")))
-    return written(bound.select("doc_id", "g").distinct(), "jaccard-opens")
+    spots = grouped.join(apart.where(many), "h").select("doc_id", "c", "size", "p1", "p2").distinct()
+    return written(bound.select("doc_id", "g").distinct(), "jaccard-opens"), families(mine.where(many), written(spots, "jaccard-spots"))
+
+
+def families(mine, spots):
+    """(q, key) and (m, key) for tokens of very many groups: ``spots`` are the documents that hold them, ``mine`` those that have to
+    open them. Documents that link share a token that one of them opens, whichever family it belongs to.
+
+    Each token joins the one that most of its documents hold as their most common, unless that has far more documents, so that
+    near copies, which share many tokens, meet in few families.
+    """
+    sized = written(spots.groupBy("p1", "p2").agg(F.count("*").alias("many"), F.max(F.struct("size", "c")).alias("most")), "jaccard-sized")
+    held = spots.select("doc_id", "p1", "p2").join(sized.select("p1", "p2", "many"), ["p1", "p2"])
+    tops = held.groupBy("doc_id").agg(F.max(F.struct("many", "p1", "p2")).alias("top"))
+    votes = held.join(tops, "doc_id").where(F.col("top.many") <= SPREAD * F.col("many")).groupBy("p1", "p2", "top").agg(F.count("*").alias("votes"))
+    chosen = votes.groupBy("p1", "p2").agg(F.max(F.struct("votes", "top")).alias("best"))
+    named = written(sized.join(chosen, ["p1", "p2"], "left").select(
+        "p1", "p2", "most", F.xxhash64(F.coalesce("best.top.p1", "p1"), F.coalesce("best.top.p2", "p2")).alias("key")), "jaccard-families")
+    asks = mine.join(named, ["p1", "p2"]).where(F.struct(F.col("own").alias("size"), "c") < F.col("most")).select(F.col("doc_id").alias("q"), "key")
+    members = spots.join(named, ["p1", "p2"]).select(F.col("doc_id").alias("m"), "key")
+    return written(asks.distinct(), "jaccard-asks"), written(members.distinct(), "jaccard-members")
 
 
 def classes(docs):

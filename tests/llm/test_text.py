@@ -253,6 +253,27 @@ def test_jaccard_near_the_limit(spark, monkeypatch, seed, members):
     assert 1 < len({c for _, _, c in got}) < 200
 
 
+def test_jaccard_near_copies_that_do_not_link_are_no_rows_of_pairs(spark, monkeypatch):
+    """Copies changed in so many places that few link: what is asked for grows with them, not with their pairs."""
+    r, asked, meet = random.Random(12), [], jaccard.meet
+    base = [f"w{r.randrange(10 ** 6)}" for _ in range(150)]
+
+    def changed(words, places):
+        words = list(words)
+        for k in r.sample(range(len(words)), places):
+            words[k] = f"c{r.randrange(10 ** 6)}"
+        return words
+
+    texts = [changed(base, r.choice([5, 6, 7])) for _ in range(120)] + [changed(base, 2) for _ in range(30)]
+    texts += [changed(t, r.choice([2, 3])) for t in texts[:25]]
+    rows = list(enumerate(" ".join(t) for t in texts))
+    monkeypatch.setattr(jaccard, "meet", lambda asks, *x, **y: asked.append(asks.count()) or meet(asks, *x, **y))
+    got = sorted(tuple(x) for x in jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == helpers.jaccard(rows)
+    assert 50 < len({c for _, _, c in got}) < 150
+    assert asked[-1] < 10 * len(rows)
+
+
 @pytest.mark.parametrize("n", [1, 3, 60, 400, 1500])
 def test_parities_never_part_sets_that_link(n):
     """Bits that differ are at most the tokens of one set only, also between sizes of unlike numbers of bits."""
