@@ -128,12 +128,13 @@ def tally(df, positions, counters, flags=False):
         total = np.zeros(part, np.int64)
         for many in table.column("many").to_pylist():
             total += unpacked(zlib.decompress(many))
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "many": [packed(total)]})
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "many": [zlib.compress(packed(total), 1)]})
 
     rows = df.mapInArrow(count, "part int, many binary").groupBy("part").applyInArrow(add, "part int, many binary")
     total = np.zeros(counters, bool if flags else np.int64)
-    for r in rows.toLocalIterator():
-        total[r["part"] * part:][:part] = unpacked(bytes(r["many"]))
+    # At most ``counters`` counts or bits, in one job: an iterator would run a job for each partition.
+    for r in rows.collect():
+        total[r["part"] * part:][:part] = unpacked(zlib.decompress(r["many"]))
     return total
 
 

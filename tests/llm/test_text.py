@@ -129,6 +129,29 @@ def test_jaccard(spark):
     assert got == helpers.jaccard(rows)
 
 
+def test_jaccard_tallies_run_no_job_for_each_partition(spark):
+    """64 parts of counts and of bits, each in a partition of its own."""
+    ids = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("").alias("text"))
+    partitions, part = spark.conf.get("spark.sql.shuffle.partitions"), jaccard.CHUNK
+    spark.conf.set("spark.sql.shuffle.partitions", 64)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.sparkContext.setJobGroup("tallies", "")
+    try:
+        jaccard.CHUNK = 64
+        counts = jaccard.tally(ids, lambda batch, a, b: jaccard.ids_of(batch, a, b) % 4096, 4096)
+        flags = jaccard.tally(ids, lambda batch, a, b: jaccard.ids_of(batch, a, b) * 3, 64 * 4096, flags=True)
+    finally:
+        jaccard.CHUNK = part
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.sparkContext._jsc.clearJobGroup()
+    assert counts.tolist() == [1] * 3000 + [0] * 1096
+    assert flags.nonzero()[0].tolist() == list(range(0, 9000, 3))
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("tallies"))
+    print("jobs of two tallies:", jobs)
+    assert jobs <= 4
+
+
 def test_jaccard_odd_rows(spark):
     got = jaccard.classes(table(spark, [(3, "a b c d e f"), (3, "a b c d e f"), (None, "a b c d e f"), (2, "A b c d e f")]))
     assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in got.collect()) == [(0, 0), (2, 2), (3, 2), (3, 2)]
