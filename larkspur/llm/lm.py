@@ -53,6 +53,8 @@ FILL = 65_535
 LIMIT = 60
 #: Parameter sets averaged by one task.
 FAN_IN = 32
+#: Targets of one group that are multiplied together while training.
+TOGETHER = 16
 #: Words that travel with the tasks, at most, and their bytes, at most.
 COMMON_WORDS, COMMON_BYTES = 1 << 16, 64
 #: Words whose ids a task remembers, and word counts that it holds before it hands them on.
@@ -252,9 +254,27 @@ def attended(m, rows, begin):
     return m["E"].take(rows, axis=0) + out.reshape(-1, WIDTH).take(place, axis=0) @ m["Wo"]
 
 
-def log_softmax(z):
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+def softmax_loss(z, which, scale):
+    """Minus the natural logarithm of the softmax of each row of ``z`` at one place, summed, and its gradient times
+    ``scale``; ``z`` is overwritten."""
+    place = np.arange(len(z)), which
+    z -= z.max(axis=1, keepdims=True)
+    own = z[place].sum()
+    np.exp(z, out=z)
+    total = z @ np.ones(z.shape[1], z.dtype)
+    z /= total[:, None]
+    z[place] -= 1
+    z *= scale
+    return np.log(total).sum() - own, z
+
+
+def summed(rows, x, like):
+    """The rows of ``x`` that have the same number in ``rows`` added up, in an array as ``like``."""
+    out, order = np.zeros_like(like), np.argsort(rows.astype(np.int16), kind="stable")
+    rows = rows[order]
+    first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    out[rows[first]] = np.add.reduceat(x.take(order, axis=0), first, axis=0)
+    return out
 
 
 def by_group(cls):
@@ -295,56 +315,75 @@ def gradients(m, rows, cls):
     d = WIDTH
     want, flat = cls.ravel(), h.reshape(-1, d)
     at = np.flatnonzero(want >= 0)
-    want, own = want[at], flat[at]
-    scale = 1 / max(len(at), 1)
-    logs = log_softmax(own @ m["Wg"] + m["bg"])
-    place = np.arange(len(at)), want // MEMBERS
-    loss = -logs[place].sum()
-    p = np.exp(logs)
-    p[place] -= 1
-    p *= scale
+    # Targets in the order of their groups; each group's are dealt into blocks of ``TOGETHER``, the last one filled up with zeros.
+    order, begin = by_group(want[at])
+    at = at[order]
+    want, own = want[at], flat.take(at, axis=0)
+    scale = x.dtype.type(1 / max(len(at), 1))
+    group, member = np.divmod(want, MEMBERS)
+    loss, p = softmax_loss(own @ m["Wg"] + m["bg"], group, scale)
     g = {"Wg": own.T @ p, "bg": p.sum(axis=0), "Wc": np.zeros_like(m["Wc"]), "bc": np.zeros_like(m["bc"])}
     down = p @ m["Wg"].T
-    order, begin = by_group(want)
-    for i in np.flatnonzero(np.diff(begin)):
-        here = order[begin[i]:begin[i + 1]]
-        logs = log_softmax(own[here] @ m["Wc"][i] + m["bc"][i])
-        place = np.arange(len(here)), want[here] % MEMBERS
-        loss -= logs[place].sum()
-        p = np.exp(logs)
-        p[place] -= 1
-        p *= scale
-        g["Wc"][i], g["bc"][i] = own[here].T @ p, p.sum(axis=0)
-        down[here] += p @ m["Wc"][i].T
+    if len(at):
+        size = np.diff(begin)
+        many, here = -(-size // TOGETHER), np.flatnonzero(size)
+        first = np.cumsum(many) - many
+        slot = np.arange(len(at)) + np.repeat(first * TOGETHER - begin[:-1], size)
+        weights = m["Wc"][np.repeat(np.arange(GROUPS), many)]
+        dealt = np.zeros((len(weights) * TOGETHER, d), x.dtype)
+        dealt[slot] = own
+        dealt = dealt.reshape(-1, TOGETHER, d)
+        z = (dealt @ weights).reshape(-1, MEMBERS).take(slot, axis=0)
+        z += m["bc"].take(group, axis=0)
+        more, p = softmax_loss(z, member, scale)
+        loss += more
+        put = np.zeros((len(weights) * TOGETHER, MEMBERS), x.dtype)
+        put[slot] = p
+        put = put.reshape(-1, TOGETHER, MEMBERS)
+        parts = (dealt.transpose(0, 2, 1) @ put).reshape(-1, d * MEMBERS)
+        g["Wc"][here] = np.add.reduceat(parts, first[here], axis=0).reshape(-1, d, MEMBERS)
+        g["bc"][here] = np.add.reduceat(p, begin[here], axis=0)
+        down += (put @ weights.transpose(0, 2, 1)).reshape(-1, d).take(slot, axis=0)
     dh = np.zeros_like(flat)
     dh[at] = down
     g["Wo"] = o.reshape(-1, d).T @ dh
     do = (dh @ m["Wo"].T).reshape(o.shape)
-    da, dv = do @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ do
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
+    ds, dv = do @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ do
+    # What the softmax takes off is the sum of (do @ v.T) * a, which is that of do * o.
+    ds -= np.einsum("bnd,bnd->bn", do, o)[:, :, None]
+    ds *= a
     back = reach(rows.shape[1], 0)
     seen = back >= 0
     g["R"] = np.bincount(back[seen], ds.sum(axis=0)[seen], WINDOW).astype(x.dtype)
     ds *= x.dtype.type(1 / math.sqrt(d))
     di = np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, dv], axis=2).reshape(-1, 3 * d)
     g["Wi"] = x.reshape(-1, d).T @ di
-    dx = dh + di @ m["Wi"].T
-    g["E"] = np.zeros_like(m["E"])
-    np.add.at(g["E"], rows.ravel(), dx)
+    g["E"] = summed(rows.ravel(), dh + di @ m["Wi"].T, m["E"])
     return loss * scale, g
 
 
 def train(m, rows, cls, batch=BATCH, rate=RATE):
     """One pass of Adam over windows."""
-    m = {k: x.copy() for k, x in m.items()}
-    one, two = ({k: np.zeros_like(x) for k, x in m.items()} for _ in range(2))
+    # All parameters are parts of one array, so that a step is a few operations on it.
+    ends = np.cumsum([0, *(m[k].size for k in NAMES)])
+    flat = np.concatenate([m[k].ravel() for k in NAMES])
+    m = {k: flat[i:j].reshape(m[k].shape) for k, i, j in zip(NAMES, ends, ends[1:])}
+    one, two, x, y = (np.zeros_like(flat) for _ in range(4))
     for t, at in enumerate(range(0, len(rows), batch), 1):
         _, g = gradients(m, rows[at:at + batch], cls[at:at + batch])
-        for k, x in g.items():
-            one[k] += np.float32(0.1) * (x - one[k])
-            two[k] += np.float32(0.01) * (x * x - two[k])
-            m[k] -= np.float32(rate) * (one[k] / np.float32(1 - 0.9 ** t)) / (np.sqrt(two[k] / np.float32(1 - 0.99 ** t)) + np.float32(1e-6))
-    return m
+        np.concatenate([g[k].ravel() for k in NAMES], out=x)
+        np.multiply(x, x, out=y)
+        for mean, new, rest, part in ((one, x, 0.1, 0.9), (two, y, 0.01, 0.99)):
+            new -= mean
+            new *= np.float32(rest)
+            mean += new
+            np.divide(mean, np.float32(1 - part ** t), out=new)
+        np.sqrt(y, out=y)
+        y += np.float32(1e-6)
+        x *= np.float32(rate)
+        x /= y
+        flat -= x
+    return {k: x.copy() for k, x in m.items()}
 
 
 def packed(m):

@@ -1,7 +1,9 @@
 """Word counts against a dict, the attention model against finite differences, sums to one and held-out text."""
 
 import collections
+import cProfile
 import math
+import pstats
 import zlib
 
 import numpy as np
@@ -96,6 +98,38 @@ def test_gradients():
         assert g[name][place] == pytest.approx((ends[0] - ends[1]) / 2e-5, rel=2e-3)
 
 
+@pytest.mark.parametrize("targets", [0, 1, 15, 16, 17, 33, 48])
+def test_gradients_of_groups_of_many_targets(targets):
+    """Two groups, of which one has as many targets; against finite differences of their own vectors."""
+    _, m, rng = model_of()
+    rows, cls = rng.integers(0, lm.INPUTS, (3, 20)), np.full((3, 20), -1)
+    cls.ravel()[:targets] = 5 * lm.MEMBERS + rng.integers(0, lm.MEMBERS, targets)
+    cls[2, 17:] = 30 * lm.MEMBERS + 3
+    _, g = lm.gradients(m, rows, cls)
+    for name in ("Wc", "bc"):
+        assert not np.delete(g[name], [5, 30], axis=0).any()
+        for i in (5, 30):
+            place = i, *np.unravel_index(np.abs(g[name][i]).argmax(), g[name][i].shape)
+            ends = []
+            for step in (1e-5, -1e-5):
+                other = {k: x.copy() for k, x in m.items()}
+                other[name][place] += step
+                ends.append(lm.gradients(other, rows, cls)[0])
+            assert g[name][place] == pytest.approx((ends[0] - ends[1]) / 2e-5, rel=2e-3)
+
+
+def test_a_step_of_training_has_no_loop_over_groups():
+    """Calls of a step, with targets in all groups and in one of them."""
+    vocabulary, m, rng = model_of()
+    m, calls = {k: x.astype(np.float32) for k, x in m.items()}, []
+    for groups in (1, lm.GROUPS):
+        cls = rng.integers(0, groups * lm.MEMBERS, (lm.BATCH, lm.WINDOW))
+        profile = cProfile.Profile()
+        profile.runcall(lm.train, m, rng.integers(0, lm.INPUTS, cls.shape), cls)
+        calls.append(pstats.Stats(profile).total_calls)
+    assert calls[1] < 1.1 * calls[0]
+
+
 def test_probabilities_of_the_next_id_sum_to_one():
     vocabulary, m, rng = model_of()
     h = lm.attend(m, rng.integers(0, lm.INPUTS, (1, 20)))[-1][0, -1:]
