@@ -55,6 +55,8 @@ LIMIT = 60
 FAN_IN = 32
 #: Targets of one group that are multiplied together while training.
 TOGETHER = 16
+#: Ids that are scored at a time, at most, where texts have no more.
+PIECE = 1 << 15
 #: Words that travel with the tasks, at most, and their bytes, at most.
 COMMON_WORDS, COMMON_BYTES = 1 << 16, 64
 #: Words whose ids a task remembers, and word counts that it holds before it hands them on.
@@ -90,10 +92,8 @@ class Subwords:
         self.at, self.all = {b"": 0}, [b""]
         self.ids, self.begin = np.array([END_ID], np.int32), np.array([0, 1])
 
-    def learn(self, found):
-        new = [w for w in found if w not in self.at]
-        if not new:
-            return
+    def learn(self, new):
+        """Entries for distinct words that have none."""
         # A word holds no space, so ids that open with one begin the words.
         ids = self.encode(b" " + b" ".join(new))
         begin = np.flatnonzero(self.opens[ids])
@@ -116,8 +116,27 @@ class Subwords:
         """The entry of each word of a list."""
         if len(self.at) > REMEMBER:
             self.forget()
-        self.learn(set(found))
-        return np.fromiter(map(self.at.__getitem__, found), np.int64, len(found))
+        # Each distinct word is looked up in the large table once.
+        own = dict.fromkeys(found)
+        own = dict(zip(own, map(self.at.get, own)))
+        new = [w for w, entry in own.items() if entry is None]
+        if new:
+            own.update(zip(new, range(len(self.all), len(self.all) + len(new))))
+            self.learn(new)
+        return np.fromiter(map(own.__getitem__, found), np.int64, len(found))
+
+    def encoded(self, raws):
+        """Entries of the words and the end of some texts, how many each text has, their ids end to end, and where each text's ids begin."""
+        found, size = [], []
+        for raw in raws:
+            w = words(raw)
+            found += w
+            found.append(b"")
+            size.append(len(w) + 1)
+        entries, size = self.entries(found), np.array(size, np.int64)
+        ids, n = self.sequence(entries)
+        last = np.concatenate([[0], np.cumsum(n)])
+        return entries, size, ids, last[np.concatenate([[0], np.cumsum(size)])]
 
     def sequence(self, entries):
         """The ids of all entries, and how many each has."""
@@ -209,16 +228,27 @@ def reach(n, first):
     return np.arange(first, n)[:, None] - np.arange(n)
 
 
+def beyond(z, more=0):
+    """Whether a score, of which ``more`` may still be added or taken away, is beyond ``LIMIT``. Only then a softmax has to be
+    worked out from the scores less their row's maximum, which takes far longer than this."""
+    return z.size > 0 and not (z.max() + more < LIMIT and z.min() - more > -LIMIT)
+
+
 def attend(m, rows):
     """Vectors after causal attention, for windows of input rows."""
     batch, n = rows.shape
-    x = m["E"][rows]
+    x = m["E"].take(rows, axis=0)
     qkv = (x.reshape(-1, WIDTH) @ m["Wi"]).reshape(batch, n, 3 * WIDTH)
     q, k, v = qkv[:, :, :WIDTH], qkv[:, :, WIDTH:2 * WIDTH], qkv[:, :, 2 * WIDTH:]
     back = reach(n, 0)
-    a = q @ k.transpose(0, 2, 1) * x.dtype.type(1 / math.sqrt(WIDTH)) + np.where(back >= 0, m["R"][back], -np.inf)
-    a = np.exp(a - a.max(axis=2, keepdims=True))
-    a /= a.sum(axis=2, keepdims=True)
+    a = q @ k.transpose(0, 2, 1)
+    a *= x.dtype.type(1 / math.sqrt(WIDTH))
+    far = beyond(a, np.abs(m["R"]).max())
+    a += np.where(back >= 0, m["R"][back], -np.inf).astype(x.dtype)
+    if far:
+        a -= a.max(axis=2, keepdims=True)
+    np.exp(a, out=a)
+    a /= a @ np.ones((n, 1), x.dtype)
     o = a @ v
     return x, q, k, v, a, o, x + (o.reshape(-1, WIDTH) @ m["Wo"]).reshape(o.shape)
 
@@ -230,51 +260,55 @@ def attended(m, rows, begin):
     parts = -(-size // half)
     first = np.cumsum(parts) - parts  # each text's first half
     place = np.arange(begin[-1]) + np.repeat(first * half - begin[:-1], size)
-    table = np.concatenate([m["E"] @ m["Wi"], np.zeros((1, 3 * WIDTH), m["E"].dtype)])
-    padded = np.full(parts.sum() * half, len(table) - 1)
-    padded[place] = rows
-    qkv = table.take(padded, axis=0).reshape(-1, half, 3 * WIDTH)
-    q = qkv[:, :, :WIDTH] * qkv.dtype.type(1 / math.sqrt(WIDTH))
+    # What is needed of a row: its query, key, value as it is added to the row's own vector, and that vector.
+    e, d = m["E"], WIDTH
+    table = np.concatenate([e @ m["Wi"], e], axis=1)
+    table[:, :d] *= e.dtype.type(1 / math.sqrt(d))
+    table[:, 2 * d:3 * d] = table[:, 2 * d:3 * d] @ m["Wo"]
+    table = np.concatenate([table, np.zeros((1, 4 * d), e.dtype)])
+    # A half of nothing stands before the first one.
+    padded = np.full((parts.sum() + 1) * half, len(table) - 1)
+    padded[half + place] = rows
     back = reach(WINDOW, half)
-    bias = np.where(back >= 0, m["R"][back], -np.inf).astype(qkv.dtype)
-    alone = np.zeros(len(qkv), bool)
+    bias = np.where(back >= 0, m["R"][back], -np.inf).astype(e.dtype)
+    alone = np.zeros(parts.sum(), bool)
     alone[first] = True
-    out, ones = np.empty((len(qkv), half, WIDTH), qkv.dtype), np.ones((WINDOW, 1), qkv.dtype)
-    for at in range(0, len(qkv), 64):
-        z = min(at + 64, len(qkv))
-        before = np.arange(at - 1, z - 1)
-        kv = np.concatenate([qkv[before, :, WIDTH:], qkv[at:z, :, WIDTH:]], axis=1)
-        a = q[at:z] @ kv[:, :, :WIDTH].transpose(0, 2, 1)
+    out, ones = np.empty((len(alone), half, d), e.dtype), np.ones((WINDOW, 1), e.dtype)
+    for at in range(0, len(out), 64):
+        z = min(at + 64, len(out))
+        halves = table.take(padded[at * half:(z + 1) * half], axis=0)
+        own = halves[half:].reshape(-1, half, 4 * d)
+        # Neighbouring windows share a half, which is not copied.
+        seen = np.lib.stride_tricks.sliding_window_view(halves, WINDOW, axis=0)[::half]
+        a = own[:, :, :d] @ seen[:, d:2 * d]
         a += bias
         a[alone[at:z], :, :half] = -np.inf
         np.exp(np.minimum(a, LIMIT, out=a), out=a)
-        o = a @ kv[:, :, WIDTH:]
+        o = a @ seen[:, 2 * d:3 * d].transpose(0, 2, 1)
         o /= a @ ones
-        out[at:z] = o
-    return m["E"].take(rows, axis=0) + out.reshape(-1, WIDTH).take(place, axis=0) @ m["Wo"]
+        np.add(o, own[:, :, 3 * d:], out=out[at:z])
+    return out.reshape(-1, d).take(place, axis=0)
 
 
 def softmax_loss(z, which, scale):
     """Minus the natural logarithm of the softmax of each row of ``z`` at one place, summed, and its gradient times
     ``scale``; ``z`` is overwritten."""
-    place = np.arange(len(z)), which
-    z -= z.max(axis=1, keepdims=True)
-    own = z[place].sum()
+    place = np.arange(len(z)) * z.shape[1] + which
+    if beyond(z):
+        z -= z.max(axis=1, keepdims=True)
+    own = z.take(place).sum()
     np.exp(z, out=z)
     total = z @ np.ones(z.shape[1], z.dtype)
-    z /= total[:, None]
-    z[place] -= 1
-    z *= scale
+    z *= (scale / total)[:, None]
+    z.reshape(-1)[place] -= scale
     return np.log(total).sum() - own, z
 
 
 def summed(rows, x, like):
     """The rows of ``x`` that have the same number in ``rows`` added up, in an array as ``like``."""
-    out, order = np.zeros_like(like), np.argsort(rows.astype(np.int16), kind="stable")
-    rows = rows[order]
-    first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    out[rows[first]] = np.add.reduceat(x.take(order, axis=0), first, axis=0)
-    return out
+    out, width = np.zeros(like.size, like.dtype), like.shape[1]
+    np.add.at(out, (rows[:, None] * width + np.arange(width)).ravel(), x.ravel())
+    return out.reshape(like.shape)
 
 
 def by_group(cls):
@@ -318,37 +352,39 @@ def gradients(m, rows, cls):
     # Targets in the order of their groups; each group's are dealt into blocks of ``TOGETHER``, the last one filled up with zeros.
     order, begin = by_group(want[at])
     at = at[order]
-    want, own = want[at], flat.take(at, axis=0)
+    # Biases are weights of a last one.
+    want, own = want[at], np.ones((len(at), d + 1), x.dtype)
+    own[:, :d] = flat.take(at, axis=0)
     scale = x.dtype.type(1 / max(len(at), 1))
     group, member = np.divmod(want, MEMBERS)
-    loss, p = softmax_loss(own @ m["Wg"] + m["bg"], group, scale)
-    g = {"Wg": own.T @ p, "bg": p.sum(axis=0), "Wc": np.zeros_like(m["Wc"]), "bc": np.zeros_like(m["bc"])}
+    loss, p = softmax_loss(own @ np.concatenate([m["Wg"], m["bg"][None]]), group, scale)
+    part = own.T @ p
+    g = {"Wg": part[:d], "bg": part[d], "Wc": np.zeros_like(m["Wc"]), "bc": np.zeros_like(m["bc"])}
     down = p @ m["Wg"].T
     if len(at):
         size = np.diff(begin)
-        many, here = -(-size // TOGETHER), np.flatnonzero(size)
+        many = -(-size // TOGETHER)
         first = np.cumsum(many) - many
-        slot = np.arange(len(at)) + np.repeat(first * TOGETHER - begin[:-1], size)
-        weights = m["Wc"][np.repeat(np.arange(GROUPS), many)]
-        dealt = np.zeros((len(weights) * TOGETHER, d), x.dtype)
+        slot, block = np.arange(len(at)) + np.repeat(first * TOGETHER - begin[:-1], size), np.repeat(np.arange(GROUPS), many)
+        weights = np.concatenate([m["Wc"], m["bc"][:, None]], axis=1).take(block, axis=0)
+        dealt = np.zeros((len(block) * TOGETHER, d + 1), x.dtype)
         dealt[slot] = own
-        dealt = dealt.reshape(-1, TOGETHER, d)
-        z = (dealt @ weights).reshape(-1, MEMBERS).take(slot, axis=0)
-        z += m["bc"].take(group, axis=0)
-        more, p = softmax_loss(z, member, scale)
+        dealt = dealt.reshape(-1, TOGETHER, d + 1)
+        more, p = softmax_loss((dealt @ weights).reshape(-1, MEMBERS).take(slot, axis=0), member, scale)
         loss += more
-        put = np.zeros((len(weights) * TOGETHER, MEMBERS), x.dtype)
+        put = np.zeros((len(block) * TOGETHER, MEMBERS), x.dtype)
         put[slot] = p
         put = put.reshape(-1, TOGETHER, MEMBERS)
-        parts = (dealt.transpose(0, 2, 1) @ put).reshape(-1, d * MEMBERS)
-        g["Wc"][here] = np.add.reduceat(parts, first[here], axis=0).reshape(-1, d, MEMBERS)
-        g["bc"][here] = np.add.reduceat(p, begin[here], axis=0)
-        down += (put @ weights.transpose(0, 2, 1)).reshape(-1, d).take(slot, axis=0)
+        parts = (dealt.transpose(0, 2, 1) @ put).reshape(len(block), -1)
+        # The blocks of each group added up.
+        parts = ((block == np.arange(GROUPS)[:, None]).astype(x.dtype) @ parts).reshape(GROUPS, d + 1, MEMBERS)
+        g["Wc"], g["bc"] = parts[:, :d], parts[:, d]
+        down += (put @ weights[:, :d].transpose(0, 2, 1)).reshape(-1, d).take(slot, axis=0)
     dh = np.zeros_like(flat)
     dh[at] = down
     g["Wo"] = o.reshape(-1, d).T @ dh
     do = (dh @ m["Wo"].T).reshape(o.shape)
-    ds, dv = do @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ do
+    ds, di = do @ v.transpose(0, 2, 1), np.empty((*o.shape[:2], 3 * d), x.dtype)
     # What the softmax takes off is the sum of (do @ v.T) * a, which is that of do * o.
     ds -= np.einsum("bnd,bnd->bn", do, o)[:, :, None]
     ds *= a
@@ -356,7 +392,10 @@ def gradients(m, rows, cls):
     seen = back >= 0
     g["R"] = np.bincount(back[seen], ds.sum(axis=0)[seen], WINDOW).astype(x.dtype)
     ds *= x.dtype.type(1 / math.sqrt(d))
-    di = np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, dv], axis=2).reshape(-1, 3 * d)
+    np.matmul(ds, k, out=di[:, :, :d])
+    np.matmul(ds.transpose(0, 2, 1), q, out=di[:, :, d:2 * d])
+    np.matmul(a.transpose(0, 2, 1), do, out=di[:, :, 2 * d:])
+    di = di.reshape(-1, 3 * d)
     g["Wi"] = x.reshape(-1, d).T @ di
     g["E"] = summed(rows.ravel(), dh + di @ m["Wi"].T, m["E"])
     return loss * scale, g
@@ -373,15 +412,16 @@ def train(m, rows, cls, batch=BATCH, rate=RATE):
         _, g = gradients(m, rows[at:at + batch], cls[at:at + batch])
         np.concatenate([g[k].ravel() for k in NAMES], out=x)
         np.multiply(x, x, out=y)
-        for mean, new, rest, part in ((one, x, 0.1, 0.9), (two, y, 0.01, 0.99)):
-            new -= mean
+        for mean, new, rest in ((one, x, 0.1), (two, y, 0.01)):
             new *= np.float32(rest)
+            mean *= np.float32(1 - rest)
             mean += new
-            np.divide(mean, np.float32(1 - part ** t), out=new)
-        np.sqrt(y, out=y)
-        y += np.float32(1e-6)
-        x *= np.float32(rate)
-        x /= y
+        # The means' corrections for their start, 1 - 0.9 ** t and 1 - 0.99 ** t, are taken into the numbers.
+        root = math.sqrt(1 - 0.99 ** t)
+        np.sqrt(two, out=y)
+        y += np.float32(1e-6 * root)
+        np.divide(one, y, out=x)
+        x *= np.float32(rate * root / (1 - 0.9 ** t))
         flat -= x
     return {k: x.copy() for k, x in m.items()}
 
@@ -398,6 +438,19 @@ def unpacked(raw, like):
     return out
 
 
+def cut_up(ids, begin):
+    """The windows of texts whose ids stand end to end from ``begin`` on, each with the id before it; before a text stands the end."""
+    size = np.diff(begin)
+    many = -(-size // WINDOW)
+    first = np.cumsum(many) - many
+    out, after = np.empty((many.sum(), WINDOW + 1), "<u2"), np.full(many.sum() * WINDOW, FILL, "<u2")
+    after[np.arange(len(ids)) + np.repeat(first * WINDOW - begin[:-1], size)] = ids
+    out[:, 1:] = after.reshape(-1, WINDOW)
+    out[1:, 0] = out[:-1, -1]
+    out[first, 0] = END_ID
+    return out
+
+
 def windows(docs, turn, folder=None):
     """(deal, ids): the windows of all documents of a round; the last one of a document is filled up with ``FILL``."""
 
@@ -405,18 +458,14 @@ def windows(docs, turn, folder=None):
         coder, task, made = Subwords(folder), TaskContext.get().partitionId(), 0
         for batch in batches:
             for a, b in blocks(batch):
-                out = []
-                for raw in texts(batch, a, b):
-                    ids, _ = coder.sequence(np.append(coder.entries(words(raw)), 0))
-                    s = np.concatenate([[END_ID], ids])
-                    for at in range(0, len(s) - 1, WINDOW):
-                        part = np.full(WINDOW + 1, FILL, "<u2")
-                        part[:len(s[at:at + WINDOW + 1])] = s[at:at + WINDOW + 1]
-                        made += 1
-                        out.append((zlib.crc32(b"%d %d" % (task, made)), part.tobytes()))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                        zip(*out), (pa.int64(), pa.binary()))], names=["deal", "ids"])
+                _, _, ids, begin = coder.encoded(texts(batch, a, b))
+                out = cut_up(ids, begin)
+                deal = [zlib.crc32(b"%d %d" % (task, made + k)) for k in range(1, len(out) + 1)]
+                made += len(out)
+                places = np.arange(len(out) + 1, dtype=np.int32) * out.strides[0]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(deal, pa.int64()), pa.Array.from_buffers(pa.binary(), len(out), [None, *map(pa.py_buffer, (places, out))])],
+                    names=["deal", "ids"])
 
     here = F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)) == turn
     return docs.where(here).select("doc_id", "text").mapInArrow(cut, "deal long, ids binary")
@@ -475,13 +524,18 @@ def learned(dealt, n, model, vocabulary, path):
 
 def text_scores(m, vocabulary, ids, begin):
     """log10 of the probability of each text; ``ids`` are the texts' ids end to end, each with its end, from ``begin`` on."""
-    size = np.diff(begin)
-    out = np.bincount(np.repeat(np.arange(len(size)), size), vocabulary.inside[ids], len(size))
     before = np.concatenate([[END_ID], ids[:-1]])
     before[begin[:-1]] = END_ID
-    h = attended(m, vocabulary.row[before], begin)
-    logs = class_logs(m, h, vocabulary.cls[ids])
-    return out + np.bincount(np.repeat(np.arange(len(size)), size), logs.astype(float), len(size)) / math.log(10)
+    row, out, at = vocabulary.row.take(before), np.empty(len(begin) - 1), 0
+    while at < len(out):
+        # So many texts that their vectors stay in a processor's cache.
+        z = max(at + 1, int(np.searchsorted(begin, begin[at] + PIECE, "right")) - 1)
+        some = slice(begin[at], begin[z])
+        logs = class_logs(m, attended(m, row[some], begin[at:z + 1] - begin[at]), vocabulary.cls.take(ids[some])).astype(float)
+        # Every text has an id at least, its end.
+        out[at:z] = np.add.reduceat(vocabulary.inside.take(ids[some]) + logs / math.log(10), begin[at:z] - begin[at])
+        at = z
+    return out
 
 
 def common_words(counted):
@@ -515,18 +569,8 @@ def score(docs, vocabulary, model, counted, folder=None):
         coder, task, made = Subwords(folder), TaskContext.get().partitionId(), 0
         for batch in batches:
             for a, b in blocks(batch):
-                found = []
-                size = []
-                for raw in texts(batch, a, b):
-                    w = words(raw)
-                    found += w
-                    found.append(b"")
-                    size.append(len(w) + 1)
-                entries = coder.entries(found)
-                size = np.array(size)
+                entries, size, ids, begin = coder.encoded(texts(batch, a, b))
                 doc = np.repeat(np.arange(len(size)), size)
-                ids, per = coder.sequence(entries)
-                begin = np.concatenate([[0], np.cumsum(np.bincount(doc, per, len(size)))]).astype(np.int64)
                 scores = text_scores(m, vocabulary, ids, begin)
                 # Counts of common words; the others leave as rows.
                 code = np.sort(doc * len(coder.all) + entries)

@@ -130,6 +130,52 @@ def test_a_step_of_training_has_no_loop_over_groups():
     assert calls[1] < 1.1 * calls[0]
 
 
+@pytest.mark.parametrize("piece", [1, 50, 90])
+def test_texts_scored_in_pieces(monkeypatch, piece):
+    vocabulary, m, rng = model_of()
+    begin = np.concatenate([[0], np.cumsum([1, 40, 40, 10, 200, 1, 1, 50])])
+    ids = rng.integers(0, 50000, begin[-1])
+    want = lm.text_scores(m, vocabulary, ids, begin)
+    monkeypatch.setattr(lm, "PIECE", piece)
+    assert lm.text_scores(m, vocabulary, ids, begin) == pytest.approx(want, rel=1e-12)
+
+
+@pytest.mark.parametrize("size", [1, 59, 61, 1e4])
+def test_softmax_of_large_scores(size):
+    """Against 64 bits and the scores less their maxima."""
+    rng = np.random.default_rng(5)
+    z, which = (rng.uniform(-1, 1, (40, 8)) * size).astype(np.float32), rng.integers(0, 8, 40)
+    want = z.astype(float) - z.max(axis=1, keepdims=True)
+    p = np.exp(want) / np.exp(want).sum(axis=1, keepdims=True)
+    loss, down = lm.softmax_loss(z.copy(), which, np.float32(0.5))
+    assert loss == pytest.approx(-(want - np.log(np.exp(want).sum(axis=1, keepdims=True)))[np.arange(40), which].sum(), rel=1e-4)
+    assert down == pytest.approx(0.5 * (p - np.eye(8)[which]), abs=1e-5)
+
+
+@pytest.mark.parametrize("size", [1, 40])
+def test_attention_of_large_scores(size):
+    _, m, rng = model_of()
+    m["Wi"] = m["Wi"] * size
+    rows = rng.integers(0, lm.INPUTS, (2, 20))
+    got, want = (lm.attend({k: x.astype(t) for k, x in m.items()}, rows)[4] for t in (np.float32, np.float64))
+    assert got == pytest.approx(want, abs=2e-3) and got.sum(axis=2) == pytest.approx(1, abs=1e-5)
+
+
+def test_texts_are_encoded_together(monkeypatch):
+    """Ids and windows of each text by itself; new words are learned once for all texts, not once a text."""
+    raws, calls, learn = [(f"The w{i}  unseen{i} word " * (i % 25)).encode() for i in range(200)], [], lm.Subwords.learn
+    monkeypatch.setattr(lm.Subwords, "learn", lambda self, found: calls.append(1) or learn(self, found))
+    coder, plain, windows = lm.Subwords(), lm.Subwords(), []
+    _, size, ids, begin = coder.encoded(raws)
+    assert len(calls) == 1 and size.tolist() == [len(lm.words(x)) + 1 for x in raws]
+    for k, raw in enumerate(raws):
+        one = np.append(plain.sequence(plain.entries(lm.words(raw)))[0], lm.END_ID)
+        assert ids[begin[k]:begin[k + 1]].tolist() == one.tolist()
+        s = [lm.END_ID, *one.tolist()]
+        windows += [(s[at:at + lm.WINDOW + 1] + [lm.FILL] * lm.WINDOW)[:lm.WINDOW + 1] for at in range(0, len(s) - 1, lm.WINDOW)]
+    assert lm.cut_up(ids, begin).tolist() == windows
+
+
 def test_probabilities_of_the_next_id_sum_to_one():
     vocabulary, m, rng = model_of()
     h = lm.attend(m, rng.integers(0, lm.INPUTS, (1, 20)))[-1][0, -1:]
