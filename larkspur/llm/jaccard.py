@@ -38,6 +38,8 @@ PERCENT = 80
 #: Counters of the sketch that orders tokens by frequency.
 SKETCH = 1 << 20
 CHUNK = 1 << 15
+#: Bytes of text worked on at a time: what is worked out of them stays in a processor's cache.
+BLOCK = 1 << 18
 #: A head has one token more for each ``EXTRA`` shingles than must be looked at, so that more than one has to be
 #: shared; bits of the filter of documents whose sets are compared.
 EXTRA, FILTER = 20, 1 << 23
@@ -50,14 +52,16 @@ MEMBERS, ASKERS, ROOM = 128, 512, 1 << 20
 #: Sizes are put in classes by powers of this; sets that can link are at most one class apart.
 STEP = 100 / PERCENT + 0.01
 
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[65:91] += 32
+
+def ranges(doc):
+    """Where each run of equal numbers begins and ends."""
+    ends = np.concatenate([np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])), [len(doc)]]) if len(doc) else [0]
+    return zip(ends, ends[1:])
 
 
 def shingle_sets(batch, a, b, shingle=SHINGLE):
     """Documents and hashes of the distinct shingles of rows a..b, by document."""
-    raw = [np.frombuffer(t, np.uint8) for t in R.texts(batch, a, b)]
-    x = R.Block([LOWER[r].tobytes() for r in raw], "words")
+    x = R.Block([t.lower() for t in R.texts(batch, a, b)], "words")
     h, ok = R.ONE.windows(x.values, shingle), x.whole(shingle)
     h, doc = h[ok], x.doc[:len(ok)][ok]
     few = np.flatnonzero((x.count > 0) & (x.count < shingle))
@@ -65,8 +69,11 @@ def shingle_sets(batch, a, b, shingle=SHINGLE):
         # A short document is one shingle of all its words; its length keeps it from longer ones.
         whole = R.ONE.spans(x.values, x.first[few], x.first[few] + x.count[few])
         h, doc = np.concatenate([h, whole]), np.concatenate([doc, few])
-    order = np.lexsort((h, doc))
-    h, doc = h[order], doc[order]
+        order = np.argsort(doc, kind="stable")
+        h, doc = h[order], doc[order]
+    # Each document's by itself, which takes a fraction of the time of ordering all by two keys.
+    for i, j in ranges(doc):
+        h[i:j].sort()
     one = np.concatenate([[True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])]) if len(h) else np.zeros(0, bool)
     return doc[one], h[one]
 
@@ -79,69 +86,94 @@ def known(docs):
     return R.slim(docs).where("doc_id is not null and text is not null")
 
 
-def set_keys(docs):
-    """doc_id, n and 128 bits that stand for the set."""
+def set_keys(docs, counters=SKETCH):
+    """One pass over the texts: rows of doc_id, n and 128 bits that stand for the set, and rows (part, many) of a task's
+    counts of its documents' tokens, by hash modulo ``counters``."""
 
     def emit(batches):
+        total = np.zeros(counters, np.int64)
         for batch in batches:
-            for a, b in R.blocks(batch):
+            for a, b in R.blocks(batch, BLOCK):
                 doc, h = shingle_sets(batch, a, b)
                 if len(h):
                     first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
                     n = np.diff(np.concatenate([first, [len(h)]]))
                     k1 = np.add.reduceat(R.mixed(h ^ np.uint64(0x1234567)), first)
                     k2 = np.add.reduceat(R.mixed(h + np.uint64(0x7654321)), first)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids_of(batch, a, b)[doc[first]]), pa.array(n.astype(np.int64)), pa.array(k1.view(np.int64)),
-                         pa.array(k2.view(np.int64))], names=["doc_id", "n", "k1", "k2"])
+                    yield row([pa.array(ids_of(batch, a, b)[doc[first]]), pa.array(n.astype(np.int64)), pa.array(k1.view(np.int64)),
+                               pa.array(k2.view(np.int64)), *(pa.nulls(len(n), t) for t in kinds[4:])])
+                    np.add.at(total, (h % np.uint64(counters)).astype(np.int64), 1)
+        for part, many in parts_of(total):
+            yield row([*(pa.nulls(1, t) for t in kinds[:4]), pa.array([part], pa.int32()), pa.array([many])])
 
-    return known(docs).mapInArrow(emit, "doc_id long, n long, k1 long, k2 long")
+    def row(columns):
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "k1", "k2", "part", "many"])
 
+    kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
+    return known(docs).mapInArrow(emit, "doc_id long, n long, k1 long, k2 long, part int, many binary")
 
-def tally(df, positions, counters, flags=False):
-    """How often each number below ``counters`` is among the ``positions`` of the rows of ``df``, or whether it is
-    (``flags``). What is shuffled and gathered are that many counts or bits, whatever the data's size."""
-    part = min(CHUNK * (64 if flags else 1), counters)
 
-    def packed(x):
-        return np.packbits(x > 0).tobytes() if flags else x.astype("<i8").tobytes()
+def part_size(counters, flags=False):
+    return min(CHUNK * (64 if flags else 1), counters)
 
-    def unpacked(raw):
-        return np.unpackbits(np.frombuffer(raw, np.uint8)) if flags else np.frombuffer(raw, "<i8")
 
-    def count(batches):
-        total = np.zeros(counters, bool if flags else np.int64)
-        for batch in batches:
-            for a, b in R.blocks(batch):
-                at = positions(batch, a, b).astype(np.int64)
-                if flags:
-                    total[at] = True
-                else:
-                    total += np.bincount(at, minlength=counters)
-        for k in range(0, counters, part):
-            if total[k:k + part].any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k // part], pa.int32()), pa.array([zlib.compress(packed(total[k:k + part]), 1)])],
-                    names=["part", "many"])
+def packed(x, flags=False):
+    return zlib.compress(np.packbits(x > 0).tobytes() if flags else x.astype("<i8").tobytes(), 1)
+
+
+def unpacked(raw, flags=False):
+    raw = zlib.decompress(raw)
+    return np.unpackbits(np.frombuffer(raw, np.uint8)) if flags else np.frombuffer(raw, "<i8")
+
+
+def parts_of(total, flags=False):
+    """(part, many): the parts of counts or bits that hold any."""
+    size = part_size(len(total), flags)
+    for k in range(0, len(total), size):
+        if total[k:k + size].any():
+            yield k // size, packed(total[k:k + size], flags)
+
+
+def gathered(rows, counters, flags=False):
+    """The counts or bits of all rows (part, many). What is shuffled and gathered are that many of each task, whatever the data's size."""
+    part = part_size(counters, flags)
 
     def add(key, table):
         total = np.zeros(part, np.int64)
         for many in table.column("many").to_pylist():
-            total += unpacked(zlib.decompress(many))
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "many": [zlib.compress(packed(total), 1)]})
+            total += unpacked(many, flags)
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "many": [packed(total, flags)]})
 
-    rows = df.mapInArrow(count, "part int, many binary").groupBy("part").applyInArrow(add, "part int, many binary")
     total = np.zeros(counters, bool if flags else np.int64)
     # At most ``counters`` counts or bits, in one job: an iterator would run a job for each partition.
-    for r in rows.collect():
-        total[r["part"] * part:][:part] = unpacked(zlib.decompress(r["many"]))
+    for r in rows.groupBy("part").applyInArrow(add, "part int, many binary").collect():
+        total[r["part"] * part:][:part] = unpacked(r["many"], flags)
     return total
 
 
-def sketch(docs, counters=SKETCH):
+def tally(df, positions, counters, flags=False):
+    """How often each number below ``counters`` is among the ``positions`` of the rows of ``df``, or whether it is
+    (``flags``)."""
+
+    def count(batches):
+        total = np.zeros(counters, bool if flags else np.int64)
+        for batch in batches:
+            for a, b in R.blocks(batch, BLOCK):
+                at = positions(batch, a, b).astype(np.int64)
+                if flags:
+                    total[at] = True
+                else:
+                    np.add.at(total, at, 1)
+        for part, many in parts_of(total, flags):
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([many])], names=["part", "many"])
+
+    return gathered(df.mapInArrow(count, "part int, many binary"), counters, flags)
+
+
+def sketch(rows, counters=SKETCH):
     """How far above the mean tokens occur over all documents, by hash modulo ``counters``, as bytes on a
-    logarithmic scale."""
-    total = tally(known(docs), lambda batch, a, b: shingle_sets(batch, a, b)[1] % np.uint64(counters), counters)
+    logarithmic scale, from the counts (part, many) of ``set_keys``."""
+    total = gathered(rows, counters)
     above = np.maximum(total - total.mean(), 0) / (2 * np.sqrt(total.mean()) + 2)
     return np.minimum(8 * np.log2(1 + above), 255).astype(np.uint8)
 
@@ -172,27 +204,29 @@ def least_shared(n):
 
 
 def heads(docs, levels):
-    """(token, doc_id, n) for the first tokens, rarest first, of every document."""
+    """(doc_id, n, hs): the first tokens, rarest first, of every document."""
     held = docs.sparkSession.sparkContext.broadcast(levels)
 
     def emit(batches):
         for batch in batches:
-            for a, b in R.blocks(batch):
+            for a, b in R.blocks(batch, BLOCK):
                 doc, h = shingle_sets(batch, a, b)
                 if not len(h):
                     continue
                 rare = held.value[(h % np.uint64(len(held.value))).astype(np.int64)]
-                order = np.lexsort((h, rare, doc))
-                doc, h = doc[order], h[order]
+                # Each document's tokens are in order of their hashes; short numbers are ordered by counting.
+                order = np.lexsort((rare, doc.astype(np.uint16) if doc[-1] < 1 << 16 else doc))
+                h = h[order]
                 first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
                 n = np.diff(np.concatenate([first, [len(h)]]))
-                place = np.arange(len(h)) - np.repeat(first, n)
-                use = place < np.repeat(n - (PERCENT * n + 99) // 100 + 1 + n // EXTRA, n)
+                size = n - (PERCENT * n + 99) // 100 + 1 + n // EXTRA
+                use = np.arange(len(h)) - np.repeat(first, n) < np.repeat(size, n)
+                ends = np.concatenate([[0], np.cumsum(np.minimum(size, n))])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[use].view(np.int64)), pa.array(ids_of(batch, a, b)[doc[use]]),
-                     pa.array(np.repeat(n, n)[use].astype(np.int64))], names=["h", "doc_id", "n"])
+                    [pa.array(ids_of(batch, a, b)[doc[first]]), pa.array(n.astype(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h[use].view(np.int64)))], names=["doc_id", "n", "hs"])
 
-    return known(docs).mapInArrow(emit, "h long, doc_id long, n long")
+    return known(docs).mapInArrow(emit, "doc_id long, n long, hs array<long>")
 
 
 def written(df, name):
@@ -319,10 +353,11 @@ def components(links, nodes):
     return nodes.join(labels, "v", "left").select("v", F.coalesce("c", "v").alias("c"))
 
 
-def links_of(docs, reps):
+def links_of(docs, reps, levels):
     """Links between documents that stand for their sets, enough to join all that link. ``reps``: rep, n."""
     spark = docs.sparkSession
-    rows = heads(docs, sketch(docs))
+    # Read twice below, so that the texts are read once.
+    rows = written(heads(docs, levels), "jaccard-tokens").select("doc_id", "n", F.explode("hs").alias("h"))
     # Tokens that no other document has in its head can't join anything.
     shared = rows.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h")
     held = rows.join(shared, "h", "left_semi").groupBy("doc_id", "n").agg(F.collect_set("h").alias("hs")).where(
@@ -334,7 +369,7 @@ def links_of(docs, reps):
     def sets_of(batches):
         for batch in batches:
             batch = batch.filter(pa.array(passing(seen.value, np.asarray(batch.column(0)))))
-            for a, b in R.blocks(batch):
+            for a, b in R.blocks(batch, BLOCK):
                 doc, h = shingle_sets(batch, a, b)
                 if len(h):
                     first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
@@ -443,10 +478,11 @@ def families(mine, spots):
 
 def classes(docs):
     """doc_id, n_shingles and component_id of every row."""
-    keys = written(set_keys(docs).distinct(), "jaccard-keys")
+    rows = written(set_keys(docs), "jaccard-rows")
+    keys = written(rows.where("doc_id is not null").select("doc_id", "n", "k1", "k2").distinct(), "jaccard-keys")
     same = keys.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     same = written(same, "jaccard-same")
-    found = components(links_of(docs, same.select("rep", "n")), same.select(F.col("rep").alias("v")))
+    found = components(links_of(docs, same.select("rep", "n"), sketch(rows.where("part is not null").select("part", "many"))), same.select(F.col("rep").alias("v")))
     # The smallest id of a set's copies is the one that stands for it, so labels are smallest ids of all.
     named = keys.join(same.select("k1", "k2", "n", "rep"), ["k1", "k2", "n"]).join(
         found.withColumnRenamed("v", "rep"), "rep").select(F.col("doc_id").alias("d"), "n", "c")

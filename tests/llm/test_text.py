@@ -2,10 +2,12 @@
 
 import os
 import random
+import re
 import sys
 import textwrap
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,6 +154,40 @@ def test_jaccard_tallies_run_no_job_for_each_partition(spark):
     assert jobs <= 4
 
 
+def test_jaccard_reads_texts_three_times(spark, monkeypatch):
+    """Once for keys and counts of tokens, once for heads, once for the sets that are compared."""
+    read, known = spark.sparkContext.accumulator(0), jaccard.known
+
+    def counted(docs):
+        def run(batches):
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        return known(docs).mapInArrow(run, "doc_id long, text string")
+
+    monkeypatch.setattr(jaccard, "known", counted)
+    got = sorted(tuple(r) for r in jaccard.classes(table(spark, ROWS)).collect())
+    assert got == helpers.jaccard(ROWS)
+    assert read.value == 3 * len(ROWS)
+
+
+@pytest.mark.parametrize("size", [1, 40, 1 << 18])
+def test_jaccard_sets_of_blocks(size):
+    """Distinct hashes in order, by document, whatever the block; equal to those of a document by itself."""
+    texts = [t for _, t in ROWS] + [None, "", "ab", "Z z Z z Z z", "É é É é É É"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    got = {}
+    for a, b in repeats.blocks(batch, size):
+        doc, h = jaccard.shingle_sets(batch, a, b)
+        for k in range(b - a):
+            got[a + k] = h[doc == k].tolist()
+    for i, t in enumerate(texts):
+        w = helpers.words(re.sub("[A-Z]", lambda m: m.group(0).lower(), t or ""))
+        assert len(got[i]) == len({tuple(w[k:k + 5]) for k in range(max(len(w) - 4, 1))}) if w else not got[i]
+        assert got[i] == sorted(jaccard.shingle_sets(batch.slice(i, 1), 0, 1)[1].tolist())
+
+
 def test_jaccard_odd_rows(spark):
     got = jaccard.classes(table(spark, [(3, "a b c d e f"), (3, "a b c d e f"), (None, "a b c d e f"), (2, "A b c d e f")]))
     assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in got.collect()) == [(0, 0), (2, 2), (3, 2), (3, 2)]
